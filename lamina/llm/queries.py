@@ -22,8 +22,22 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE), end_id=2)
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lamina.llm.token_count import count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lamina.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
+    "op4_token_counts": op4_token_counts,
+    "op6_packing": op6_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
