@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from lamina.llm.common import binary_texts, windows
-from lamina.llm.tokens import ODD_SPACE, load_tokenizer
+from lamina.llm.tokens import load_tokenizer, odd_space
 
 #: Fixed value: the pre-token pattern of byte-level BPE tokenizers of this family.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -47,7 +47,7 @@ class Counter:
 
     def count(self, data: bytes) -> int:
         text = data.decode("utf-8", "replace")
-        if ODD_SPACE.search(data) or self.special.search(text) or not PLAIN.fullmatch(text):
+        if odd_space(data) or self.special.search(text) or not PLAIN.fullmatch(text):
             return len(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
         whole, merged = self.whole, self.merged
         parts = self.pattern.findall(text)

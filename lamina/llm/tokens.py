@@ -18,6 +18,16 @@ ODD_SPACE = re.compile(
     rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
 )
 PART = re.compile(rb"\s*\S+|\s+")
+#: Latin letters and then punctuation: the pre-tokenizers always cut between the two.
+CLOSED = re.compile(rb"(.*(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,;:!?]+)", re.DOTALL)
+#: With these a text isn't lower-cased ahead of the library: special tokens and combining marks.
+CASED = (b"<|", b"\xcc", b"\xcd")
+#: First bytes of ``ODD_SPACE``: a search for single bytes is much faster than for the pattern.
+ODD_FIRST = (b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2", b"\xe1\x9a", b"\xe2", b"\xe3\x80")
+
+
+def odd_space(data: bytes) -> bool:
+    return any(x in data for x in ODD_FIRST) and ODD_SPACE.search(data) is not None
 
 
 def load_tokenizer(path: str):
@@ -34,11 +44,11 @@ def load_tokenizer(path: str):
 class Encoder:
     """``encode(bytes) -> bytes``: token ids as little-endian unsigned 32-bit integers.
 
-    ``words``: white space never reaches a token (then parts are bare words); else each part keeps the
-    white space before it. The cache holds ``limit`` parts at most and starts anew when it is full.
+    ``words``: the tokenizer drops white space and case (then parts are bare words in lower case); else each
+    part keeps the white space before it. The cache holds ``limit`` parts at most and starts anew when it is full.
     """
 
-    def __init__(self, path: str, words: bool = False, limit: int = 600_000):
+    def __init__(self, path: str, words: bool = False, limit: int = 1_500_000):
         self.tokenizer, self.words, self.limit = load_tokenizer(path), words, limit
         self.cache: dict[bytes, bytes] = {}
         #: The library encodes what stands between special tokens independently: one call for many parts.
@@ -63,24 +73,32 @@ class Encoder:
             out.append(raw[at:])
         return out
 
+    def _parts(self, data: bytes) -> list[bytes]:
+        if not self.words:
+            return PART.findall(data)
+        return (data if any(x in data for x in CASED) else data.lower()).split()
+
     def encode(self, data: bytes) -> bytes:
         return self.encode_many([data])[0]
 
     def encode_many(self, texts: list[bytes]) -> list[bytes]:
         """The ids of several texts; parts that the cache lacks go to the library together."""
-        cut = [None if ODD_SPACE.search(t) else t.split() if self.words else PART.findall(t) for t in texts]
-        missing: set[bytes] = set()
-        for parts in cut:
-            if parts:
-                missing.update([p for p in set(parts) if p not in self.cache])
-        if missing and len(self.cache) + len(missing) > self.limit:
-            self.cache = {}
-            missing = {p for parts in cut if parts for p in parts}
+        cut = [None if odd_space(t) else self._parts(t) for t in texts]
+        found = [parts and list(map(self.cache.get, parts)) for parts in cut]
+        gaps = [[i for i, ids in enumerate(f) if ids is None] if f and None in f else () for f in found]
+        missing = {parts[i] for parts, gap in zip(cut, gaps, strict=True) for i in gap}
         if missing:
-            order = list(missing)
-            self.cache.update(zip(order, self._library(order), strict=True))
-        known = self.cache.__getitem__
-        return [self._library([t])[0] if parts is None else b"".join(map(known, parts)) for t, parts in zip(texts, cut, strict=True)]
+            if len(self.cache) + len(missing) > self.limit:
+                self.cache = {}
+            cache = self.cache
+            closed = {p: m.groups() for p in missing if (m := CLOSED.fullmatch(p))}
+            order = list({q for p in missing for q in closed.get(p, (p,)) if q not in cache})
+            cache.update(zip(order, self._library(order), strict=True))
+            cache.update((p, cache[a] + cache[b]) for p, (a, b) in closed.items())
+            for parts, ids, gap in zip(cut, found, gaps, strict=True):
+                for i in gap:
+                    ids[i] = cache[parts[i]]
+        return [self._library([t])[0] if f is None else b"".join(f) for t, f in zip(texts, found, strict=True)]
 
     def encode_documents(self, texts: list[bytes], window: int = 1 << 20) -> list[bytes]:
         """As ``encode_many``, a bounded amount of text at a time."""
