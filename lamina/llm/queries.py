@@ -34,10 +34,33 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lamina.llm.toxicity import fit_toxicity, score_toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lamina.llm.quality import fit_quality, score_quality
+
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lamina.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op4_token_counts": op4_token_counts,
     "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
+    "op8_quality": op8_quality,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -22,6 +22,8 @@ PART = re.compile(rb"\s*\S+|\s+")
 CLOSED = re.compile(rb"(.*(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,;:!?]+)", re.DOTALL)
 #: With these a text isn't lower-cased ahead of the library: special tokens and combining marks.
 CASED = (b"<|", b"\xcc", b"\xcd")
+#: With these a text's white space isn't single spaces and line ends alone.
+UNEVEN = (b"  ", b" \n", b"\n\n", b"\t", b"\r", b"\x0b", b"\x0c")
 #: First bytes of ``ODD_SPACE``: a search for single bytes is much faster than for the pattern.
 ODD_FIRST = (b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2", b"\xe1\x9a", b"\xe2", b"\xe3\x80")
 
@@ -51,6 +53,7 @@ class Encoder:
     def __init__(self, path: str, words: bool = False, limit: int = 1_500_000):
         self.tokenizer, self.words, self.limit = load_tokenizer(path), words, limit
         self.cache: dict[bytes, bytes] = {}
+        self.spaced: dict[bytes, bytes] = {}
         #: The library encodes what stands between special tokens independently: one call for many parts.
         special = next((t for t in self.tokenizer.get_added_tokens_decoder().items() if t[1].special), None)
         self.mark_id, self.mark = (special[0], special[1].content) if special else (None, None)
@@ -73,10 +76,27 @@ class Encoder:
             out.append(raw[at:])
         return out
 
-    def _parts(self, data: bytes) -> list[bytes]:
-        if not self.words:
-            return PART.findall(data)
-        return (data if any(x in data for x in CASED) else data.lower()).split()
+    def _parts(self, data: bytes) -> tuple[bytes, dict[bytes, bytes], list[bytes]]:
+        """What stands first, and the parts after it with the cache that they belong to.
+
+        In ``spaced`` a part stands for a space and the part, or for itself if it begins with a line end.
+        That needs texts whose only white space is single spaces and line ends, none of them before a line end.
+        """
+        if self.words:
+            return b"", self.cache, (data if any(x in data for x in CASED) else data.lower()).split()
+        if any(x in data for x in UNEVEN):
+            return b"", self.cache, PART.findall(data)
+        head, *parts = data.replace(b"\n", b" \n").split(b" ")
+        return head, self.spaced, parts
+
+    def _learn(self, cache: dict[bytes, bytes], missing: set[bytes]) -> None:
+        closed = {p: m.groups() for p in missing if (m := CLOSED.fullmatch(p))}
+        order = list({a for a, _ in closed.values() if a not in cache} | (missing - closed.keys()))
+        texts = [q if q[:1] == b"\n" else b" " + q for q in order] if cache is self.spaced else order
+        cache.update(zip(order, self._library(texts), strict=True))
+        ends = [e for e in {b for _, b in closed.values()} if e not in self.cache]
+        self.cache.update(zip(ends, self._library(ends), strict=True))
+        cache.update((p, cache[a] + self.cache[b]) for p, (a, b) in closed.items())
 
     def encode(self, data: bytes) -> bytes:
         return self.encode_many([data])[0]
@@ -84,21 +104,23 @@ class Encoder:
     def encode_many(self, texts: list[bytes]) -> list[bytes]:
         """The ids of several texts; parts that the cache lacks go to the library together."""
         cut = [None if odd_space(t) else self._parts(t) for t in texts]
-        found = [parts and list(map(self.cache.get, parts)) for parts in cut]
+        found: list[list[bytes | None] | None] = [c and list(map(c[1].get, c[2])) for c in cut]
         gaps = [[i for i, ids in enumerate(f) if ids is None] if f and None in f else () for f in found]
-        missing = {parts[i] for parts, gap in zip(cut, gaps, strict=True) for i in gap}
-        if missing:
-            if len(self.cache) + len(missing) > self.limit:
-                self.cache = {}
-            cache = self.cache
-            closed = {p: m.groups() for p in missing if (m := CLOSED.fullmatch(p))}
-            order = list({q for p in missing for q in closed.get(p, (p,)) if q not in cache})
-            cache.update(zip(order, self._library(order), strict=True))
-            cache.update((p, cache[a] + cache[b]) for p, (a, b) in closed.items())
-            for parts, ids, gap in zip(cut, found, gaps, strict=True):
-                for i in gap:
-                    ids[i] = cache[parts[i]]
-        return [self._library([t])[0] if f is None else b"".join(f) for t, f in zip(texts, found, strict=True)]
+        for cache in (self.cache, self.spaced):
+            missing = {c[2][i] for c, gap in zip(cut, gaps, strict=True) if gap and c[1] is cache for i in gap}
+            if missing:
+                if len(cache) + len(missing) > self.limit:
+                    cache.clear()
+                self._learn(cache, missing)
+        for c, ids, gap in zip(cut, found, gaps, strict=True):
+            for i in gap:
+                ids[i] = c[1][c[2][i]]
+        heads = list({c[0] for c in cut if c and c[0] and c[0] not in self.cache})
+        self.cache.update(zip(heads, self._library(heads), strict=True))
+        return [
+            self._library([t])[0] if c is None else (self.cache[c[0]] if c[0] else b"") + b"".join(f)
+            for t, c, f in zip(texts, cut, found, strict=True)
+        ]
 
     def encode_documents(self, texts: list[bytes], window: int = 1 << 20) -> list[bytes]:
         """As ``encode_many``, a bounded amount of text at a time."""
