@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lamina.llm import decontaminate
 from lamina.llm.common import table
 
 #: Where the public tokenizers' files are; a parameter, as they are never part of the repository.
@@ -22,6 +23,12 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE), end_id=2)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lamina.llm.decontaminate import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lamina.llm.token_count import count_tokens
 
@@ -56,6 +63,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_output": op1_token_output,
+    "op2_decontamination": op2_decontamination,
     "op4_token_counts": op4_token_counts,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
@@ -63,4 +71,6 @@ QUERIES = {
     "op10_near_duplicates": op10_near_duplicates,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": decontaminate.ORACLE_SQL,
+}
