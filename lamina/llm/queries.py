@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.llm import decontaminate
+from lamina.llm import chat, decontaminate, mtree
 from lamina.llm.common import table
 
 #: Where the public tokenizers' files are; a parameter, as they are never part of the repository.
@@ -29,6 +29,18 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lamina.llm.mtree import top_products
+
+    return top_products(table(spark, sf_dir, "embeddings"))
+
+
+def op5_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lamina.llm.chat import format_preferences, sides_by_number
+
+    return format_preferences(sides_by_number(table(spark, sf_dir, "conversations")))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lamina.llm.token_count import count_tokens
 
@@ -64,6 +76,8 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_decontamination": op2_decontamination,
+    "op3_exact_topk": op3_exact_topk,
+    "op5_preference_formatting": op5_preference_formatting,
     "op4_token_counts": op4_token_counts,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
@@ -73,4 +87,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": decontaminate.ORACLE_SQL,
+    "op3_exact_topk": mtree.ORACLE_SQL,
+    "op5_preference_formatting": chat.ORACLE_SQL,
 }
