@@ -3,8 +3,9 @@
 1. Every document becomes its set of five-word shingles, the set's fingerprint and a MinHash signature.
    Equal sets are one node from here on.
 2. Signatures are cut into bands; nodes that agree on a band are candidates. A group of them is never
-   expanded into all pairs: each node is first compared with the head of one of its groups, verified links
-   become components, and later rounds only look at groups that still hold several components.
+   expanded into all pairs: each node is first compared with the head of one of its groups, then with its
+   best matches, and verified links become components. What is left, groups that still hold several
+   components, is compared exhaustively block by block inside the tasks.
 3. A candidate pair's signatures are compared batch by batch. After each batch the pair is dropped if the
    posterior probability that its similarity reaches the threshold is below ``MISS``.
 4. Survivors are verified exactly on full sets, and the verified links give the components.
@@ -115,17 +116,8 @@ def _bands(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "sign").mapInArrow(run, "key long, node long")
 
 
-def _exact(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b; nodes) whose full sets reach the threshold."""
-    spark = docs.sparkSession
-    size = nodes.select("node", "n")
-    sized = pairs.join(size.withColumnsRenamed({"node": "a", "n": "na"}), "a").join(size.withColumnsRenamed({"node": "b", "n": "nb"}), "b")
-    # sets of sizes too far apart can't reach the threshold
-    sized = sized.where(F.col("na") * 100 >= F.col("nb") * percent).where(F.col("nb") * 100 >= F.col("na") * percent)
-    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest("na", "nb").cast("double"))).cast("int") - SLICE_BITS)
-    sized = materialize(sized.withColumn("bits", bits), "pairs")
-    wanted = sized.select(F.col("a").alias("node"), "bits").union(sized.select(F.col("b").alias("node"), "bits")).distinct()
-    wanted = materialize(wanted.join(nodes.select("node", "doc_id", "print"), "node"), "wanted")
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Full sets of the nodes of ``wanted`` (node, bits, doc_id, print), in ``2**bits`` slices by hash value."""
     n = wanted.count()
     if n <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
@@ -147,7 +139,20 @@ def _exact(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) ->
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["node", "bits", "slice", "shingles"])
 
-    found = texts.mapInArrow(sets, "node long, bits int, slice int, shingles binary").dropDuplicates(["node", "bits", "slice"])
+    return texts.mapInArrow(sets, "node long, bits int, slice int, shingles binary").dropDuplicates(["node", "bits", "slice"])
+
+
+def _exact(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b; nodes) whose full sets reach the threshold."""
+    size = nodes.select("node", "n")
+    sized = pairs.join(size.withColumnsRenamed({"node": "a", "n": "na"}), "a").join(size.withColumnsRenamed({"node": "b", "n": "nb"}), "b")
+    # sets of sizes too far apart can't reach the threshold
+    sized = sized.where(F.col("na") * 100 >= F.col("nb") * percent).where(F.col("nb") * 100 >= F.col("na") * percent)
+    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest("na", "nb").cast("double"))).cast("int") - SLICE_BITS)
+    sized = materialize(sized.withColumn("bits", bits), "pairs")
+    wanted = sized.select(F.col("a").alias("node"), "bits").union(sized.select(F.col("b").alias("node"), "bits")).distinct()
+    wanted = materialize(wanted.join(nodes.select("node", "doc_id", "print"), "node"), "wanted")
+    found = _sets(docs, wanted)
     sliced = sized.withColumn("slice", F.explode(F.expr("sequence(0, shiftleft(1, bits) - 1)")))
     left = found.withColumnsRenamed({"node": "a", "shingles": "sa"})
     right = found.withColumnsRenamed({"node": "b", "shingles": "sb"})
@@ -182,44 +187,90 @@ def _compared(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def _across(groups: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, best: int | None) -> DataFrame:
-    """Surviving pairs of nodes that share a group but not a component.
-
-    The nodes of a group that aren't in the component of its head are compared with all its nodes, block by
-    block. ``best``: only so many of each node's survivors in a block, those with the most matches.
-    """
-    bounds = least_matches(percent / 100, MISS)
+def _mixed(groups: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, node, n, sign, component, head (the least component) and block of the nodes of groups that hold
+    several components. Blocks have about BLOCK nodes or 2**SLICE_BITS shingles, whatever the group's size."""
     own = groups.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed = own.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("head"), F.max("component").alias("last")).where("head <> last")
-    rows = own.join(mixed.select("key", "size", "head"), "key").join(nodes.select("node", "sign"), "node")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("long")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
-    packed = F.collect_list(F.struct("node", "component", "sign"))  # about BLOCK rows, whatever the group's size
+    own = own.join(nodes.select("node", "n"), "node")
+    mixed = own.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("total"), F.min("component").alias("head"), F.max("component").alias("last")).where("head <> last")
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("total") / (1 << SLICE_BITS))).cast("long")
+    rows = own.join(mixed.select("key", "head", blocks.alias("blocks")), "key").join(nodes.select("node", "sign"), "node")
+    return rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).drop("blocks")
+
+
+def _met(rows: DataFrame, *columns: str) -> DataFrame:
+    """Each block of a group's nodes (x) with each block of those outside its head's component (y)."""
+    packed = F.collect_list(F.struct(*columns))  # of a bounded block
     every = rows.groupBy("key", "block").agg(packed.alias("x")).select("key", "x")
     others = rows.where("component <> head").groupBy("key", "block").agg(packed.alias("y")).select("key", "y")
+    return every.join(others, "key").select("x", "y", "key")
+
+
+def _side(batch: pa.RecordBatch, column: int, row: int) -> tuple:
+    cell = batch.column(column).slice(row, 1).flatten()
+    sign = np.frombuffer(b"".join(cell.field(3).to_pylist()), dtype=np.uint32).reshape(-1, HASHES)
+    return cell.field(0).to_numpy(), cell.field(1).to_numpy(), cell.field(2).to_numpy(), sign, cell
+
+
+def _best(rows: DataFrame, percent: int, best: int | None, least_n: int = 0) -> DataFrame:
+    """Surviving pairs of nodes that share a group but not a component, one of them with ``least_n`` shingles:
+    for each node outside the head's component its ``best`` in a block, those with the most matches (or all)."""
+    bounds = least_matches(percent / 100, MISS)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                sides = []
-                for k in (0, 1):
-                    cell = b.column(k).slice(i, 1).flatten()
-                    sign = np.frombuffer(b"".join(cell.field(2).to_pylist()), dtype=np.uint32).reshape(-1, HASHES)
-                    sides.append((cell.field(0).to_numpy(), cell.field(1).to_numpy(), sign))
-                (xn, xc, xs), (yn, yc, ys) = sides
+                (xn, xc, xk, xs, _), (yn, yc, yk, ys, _) = (_side(b, k, i) for k in (0, 1))
                 pairs: set[tuple[int, int]] = set()
-                for node, component, sign in zip(yn, yc, ys, strict=True):
-                    other = np.flatnonzero(xc != component)
+                for node, component, n, sign in zip(yn, yc, yk, ys, strict=True):
+                    other = np.flatnonzero((xc != component) & (np.maximum(xk, n) >= least_n))
                     left = xs[other]
                     kept = survivors(left, np.broadcast_to(sign, left.shape), bounds)
                     if best and len(kept) > best:
                         kept = kept[np.argsort(-(left[kept] == sign).sum(1), kind="stable")[:best]]
-                    pairs.update((min(int(n), int(node)), max(int(n), int(node))) for n in xn[other[kept]])
+                    pairs.update((min(int(m), int(node)), max(int(m), int(node))) for m in xn[other[kept]])
                 if pairs:
                     a, c = zip(*sorted(pairs), strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], names=["a", "b"])
 
-    return every.join(others, "key").select("x", "y").mapInArrow(run, "a long, b long").distinct()
+    return _met(rows, "node", "component", "n", "sign").mapInArrow(run, "a long, b long").distinct()
+
+
+def _rest(docs: DataFrame, nodes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components that share a group: all pairs that no batch of signatures drops are
+    verified on full sets, inside their blocks, until nothing new can be joined. Every pair is looked at in
+    the first band that it shares; a pair of nodes that a link of the same block has joined meanwhile is
+    skipped. So rows come out for links alone, at most one for each node of a block."""
+    bounds = least_matches(percent / 100, MISS)
+    small = rows.where(F.col("n") <= 1 << SLICE_BITS)
+    wanted = small.select("node").distinct().join(nodes.select("node", "doc_id", "print"), "node").withColumn("bits", F.lit(0))
+    with_sets = small.join(_sets(docs, materialize(wanted, "wanted")).select("node", "shingles"), "node")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                key = b.column(2)[i].as_py()
+                (xn, xc, xk, xs, x), (yn, yc, yk, ys, y) = (_side(b, k, i) for k in (0, 1))
+                xsets, ysets = ([np.frombuffer(v, dtype=np.uint64) for v in c.field(4).to_pylist()] for c in (x, y))
+                xb, yb = band_keys(xs), band_keys(ys)
+                links = []
+                for at in range(len(yn)):
+                    other = np.flatnonzero(xc != yc[at])
+                    other = other[survivors(xs[other], np.broadcast_to(ys[at], (len(other), HASHES)), bounds)]
+                    for j in other[np.argsort(-(xs[other] == ys[at]).sum(1), kind="stable")]:
+                        n, m = int(xk[j]), int(yk[at])
+                        if xc[j] == yc[at] or min(n, m) * 100 < max(n, m) * percent or xb[j][(xb[j] == yb[at]).argmax()] != key:
+                            continue
+                        both = len(np.intersect1d(xsets[j], ysets[at], assume_unique=True))
+                        if both * 100 >= (n + m - both) * percent:
+                            links.append(sorted((int(xn[j]), int(yn[at]))))
+                            old, new = yc[at], xc[j]
+                            xc, yc = np.where(xc == old, new, xc), np.where(yc == old, new, yc)
+                if links:
+                    a, c = zip(*links, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], names=["a", "b"])
+
+    return materialize(_met(with_sets, "node", "component", "n", "sign", "shingles").mapInArrow(run, "a long, b long").distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -245,17 +296,16 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     verified = _exact(docs, nodes, tried, percent)
     labels = connected_components(verified)
     members = groups.select("key", "node")
-    for best in (2, None):
-        pairs = materialize(_across(members, nodes, labels, percent, best).join(tried, ["a", "b"], "left_anti"), "across")
-        if not pairs.head(1):
-            if best is None:
-                break
-            continue
-        more = _exact(docs, nodes, pairs, percent)
-        tried = tried.union(pairs)
-        if more.head(1):
-            verified = verified.union(more)
-            labels = connected_components(verified)
+    pairs = materialize(_best(_mixed(members, nodes, labels), percent, 2).join(tried, ["a", "b"], "left_anti"), "best")
+    verified = verified.union(_exact(docs, nodes, pairs, percent))
+    labels = connected_components(verified)
+    rows = materialize(_mixed(members, nodes, labels), "mixed")
+    more = _rest(docs, nodes, rows, percent)
+    large = materialize(_best(rows, percent, None, (1 << SLICE_BITS) + 1), "large")
+    if large.head(1):
+        more = more.union(_exact(docs, nodes, large, percent))
+    if more.head(1):
+        labels = connected_components(verified.union(more))
 
     component = nodes.select("print", "node", "doc_id").join(labels, "node", "left").select("print", "doc_id", F.coalesce("component", "node").alias("component"))
     smallest = component.groupBy("component").agg(F.min("doc_id").alias("component_id"))
