@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import binary_texts, windows
+from lamina.llm.common import binary_texts, materialize, windows
 from lamina.llm.labelled import SAMPLE, held_out, labelled_sample
 
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -24,13 +24,13 @@ THRESHOLD = 0.3
 
 
 def terms_of_word(word: bytes) -> tuple[int, ...]:
-    """Hashes of a word and its stems."""
+    """31-bit hashes of a word and its stems."""
     bare = word.strip(PUNCTUATION)
     if not bare:
         return ()
     letters = bare.decode("utf-8", "replace")
     stems = [b"4" + letters[:4].encode(), b"5" + letters[:5].encode()] if len(letters) >= 5 else []
-    return tuple(xxhash.xxh3_64_intdigest(t) >> 1 for t in (b"w" + bare, *stems))
+    return tuple(xxhash.xxh3_64_intdigest(t) >> 33 for t in (b"w" + bare, *stems))
 
 
 class Words(dict):
@@ -86,7 +86,7 @@ class FactorizationMachine:
     def dense(self, rows: list[list[int]]) -> np.ndarray:
         x = np.zeros((len(rows), len(self.keys)))
         for r, at in zip(x, rows, strict=True):
-            if at:
+            if len(at):
                 r[at] = len(at) ** -0.75
         return x
 
@@ -123,41 +123,54 @@ class FactorizationMachine:
         self.bias = float(params[0][0])
 
 
-def choose_terms(rows: list[np.ndarray], y: np.ndarray, most: int, least_z: float = 3.0) -> np.ndarray:
-    """The terms whose share of documents differs most between the classes, by a two-proportion z score."""
-    if not len(rows) or y.min() == y.max():
-        return np.zeros(0, dtype=np.int64)
-    keys, at = np.unique(np.concatenate([*rows, np.zeros(0, np.int64)]), return_inverse=True)
-    label = np.repeat(y, [len(r) for r in rows])
-    n1, n0 = y.sum(), (1 - y).sum()
-    c1, c0 = np.bincount(at, label, len(keys)), np.bincount(at, 1 - label, len(keys))
-    p = (c1 + c0 + 1) / (n1 + n0 + 2)
-    z = np.abs(c1 / n1 - c0 / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
-    kept = np.flatnonzero((z >= least_z) & (c1 + c0 >= 3))
-    return keys[kept[np.argsort(-z[kept], kind="stable")[:most]]]
+def term_scores(sampled: DataFrame, n1: int, n0: int) -> DataFrame:
+    """term and z: how far its share of documents differs between the classes, as a two-proportion z score.
 
+    Tasks count their own documents first, so the exchange has a row for each task and term.
+    """
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[list[np.ndarray]] = [[], []]
+        for b in batches:
+            for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                seen[y].append(np.frombuffer(t, dtype="<i4"))
+        for y, arrays in enumerate(seen):
+            if arrays:
+                term, n = np.unique(np.concatenate(arrays), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n * y, pa.int64()), pa.array(n * (1 - y), pa.int64())], names=["term", "c1", "c0"])
+
+    counted = sampled.mapInArrow(count, "term int, c1 long, c0 long").groupBy("term").agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0"))
+    p = (F.col("c1") + F.col("c0") + 1) / F.lit(n1 + n0 + 2)
+    z = F.abs(F.col("c1") / F.lit(n1) - F.col("c0") / F.lit(n0)) / F.sqrt(p * (F.lit(1.0) - p) * F.lit(1 / n1 + 1 / n0))
+    return counted.where("c1 + c0 >= 3").select("term", z.alias("z"))
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_terms: int = 4096) -> FactorizationMachine:
-    """Fit on a bounded sample of labelled rows; the driver gets hashes of their terms, not texts."""
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_terms: int = 4096, least_z: float = 3.0) -> FactorizationMachine:
+    """Fit on a bounded sample of labelled rows; the driver gets the chosen terms that each has."""
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(terms_of_word)
         for b in batches:
-            found = [np.array(sorted(terms(t, words)), dtype="<i8").tobytes() for t in binary_texts(b.column(0))]
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(found, pa.binary())], names=["y", "terms"])
-
-    got = labelled_sample(docs, labels, "toxic", sample).mapInArrow(hashed, "y int, terms binary").collect()
-    got.sort()  # the fit doesn't depend on the order in which tasks end
-    y = np.array([r.y for r in got], dtype=float)
-    rows = [np.frombuffer(r.terms, dtype="<i8") for r in got]
-    del got
-    model = FactorizationMachine(choose_terms(rows, y, most_terms))
-    if len(model.keys):
-        at = [np.searchsorted(model.keys, r) for r in rows]
-        kept = [np.unique(a[(a < len(model.keys)) & (model.keys[np.minimum(a, len(model.keys) - 1)] == r)]).tolist() for a, r in zip(at, rows, strict=True)]
-    else:
-        kept = [[] for _ in rows]
-    model.fit(kept, y)
+            for at in range(0, b.num_rows, 256):
+                found = [np.array(sorted(terms(t, words)), dtype="<i4").tobytes() for t in binary_texts(b.column(0).slice(at, 256))]
+                yield pa.RecordBatch.from_arrays([b.column(1).slice(at, 256), pa.array(found, pa.binary())], names=["y", "terms"])
+
+    sampled = materialize(labelled_sample(docs, labels, "toxic", sample).mapInArrow(hashed, "y int, terms binary"), "terms")
+    n = {r.y: r.n for r in sampled.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    keys = np.zeros(0, dtype=np.int64)
+    if len(n) == 2:
+        chosen = term_scores(sampled, n[1], n[0]).where(F.col("z") >= least_z).orderBy(F.desc("z"), "term").limit(most_terms)
+        keys = np.array([r.term for r in chosen.collect()], dtype=np.int64)
+    model = FactorizationMachine(keys)
+    known = model.keys
+
+    def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [np.flatnonzero(np.isin(known, np.frombuffer(t, dtype="<i4"))).astype("<i4").tobytes() for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], names=["y", "at"])
+
+    got = sorted((r.y, bytes(r.at)) for r in sampled.mapInArrow(kept, "y int, at binary").collect())  # in no task's order
+    model.fit([np.frombuffer(at, dtype="<i4") for _, at in got], np.array([y for y, _ in got], dtype=float))
     return model
 
 
