@@ -98,11 +98,11 @@ def _sketch(docs: DataFrame) -> DataFrame:
                     prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     signs.append(signature(s).tobytes() if len(s) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, 512).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signs, pa.binary())],
-                    names=["doc_id", "n", "print", "sign"],
+                    [b.column(0).slice(at, 512).cast(pa.int64()), b.column(2).slice(at, 512), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signs, pa.binary())],
+                    names=["doc_id", "text_hash", "n", "print", "sign"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, print binary, sign binary")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "doc_id long, text_hash long, n long, print binary, sign binary")
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
@@ -188,13 +188,13 @@ def _compared(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _mixed(groups: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """key, node, n, sign, component, head (the least component) and block of the nodes of groups that hold
+    """key, node, n, component, head (the least component) and block of the nodes of groups that hold
     several components. Blocks have about BLOCK nodes or 2**SLICE_BITS shingles, whatever the group's size."""
     own = groups.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     own = own.join(nodes.select("node", "n"), "node")
     mixed = own.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("total"), F.min("component").alias("head"), F.max("component").alias("last")).where("head <> last")
     blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("total") / (1 << SLICE_BITS))).cast("long")
-    rows = own.join(mixed.select("key", "head", blocks.alias("blocks")), "key").join(nodes.select("node", "sign"), "node")
+    rows = own.join(mixed.select("key", "head", blocks.alias("blocks")), "key")
     return rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).drop("blocks")
 
 
@@ -212,7 +212,7 @@ def _side(batch: pa.RecordBatch, column: int, row: int) -> tuple:
     return cell.field(0).to_numpy(), cell.field(1).to_numpy(), cell.field(2).to_numpy(), sign, cell
 
 
-def _best(rows: DataFrame, percent: int, best: int | None, least_n: int = 0) -> DataFrame:
+def _best(rows: DataFrame, nodes: DataFrame, percent: int, best: int | None, least_n: int = 0) -> DataFrame:
     """Surviving pairs of nodes that share a group but not a component, one of them with ``least_n`` shingles:
     for each node outside the head's component its ``best`` in a block, those with the most matches (or all)."""
     bounds = least_matches(percent / 100, MISS)
@@ -233,7 +233,18 @@ def _best(rows: DataFrame, percent: int, best: int | None, least_n: int = 0) ->
                     a, c = zip(*sorted(pairs), strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], names=["a", "b"])
 
-    return _met(rows, "node", "component", "n", "sign").mapInArrow(run, "a long, b long").distinct()
+    signed = rows.join(nodes.select("node", "sign"), "node")
+    return _met(signed, "node", "component", "n", "sign").mapInArrow(run, "a long, b long").distinct()
+
+
+def _in_question(xk: np.ndarray, xc: np.ndarray, xs: np.ndarray, xb: np.ndarray, n: int, component: int, sign: np.ndarray, bands: np.ndarray, key: int, bounds: list, percent: int) -> np.ndarray:
+    """Positions of the nodes of other components that a node has to be verified with in this group: sizes fit,
+    signatures aren't dropped, and the group is the first band that the two share. Most matches first."""
+    other = np.flatnonzero((xc != component) & (np.minimum(xk, n) * 100 >= np.maximum(xk, n) * percent))
+    other = other[survivors(xs[other], np.broadcast_to(sign, (len(other), HASHES)), bounds)]
+    same = xb[other] == bands
+    other, same = (a[bands[same.argmax(1)] == key] for a in (other, same)) if len(other) else (other, same)
+    return other[np.argsort(-(xs[other] == sign).sum(1), kind="stable")]
 
 
 def _rest(docs: DataFrame, nodes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
@@ -243,26 +254,46 @@ def _rest(docs: DataFrame, nodes: DataFrame, rows: DataFrame, percent: int) -> D
     skipped. So rows come out for links alone, at most one for each node of a block."""
     bounds = least_matches(percent / 100, MISS)
     small = rows.where(F.col("n") <= 1 << SLICE_BITS)
-    wanted = small.select("node").distinct().join(nodes.select("node", "doc_id", "print"), "node").withColumn("bits", F.lit(0))
-    with_sets = small.join(_sets(docs, materialize(wanted, "wanted")).select("node", "shingles"), "node")
+
+    def sides(b: pa.RecordBatch, i: int) -> Iterator[tuple]:
+        """For each node of y: its position and those of x that are in question."""
+        key = b.column(2)[i].as_py()
+        (_, xc, xk, xs, _), (_, yc, yk, ys, _) = (_side(b, k, i) for k in (0, 1))
+        xb, yb = band_keys(xs), band_keys(ys)
+        for at in range(len(yk)):
+            yield at, _in_question(xk, xc, xs, xb, int(yk[at]), int(yc[at]), ys[at], yb[at], key, bounds, percent)
+
+    def asked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                xn, yn = _side(b, 0, i)[0], _side(b, 1, i)[0]
+                found: set[int] = set()
+                for at, other in sides(b, i):
+                    if len(other):
+                        found.add(int(yn[at]))
+                        found.update(xn[other].tolist())
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([b.column(2)[i].as_py()] * len(found), pa.int64()), pa.array(sorted(found), pa.int64())], names=["key", "node"])
+
+    signed = small.join(nodes.select("node", "sign"), "node")
+    needed = materialize(_met(signed, "node", "component", "n", "sign").mapInArrow(asked, "key long, node long").distinct(), "needed")
+    small = small.join(needed, ["key", "node"], "left_semi")
+    wanted = needed.select("node").distinct().join(nodes.select("node", "doc_id", "print"), "node").withColumn("bits", F.lit(0))
+    full = _sets(docs, materialize(wanted, "wanted")).select("node", "shingles").join(nodes.select("node", "sign"), "node")
+    with_sets = small.join(full, "node")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                key = b.column(2)[i].as_py()
-                (xn, xc, xk, xs, x), (yn, yc, yk, ys, y) = (_side(b, k, i) for k in (0, 1))
+                (xn, xc, xk, _, x), (yn, yc, yk, _, y) = (_side(b, k, i) for k in (0, 1))
                 xsets, ysets = ([np.frombuffer(v, dtype=np.uint64) for v in c.field(4).to_pylist()] for c in (x, y))
-                xb, yb = band_keys(xs), band_keys(ys)
                 links = []
-                for at in range(len(yn)):
-                    other = np.flatnonzero(xc != yc[at])
-                    other = other[survivors(xs[other], np.broadcast_to(ys[at], (len(other), HASHES)), bounds)]
-                    for j in other[np.argsort(-(xs[other] == ys[at]).sum(1), kind="stable")]:
-                        n, m = int(xk[j]), int(yk[at])
-                        if xc[j] == yc[at] or min(n, m) * 100 < max(n, m) * percent or xb[j][(xb[j] == yb[at]).argmax()] != key:
+                for at, other in sides(b, i):
+                    for j in other:
+                        if xc[j] == yc[at]:
                             continue
                         both = len(np.intersect1d(xsets[j], ysets[at], assume_unique=True))
-                        if both * 100 >= (n + m - both) * percent:
+                        if both * 100 >= (int(xk[j]) + int(yk[at]) - both) * percent:
                             links.append(sorted((int(xn[j]), int(yn[at]))))
                             old, new = yc[at], xc[j]
                             xc, yc = np.where(xc == old, new, xc), np.where(yc == old, new, yc)
@@ -279,9 +310,24 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     A row for each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id (the smallest doc_id that
     can be reached over links, its own included) and kept (doc_id = component_id). Null and blank texts have
     no shingles and link with nothing; repeated rows are copies of each other; rows with one doc_id but
-    different texts are linked by their own texts; a null doc_id has no component unless its copies have.
+    different texts are linked by their own texts; a null doc_id only has a component if it is linked with others.
     Other columns are ignored.
     """
+    return _grouped(docs, percent).drop("text_hash")
+
+
+def keep_first(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates of rows with a smaller doc_id, with all their columns. Of
+    repeated rows with the same doc_id and text one stays; documents without words are copies of nothing."""
+    rows = _grouped(docs, percent)
+    lost = rows.where("not kept").select(F.col("doc_id").alias("_lost_id"), F.col("text_hash").alias("_lost_hash")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(lost["_lost_id"]) & (F.xxhash64(docs["text"]) == lost["_lost_hash"])
+    left = docs.join(lost, same, "left_anti")
+    repeated = rows.where("n_shingles > 0").groupBy("doc_id", "text_hash").count().where("count > 1")
+    return left.dropDuplicates(["doc_id", "text"]) if repeated.head(1) else left
+
+
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     sketch = materialize(_sketch(docs), "sketch")
     grouped = sketch.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sign").alias("sign"))
     nodes = materialize(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
@@ -296,12 +342,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     verified = _exact(docs, nodes, tried, percent)
     labels = connected_components(verified)
     members = groups.select("key", "node")
-    pairs = materialize(_best(_mixed(members, nodes, labels), percent, 2).join(tried, ["a", "b"], "left_anti"), "best")
+    pairs = materialize(_best(_mixed(members, nodes, labels), nodes, percent, 2).join(tried, ["a", "b"], "left_anti"), "best")
     verified = verified.union(_exact(docs, nodes, pairs, percent))
     labels = connected_components(verified)
     rows = materialize(_mixed(members, nodes, labels), "mixed")
     more = _rest(docs, nodes, rows, percent)
-    large = materialize(_best(rows, percent, None, (1 << SLICE_BITS) + 1), "large")
+    large = materialize(_best(rows, nodes, percent, None, (1 << SLICE_BITS) + 1), "large")
     if large.head(1):
         more = more.union(_exact(docs, nodes, large, percent))
     if more.head(1):
@@ -310,6 +356,6 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     component = nodes.select("print", "node", "doc_id").join(labels, "node", "left").select("print", "doc_id", F.coalesce("component", "node").alias("component"))
     smallest = component.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_print = component.join(smallest, "component").select("print", "component_id")
-    rows = sketch.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("print")).alias("print"))
-    found = rows.join(of_print, "print", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    rows = sketch.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("print")).alias("print"))
+    found = rows.join(of_print, "print", "left").select("doc_id", "text_hash", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return materialize(found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "groups")

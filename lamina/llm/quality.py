@@ -77,7 +77,7 @@ class QuadraticDiscriminant:
     """Two Gaussian classes; ``pooling`` and ``ridge`` are the shares of the pooled covariance and of the
     identity in each class's covariance."""
 
-    def __init__(self, pooling: float = 0.1, ridge: float = 0.02, reach: float = 6.0):
+    def __init__(self, pooling: float = 0.3, ridge: float = 0.005, reach: float = 6.0):
         self.pooling, self.ridge, self.reach = pooling, ridge, reach
         self.classes: list[tuple[np.ndarray, np.ndarray, float]] = []
 
@@ -145,3 +145,16 @@ def score_quality(docs: DataFrame, model: QuadraticDiscriminant, threshold: floa
 
     flagged = docs.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "text")
     return flagged.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def keep_good(docs: DataFrame, model: QuadraticDiscriminant, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the threshold, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(b.schema.get_field_index("text"))
+            x = [statistics(t) for at in range(0, b.num_rows, 256) for t in binary_texts(texts.slice(at, 256))]
+            yield b.filter(pa.array(shared.value.score(np.array(x)) >= threshold)) if x else b
+
+    return docs.mapInArrow(run, docs.schema)

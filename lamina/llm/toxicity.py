@@ -194,3 +194,16 @@ def score_toxicity(docs: DataFrame, model: FactorizationMachine, threshold: floa
 
     flagged = docs.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "text")
     return flagged.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def keep_harmless(docs: DataFrame, model: FactorizationMachine, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score stays below the threshold, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(b.schema.get_field_index("text"))
+            rows = [shared.value.present(t) for at in range(0, b.num_rows, 256) for t in binary_texts(texts.slice(at, 256))]
+            yield b.filter(pa.array(shared.value.score(rows) < threshold, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
