@@ -1,4 +1,439 @@
 """All queries over the driver's tables and their equivalents in DuckDB's SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lamina.calc.formula import Formula
+from lamina.calc.model import Check, Citation, Engine, Gate, Row
+from lamina.functions import numeric, text
+from lamina.operators import audit, curves, keys, layout, resolve
+from lamina.sources.documents import html_items
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str) -> Callable:
+    """Register a query under its function's name, with the same in SQL."""
+
+    def put(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return put
+
+
+def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df.select(*columns) if columns else df
+
+
+def dec(c, digits: int = 4):
+    """Rounded, so that the order of additions doesn't show."""
+    return F.round(c, digits)
+
+
+# ---- curves: a part's price by quantity -------------------------------------------------------------------
+
+PROBES = (0.0, 1.0, 7.5, 12.0, 25.25, 33.0, 49.5, 60.0)
+
+
+def _bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = (
+        read(spark, sf_dir, "lineitem", "l_partkey", "l_quantity", "l_extendedprice")
+        .groupBy("l_partkey", "l_quantity").agg(F.max("l_extendedprice").alias("v"))
+    )
+    return curves.packed_bands(points, "l_partkey", "l_quantity", "v")
+
+
+def _probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = read(spark, sf_dir, "part", F.col("p_partkey").alias("l_partkey"))
+    return parts.withColumn("t_probe", F.explode(F.array(*[F.lit(t) for t in PROBES])))
+
+
+_CURVE = f"""
+WITH pts AS (
+    SELECT l_partkey, l_quantity AS t, max(l_extendedprice) AS v FROM lineitem GROUP BY ALL
+), ends AS (
+    SELECT l_partkey, count(*) AS n_pts, min(t) AS t_first, max(t) AS t_last FROM pts GROUP BY ALL
+), probes AS (
+    SELECT p_partkey AS l_partkey, unnest([{", ".join(map(str, PROBES))}])::DOUBLE AS t_probe FROM part
+), br AS (
+    SELECT l_partkey, p.t_probe, e.n_pts, e.t_first, e.t_last,
+           coalesce(max(x.t) FILTER (WHERE x.t <= p.t_probe), e.t_first) AS t1
+    FROM probes p JOIN ends e USING (l_partkey) JOIN pts x USING (l_partkey) GROUP BY l_partkey, p.t_probe, e.n_pts, e.t_first, e.t_last
+), br2 AS (
+    SELECT b.*, min(x.t) AS t2 FROM br b LEFT JOIN pts x ON x.l_partkey = b.l_partkey AND x.t > b.t1 GROUP BY ALL
+), rd AS (
+    SELECT b.*, lo.v AS v1, hi.v AS v2 FROM br2 b
+    JOIN pts lo ON lo.l_partkey = b.l_partkey AND lo.t = b.t1
+    LEFT JOIN pts hi ON hi.l_partkey = b.l_partkey AND hi.t = b.t2
+)
+"""
+_LINEAR = "CASE WHEN t_probe <= t1 OR t2 IS NULL THEN v1 ELSE v1 + (v2 - v1) * (t_probe - t1) / (t2 - t1) END"
+
+
+@query(_CURVE + f"SELECT l_partkey, t_probe, t1, t2, round({_LINEAR}, 6) AS value FROM rd")
+def curve_interp_hold(spark, sf_dir):
+    got = curves.lookup(_probes(spark, sf_dir), _bands(spark, sf_dir), "l_partkey")
+    return got.select("l_partkey", "t_probe", "t1", "t2", dec(F.col("value"), 6).alias("value"))
+
+
+@query(_CURVE + "SELECT l_partkey, t_probe, CASE WHEN t_probe <= t1 OR t2 IS NULL THEN v1 ELSE v2 END AS value FROM rd")
+def curve_interp_conservative(spark, sf_dir):
+    got = curves.lookup(_probes(spark, sf_dir), _bands(spark, sf_dir), "l_partkey", conservative=True)
+    return got.select("l_partkey", "t_probe", "value")
+
+
+@query(_CURVE + f"""SELECT l_partkey, t_probe,
+    CASE WHEN t_probe < t_first THEN 'BELOW_RANGE' WHEN t_probe > t_last THEN 'ABOVE_RANGE' ELSE 'IN_RANGE' END AS status,
+    CASE WHEN t_probe BETWEEN t_first AND t_last THEN round({_LINEAR}, 6) END AS value FROM rd""")
+def curve_status_block_both_ends(spark, sf_dir):
+    got = curves.lookup(_probes(spark, sf_dir), _bands(spark, sf_dir), "l_partkey")
+    got = got.withColumn("status", curves.range_status(F.col("t_probe"), F.col("n_pts"), F.col("t_first"), F.col("t_last")))
+    return got.select("l_partkey", "t_probe", "status", curves.unless_out(F.col("status"), dec(F.col("value"), 6)).alias("value"))
+
+
+@query(_CURVE + f""", lim AS (SELECT rd.*, p_size / 10.0 AS lo_lim, p_size + 10.0 AS hi_lim FROM rd JOIN part ON p_partkey = l_partkey),
+    st AS (SELECT *, CASE WHEN t_probe < lo_lim THEN 'OUT_BELOW_MINIMUM' WHEN t_probe > hi_lim THEN 'OUT_ABOVE_RECOMMENDED'
+        WHEN t_probe > t_last THEN 'OUT_ABOVE_TABULATED' WHEN t_probe < t_first THEN 'HELD_BELOW_FIRST' ELSE 'IN_RANGE' END AS status FROM lim)
+    SELECT l_partkey, t_probe, status, CASE WHEN status NOT LIKE 'OUT%' THEN round({_LINEAR}, 6) END AS value FROM st""")
+def curve_status_ladder_order(spark, sf_dir):
+    limits = read(spark, sf_dir, "part", F.col("p_partkey").alias("l_partkey"), (F.col("p_size") / 10.0).alias("least"), (F.col("p_size") + F.lit(10.0)).alias("most"))
+    got = curves.lookup(_probes(spark, sf_dir), _bands(spark, sf_dir), "l_partkey").join(limits, "l_partkey")
+    status = curves.limit_status(F.col("t_probe"), F.col("n_pts"), F.col("t_first"), F.col("t_last"), F.col("least"), F.col("most"))
+    return got.withColumn("status", status).select("l_partkey", "t_probe", "status", curves.unless_out(F.col("status"), dec(F.col("value"), 6)).alias("value"))
+
+
+@query("SELECT l_partkey, CAST(count(DISTINCT l_quantity) AS INTEGER) AS n_pts, min(l_quantity) AS t_first, max(l_quantity) AS t_last FROM lineitem GROUP BY 1")
+def packed_band_minmax(spark, sf_dir):
+    return _bands(spark, sf_dir).select("l_partkey", "n_pts", "t_first", "t_last")
+
+
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN least(1.0, greatest(l_discount * 10, l_tax * 10)) ELSE l_discount * 10 END AS factor FROM lineitem""")
+def factor_cap(spark, sf_dir):
+    df = read(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_discount", "l_tax", "l_returnflag")
+    ten = F.lit(10.0)
+    return df.select("l_orderkey", "l_linenumber", curves.applicable_factor(F.col("l_discount") * ten, F.col("l_tax") * ten, F.col("l_returnflag") == "R").alias("factor"))
+
+
+# ---- identity ---------------------------------------------------------------------------------------------
+
+
+@query("""WITH a AS (SELECT p_partkey, p_type AS id0, p_brand, CAST(p_size AS VARCHAR) AS sz FROM part),
+    b AS (SELECT *, count(*) OVER (PARTITION BY id0) AS n0 FROM a),
+    c AS (SELECT *, CASE WHEN n0 > 1 THEN id0 || ' Brand ' || p_brand ELSE id0 END AS id1 FROM b),
+    d AS (SELECT *, count(*) OVER (PARTITION BY id1) AS n1 FROM c),
+    e AS (SELECT *, CASE WHEN n1 > 1 THEN id1 || ' Size ' || sz ELSE id1 END AS id2 FROM d),
+    f AS (SELECT *, count(*) OVER (PARTITION BY id2) AS n2, row_number() OVER (PARTITION BY id2 ORDER BY p_partkey) AS r FROM e)
+    SELECT p_partkey, CASE WHEN r > 1 THEN id2 || ' #' || CAST(p_partkey AS VARCHAR) ELSE id2 END AS unique_id,
+        CASE WHEN n0 = 1 THEN 0 WHEN n1 = 1 THEN 1 WHEN n2 = 1 THEN 2 ELSE 3 END AS resolved_by FROM f""")
+def disambiguate_tiers(spark, sf_dir):
+    parts = read(spark, sf_dir, "part", "p_partkey", "p_type", "p_brand", "p_size")
+    got = keys.disambiguate(parts, "p_type", [("Brand", "p_brand"), ("Size", "p_size")], "p_partkey")
+    return got.select("p_partkey", "unique_id", "resolved_by")
+
+
+@query("""WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS ordinal FROM lineitem WHERE l_returnflag = 'A'),
+    r AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS ordinal FROM lineitem WHERE l_returnflag = 'R')
+    SELECT l.l_partkey, CAST(l.ordinal AS INTEGER) AS ordinal, l.l_orderkey, l.l_linenumber, r.l_extendedprice AS price_right
+    FROM l LEFT JOIN r USING (l_partkey, ordinal)""")
+def bilingual_ordinal_link(spark, sf_dir):
+    rows = read(spark, sf_dir, "lineitem", "l_partkey", "l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag")
+    order = ["l_orderkey", "l_linenumber"]
+    left = rows.where("l_returnflag = 'A'").select("l_partkey", *order)
+    right = rows.where("l_returnflag = 'R'").select("l_partkey", *order, F.col("l_extendedprice").alias("price_right"))
+    return keys.link_editions(left, right, ["l_partkey"], order).select("l_partkey", "ordinal", *order, "price_right")
+
+
+@query("""SELECT DISTINCT c_mktsegment FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
+    WHERE r_name = (SELECT min(r_name) FROM region) AND n_name = (SELECT min(n_name) FROM nation JOIN region ON r_regionkey = n_regionkey WHERE r_name = (SELECT min(r_name) FROM region))""")
+def cascade_distinct(spark, sf_dir):
+    nations = read(spark, sf_dir, "nation").join(read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    region = nations.agg(F.min("r_name")).first()[0]
+    nation = nations.where(F.col("r_name") == region).agg(F.min("n_name")).first()[0]
+    rows = read(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    return keys.cascade(rows, ["r_name", "n_name", "c_mktsegment"], [region, nation])
+
+
+@query("""WITH m AS (SELECT o_custkey, o_orderkey, o_orderstatus, CASE WHEN o_orderstatus IS DISTINCT FROM lag(o_orderstatus) OVER w THEN 1 ELSE 0 END AS nw
+        FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)),
+    i AS (SELECT *, sum(nw) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS island FROM m)
+    SELECT o_custkey, o_orderstatus, count(DISTINCT island) AS runs FROM i GROUP BY 1, 2 HAVING count(DISTINCT island) > 1""")
+def contiguity_islands(spark, sf_dir):
+    return keys.broken_blocks(read(spark, sf_dir, "orders", "o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], "o_orderstatus", ["o_orderkey"])
+
+
+@query("""SELECT n_nationkey, CAST(CASE WHEN row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) = 1 THEN dense_rank() OVER (ORDER BY n_regionkey) END AS INTEGER) AS block_order,
+    CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS INTEGER) AS in_block FROM nation""")
+def first_of_block_rank(spark, sf_dir):
+    nations = read(spark, sf_dir, "nation")
+    regions = nations.select("n_regionkey").distinct()  # blocks are few; their rank needs no window over all rows
+    rank = regions.alias("a").join(regions.alias("b"), F.col("b.n_regionkey") <= F.col("a.n_regionkey")).groupBy("a.n_regionkey").agg(F.count("*").cast("int").alias("rank"))
+    placed = keys.with_ordinal(nations, ["n_regionkey"], ["n_nationkey"]).join(rank, "n_regionkey")
+    return placed.select("n_nationkey", F.when(F.col("ordinal") == 1, F.col("rank")).alias("block_order"), F.col("ordinal").alias("in_block"))
+
+
+
+@query("""SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS last_user_turn FROM conversations""")
+def carry_forward(spark, sf_dir):
+    df = read(spark, sf_dir, "conversations", "conv_id", "turn", "role").withColumn("u", F.when(F.col("role") == "user", F.col("turn")))
+    return df.select("conv_id", "turn", keys.carry_forward(df, ["conv_id"], "u", ["turn"]).alias("last_user_turn"))
+
+
+@query("""WITH f AS (SELECT *, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS fold FROM conversations)
+    SELECT conv_id, CAST(fold AS BIGINT) AS fold, count(*) AS parts, string_agg(text, ' ' ORDER BY turn) AS text FROM f GROUP BY conv_id, fold""")
+def continuation_fold(spark, sf_dir):
+    df = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return keys.fold(df, ["conv_id"], F.col("role") == "user", "text", ["turn"])
+
+
+# ---- lookups ----------------------------------------------------------------------------------------------
+
+
+@query("""WITH s AS (SELECT s_nationkey AS k, min(s_name) AS lo, max(s_name) AS hi FROM supplier GROUP BY 1),
+    r AS (SELECT n_regionkey AS k, min(s_name) AS lo, max(s_name) AS hi FROM supplier JOIN nation ON n_nationkey = s_nationkey GROUP BY 1)
+    SELECT c_custkey, CASE WHEN s.lo = s.hi THEN s.lo WHEN r.lo = r.hi THEN r.lo END AS s_name,
+        CASE WHEN s.lo = s.hi THEN 'NATION' WHEN r.lo = r.hi THEN 'REGION' WHEN s.lo IS NOT NULL OR r.lo IS NOT NULL THEN 'AMBIGUOUS' ELSE 'UNMAPPED' END AS state
+    FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN s ON s.k = c_nationkey LEFT JOIN r ON r.k = n_regionkey""")
+def tiered_resolution(spark, sf_dir):
+    nations = read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
+    near = read(spark, sf_dir, "supplier", F.col("s_nationkey").alias("n_nationkey"), "s_name")
+    rows = read(spark, sf_dir, "customer", "c_custkey", F.col("c_nationkey").alias("n_nationkey")).join(nations, "n_nationkey")
+    far = near.join(nations, "n_nationkey").select("n_regionkey", "s_name")
+    got = resolve.resolve(rows, "c_custkey", [("NATION", near, ["n_nationkey"]), ("REGION", far, ["n_regionkey"])], "s_name")
+    return got.select("c_custkey", "s_name", "state")
+
+
+@query("""SELECT p_partkey, CASE WHEN p_brand LIKE '%1' THEN 'FIRST_BRAND' WHEN upper(p_type) LIKE '%BRASS%' THEN 'BRASS' WHEN upper(p_type) LIKE '%STEEL%' THEN 'STEEL'
+    WHEN p_size > 25 THEN 'LARGE' ELSE 'OTHER' END AS family FROM part""")
+def family_classifier(spark, sf_dir):
+    kind = F.upper("p_type")
+    rules = [(F.col("p_brand").endswith("1"), "FIRST_BRAND"), (kind.contains("BRASS"), "BRASS"), (kind.contains("STEEL"), "STEEL"), (F.col("p_size") > 25, "LARGE")]
+    return read(spark, sf_dir, "part").select("p_partkey", resolve.first_rule(rules, "OTHER").alias("family"))
+
+
+
+@query("""SELECT event_id, last_value(CASE WHEN event_type = (SELECT min(event_type) FROM events) THEN event_id END IGNORE NULLS)
+    OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS above FROM events""")
+def nearest_above(spark, sf_dir):
+    events = read(spark, sf_dir, "events", "event_id", "user_id", "ts", "event_type")
+    kind = events.agg(F.min("event_type")).first()[0]
+    got = resolve.nearest_above(events, ["user_id"], ["ts", "event_id"], F.col("event_type") == kind, "event_id")
+    return got.select("event_id", "above")
+
+
+@query("""WITH cites AS (SELECT doc_id, unnest(CASE WHEN quality = 1 AND toxic = 1 THEN ['q', 't'] WHEN quality = 1 THEN ['q'] WHEN toxic = 1 THEN ['t'] ELSE [] END) AS note FROM labels),
+    notes AS (SELECT * FROM (VALUES ('q', 'good quality'), ('t', 'toxic')) v(note, text)),
+    j AS (SELECT doc_id, string_agg(text, ' · ' ORDER BY note) AS note_texts FROM cites JOIN notes USING (note) GROUP BY 1)
+    SELECT doc_id, note_texts FROM labels LEFT JOIN j USING (doc_id)""")
+def note_explode_join(spark, sf_dir):
+    rows = read(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    cited = F.filter(F.array(F.when(F.col("quality") == 1, "q"), F.when(F.col("toxic") == 1, "t")), lambda x: x.isNotNull())
+    notes = spark.createDataFrame([("q", "good quality"), ("t", "toxic")], "note string, text string")
+    return resolve.attach_notes(rows, "doc_id", cited, notes).select("doc_id", "note_texts")
+
+
+@query("""SELECT 'r' || r_regionkey AS node, 0 AS depth FROM region UNION ALL SELECT 'n' || n_nationkey, 1 FROM nation
+    UNION ALL SELECT 'c' || c_custkey, 2 FROM customer JOIN nation ON n_nationkey = c_nationkey""")
+def tree_reachability(spark, sf_dir):
+    node = lambda mark, c: F.concat(F.lit(mark), F.col(c).cast("string"))
+    nations = read(spark, sf_dir, "nation").select(node("r", "n_regionkey").alias("parent"), node("n", "n_nationkey").alias("child"))
+    people = read(spark, sf_dir, "customer").select(node("n", "c_nationkey").alias("parent"), node("c", "c_custkey").alias("child"))
+    return resolve.reachable(nations.union(people), read(spark, sf_dir, "region").select(node("r", "r_regionkey").alias("node")))
+
+
+# ---- audits -----------------------------------------------------------------------------------------------
+
+
+@query("""WITH a AS (SELECT l_partkey, l_suppkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1, 2), b AS (SELECT l_partkey, l_suppkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2)
+    SELECT l_partkey, l_suppkey, greatest(a.n - coalesce(b.n, 0), 0) AS extra FROM a LEFT JOIN b USING (l_partkey, l_suppkey) WHERE a.n > coalesce(b.n, 0)""")
+def multiset_difference(spark, sf_dir):
+    rows = read(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey", "l_returnflag")
+    left, right = (rows.where(F.col("l_returnflag") == f).drop("l_returnflag") for f in "AR")
+    return left.exceptAll(right).groupBy("l_partkey", "l_suppkey").agg(F.count("*").alias("extra"))
+
+
+@query("""SELECT 'orders' AS base, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys, count(*) - count(DISTINCT o_orderkey) AS n_extra FROM orders
+    UNION ALL SELECT 'lineitem', count(*), count(DISTINCT l_orderkey), count(*) - count(DISTINCT l_orderkey) FROM lineitem""")
+def key_uniqueness(spark, sf_dir):
+    orders = audit.key_uniqueness(read(spark, sf_dir, "orders", "o_orderkey"), ["o_orderkey"], "orders")
+    return orders.unionByName(audit.key_uniqueness(read(spark, sf_dir, "lineitem", "l_orderkey"), ["l_orderkey"], "lineitem"))
+
+
+@query("""WITH a AS (SELECT o_orderkey AS k, count(*) AS n FROM orders GROUP BY 1), b AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1)
+    SELECT k, coalesce(a.n, 0) AS n_left, coalesce(b.n, 0) AS n_right FROM a FULL JOIN b USING (k) WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)""")
+def row_parity(spark, sf_dir):
+    return audit.row_parity(read(spark, sf_dir, "orders", F.col("o_orderkey").alias("k")), read(spark, sf_dir, "lineitem", F.col("l_orderkey").alias("k")), ["k"])
+
+
+@query("""WITH s AS (SELECT o_custkey, o_orderkey, lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - o_orderkey - 1 AS step FROM orders)
+    SELECT o_custkey, o_orderkey, CASE WHEN step > 0 THEN 'GAP' ELSE 'OVERLAP' END AS kind, abs(step) AS width FROM s WHERE step <> 0""")
+def range_gaps(spark, sf_dir):
+    ranges = read(spark, sf_dir, "orders", "o_custkey", "o_orderkey").withColumn("last", F.col("o_orderkey"))
+    return audit.page_gaps(ranges, ["o_custkey"], "o_orderkey", "last").select("o_custkey", "o_orderkey", "kind", "width")
+
+
+@query("""SELECT l_orderkey, max(l_linenumber) - min(l_linenumber) + 1 AS span, count(DISTINCT l_linenumber) AS lines FROM lineitem GROUP BY 1
+    HAVING max(l_linenumber) - min(l_linenumber) + 1 <> count(DISTINCT l_linenumber)""")
+def line_contiguity(spark, sf_dir):
+    return audit.contiguity(read(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber"), ["l_orderkey"], "l_linenumber")
+
+
+@query("""SELECT doc_id, true AS lossless FROM documents""")
+def lossless_concat(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    pieces = docs.select("doc_id", F.posexplode(F.split("text", r"\s+")).alias("pos", "piece"))
+    return audit.lossless(pieces, "doc_id", "pos", "piece", docs, "text")
+
+
+@query("""WITH c AS (SELECT l_suppkey, l_shipmode, n, seen, row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, seen) AS r, n / sum(n) OVER (PARTITION BY l_suppkey) AS share FROM (
+        SELECT l_suppkey, l_linestatus AS l_shipmode, count(*) AS n, min(l_orderkey) AS seen FROM lineitem GROUP BY 1, 2))
+    SELECT l_suppkey, l_shipmode AS l_linestatus, round(share, 6) AS share FROM c WHERE r = 1 AND share >= 0.5""")
+def mode_with_share(spark, sf_dir):
+    got = audit.mode_of(read(spark, sf_dir, "lineitem", "l_suppkey", "l_linestatus", "l_orderkey"), ["l_suppkey"], "l_linestatus", "l_orderkey", 0.5)
+    return got.withColumn("share", dec(F.col("share"), 6))
+
+
+@query("""SELECT l_suppkey, list_sort(list(l_quantity))[CAST(floor(count(*) / 2) AS INTEGER) + 1] AS median FROM lineitem GROUP BY 1""")
+def upper_median(spark, sf_dir):
+    return read(spark, sf_dir, "lineitem", "l_suppkey", "l_quantity").groupBy("l_suppkey").agg(audit.upper_median(F.collect_list("l_quantity")).alias("median"))
+
+
+@query("""SELECT l_partkey, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM lineitem GROUP BY 1 ORDER BY revenue DESC, l_partkey LIMIT 60""")
+def top_k_report(spark, sf_dir):
+    rows = read(spark, sf_dir, "lineitem", "l_partkey", "l_extendedprice", "l_discount")
+    revenue = rows.groupBy("l_partkey").agg(dec(F.sum(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))), 2).alias("revenue"))
+    return revenue.orderBy(F.desc("revenue"), "l_partkey").limit(60)
+
+
+@query("""SELECT l_returnflag, l_linestatus, count(*) AS n_rows, CAST(grouping(l_returnflag, l_linestatus) AS BIGINT) AS level FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)""")
+def rollup_totals(spark, sf_dir):
+    rows = read(spark, sf_dir, "lineitem", "l_returnflag", "l_linestatus")
+    return rows.rollup("l_returnflag", "l_linestatus").agg(F.count("*").alias("n_rows"), F.grouping_id().cast("long").alias("level"))
+
+
+@query("""WITH a AS (SELECT l_partkey, avg(l_extendedprice) AS si, avg(l_extendedprice * 0.145) AS us FROM lineitem GROUP BY 1)
+    SELECT l_partkey, abs(us / 0.145 - si) <= 1.5e-3 * si AS coherent FROM a""")
+def unit_coherence(spark, sf_dir):
+    a = read(spark, sf_dir, "lineitem", "l_partkey", "l_extendedprice").groupBy("l_partkey").agg(F.avg("l_extendedprice").alias("si"), F.avg(F.col("l_extendedprice") * F.lit(0.145)).alias("us"))
+    return a.select("l_partkey", (F.abs(F.col("us") / F.lit(0.145) - F.col("si")) <= F.lit(1.5e-3) * F.col("si")).alias("coherent"))
+
+
+# ---- calculation engines ----------------------------------------------------------------------------------
+
+_C = lambda n: Citation("driver tables", n)
+LINE_ENGINE = Engine(
+    "line",
+    rows=(
+        Row("price"), Row("discount"), Row("tax"), Row("flag"),
+        Row("net", "{price}*(1-{discount})", citation=_C(1)),
+        Row("gross", "{net}*(1+{tax})", citation=_C(2)),
+        Row("ratio", "IF({price}>0,{gross}/{price},NA())", citation=_C(3)),
+        Row("bounded", "MIN(1,MAX({ratio},0.9))^2", citation=_C(4)),
+        Row("fair", "AND({ratio}<=1.05,{ratio}>=0.9)", citation=_C(5)),
+    ),
+    gates=(Gate("flag", ("A", "N"), "N"),),
+    checks=(Check("fair"),),
+)
+
+
+def _line_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
+    return rows.withColumnsRenamed({"l_extendedprice": "f_price", "l_discount": "f_discount", "l_tax": "f_tax", "l_returnflag": "f_flag"})
+
+
+_LINE_SQL = "WITH a AS (SELECT *, l_extendedprice * (1 - l_discount) * (1 + l_tax) / l_extendedprice AS ratio FROM lineitem)"
+
+
+@query(_LINE_SQL + " SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 4) AS net, round(ratio, 6) AS ratio, round(pow(least(1, greatest(ratio, 0.9)), 2), 6) AS bounded FROM a")
+def formula_dag(spark, sf_dir):
+    got = LINE_ENGINE.evaluate(_line_inputs(spark, sf_dir))
+    return got.select("l_orderkey", "l_linenumber", dec(F.col("f_net")).alias("net"), dec(F.col("f_ratio"), 6).alias("ratio"), dec(F.col("f_bounded"), 6).alias("bounded"))
+
+
+@query(_LINE_SQL + " SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'BLOCKED: ' || l_returnflag WHEN ratio <= 1.05 AND ratio >= 0.9 THEN 'PASS' ELSE 'REVIEW' END AS verdict FROM a")
+def verdict_fold(spark, sf_dir):
+    return LINE_ENGINE.evaluate(_line_inputs(spark, sf_dir)).select("l_orderkey", "l_linenumber", "verdict")
+
+
+@query("SELECT p_partkey, CASE WHEN p_size > 25 THEN 'L' || substr(p_brand, 1, 5) ELSE 'S' END AS label FROM part")
+def formula_text(spark, sf_dir):
+    formula = Formula('=IF({size}>25,"L"&LEFT({brand},5),"S")')
+    return read(spark, sf_dir, "part", "p_partkey", "p_size", "p_brand").select("p_partkey", formula.column({"size": F.col("p_size"), "brand": F.col("p_brand")}).alias("label"))
+
+
+# ---- shapes -----------------------------------------------------------------------------------------------
+
+
+@query("""SELECT o_orderpriority, o_orderstatus, CAST(n AS BIGINT) AS n FROM (SELECT p.o_orderpriority, s.o_orderstatus, (SELECT count(*) FROM orders o WHERE o.o_orderpriority = p.o_orderpriority AND o.o_orderstatus = s.o_orderstatus) AS n
+    FROM (SELECT DISTINCT o_orderpriority FROM orders) p, (VALUES ('F'), ('O'), ('P')) s(o_orderstatus)) WHERE n > 0""")
+def unpivot_pivot_roundtrip(spark, sf_dir):
+    wide = read(spark, sf_dir, "orders", "o_orderpriority", "o_orderstatus").groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count(F.lit(1)))
+    return wide.unpivot(["o_orderpriority"], ["F", "O", "P"], "o_orderstatus", "n").where("n is not null")
+
+
+@query("""WITH e AS (SELECT user_id, epoch_us(ts) / 1000000.0 AS a, epoch_us(ts) / 1000000.0 + abs(value) * 60 AS b FROM events),
+    m AS (SELECT *, CASE WHEN a > max(b) OVER (PARTITION BY user_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS nw FROM e),
+    i AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS g FROM m)
+    SELECT user_id, round(min(a), 3) AS a, round(max(b), 3) AS b, count(*) AS n FROM i GROUP BY user_id, g""")
+def interval_merge(spark, sf_dir):
+    a = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1000000.0)
+    events = read(spark, sf_dir, "events", "user_id", a.alias("a"), (a + F.abs("value") * F.lit(60.0)).alias("b"))
+    return layout.merged_intervals(events, ["user_id"], "a", "b").select("user_id", dec(F.col("a"), 3).alias("a"), dec(F.col("b"), 3).alias("b"), "n")
+
+
+@query(r"""SELECT page_id, CAST(i - 1 AS INTEGER) AS item_no, x[i] AS raw FROM (SELECT page_id, x, unnest(range(1, len(x) + 1)) AS i FROM (
+    SELECT page_id, regexp_extract_all(html, '(?is)<li\b[^>]*>(.*?)</li>', 1) AS x FROM pages))""")
+def html_cells(spark, sf_dir):
+    found = F.regexp_extract_all("html", F.lit(r"(?is)<li\b[^>]*>(.*?)</li>"), F.lit(1))
+    return read(spark, sf_dir, "pages", "page_id", "html").select("page_id", F.posexplode(found).alias("item_no", "raw"))
+
+
+@query(r"""SELECT page_id, CAST(i - 1 AS INTEGER) AS item_no, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(
+        regexp_replace(regexp_replace(x[i], '(?i)</?(sup|sub)\b[^>]*>', '', 'g'), '<[^>]*>', ' ', 'g'),
+        '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '[\s\x{00A0}]+', ' ', 'g'), '^$', '')) AS text
+    FROM (SELECT page_id, x, unnest(range(1, len(x) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '(?is)<p\b[^>]*>(.*?)</p>', 1) AS x FROM pages))""")
+def html_text(spark, sf_dir):
+    return html_items(read(spark, sf_dir, "pages", "page_id", "html"), "page_id", "html", "p")
+
+
+@query("""SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, json_extract(props, '$.missing') IS NULL AS no_rows FROM events""")
+def json_rows(spark, sf_dir):
+    doc = F.try_parse_json("props")
+    return read(spark, sf_dir, "events", "event_id", "props").select("event_id", F.try_variant_get(doc, "$.k", "bigint").alias("k"), F.try_variant_get(doc, "$.missing", "bigint").isNull().alias("no_rows"))
+
+
+# ---- text and numbers -------------------------------------------------------------------------------------
+
+
+@query(r"""SELECT doc_id, trim(regexp_replace(replace(translate(text, '‐‑‒–—―−﹣', '--------'), '…', ' '), '[\s\x{00A0}\x{2007}\x{202F}]+', ' ', 'g')) AS text FROM documents""")
+def text_normalize(spark, sf_dir):
+    return read(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", text.text(F.col("text")).alias("text"))
+
+
+@query(r"""SELECT doc_id, regexp_replace(lower(text), '[^a-z0-9]', '', 'g') AS loose FROM documents""")
+def loose_keys(spark, sf_dir):
+    return read(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", text.loose_key(F.col("text")).alias("loose"))
+
+
+@query(r"""SELECT p_partkey, CASE WHEN regexp_matches(CAST(p_retailprice AS VARCHAR), '^\d') THEN 1 ELSE 0 END
+    + CASE WHEN p_size > 0 THEN 1 ELSE 0 END AS n_values FROM part""")
+def value_tokens(spark, sf_dir):
+    row = F.concat_ws(" ", F.col("p_name"), F.lit("grade"), F.format_number("p_retailprice", 2), F.col("p_size").cast("string"))
+    return read(spark, sf_dir, "part", "p_partkey", "p_name", "p_retailprice", "p_size").select("p_partkey", text.trailing_values(text.tokens(row)).alias("n_values"))
+
+
+@query("""SELECT event_id, round(value, 2) AS plain, -round(abs(value), 2) AS temperature, CAST(NULL AS DOUBLE) AS dashed FROM events""")
+def numeric_coerce(spark, sf_dir):
+    v = F.round("value", 2)
+    shown = F.format_number(F.abs(v), 2)
+    return read(spark, sf_dir, "events", "event_id", "value").select(
+        "event_id", numeric.number(F.concat(F.when(v < 0, "−").otherwise(""), shown)).alias("plain"),
+        numeric.temperature(F.concat(F.lit("–"), shown)).alias("temperature"), numeric.number(F.concat(F.lit("–"), shown)).alias("dashed"),
+    )
