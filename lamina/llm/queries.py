@@ -67,6 +67,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lamina.llm.gru_lm import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lamina.llm.neardup import near_duplicates
 
@@ -82,6 +88,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
     "op8_quality": op8_quality,
+    "op9_recurrent_lm": op9_recurrent_lm,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
