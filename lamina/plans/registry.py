@@ -78,10 +78,10 @@ WITH pts AS (
 _LINEAR = "CASE WHEN t_probe <= t1 OR t2 IS NULL THEN v1 ELSE v1 + (v2 - v1) * (t_probe - t1) / (t2 - t1) END"
 
 
-@query(_CURVE + f"SELECT l_partkey, t_probe, t1, t2, round({_LINEAR}, 6) AS value FROM rd")
+@query(_CURVE + f"SELECT l_partkey, t_probe, t1, t2, {_LINEAR} AS value FROM rd")
 def curve_interp_hold(spark, sf_dir):
     got = curves.lookup(_probes(spark, sf_dir), _bands(spark, sf_dir), "l_partkey")
-    return got.select("l_partkey", "t_probe", "t1", "t2", dec(F.col("value"), 6).alias("value"))
+    return got.select("l_partkey", "t_probe", "t1", "t2", "value")
 
 
 @query(_CURVE + "SELECT l_partkey, t_probe, CASE WHEN t_probe <= t1 OR t2 IS NULL THEN v1 ELSE v2 END AS value FROM rd")
@@ -92,22 +92,22 @@ def curve_interp_conservative(spark, sf_dir):
 
 @query(_CURVE + f"""SELECT l_partkey, t_probe,
     CASE WHEN t_probe < t_first THEN 'BELOW_RANGE' WHEN t_probe > t_last THEN 'ABOVE_RANGE' ELSE 'IN_RANGE' END AS status,
-    CASE WHEN t_probe BETWEEN t_first AND t_last THEN round({_LINEAR}, 6) END AS value FROM rd""")
+    CASE WHEN t_probe BETWEEN t_first AND t_last THEN {_LINEAR} END AS value FROM rd""")
 def curve_status_block_both_ends(spark, sf_dir):
     got = curves.lookup(_probes(spark, sf_dir), _bands(spark, sf_dir), "l_partkey")
     got = got.withColumn("status", curves.range_status(F.col("t_probe"), F.col("n_pts"), F.col("t_first"), F.col("t_last")))
-    return got.select("l_partkey", "t_probe", "status", curves.unless_out(F.col("status"), dec(F.col("value"), 6)).alias("value"))
+    return got.select("l_partkey", "t_probe", "status", curves.unless_out(F.col("status"), F.col("value")).alias("value"))
 
 
 @query(_CURVE + f""", lim AS (SELECT rd.*, p_size / 10.0 AS lo_lim, p_size + 10.0 AS hi_lim FROM rd JOIN part ON p_partkey = l_partkey),
     st AS (SELECT *, CASE WHEN t_probe < lo_lim THEN 'OUT_BELOW_MINIMUM' WHEN t_probe > hi_lim THEN 'OUT_ABOVE_RECOMMENDED'
         WHEN t_probe > t_last THEN 'OUT_ABOVE_TABULATED' WHEN t_probe < t_first THEN 'HELD_BELOW_FIRST' ELSE 'IN_RANGE' END AS status FROM lim)
-    SELECT l_partkey, t_probe, status, CASE WHEN status NOT LIKE 'OUT%' THEN round({_LINEAR}, 6) END AS value FROM st""")
+    SELECT l_partkey, t_probe, status, CASE WHEN status NOT LIKE 'OUT%' THEN {_LINEAR} END AS value FROM st""")
 def curve_status_ladder_order(spark, sf_dir):
     limits = read(spark, sf_dir, "part", F.col("p_partkey").alias("l_partkey"), (F.col("p_size") / 10.0).alias("least"), (F.col("p_size") + F.lit(10.0)).alias("most"))
     got = curves.lookup(_probes(spark, sf_dir), _bands(spark, sf_dir), "l_partkey").join(limits, "l_partkey")
     status = curves.limit_status(F.col("t_probe"), F.col("n_pts"), F.col("t_first"), F.col("t_last"), F.col("least"), F.col("most"))
-    return got.withColumn("status", status).select("l_partkey", "t_probe", "status", curves.unless_out(F.col("status"), dec(F.col("value"), 6)).alias("value"))
+    return got.withColumn("status", status).select("l_partkey", "t_probe", "status", curves.unless_out(F.col("status"), F.col("value")).alias("value"))
 
 
 @query("SELECT l_partkey, CAST(count(DISTINCT l_quantity) AS INTEGER) AS n_pts, min(l_quantity) AS t_first, max(l_quantity) AS t_last FROM lineitem GROUP BY 1")
