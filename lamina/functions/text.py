@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Characters printed for a dash, and for a slash in compositions.
 DASHES = "‐‑‒–—―−﹣"
@@ -15,7 +16,7 @@ ELLIPSIS = "…"
 BLANK = r"[\s\x{00A0}\x{2007}\x{202F}]+"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Compatibility normalisation, for which SQL has no function."""
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
@@ -98,11 +99,11 @@ VALUE = r"^(?:[<>]?[-+]?\d[\d,]*(?:\.\d+)?(?:[A-Z])?|\d+/\d+|\d[\d.]*[-–]\d[\d
 
 def tokens(c: Column) -> Column:
     """Words of a printed row, where ``48 000 [330]``, ``1 1/2`` and the like stay one word."""
-    guarded = F.regexp_replace(c, r"(?<=\d) (?=\d{3}(?:\D|$))", "")
-    guarded = F.regexp_replace(guarded, r"(?<=\d) (?=\[\d)", "")
-    guarded = F.regexp_replace(guarded, r"(?<=\d) (?=\d/\d)", "")
+    guarded = F.regexp_replace(c, r"(?<=\d) (?=\d{3}(?:\D|$))", "\u0001")
+    guarded = F.regexp_replace(guarded, r"(?<=\d) (?=\[\d)", "\u0001")
+    guarded = F.regexp_replace(guarded, r"(?<=\d) (?=\d/\d)", "\u0001")
     parts = F.split(F.coalesce(squeeze(guarded), F.lit("")), " ")
-    return F.transform(F.filter(parts, lambda x: x != ""), lambda x: F.translate(x, "", " "))
+    return F.transform(F.filter(parts, lambda x: x != ""), lambda x: F.translate(x, "\u0001", " "))
 
 
 def is_value(token: Column) -> Column:

@@ -15,3 +15,20 @@ def session(master: str = "local[*]", partitions: int = 8) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the Python workers import this package wherever they run: send it as a zip, once a session, unless
+    the environment already has it on their path."""
+    import os
+    import shutil
+    import tempfile
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    context = spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(context, "_lamina_shipped", False):
+        return
+    folder = tempfile.mkdtemp(prefix="lamina-code-")
+    context.addPyFile(shutil.make_archive(f"{folder}/lamina", "zip", root, "lamina"))
+    context._lamina_shipped = True
