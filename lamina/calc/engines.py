@@ -38,3 +38,44 @@ PNEUMATIC_TEST = Engine(
         Row("R", "{R_scaled}*(2*{TNT})^(1/3)", "m", _A(22, "distance")),
     ),
 )
+
+#: Leak box with a tee: wall of the tee, reinforcement of the opening, and the conditions of use.
+LEAK_BOX = Engine(
+    "leak_box",
+    rows=(
+        Row("od", unit="mm"), Row("t", unit="mm"), Row("P", unit="MPa"), Row("CA", unit="mm"), Row("S", unit="MPa"), Row("E"), Row("W"), Row("Y"),
+        Row("d1", unit="mm"), Row("d2", unit="mm"), Row("beta", unit="deg"), Row("t_h", unit="mm"), Row("T_h", unit="mm"), Row("L4", unit="mm"),
+        Row("Tp", unit="mm"), Row("thin", unit="mm"),
+        Row("crack", options=("yes", "no"), example="no", citation=_A(30, "cracks")),
+        Row("qualified", options=("yes", "no"), example="no", citation=_A(31, "ways to qualify a crack")),
+        Row("knuckle", options=("yes", "no"), example="no", citation=_A(32, "weld to a formed head")),
+        Row("thrust", options=("yes", "no"), example="yes", citation=_A(33, "axial thrust")),
+        Row("t_req", "{P}*{od}/(2*({S}*{E}*{W}+{P}*{Y}))", "mm", _A(34, "required wall")),
+        Row("wall_ok", "{t}>={t_req}+{CA}", "", _A(35, "wall of the tee")),
+        Row("A1", "{t_h}*{d1}*(2-SIN(RADIANS({beta})))", "mm2", _A(36, "required area")),
+        Row("A2", "(2*{d2}-{d1})*({T_h}-{t_h}-{CA})", "mm2", _A(37, "area in the closure")),
+        Row("A3", "2*{L4}*({t}-{t_req}-{CA})/SIN(RADIANS({beta}))", "mm2", _A(38, "area in the tee")),
+        Row("area_ok", "{A2}+{A3}>={A1}", "", _A(39, "reinforcement")),
+        Row("crack_gate", 'IF(OR({crack}<>"yes",{qualified}="yes"),"allowed","unqualified crack")', "", _A(40, "cracks")),
+        Row("knuckle_gate", 'IF({knuckle}="yes","weld to an unqualified knuckle","allowed")', "", _A(41, "formed heads")),
+        Row("thrust_ok", '{thrust}="yes"', "", _A(42, "axial thrust")),
+        Row("wall_notice", 'IF({Tp}<={thin},"notice: thin wall","allowed")', "", _A(43, "welding on a thin wall")),
+    ),
+    gates=(Gate("crack_gate", ("allowed",)), Gate("knuckle_gate", ("allowed",)), Gate("wall_notice", ("allowed",), "notice")),
+    checks=(Check("wall_ok"), Check("area_ok"), Check("thrust_ok")),
+    materials=("S",),
+)
+
+#: Sleeve around a pipe: least thickness and length, and the fillet's leg on either side of 1.4 Tp.
+SLEEVE = Engine(
+    "sleeve",
+    rows=(
+        Row("Ts", unit="mm"), Row("Tp", unit="mm"), Row("G", unit="mm"), Row("Ls", unit="mm"), Row("defect", unit="mm"),
+        Row("Ts_min", "2/3*{Tp}", "mm", _A(50, "thickness of a sleeve that holds no pressure")),
+        Row("Ls_min", "MAX(100,{defect}+2*50)", "mm", _A(51, "length of a sleeve")),
+        Row("leg", "IF({Ts}<=1.4*{Tp},{Ts}+{G},1.4*{Tp}+{G})", "mm", _A(52, "fillet weld")),
+        Row("thickness_ok", "{Ts}>={Ts_min}", "", _A(50, "thickness")),
+        Row("length_ok", "{Ls}>={Ls_min}", "", _A(51, "length")),
+    ),
+    checks=(Check("thickness_ok"), Check("length_ok")),
+)

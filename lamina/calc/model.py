@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -144,3 +145,20 @@ def provenance(engine: Engine, blocks: DataFrame) -> DataFrame:
     table = spark.createDataFrame(cited, "name string, clause string, source string, block int")
     usable = blocks.where("type <> 'heading'").select("source", "block", F.col("text").alias("cited_text"))
     return table.join(usable, ["source", "block"], "left").withColumn("found", F.col("cited_text").isNotNull())
+
+
+def inconsistent_verdicts(engine: Engine, evaluated: DataFrame) -> DataFrame:
+    """Rows whose stored verdict isn't what their gates, materials and checks give when composed anew."""
+    bound = {r.name: F.col(column_name(r.name)) for r in engine.rows}
+    return evaluated.where(~F.col("verdict").eqNullSafe(engine.verdict(bound)))
+
+
+def fill(template: str, engine: Engine) -> Column:
+    """A text in which ``{name}`` stands for the row's value; an undeclared name stops it."""
+    rows, parts, at = engine.declared(), [], 0
+    for m in re.finditer(r"\{([^{}]+)\}", template):
+        if m[1] not in rows:
+            raise ValueError(f"{m[1]!r} isn't declared")
+        parts += [F.lit(template[at : m.start()]), F.coalesce(F.col(column_name(m[1])).cast("string"), F.lit("?"))]
+        at = m.end()
+    return F.concat(*parts, F.lit(template[at:]))

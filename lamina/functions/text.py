@@ -161,3 +161,89 @@ def center_sample(c: Column, width: int = 40) -> Column:
     """``width`` characters from the middle of the unspaced text; null if it is shorter."""
     flat = unspaced(c)
     return F.when(F.length(flat) >= width, F.substr(flat, ((F.length(flat) - width) / 2).cast("int") + 1, F.lit(width)))
+
+
+@F.pandas_udf(StringType())
+def without_accents(s: pd.Series) -> pd.Series:
+    """Letters without their marks, for which SQL has no function."""
+    bare = lambda x: "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c))
+    return s.map(lambda x: None if x is None else bare(x))
+
+
+def plain_key(c: Column) -> Column:
+    """Capitals without accents and white space, for comparisons."""
+    return F.upper(unspaced(without_accents(c)))
+
+
+def is_ellipsis(c: Column) -> Column:
+    return F.trim(c).rlike(r"^(?:\.{3,}|…|(?:\. ){2,}\.)$")
+
+
+def label_and_qualifier(c: Column) -> Column:
+    """A label without brackets and end marks, and whether it says maximum or minimum."""
+    bare = F.regexp_replace(F.regexp_replace(c, r"\[[^\]]*\]|\([^)]*\)", " "), r"[,;:.]+\s*$", "")
+    found = F.lower(F.regexp_extract(bare, r"(?i)\b(max|min)(?:imum)?\b", 1))
+    label = F.regexp_replace(bare, r"(?i),?\s*\b(?:max|min)(?:imum)?\b\.?", " ")
+    return F.struct(squeeze(F.regexp_replace(squeeze(label), r"[,;:]\s*$", "")).alias("label"), F.nullif(found, F.lit("")).alias("qualifier"))
+
+
+def note_mark(c: Column) -> Column:
+    """The mark with which a note begins: ``(1)``, a letter or a star."""
+    return F.nullif(F.regexp_extract(c, r"^\s*(\(\w{1,3}\)|[A-Z](?= )|\*+)", 1), F.lit(""))
+
+
+def split_heading(c: Column, n: int) -> Column:
+    """Exactly ``n`` names, each with a capital or a digit in front, or null."""
+    found = F.regexp_extract_all(c, F.lit(r"([A-Z0-9][^A-Z0-9]*)"), F.lit(1))
+    return F.when(F.size(found) == n, F.transform(found, lambda x: F.trim(x)))
+
+
+def from_latex(c: Column) -> Column:
+    """Formula marks of recognised text as plain text."""
+    out = F.regexp_replace(c, r"\\(?:mathrm|text|mathbf)\s*\{([^{}]*)\}", "$1")
+    out = F.regexp_replace(out, r"\\frac\s*\{([^{}]*)\}\s*\{([^{}]*)\}", "$1/$2")
+    for name, mark in ((r"\\times", "×"), (r"\\leq?", "≤"), (r"\\geq?", "≥"), (r"\\pm", "±"), (r"\\deg(?:ree)?", "°")):
+        out = F.regexp_replace(out, name + r"(?![a-z])", mark)
+    return squeeze(F.regexp_replace(out, r"[${}\\]", ""))
+
+
+def clean_value(c: Column) -> Column:
+    """A cell without stray ellipses and with its slash, and what was changed (null: nothing)."""
+    bare = squeeze(F.regexp_replace(c, r"(?:\.{3}|…)\s*(?=\S)|(?<=\S)\s*(?:\.{3}|…)$", ""))
+    joined = F.regexp_replace(bare, r"(?<=\d)\s*[∕⁄]\s*(?=\d)", "/")
+    change = F.when(~joined.eqNullSafe(bare), "SLASH").when(~bare.eqNullSafe(squeeze(c)), "ELLIPSIS")
+    return F.struct(joined.alias("value"), change.alias("change"))
+
+
+def merged_name(c: Column) -> Column:
+    """``N02200 222``: a designation and the number that was printed against it."""
+    return F.struct(F.nullif(F.regexp_extract(c, r"^([A-Z]\d{5})", 1), F.lit("")).alias("name"), F.regexp_extract(c, r"^[A-Z]\d{5}\s+(\S+)$", 1).try_cast("double").alias("value"))
+
+
+def numbered_notes(c: Column) -> Column:
+    """Notes of a run-on text: a mark ``(n)`` begins note n only if n is the next number, so a reference to an
+    earlier note stays in its sentence."""
+    parts = F.split(c, r"(?=\(\d{1,3}\))")
+    number = lambda p: F.regexp_extract(p, r"^\((\d{1,3})\)", 1).try_cast("int")
+
+    def step(notes: Column, part: Column) -> Column:
+        last = F.element_at(notes, -1)
+        begins = number(part) == F.size(notes) + 1
+        grown = F.concat(F.slice(notes, 1, F.size(notes) - 1), F.array(F.concat(last, part)))
+        return F.when(begins, F.concat(notes, F.array(part))).when(F.size(notes) > 0, grown).otherwise(notes)
+
+    return F.transform(F.aggregate(parts, F.array().cast("array<string>"), step), lambda x: F.trim(F.regexp_replace(x, r"^\(\d{1,3}\)", "")))
+
+
+def unique_names(names: list[str]) -> list[str]:
+    """Field names from printed headers: letters and digits, each once."""
+    import re
+
+    out: list[str] = []
+    for name in names:
+        base = re.sub(r"[^a-z0-9]+", "_", name.lower()).strip("_") or "column"
+        k, own = 1, base
+        while own in out:
+            k, own = k + 1, f"{base}_{k + 1}"
+        out.append(own)
+    return out

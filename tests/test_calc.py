@@ -83,3 +83,32 @@ def test_provenance(spark):
     engine = Engine("e", (Row("a"), Row("x", "{a}*2", citation=Citation("s", 1, "c1")), Row("y", "{x}+1", citation=Citation("s", 2, "c2"))))
     blocks = spark.createDataFrame([("s", 1, "text", "twice"), ("s", 2, "heading", "Title")], "source string, block int, type string, text string")
     assert {r.name: r.found for r in provenance(engine, blocks).collect()} == {"x": True, "y": False}
+
+
+def test_leak_box(spark):
+    from lamina.calc.engines import LEAK_BOX
+    from lamina.calc.model import fill, inconsistent_verdicts
+
+    base = dict(od=60.3, t=5.54, P=2.0, CA=1.0, S=118.0, E=1.0, W=1.0, Y=0.4, d1=60.0, d2=120.0, beta=90.0, t_h=4.0, T_h=12.0, L4=10.0, Tp=9.0, thin=6.0)
+    says = dict(crack="no", qualified="no", knuckle="no", thrust="yes")
+    good = evaluate(spark, LEAK_BOX, **base, **says)
+    row = good.first().asDict()
+    assert row[column_name("t_req")] == pytest.approx(2.0 * 60.3 / (2 * (118 + 0.8)))
+    assert row[column_name("A1")] == pytest.approx(240.0) and row[column_name("A2")] == pytest.approx(180 * 7.0)
+    assert row["verdict"] == "PASS" and inconsistent_verdicts(LEAK_BOX, good).count() == 0
+    assert evaluate(spark, LEAK_BOX, **base, **says | {"crack": "yes"}).first().verdict == "BLOCKED: unqualified crack"
+    assert evaluate(spark, LEAK_BOX, **base, **says | {"knuckle": "yes"}).first().verdict.startswith("BLOCKED: weld")
+    assert evaluate(spark, LEAK_BOX, **base | {"thin": 20.0}, **says).first().verdict == "PASS"
+    assert evaluate(spark, LEAK_BOX, **base | {"T_h": 4.0}, **says).first().verdict == "REVIEW"
+    assert inconsistent_verdicts(LEAK_BOX, good.withColumn("verdict", F.lit("REVIEW"))).count() == 1
+    assert good.select(fill("wall {t} mm", LEAK_BOX).alias("x")).first().x == "wall 5.54 mm"
+    with pytest.raises(ValueError):
+        fill("{zz}", LEAK_BOX)
+
+
+@pytest.mark.parametrize("ts, leg, verdict", [(8.0, 9.0, "PASS"), (14.0, 12.2, "PASS"), (5.0, 6.0, "REVIEW")])
+def test_sleeve(spark, ts, leg, verdict):
+    from lamina.calc.engines import SLEEVE
+
+    got = evaluate(spark, SLEEVE, Ts=ts, Tp=8.0, G=1.0, Ls=160.0, defect=40.0).first().asDict()
+    assert got[column_name("leg")] == pytest.approx(leg) and got[column_name("Ls_min")] == 140.0 and got["verdict"] == verdict
