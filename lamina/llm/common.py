@@ -51,6 +51,30 @@ def crc_mod(column: str, modulus: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
 
+_KEPT: dict[str, dict] = {}
+
+
+def kept(name: str) -> dict:
+    """What a worker process keeps between the tasks of one operator; ``release`` of another one clears it."""
+    return _KEPT.setdefault(name, {})
+
+
+def release(keep: str = "") -> None:
+    """Give memory that earlier tasks of this worker process used back to the machine: executors share theirs
+    between the JVM and workers that live long."""
+    import ctypes
+    import gc
+
+    for name, own in _KEPT.items():
+        if name != keep:
+            own.clear()
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        return
+
+
 def binary_texts(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a text column; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import binary_texts, windows
+from lamina.llm.common import binary_texts, release, windows
 from lamina.llm.labelled import SAMPLE, held_out, labelled_sample
 
 THRESHOLD = 0.7
@@ -114,6 +114,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Qua
     """Fit on a bounded sample of labelled rows; the driver gets their statistics, not texts."""
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in batches:
             found = [statistics(t).tobytes() for t in binary_texts(b.column(0))]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(found, pa.binary())], names=["y", "x"])
@@ -135,6 +136,7 @@ def score_quality(docs: DataFrame, model: QuadraticDiscriminant, threshold: floa
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two means and factors of a fixed size
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in batches:
             x = [statistics(t) for at in range(0, b.num_rows, 256) for t in binary_texts(b.column(2).slice(at, 256))]
             score = shared.value.score(np.array(x)) if x else np.zeros(0)
@@ -152,6 +154,7 @@ def keep_good(docs: DataFrame, model: QuadraticDiscriminant, threshold: float =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in batches:
             texts = b.column(b.schema.get_field_index("text"))
             x = [statistics(t) for at in range(0, b.num_rows, 256) for t in binary_texts(texts.slice(at, 256))]

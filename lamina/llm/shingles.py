@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-from lamina.llm.common import windows
+from lamina.llm.common import release, windows
 
 WORDS = 5
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -14,7 +14,8 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 class WordHashes(dict):
     """word -> 64-bit hash, kept for at most ``limit`` words."""
 
-    def __init__(self, limit: int = 1_000_000):
+    def __init__(self, limit: int = 300_000):
+        release()
         self.limit = limit
 
     def __missing__(self, word: bytes) -> int:

@@ -15,7 +15,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from lamina.llm.common import binary_texts, windows
+from lamina.llm.common import binary_texts, kept, release, windows
 from lamina.llm.tokens import load_tokenizer, odd_space
 
 #: Fixed value: the pre-token pattern of byte-level BPE tokenizers of this family.
@@ -62,9 +62,6 @@ class Counter:
         return len(parts) - len(rest) + sum(map(merged.__getitem__, rest))
 
 
-_COUNTERS: dict[str, Counter] = {}
-
-
 def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, window: int = 1 << 20) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit (n_tokens > ``limit``) of every row of ``docs``.
 
@@ -74,9 +71,9 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, window: int
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer not in _COUNTERS:
-            _COUNTERS[tokenizer] = Counter(tokenizer)
-        counter = _COUNTERS[tokenizer]
+        release("counters")
+        own = kept("counters")
+        counter = own.get(tokenizer) or own.setdefault(tokenizer, Counter(tokenizer))
         for batch in batches:
             sizes, counts = [], []
             for at in range(0, batch.num_rows, 256):

@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import re
 
-from lamina.llm.common import windows
+from lamina.llm.common import kept, release, windows
 
 #: UTF-8 forms of the white space beyond space and 0x09-0x0D, and the separators 0x1C-0x1F.
 ODD_SPACE = re.compile(
@@ -50,7 +50,7 @@ class Encoder:
     part keeps the white space before it. The cache holds ``limit`` parts at most and starts anew when it is full.
     """
 
-    def __init__(self, path: str, words: bool = False, limit: int = 1_500_000):
+    def __init__(self, path: str, words: bool = False, limit: int = 1_200_000):
         self.tokenizer, self.words, self.limit = load_tokenizer(path), words, limit
         self.cache: dict[bytes, bytes] = {}
         self.spaced: dict[bytes, bytes] = {}
@@ -141,12 +141,10 @@ class Encoder:
         return out + self.encode_many(group)
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
-
-
 def encoder(path: str, words: bool = False) -> Encoder:
     """One encoder for each worker process, so that its cache serves all the tasks it runs."""
-    key = (path, words)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, words)
-    return _ENCODERS[key]
+    release("encoders")
+    own = kept("encoders")
+    if (path, words) not in own:
+        own[path, words] = Encoder(path, words)
+    return own[path, words]

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import binary_texts, materialize, windows
+from lamina.llm.common import binary_texts, materialize, release, windows
 from lamina.llm.labelled import SAMPLE, held_out, labelled_sample
 
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -36,7 +36,8 @@ def terms_of_word(word: bytes) -> tuple[int, ...]:
 class Words(dict):
     """word -> what ``of`` says, kept for at most ``limit`` words."""
 
-    def __init__(self, of, limit: int = 500_000):
+    def __init__(self, of, limit: int = 150_000):
+        release()
         self.of, self.limit = of, limit
 
     def __missing__(self, word: bytes):
