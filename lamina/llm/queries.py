@@ -92,7 +92,30 @@ QUERIES = {
     "op10_near_duplicates": op10_near_duplicates,
 }
 
+NEAR_DUPLICATES_SQL = r"""
+WITH RECURSIVE doc_words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM doc_words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id
+), links AS (
+    SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * shared.n >= 85 * (p.n + q.n - shared.n)
+), reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+), smallest AS (
+    SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM smallest LEFT JOIN sizes USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op10_near_duplicates": NEAR_DUPLICATES_SQL,
     "op2_decontamination": decontaminate.ORACLE_SQL,
     "op3_exact_topk": mtree.ORACLE_SQL,
     "op5_preference_formatting": chat.ORACLE_SQL,
