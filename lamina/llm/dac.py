@@ -208,6 +208,8 @@ def write_dac(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None =
         if not writer.doc_ids:
             system.delete_file(own)
             return
+        if system.get_file_info(name).is_file:  # an earlier attempt's, with the same content
+            system.delete_file(name)
         system.move(own, name)
         yield pa.RecordBatch.from_pydict({"part": [part], "path": [name], "tokens": [writer.total], "documents": [len(writer.doc_ids)]})
 
