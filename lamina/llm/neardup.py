@@ -35,8 +35,8 @@ MISS = 1e-6
 BLOCK = 512
 #: Shingles in a slice of a set: larger sets are compared slice by slice.
 SLICE_BITS = 17
-#: Ids of documents that may be sent to all executors at once (8 MB per million); beyond it, a shuffle.
-BROADCAST_IDS = 2_000_000
+#: Nodes (id, fingerprint) that may be sent to all executors at once, some 64 MB; beyond it, a shuffle join.
+BROADCAST_IDS = 1_000_000
 
 _rng = np.random.default_rng(20240229)
 _XOR = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)
