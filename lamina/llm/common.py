@@ -46,6 +46,15 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let the driver notice which shuffles no plan needs any more, so that executors delete their files now and
+    not when the driver happens to collect its garbage. For operators of many rounds."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def crc_mod(column: str, modulus: int) -> Column:
     """crc32 of the column as text, modulo ``modulus``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

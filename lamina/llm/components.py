@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import remove, scratch
+from lamina.llm.common import remove, scratch, sweep
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -39,4 +39,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
             )
         before, old, path = seen, path, scratch(spark, "links")
         _small_star(_large_star(current)).write.parquet(path)
+        del current
         remove(spark, old)
+        sweep(spark)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import binary_texts, materialize
+from lamina.llm.common import binary_texts, materialize, sweep
 from lamina.llm.components import connected_components
 from lamina.llm.shingles import WordHashes, shingle_set
 
@@ -304,6 +304,12 @@ def _rest(docs: DataFrame, nodes: DataFrame, rows: DataFrame, percent: int) -> D
     return materialize(_met(with_sets, "node", "component", "n", "sign", "shingles").mapInArrow(run, "a long, b long").distinct(), "links")
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: each node's link to its component's head stands for the links so far."""
+    sweep(labels.sparkSession)
+    return connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links.select("a", "b")))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """Groups of documents linked by a Jaccard similarity of at least ``percent`` / 100 of shingle sets.
 
@@ -339,19 +345,17 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     first = shared.groupBy("node").agg(F.max(F.struct("count", "head")).alias("best"))
     first = first.select(F.least("node", "best.head").alias("a"), F.greatest("node", "best.head").alias("b")).distinct()
     tried = materialize(_compared(first, nodes, percent), "compared")
-    verified = _exact(docs, nodes, tried, percent)
-    labels = connected_components(verified)
+    labels = connected_components(_exact(docs, nodes, tried, percent))
     members = groups.select("key", "node")
     pairs = materialize(_best(_mixed(members, nodes, labels), nodes, percent, 2).join(tried, ["a", "b"], "left_anti"), "best")
-    verified = verified.union(_exact(docs, nodes, pairs, percent))
-    labels = connected_components(verified)
+    labels = _joined(labels, _exact(docs, nodes, pairs, percent))
     rows = materialize(_mixed(members, nodes, labels), "mixed")
     more = _rest(docs, nodes, rows, percent)
     large = materialize(_best(rows, nodes, percent, None, (1 << SLICE_BITS) + 1), "large")
     if large.head(1):
         more = more.union(_exact(docs, nodes, large, percent))
     if more.head(1):
-        labels = connected_components(verified.union(more))
+        labels = _joined(labels, more)
 
     component = nodes.select("print", "node", "doc_id").join(labels, "node", "left").select("print", "doc_id", F.coalesce("component", "node").alias("component"))
     smallest = component.groupBy("component").agg(F.min("doc_id").alias("component_id"))
