@@ -26,6 +26,10 @@ from lamina.llm.common import binary_texts, materialize
 from lamina.llm.tokens import encoder
 
 
+#: Poured pieces that may be sent to all executors (some 80 bytes each).
+BROADCAST_PIECES = 200_000
+
+
 class CapacityTree:
     """Segment tree over remaining capacities: how many groups of open windows have each."""
 
@@ -212,5 +216,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: i
 
     loose = placed.where("sequence_id < 0").select("doc_id", "start", "length", "doc_tokens", "offset", "part", "nth")
     ids = pieces.where("ids is not null").select("part", "nth", "length", "ids")
+    if sum(x["n"] for x in intervals if x["bin"] < 0) <= BROADCAST_PIECES:
+        loose = F.broadcast(loose)  # else both sides are shuffled
     recut = loose.join(ids, ["part", "nth", "length"]).select("doc_id", "start", "length", "doc_tokens", "offset", "ids")
     return whole.unionByName(recut.mapInArrow(cut, RESULT))
