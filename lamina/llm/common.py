@@ -46,6 +46,13 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def lean(df: DataFrame) -> DataFrame:
+    """``df``, and Arrow batches of few rows from now on: texts may be long, and a batch exists in the JVM, in its
+    off-heap memory and in the worker at once."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
+    return df
+
+
 def sweep(spark: SparkSession) -> None:
     """Let the driver notice which shuffles no plan needs any more, so that executors delete their files now and
     not when the driver happens to collect its garbage. For operators of many rounds."""

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import binary_texts, scratch
+from lamina.llm.common import binary_texts, lean, scratch
 from lamina.llm.tokens import encoder
 
 MAGIC = b"LDAC"
@@ -180,7 +180,7 @@ def write_dac(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None =
     spark = docs.sparkSession
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = (
-        docs.select("doc_id", "text").where("doc_id is not null").withColumn("row", F.monotonically_increasing_id())
+        lean(docs).select("doc_id", "text").where("doc_id is not null").withColumn("row", F.monotonically_increasing_id())
         .repartitionByRange(files, "doc_id", "row")
         .sortWithinPartitions("doc_id", "row")
         .select(F.col("doc_id").cast("long").alias("doc_id"), "text")

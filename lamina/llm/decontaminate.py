@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import binary_texts, materialize, scratch
+from lamina.llm.common import binary_texts, lean, materialize, scratch
 from lamina.llm.shingles import WordHashes, shingle_hashes, shingle_set, word_hashes
 
 BINS = 64
@@ -134,7 +134,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> Data
     an empty table on either side gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
-    passes = []
+    passes, docs = [], lean(docs)
     for index in item_blocks(benchmark):
         shared = spark.sparkContext.broadcast(index)
 
@@ -156,7 +156,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> Data
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that contain no test item, with all their columns."""
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, lean(docs)
     for index in item_blocks(benchmark):
         shared = spark.sparkContext.broadcast(index)  # of bounded size; kept, as the rows are read later
 

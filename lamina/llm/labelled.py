@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import crc_mod
+from lamina.llm.common import crc_mod, lean
 
 #: Labelled rows that a classifier is fitted on, about; with fewer labelled rows, all.
 SAMPLE = 20_000
@@ -30,4 +30,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, size: int =
     if n > size:
         own = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * size / n))
     # at most about ``size`` rows of two numbers: small enough for every executor at any input
-    return docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").select("text", "y")
+    return lean(docs).select("doc_id", "text").join(F.broadcast(own), "doc_id").select("text", "y")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import binary_texts, materialize, sweep
+from lamina.llm.common import binary_texts, lean, materialize, sweep
 from lamina.llm.components import connected_components
 from lamina.llm.shingles import WordHashes, shingle_set
 
@@ -334,7 +334,7 @@ def keep_first(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, percent: int) -> DataFrame:
-    sketch = materialize(_sketch(docs), "sketch")
+    sketch = materialize(_sketch(lean(docs)), "sketch")
     grouped = sketch.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sign").alias("sign"))
     nodes = materialize(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.llm.common import binary_texts, materialize
+from lamina.llm.common import binary_texts, lean, materialize
 from lamina.llm.tokens import encoder
 
 
@@ -121,14 +121,14 @@ def plan(counts: dict[int, int], capacity: int, spare: int) -> list[dict]:
     return sorted(out, key=lambda x: (x["length"], x["first"]))
 
 
-def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
+def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, cache: int) -> DataFrame:
     """Pieces of documents: full windows and the rest, each with its rank among the pieces of its length in
     its task, and for the rests (which may be cut again) the ids."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, coder, end = TaskContext.get().partitionId(), encoder(tokenizer), end_id.to_bytes(4, "little")
+        part, coder, end = TaskContext.get().partitionId(), encoder(tokenizer, limit=cache), end_id.to_bytes(4, "little")
         seen = [0] * (capacity + 1)
         for batch in batches:
             keys = batch.column(0).to_pylist()
@@ -154,16 +154,16 @@ PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 RESULT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 1024, spare: int = 16) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 1024, spare: int = 16, cache: int = 1_500_000) -> DataFrame:
     """Pack all rows of ``docs`` (doc_id, text) into sequences of at most ``capacity`` ids.
 
     A row for each piece: doc_id, start (its document's ids before it), length, ids_crc32, doc_tokens,
     sequence_id and offset in the sequence, gapless from 0. Null text counts as empty: its only id is the end
     id. Repeated rows are packed once each; a null doc_id stays null; other columns are ignored. An empty
-    table gives no rows.
+    table gives no rows. ``cache``: words whose ids a worker keeps.
     """
     spark = docs.sparkSession
-    pieces = materialize(cut_documents(docs, tokenizer, end_id, capacity), "pieces")
+    pieces = materialize(cut_documents(lean(docs), tokenizer, end_id, capacity, cache), "pieces")
     slim = pieces.drop("ids")
     by_part = slim.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

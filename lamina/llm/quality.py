@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import binary_texts, release, windows
+from lamina.llm.common import binary_texts, lean, release, windows
 from lamina.llm.labelled import SAMPLE, held_out, labelled_sample
 
 THRESHOLD = 0.7
@@ -145,7 +145,7 @@ def score_quality(docs: DataFrame, model: QuadraticDiscriminant, threshold: floa
                 names=["doc_id", "held_out", "score", "predicted"],
             )
 
-    flagged = docs.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "text")
+    flagged = lean(docs).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "text")
     return flagged.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
@@ -160,4 +160,4 @@ def keep_good(docs: DataFrame, model: QuadraticDiscriminant, threshold: float =
             x = [statistics(t) for at in range(0, b.num_rows, 256) for t in binary_texts(texts.slice(at, 256))]
             yield b.filter(pa.array(shared.value.score(np.array(x)) >= threshold)) if x else b
 
-    return docs.mapInArrow(run, docs.schema)
+    return lean(docs).mapInArrow(run, docs.schema)

@@ -15,7 +15,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from lamina.llm.common import binary_texts, kept, release, windows
+from lamina.llm.common import binary_texts, kept, lean, release, windows
 from lamina.llm.tokens import load_tokenizer, odd_space
 
 #: Fixed value: the pre-token pattern of byte-level BPE tokenizers of this family.
@@ -85,4 +85,4 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, window: int
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return lean(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

@@ -50,7 +50,7 @@ class Encoder:
     part keeps the white space before it. The cache holds ``limit`` parts at most and starts anew when it is full.
     """
 
-    def __init__(self, path: str, words: bool = False, limit: int = 1_200_000):
+    def __init__(self, path: str, words: bool = False, limit: int = 1_500_000):
         self.tokenizer, self.words, self.limit = load_tokenizer(path), words, limit
         self.cache: dict[bytes, bytes] = {}
         self.spaced: dict[bytes, bytes] = {}
@@ -141,10 +141,11 @@ class Encoder:
         return out + self.encode_many(group)
 
 
-def encoder(path: str, words: bool = False) -> Encoder:
-    """One encoder for each worker process, so that its cache serves all the tasks it runs."""
+def encoder(path: str, words: bool = False, limit: int = 1_500_000) -> Encoder:
+    """One encoder for each worker process, so that its cache serves all the tasks it runs. A part in the cache
+    takes some 150 bytes."""
     release("encoders")
     own = kept("encoders")
-    if (path, words) not in own:
-        own[path, words] = Encoder(path, words)
-    return own[path, words]
+    if (path, words, limit) not in own:
+        own[path, words, limit] = Encoder(path, words, limit)
+    return own[path, words, limit]

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import binary_texts, materialize, release, windows
+from lamina.llm.common import binary_texts, lean, materialize, release, windows
 from lamina.llm.labelled import SAMPLE, held_out, labelled_sample
 
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -193,7 +193,7 @@ def score_toxicity(docs: DataFrame, model: FactorizationMachine, threshold: floa
                 names=["doc_id", "held_out", "score", "predicted"],
             )
 
-    flagged = docs.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "text")
+    flagged = lean(docs).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "text")
     return flagged.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
@@ -207,4 +207,4 @@ def keep_harmless(docs: DataFrame, model: FactorizationMachine, threshold: float
             rows = [shared.value.present(t) for at in range(0, b.num_rows, 256) for t in binary_texts(texts.slice(at, 256))]
             yield b.filter(pa.array(shared.value.score(rows) < threshold, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return lean(docs).mapInArrow(run, docs.schema)
