@@ -39,7 +39,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 1024 tokens."""
-    return pack_documents(docs, tokenizer_path(BYTE_BPE))
+    # workers also hold what the stages before left: a smaller cache than op6's costs time, not results
+    return pack_documents(docs, tokenizer_path(BYTE_BPE), cache=300_000)
 
 
 STAGES = [
