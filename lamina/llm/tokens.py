@@ -20,6 +20,7 @@ ODD_SPACE = re.compile(
 PART = re.compile(rb"\s*\S+|\s+")
 #: Latin letters and then punctuation: the pre-tokenizers always cut between the two.
 CLOSED = re.compile(rb"(.*(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,;:!?]+)", re.DOTALL)
+ENDS = frozenset((b".", b",", b";", b":", b"!", b"?"))
 #: With these a text isn't lower-cased ahead of the library: special tokens and combining marks.
 CASED = (b"<|", b"\xcc", b"\xcd")
 #: With these a text's white space isn't single spaces and line ends alone.
@@ -43,6 +44,17 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
+def _places(found: list) -> list[int]:
+    """Where a list has None; most entries are passed without a step in Python."""
+    out, at = [], -1
+    try:
+        while True:
+            at = found.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
+
+
 class Encoder:
     """``encode(bytes) -> bytes``: token ids as little-endian unsigned 32-bit integers.
 
@@ -90,7 +102,7 @@ class Encoder:
         return head, self.spaced, parts
 
     def _learn(self, cache: dict[bytes, bytes], missing: set[bytes]) -> None:
-        closed = {p: m.groups() for p in missing if (m := CLOSED.fullmatch(p))}
+        closed = {p: m.groups() for p in missing if p[-1:] in ENDS and (m := CLOSED.fullmatch(p))}
         order = list({a for a, _ in closed.values() if a not in cache} | (missing - closed.keys()))
         texts = [q if q[:1] == b"\n" else b" " + q for q in order] if cache is self.spaced else order
         cache.update(zip(order, self._library(texts), strict=True))
@@ -105,7 +117,7 @@ class Encoder:
         """The ids of several texts; parts that the cache lacks go to the library together."""
         cut = [None if odd_space(t) else self._parts(t) for t in texts]
         found: list[list[bytes | None] | None] = [c and list(map(c[1].get, c[2])) for c in cut]
-        gaps = [[i for i, ids in enumerate(f) if ids is None] if f and None in f else () for f in found]
+        gaps = [_places(f) if f else () for f in found]
         for cache in (self.cache, self.spaced):
             missing = {c[2][i] for c, gap in zip(cut, gaps, strict=True) if gap and c[1] is cache for i in gap}
             if missing:
