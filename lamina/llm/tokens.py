@@ -156,8 +156,8 @@ class Encoder:
 def encoder(path: str, words: bool = False, limit: int = 1_500_000) -> Encoder:
     """One encoder for each worker process, so that its cache serves all the tasks it runs. A part in the cache
     takes some 150 bytes."""
-    release("encoders")
     own = kept("encoders")
     if (path, words, limit) not in own:
+        release("encoders")
         own[path, words, limit] = Encoder(path, words, limit)
     return own[path, words, limit]
