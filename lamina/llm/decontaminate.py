@@ -5,8 +5,10 @@ document is seen as windows of twice that many positions, each overlapping the n
 that holds an item lies in one window whose size is bounded: containment in a long document becomes a Jaccard
 similarity with a lower bound that doesn't depend on the document's length. Windows and items get one
 MinHash value in each of ``BINS`` bins; agreement in any bin makes the item a candidate (bands of one row,
-which keep recall highest). Sets of at most ``SMALL`` shingles are their own signature. Every candidate is
-verified by exact containment of its shingles in the whole document.
+which keep recall highest). Sets of at most ``SMALL`` distinct shingles, and sets so small beside the window
+that this would miss more than ``MISS`` of them (short items, and long ones that repeat themselves), are their
+own signature: nothing in common with a document is overlooked. Every candidate is verified by exact
+containment of its shingles in the whole document.
 
 The items' signatures are sent to the executors in blocks of bounded size, one pass for each block.
 """
@@ -25,6 +27,8 @@ from lamina.llm.shingles import WordHashes, shingle_hashes, shingle_set, word_ha
 
 BINS = 64
 SMALL = 16
+#: Probability up to which signatures may miss an item that stands in one window.
+MISS = 1e-6
 #: Shingles of test items that one pass holds in memory (8 bytes each, and their signatures).
 BLOCK_SHINGLES = 1_000_000
 _FILTER = 1 << 20
@@ -34,11 +38,16 @@ class ItemIndex:
     """Items (id, sorted shingles, positions) with the signatures of each size partition."""
 
     def __init__(self, items: list[tuple[int, np.ndarray, int]]):
-        self.ids, self.sets = [i for i, _, _ in items], [s for _, s, _ in items]
+        self.ids, self.sets, self.positions = [i for i, _, _ in items], [s for _, s, _ in items], [p for _, _, p in items]
+        self.partition()
+
+    def partition(self, percent: int = 80) -> ItemIndex:
+        """Divide the items for a search at ``percent``."""
         partitions: dict[int, list[int]] = {}
-        for at, (_, s, positions) in enumerate(items):
+        for at, (s, positions) in enumerate(zip(self.sets, self.positions, strict=True)):
             if len(s):
-                partitions.setdefault(0 if positions <= SMALL else (positions - 1).bit_length(), []).append(at)
+                c = (positions - 1).bit_length()
+                partitions.setdefault(0 if len(s) <= SMALL or miss(len(s), 2 << c, percent) > MISS else c, []).append(at)
         self.partitions = []
         for c, members in sorted(partitions.items()):
             signs = [self.sets[m] if c == 0 else bin_minima(self.sets[m]) for m in members]
@@ -47,6 +56,7 @@ class ItemIndex:
             known = np.zeros(_FILTER, dtype=bool)
             known[(keys >> np.uint64(40)).astype(np.int64) & (_FILTER - 1)] = True
             self.partitions.append((c, keys[order], owner[order], known))
+        return self
 
     def candidates(self, h: np.ndarray) -> set[int]:
         """Items with a signature value in common with a window of the positions ``h``."""
@@ -75,6 +85,14 @@ class ItemIndex:
         return out
 
 
+def miss(shingles: int, window: int, percent: int) -> float:
+    """At most how probable it is that no bin agrees, of an item of so many distinct shingles and a window of so
+    many positions that holds ``percent`` of them: the similarity is the chance of each bin that the item fills."""
+    shared = shingles * percent / 100
+    filled = BINS * (1 - (1 - 1 / BINS) ** shingles)
+    return max(0.0, 1 - shared / (window + shingles - shared)) ** filled
+
+
 def bin_minima(s: np.ndarray) -> np.ndarray:
     """The least value in each bin that has any."""
     out = np.full(BINS, np.iinfo(np.uint64).max)
@@ -136,7 +154,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> Data
     spark = docs.sparkSession
     passes, docs = [], lean(docs)
     for index in item_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(index)
+        shared = spark.sparkContext.broadcast(index.partition(percent))
 
         def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             known, leaks = WordHashes(), _texts_leaks(shared.value, percent)
@@ -158,7 +176,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> D
     """The rows of ``docs`` that contain no test item, with all their columns."""
     spark, docs = docs.sparkSession, lean(docs)
     for index in item_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(index)  # of bounded size; kept, as the rows are read later
+        shared = spark.sparkContext.broadcast(index.partition(percent))  # of bounded size; kept, as the rows are read later
 
         def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             known, leaks = WordHashes(), _texts_leaks(shared.value, percent)

@@ -64,3 +64,17 @@ def test_odd_and_empty(spark, odd, nothing):
     assert find_leaks(nothing, bench).count() == 0
     assert find_leaks(odd, bench.where("false")).count() == 0
     assert without_leaks(odd, bench.where("false")).count() == odd.count()
+
+
+def test_items_that_repeat_themselves(spark):
+    """Few distinct shingles at many places, alone and beside others, copied whole into long documents."""
+    items = []
+    for distinct, times in ((1, 60), (5, 12), (5, 40), (5, 200), (16, 62), (17, 60), (30, 60), (60, 20)):
+        for k in range(6):
+            phrase = words(7000 + 100 * distinct + 10 * k + times, distinct, 100_000)
+            items.append((len(items), " ".join([phrase] * times)))
+    docs = [(i, f"{words(8000 + i, 5000, 100_000)} {t} {words(9000 + i, 5000, 100_000)}") for i, t in items]
+    expected = brute(docs, items)
+    assert len(expected) >= len(items)
+    frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert sorted(map(tuple, find_leaks(frame, bench).collect())) == expected
