@@ -150,7 +150,10 @@ def score_quality(docs: DataFrame, model: QuadraticDiscriminant, threshold: floa
 
 
 def keep_good(docs: DataFrame, model: QuadraticDiscriminant, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose score reaches the threshold, with all their columns."""
+    """The rows of ``docs`` whose score reaches the threshold, with all their columns; all rows if the model had
+    no labels of both classes to be fitted on."""
+    if not model.classes:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -198,7 +198,10 @@ def score_toxicity(docs: DataFrame, model: FactorizationMachine, threshold: floa
 
 
 def keep_harmless(docs: DataFrame, model: FactorizationMachine, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose score stays below the threshold, with all their columns."""
+    """The rows of ``docs`` whose score stays below the threshold, with all their columns; all rows if the model
+    found no terms to be fitted on."""
+    if not len(model.keys):
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -89,3 +89,9 @@ def test_odd_and_empty(spark, odd, nothing):
 def test_statistics_of_windows_agree():
     text = ("Some words, and lines.\n" * 70_000).encode()
     assert np.isfinite(statistics(text)).all() and np.isfinite(statistics(b"")).all()
+
+
+def test_nothing_is_rejected_without_labels(spark, odd):
+    docs, labels = tables(spark, "/root/testdata/sf0.001")
+    for fit, keep in ((fit_toxicity, keep_harmless), (fit_quality, keep_good)):
+        assert keep(odd, fit(docs, labels.where("false"))).count() == odd.count()
