@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,6 +13,10 @@ from pyspark.sql import functions as F
 
 #: Bytes that separate words: space and 0x09-0x0D. ``bytes.split()`` cuts at exactly these.
 BLANKS = b" \t\n\x0b\x0c\r"
+#: UTF-8 forms of the white space beyond space and 0x09-0x0D, and the separators 0x1C-0x1F.
+ODD_SPACE = re.compile(
+    rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,10 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession, tag: str) -> str:
     """A fresh folder name under the cluster's shared checkpoint folder.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests on one machine) a local folder stands in.
+    Only on a single machine (a local master, as in tests) does a local folder stand in where
+    ``spark.checkpoint.dir`` is unset; a cluster has to name one, as executors share nothing else.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lamina-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/lamina/{tag}-{uuid.uuid4().hex}"
@@ -32,11 +40,20 @@ def scratch(spark: SparkSession, tag: str) -> str:
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later steps restart from the files, not from
-    the lineage, when executors are lost."""
+    the lineage, when executors are lost. ``discard`` deletes the files."""
     spark = df.sparkSession
     path = scratch(spark, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._lamina_path = path
+    return back
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete the files of materialized tables that no later plan reads."""
+    for t in tables:
+        if path := getattr(t, "_lamina_path", None):
+            remove(t.sparkSession, path)
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -46,10 +63,18 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Rows and bytes of an Arrow batch, where the session doesn't say otherwise.
+BATCH_ROWS, BATCH_BYTES = "1024", str(8 << 20)
+
+
 def lean(df: DataFrame) -> DataFrame:
-    """``df``, and Arrow batches of few rows from now on: texts may be long, and a batch exists in the JVM, in its
-    off-heap memory and in the worker at once."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
+    """``df``, in a session with small Arrow batches: texts may be long, and a batch exists in the JVM, in its
+    off-heap memory and in the worker at once. Plans run after the operator has returned, so this stays an option
+    of the session; one that the caller has set is left alone."""
+    spark = df.sparkSession
+    for name, own in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        if not spark._jsparkSession.sessionState().conf().settings().containsKey(name):
+            spark.conf.set(name, own)
     return df
 
 
@@ -96,13 +121,19 @@ def binary_texts(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def _cut(data: bytes, at: int) -> bool:
+    """Whether white space begins at a place, after something that isn't white space of any kind."""
+    return data[at] in BLANKS and data[at - 1] not in BLANKS and not any(m.end() == 3 for m in ODD_SPACE.finditer(data[max(0, at - 3) : at].rjust(3, b"x")))
+
+
 def windows(data: bytes, size: int) -> Iterator[bytes]:
-    """Cut a text before white space that follows something else, at about ``size`` bytes, so that no
-    word is divided and very long texts never need memory in proportion."""
+    """Cut a text before white space that follows something else, at about ``size`` bytes, so that no word is
+    divided, no run of white space either (that of Unicode included), and very long texts never need memory in
+    proportion."""
     n, at = len(data), 0
     while n - at > size:
         cut = at + size
-        while cut < n and not (data[cut] in BLANKS and data[cut - 1] not in BLANKS):
+        while cut < n and not _cut(data, cut):
             cut += 1
         yield data[at:cut]
         at = cut

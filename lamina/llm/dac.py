@@ -9,13 +9,14 @@ the ones before every block of ``BLOCK`` bits. So token i of a file is read from
 File layout, little-endian: ``b"LDAC"``, segments, footer (JSON), footer length (uint32), ``b"LDAC"``. The
 footer has the segments' levels as ``[offset of chunks, of bitmap, of ranks, entries, bytes of a chunk]``
 and the offset of the document index: ids of documents (int64) and where each starts (uint64, one more
-than documents).
+than documents). The last ``unnamed`` documents of a file have no id.
 """
 
 from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,6 +31,8 @@ from lamina.llm.tokens import encoder
 MAGIC = b"LDAC"
 SEGMENT = 1 << 20
 BLOCK = 512
+#: Bytes of text in a file, about, unless there are fewer files then than cores.
+FILE_BYTES = 256 << 20
 #: Bits of the chunks, from the lowest level up; together they hold any unsigned 32-bit id.
 WIDTHS = (8, 8, 16)
 
@@ -57,8 +60,7 @@ class DacWriter:
         self.out, self.at, self.segments = out, 0, []
         self.pending: list[bytes] = []
         self.held = self.total = 0
-        self.doc_ids: list[int] = []
-        self.starts: list[int] = [0]
+        self.doc_ids, self.starts, self.unnamed = array("q"), array("Q", [0]), 0
         self._put(MAGIC)
 
     def _put(self, data: bytes) -> int:
@@ -80,18 +82,20 @@ class DacWriter:
             done += len(part)
         self.pending, self.held = [ids[done:].tobytes()], len(ids) - done
 
-    def add(self, doc_id: int, ids: bytes) -> None:
+    def add(self, doc_id: int | None, ids: bytes) -> None:
+        """The next document; those without an id come last."""
+        self.unnamed += doc_id is None
         self.pending.append(ids)
         self.held += len(ids) // 4
         self.total += len(ids) // 4
-        self.doc_ids.append(doc_id)
+        self.doc_ids.append(-1 if doc_id is None else doc_id)
         self.starts.append(self.total)
         self._flush(SEGMENT)
 
     def close(self) -> None:
         self._flush(1)
         index = self._put(np.array(self.doc_ids, dtype="<i8").tobytes() + np.array(self.starts, dtype="<u8").tobytes())
-        footer = json.dumps({"segment": SEGMENT, "tokens": self.total, "documents": len(self.doc_ids), "index": index, "levels": self.segments}).encode()
+        footer = json.dumps({"segment": SEGMENT, "tokens": self.total, "documents": len(self.doc_ids), "unnamed": self.unnamed, "index": index, "levels": self.segments}).encode()
         self._put(footer + len(footer).to_bytes(4, "little") + MAGIC)
 
 
@@ -143,9 +147,10 @@ class DacFile:
             where = where[more.astype(bool)]
         return out
 
-    def digests(self) -> Iterator[tuple[int, int, int, int]]:
-        """(document, its start in the file, its tokens, crc32 of its ids) in file order."""
+    def digests(self) -> Iterator[tuple[int | None, int, int, int]]:
+        """(document, its start in the file, its tokens, crc32 of its ids) in file order; None: without an id."""
         doc_ids, starts = self.documents()
+        named = len(doc_ids) - self.footer["unnamed"]
         d, crc = 0, 0
         for k in range(max(1, len(self.levels))):
             ids = self.decode_segment(k) if self.levels else np.zeros(0, np.uint32)
@@ -156,7 +161,7 @@ class DacFile:
                 crc = zlib.crc32(raw[4 * (max(a, low) - low) : 4 * (min(b, high) - low)], crc)
                 if b > high:
                     break
-                yield int(doc_ids[d]), a, b - a, crc
+                yield int(doc_ids[d]) if d < named else None, a, b - a, crc
                 d, crc = d + 1, 0
 
 
@@ -174,16 +179,18 @@ def write_dac(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None =
 
     Returns the manifest: one entry for each file, in order, with ``base``, the ids in the files before it.
     Null text counts as empty; rows with the same doc_id are separate documents in the order in which the
-    table has them; null doc_ids aren't written (they can't be addressed). Each file is written under a name
-    of its own attempt and then renamed, so lost or repeated tasks leave the same files.
+    table has them; rows with a null doc_id come after all others, without an id. An empty table gives no files.
+    The number of files follows the bytes of text (``FILE_BYTES``). Each file is written under a name of its own
+    attempt and then renamed, so lost or repeated tasks leave the same files.
     """
     spark = docs.sparkSession
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if files is None:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        files = max(-(-size // FILE_BYTES), spark.sparkContext.defaultParallelism)
+    order = [F.col("doc_id").asc_nulls_last(), F.col("row")]
     dealt = (
-        lean(docs).select("doc_id", "text").where("doc_id is not null").withColumn("row", F.monotonically_increasing_id())
-        .repartitionByRange(files, "doc_id", "row")
-        .sortWithinPartitions("doc_id", "row")
-        .select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        lean(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("row", F.monotonically_increasing_id())
+        .repartitionByRange(files, *order).sortWithinPartitions(*order).select("doc_id", "text")
     )
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,12 +201,10 @@ def write_dac(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None =
         part = context.partitionId()
         own, name = f"{root}/_attempt-{context.taskAttemptId()}", f"{root}/part-{part:06d}.dac"
         system.create_dir(root, recursive=True)
-        first, writer = None, None
         with system.open_output_stream(own) as out:
             writer = DacWriter(out)
             for batch in batches:
                 ids = batch.column(0).to_pylist()
-                first = ids[0] if first is None and ids else first
                 for at in range(0, len(ids), 256):
                     texts = binary_texts(batch.column(1).slice(at, 256))
                     for doc_id, coded in zip(ids[at : at + 256], coder.encode_documents(texts), strict=True):
@@ -233,10 +238,11 @@ def read_digests(spark, folder: str, manifest: list[dict]) -> DataFrame:
             for path, base in zip(frame["path"], frame["base"], strict=True):
                 with system.open_input_file(path) as source:
                     rows = [(d, base + a, n, c) for d, a, n, c in DacFile(source).digests()]
-                yield pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
+                columns = zip(("doc_id", "start", "n_tokens", "ids_crc32"), zip(*rows, strict=True), strict=True)
+                yield pd.DataFrame({name: pd.array(values, dtype="Int64") for name, values in columns})
 
     listed = spark.createDataFrame([(m["path"], m["base"]) for m in manifest], "path string, base long")
-    return listed.repartition(len(manifest)).mapInPandas(read, schema)
+    return listed.repartition(min(len(manifest), 10_000)).mapInPandas(read, schema)
 
 
 def token_digest(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:

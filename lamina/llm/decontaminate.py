@@ -10,7 +10,8 @@ that this would miss more than ``MISS`` of them (short items, and long ones that
 own signature: nothing in common with a document is overlooked. Every candidate is verified by exact
 containment of its shingles in the whole document.
 
-The items' signatures are sent to the executors in blocks of bounded size, one pass for each block.
+Items with the same shingles are one set. The sets' signatures are sent to the executors in blocks whose size is
+counted, one pass for each block, and one block at a time.
 """
 
 from __future__ import annotations
@@ -19,18 +20,19 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import binary_texts, lean, materialize, scratch
+from lamina.llm.common import binary_texts, discard, lean, materialize, scratch
 from lamina.llm.shingles import WordHashes, shingle_hashes, shingle_set, word_hashes
 
 BINS = 64
 SMALL = 16
 #: Probability up to which signatures may miss an item that stands in one window.
 MISS = 1e-6
-#: Shingles of test items that one pass holds in memory (8 bytes each, and their signatures).
-BLOCK_SHINGLES = 1_000_000
+#: Shingles of test items that one pass holds in memory, at most (8 bytes each, and their signatures); a single
+#: item that is larger has a pass of its own.
+BLOCK_SHINGLES = 2_000_000
 _FILTER = 1 << 20
 
 
@@ -112,10 +114,11 @@ def window_minima(h: np.ndarray, half: int) -> np.ndarray:
     return out[out < np.iinfo(np.uint64).max]
 
 
-def item_blocks(benchmark: DataFrame, block: int = BLOCK_SHINGLES) -> Iterator[ItemIndex]:
-    """Indexes over the items, each of about ``block`` shingles; rows without id or words take no part."""
+def item_sets(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """item_id and set_id of every item, and set_id, shingles, n and positions of the different sets; rows without
+    id or words take no part."""
 
-    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for b in batches:
             hashed = [shingle_hashes(word_hashes(t, known)) for t in binary_texts(b.column(1))]
@@ -126,21 +129,49 @@ def item_blocks(benchmark: DataFrame, block: int = BLOCK_SHINGLES) -> Iterator[I
             )
 
     rows = benchmark.select("item_id", "text").where("item_id is not null")
-    items = materialize(rows.mapInArrow(sets, "item_id long, shingles binary, n long, positions long"), "items").where("n > 0")
-    total = items.agg(F.sum("n")).first()[0] or 0
-    parts = max(1, -(-total // block))
-    for k in range(parts):
-        chosen = items.where(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(parts)) == k)
-        got = sorted((r.item_id, bytes(r.shingles), r.positions) for r in chosen.collect())  # about ``block`` shingles
-        if got:
-            yield ItemIndex([(i, np.frombuffer(s, dtype=np.uint64), p) for i, s, p in got])
+    hashed = rows.mapInArrow(run, "item_id long, shingles binary, n long, positions long").where("n > 0")
+    items = materialize(hashed.withColumn("print", F.sha2("shingles", 256)), "items")
+    sets = items.groupBy("print", "positions").agg(F.first("shingles").alias("shingles"), F.first("n").alias("n"))
+    sets = materialize(sets.withColumn("set_id", F.monotonically_increasing_id()), "item-sets")
+    named = items.select("item_id", "print", "positions").join(sets.select("print", "positions", "set_id"), ["print", "positions"])
+    members = materialize(named.select("item_id", "set_id"), "members")
+    discard(items)
+    return members, sets
+
+
+def set_blocks(sets: DataFrame, block: int = BLOCK_SHINGLES) -> list[tuple[int, int, int]]:
+    """(first bucket, the one after the last, buckets) of blocks that hold at most ``block`` shingles, or one bucket.
+    Sizes of buckets are counted, some eight for each block."""
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    n = max(1, -(-8 * total // block))
+    out: list[tuple[int, int, int]] = []
+    held = 0
+    for bucket, size in sorted(tuple(r) for r in sets.groupBy(_bucket(n).alias("bucket")).agg(F.sum("n").alias("size")).collect()):
+        if out and held + size <= block:
+            out[-1], held = (out[-1][0], bucket + 1, n), held + size
+        else:
+            out.append((bucket, bucket + 1, n))
+            held = size
+    return out
+
+
+def _bucket(n: int) -> Column:
+    return F.pmod(F.xxhash64("set_id"), F.lit(n))
+
+
+def item_blocks(sets: DataFrame, block: int = BLOCK_SHINGLES) -> Iterator[ItemIndex]:
+    """Indexes over the sets, one block after the other; the driver holds one at a time."""
+    for low, high, n in set_blocks(sets, block):
+        chosen = sets.where((_bucket(n) >= low) & (_bucket(n) < high))
+        got = sorted((r.set_id, bytes(r.shingles), r.positions) for r in chosen.collect())
+        yield ItemIndex([(i, np.frombuffer(s, dtype=np.uint64), p) for i, s, p in got])
 
 
 def _texts_leaks(index: ItemIndex, percent: int) -> Callable[[bytes, WordHashes], list[tuple[int, int, int]]]:
     return lambda data, known: index.leaks(shingle_hashes(word_hashes(data, known)), percent)
 
 
-LEAK = "doc_id long, item_id long, n_item long, n_shared long"
+LEAK = "doc_id long, set_id long, n_item long, n_shared long"
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
@@ -153,7 +184,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> Data
     """
     spark = docs.sparkSession
     passes, docs = [], lean(docs)
-    for index in item_blocks(benchmark):
+    members, sets = item_sets(benchmark)
+    for index in item_blocks(sets):
         shared = spark.sparkContext.broadcast(index.partition(percent))
 
         def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -163,20 +195,33 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> Data
                 for at in range(0, len(keys), 512):
                     found = [(k, *x) for k, t in zip(keys[at : at + 512], binary_texts(b.column(1).slice(at, 512)), strict=True) for x in leaks(t, known)]
                     if found:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["doc_id", "item_id", "n_item", "n_shared"])
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["doc_id", "set_id", "n_item", "n_shared"])
 
         found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, LEAK)
         passes.append(path := scratch(spark, "leaks"))
         found.write.parquet(path)
         shared.destroy()
-    return spark.read.schema(LEAK).parquet(*passes) if passes else spark.createDataFrame([], LEAK)
+    discard(sets)
+    found = spark.read.schema(LEAK).parquet(*passes) if passes else spark.createDataFrame([], LEAK)
+    return found.join(members, "set_id").select("doc_id", "item_id", "n_item", "n_shared")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that contain no test item, with all their columns."""
-    spark, docs = docs.sparkSession, lean(docs)
-    for index in item_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(index.partition(percent))  # of bounded size; kept, as the rows are read later
+    """The rows of ``docs`` that contain no test item, with all their columns.
+
+    Null and blank texts contain nothing and stay, rows with a null doc_id are judged like all others, and of
+    repeated rows all stay or none. An empty table on either side leaves ``docs`` as it is. Where the items need
+    several blocks, what a block leaves is written out before the next one, so executors hold one index.
+    """
+    spark, docs, before, source = docs.sparkSession, lean(docs), None, None
+    _, sets = item_sets(benchmark)
+    for index in item_blocks(sets):
+        if before is not None:
+            docs, old = materialize(docs, "clean"), source
+            before.destroy()
+            discard(old)
+            source = docs
+        before = shared = spark.sparkContext.broadcast(index.partition(percent))  # the last one is read later
 
         def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             known, leaks = WordHashes(), _texts_leaks(shared.value, percent)

@@ -5,7 +5,8 @@
 2. Signatures are cut into bands; nodes that agree on a band are candidates. A group of them is never
    expanded into all pairs: each node is first compared with the head of one of its groups, then with its
    best matches, and verified links become components. What is left, groups that still hold several
-   components, is compared exhaustively block by block inside the tasks.
+   components, is compared exhaustively: its nodes are dealt into blocks, and every block meets the others in
+   a task of its own.
 3. A candidate pair's signatures are compared batch by batch. After each batch the pair is dropped if the
    posterior probability that its similarity reaches the threshold is below ``MISS``.
 4. Survivors are verified exactly on full sets, and the verified links give the components.
@@ -19,11 +20,11 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import binary_texts, lean, materialize, sweep
-from lamina.llm.components import connected_components
+from lamina.llm.common import binary_texts, discard, lean, materialize, sweep
+from lamina.llm.components import connected_components, spread_join
 from lamina.llm.shingles import WordHashes, shingle_set
 
 BANDS, ROWS = 24, 5
@@ -35,6 +36,8 @@ MISS = 1e-6
 BLOCK = 512
 #: Shingles in a slice of a set: larger sets are compared slice by slice.
 SLICE_BITS = 17
+#: Nodes that a hub's set meets in one row when pairs are verified.
+STAR = 64
 #: Nodes (id, fingerprint) that may be sent to all executors at once, some 64 MB; beyond it, a shuffle join.
 BROADCAST_IDS = 1_000_000
 
@@ -102,7 +105,16 @@ def _sketch(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "text_hash", "n", "print", "sign"],
                 )
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "doc_id long, text_hash long, n long, print binary, sign binary")
+    return docs.select("doc_id", "text", _text_hash().alias("text_hash")).mapInArrow(run, "doc_id long, text_hash long, n long, print binary, sign binary")
+
+
+def _text_hash() -> Column:
+    return F.xxhash64("text")
+
+
+def _order(doc_id: str = "doc_id") -> Column:
+    """By which the first row of a group is found: ids first, null last, then the text."""
+    return F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("doc_id"), F.col("text_hash").alias("text_hash"))
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
@@ -116,34 +128,41 @@ def _bands(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "sign").mapInArrow(run, "key long, node long")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Full sets of the nodes of ``wanted`` (node, bits, doc_id, print), in ``2**bits`` slices by hash value."""
-    n = wanted.count()
-    if n <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id").select("node", "bits", "print", "text")
+def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """Full sets of the ``n`` nodes of ``wanted`` (node, bits, doc_id, text_hash, print), in ``2**bits`` slices by
+    hash value, written to files. A node's text is found by its hash, and its doc_id where it has one; of rows that
+    repeat it each task takes one."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_hash().alias("text_hash"))
+    asked = wanted.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
+    same = (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    texts = texts.join(F.broadcast(asked) if n <= BROADCAST_IDS else asked, same).select("node", "bits", "print", "text")
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known, done = WordHashes(), set()
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
                 rows: list[list] = [[], [], [], []]
                 for node, bits, print_, data in zip(*(part.column(i).to_pylist() for i in range(3)), binary_texts(part.column(3)), strict=True):
+                    if (node, bits) in done:
+                        continue
+                    done = done if len(done) < 1_000_000 else set()
                     s = shingle_set(data, known)
                     if hashlib.blake2b(s.tobytes(), digest_size=16).digest() != print_:
-                        continue  # another row with the same doc_id
+                        continue  # another text with the same hash
+                    done.add((node, bits))
                     edges = np.searchsorted(s >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if bits else [0, len(s)]
                     for k in range(1 << bits):
                         for column, value in zip(rows, (node, bits, k, s[edges[k] : edges[k + 1]].tobytes()), strict=True):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["node", "bits", "slice", "shingles"])
 
-    return texts.mapInArrow(sets, "node long, bits int, slice int, shingles binary").dropDuplicates(["node", "bits", "slice"])
+    return materialize(texts.mapInArrow(sets, "node long, bits int, slice int, shingles binary").dropDuplicates(["node", "bits", "slice"]), "sets")
 
 
 def _exact(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b; nodes) whose full sets reach the threshold."""
+    """Those of ``pairs`` (a, b; nodes, a being the one that may be in very many) whose full sets reach the
+    threshold. The set of a is sent once for each ``STAR`` others, not to every pair."""
     size = nodes.select("node", "n")
     sized = pairs.join(size.withColumnsRenamed({"node": "a", "n": "na"}), "a").join(size.withColumnsRenamed({"node": "b", "n": "nb"}), "b")
     # sets of sizes too far apart can't reach the threshold
@@ -151,24 +170,40 @@ def _exact(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) ->
     bits = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest("na", "nb").cast("double"))).cast("int") - SLICE_BITS)
     sized = materialize(sized.withColumn("bits", bits), "pairs")
     wanted = sized.select(F.col("a").alias("node"), "bits").union(sized.select(F.col("b").alias("node"), "bits")).distinct()
-    wanted = materialize(wanted.join(nodes.select("node", "doc_id", "print"), "node"), "wanted")
-    found = _sets(docs, wanted)
-    sliced = sized.withColumn("slice", F.explode(F.expr("sequence(0, shiftleft(1, bits) - 1)")))
-    left = found.withColumnsRenamed({"node": "a", "shingles": "sa"})
-    right = found.withColumnsRenamed({"node": "b", "shingles": "sb"})
-    joined = sliced.join(left, ["a", "bits", "slice"]).join(right, ["b", "bits", "slice"])
+    wanted = materialize(wanted.join(nodes.select("node", "doc_id", "text_hash", "print"), "node"), "wanted")
+    found = _sets(docs, wanted, wanted.count())
+    # a star is a hub with some STAR others, fewer if their sets are large: a hub may have too many for one task
+    stars = F.ceil(F.greatest(F.count("*") / STAR, F.sum("nb") / (1 << SLICE_BITS + 3))).cast("long")
+    hubs = materialize(sized.groupBy("a", "bits").agg(stars.alias("stars")), "hubs")
+    n, own = sized.count(), ["a", "na", "bits", "slice", "star"]
+    dealt = sized.join(F.broadcast(hubs) if n <= BROADCAST_IDS else hubs, ["a", "bits"]).withColumn("star", F.pmod(F.xxhash64("b"), "stars"))
+    sliced = materialize(dealt.withColumn("slice", F.explode(F.expr("sequence(0, shiftleft(1, bits) - 1)"))).select(*own, "b", "nb"), "sliced")
+    centers = sliced.select(*own).distinct()
+    small = n <= BROADCAST_IDS // 4
+
+    def with_sets(rows: DataFrame, node: str) -> DataFrame:
+        keyed = rows.withColumn("node", F.col(node))
+        return found.join(F.broadcast(keyed) if small else keyed, ["node", "bits", "slice"])
+
+    no = F.lit(None).cast("long")
+    hub_rows = with_sets(centers, "a").select(*own, no.alias("b"), no.alias("nb"), "shingles")
+    rows = hub_rows.union(with_sets(sliced, "b").select(*own, "b", "nb", "shingles"))
+    met = rows.groupBy(*own).agg(F.collect_list(F.struct("b", "nb", "shingles")).alias("of"))
 
     def common(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            both = [
-                len(np.intersect1d(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), assume_unique=True))
-                for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), b.column(3), pa.array(both, pa.int64())], names=["a", "b", "na", "nb", "both"])
-
-    counted = joined.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(common, "a long, b long, na long, nb long, both long")
+        for batch in batches:
+            for i in range(batch.num_rows):
+                a, na, cell = batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), batch.column(2).slice(i, 1).flatten()
+                others = list(zip(cell.field(0).to_pylist(), cell.field(1).to_pylist(), (np.frombuffer(x, dtype=np.uint64) for x in cell.field(2).to_pylist()), strict=True))
+                hub = next(x for b, _, x in others if b is None)
+                both = [(a, b, na, nb, len(np.intersect1d(hub, x, assume_unique=True))) for b, nb, x in others if b is not None]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*both, strict=True)], names=["a", "b", "na", "nb", "both"])
+
+    counted = met.select("a", "na", "of").mapInArrow(common, "a long, b long, na long, nb long, both long")
     total = counted.groupBy("a", "b", "na", "nb").agg(F.sum("both").alias("both"))
-    return materialize(total.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b"), "verified")
+    verified = materialize(total.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b"), "verified")
+    discard(sized, wanted, found, hubs, sliced)
+    return verified
 
 
 def _compared(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -188,22 +223,27 @@ def _compared(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _mixed(groups: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """key, node, n, component, head (the least component) and block of the nodes of groups that hold
+    """key, node, n, component, head (the least component), block and blocks of the nodes of groups that hold
     several components. Blocks have about BLOCK nodes or 2**SLICE_BITS shingles, whatever the group's size."""
     own = groups.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    own = own.join(nodes.select("node", "n"), "node")
+    own = materialize(own.join(nodes.select("node", "n"), "node"), "own")
     mixed = own.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("total"), F.min("component").alias("head"), F.max("component").alias("last")).where("head <> last")
     blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("total") / (1 << SLICE_BITS))).cast("long")
-    rows = own.join(mixed.select("key", "head", blocks.alias("blocks")), "key")
-    return rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).drop("blocks")
+    mixed = materialize(mixed.select("key", "head", blocks.alias("blocks")), "keys")
+    rows = spread_join(own, mixed, "key", mixed.count())
+    rows = materialize(rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")), "mixed")
+    discard(own, mixed)
+    return rows
 
 
 def _met(rows: DataFrame, *columns: str) -> DataFrame:
-    """Each block of a group's nodes (x) with each block of those outside its head's component (y)."""
+    """Each block of a group's nodes (x) with each block of those outside its head's component (y). The blocks y
+    are sent to every block x, so a large group is spread over as many keys as it has blocks."""
     packed = F.collect_list(F.struct(*columns))  # of a bounded block
-    every = rows.groupBy("key", "block").agg(packed.alias("x")).select("key", "x")
-    others = rows.where("component <> head").groupBy("key", "block").agg(packed.alias("y")).select("key", "y")
-    return every.join(others, "key").select("x", "y", "key")
+    every = rows.groupBy("key", "block").agg(packed.alias("x")).select("key", "block", "x")
+    others = rows.where("component <> head").groupBy("key", "block", "blocks").agg(packed.alias("y"))
+    others = others.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "y")
+    return every.join(others, ["key", "block"]).select("x", "y", "key")
 
 
 def _side(batch: pa.RecordBatch, column: int, row: int) -> tuple:
@@ -212,9 +252,9 @@ def _side(batch: pa.RecordBatch, column: int, row: int) -> tuple:
     return cell.field(0).to_numpy(), cell.field(1).to_numpy(), cell.field(2).to_numpy(), sign, cell
 
 
-def _best(rows: DataFrame, nodes: DataFrame, percent: int, best: int | None, least_n: int = 0) -> DataFrame:
+def _best(rows: DataFrame, nodes: DataFrame, percent: int, ranks: slice, least_n: int = 0) -> DataFrame:
     """Surviving pairs of nodes that share a group but not a component, one of them with ``least_n`` shingles:
-    for each node outside the head's component its ``best`` in a block, those with the most matches (or all)."""
+    for each node outside the head's component those of a block with these ``ranks``, most matches first."""
     bounds = least_matches(percent / 100, MISS)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,8 +266,7 @@ def _best(rows: DataFrame, nodes: DataFrame, percent: int, best: int | None, lea
                     other = np.flatnonzero((xc != component) & (np.maximum(xk, n) >= least_n))
                     left = xs[other]
                     kept = survivors(left, np.broadcast_to(sign, left.shape), bounds)
-                    if best and len(kept) > best:
-                        kept = kept[np.argsort(-(left[kept] == sign).sum(1), kind="stable")[:best]]
+                    kept = kept[np.argsort(-(left[kept] == sign).sum(1), kind="stable")[ranks]]
                     pairs.update((min(int(m), int(node)), max(int(m), int(node))) for m in xn[other[kept]])
                 if pairs:
                     a, c = zip(*sorted(pairs), strict=True)
@@ -278,8 +317,10 @@ def _rest(docs: DataFrame, nodes: DataFrame, rows: DataFrame, percent: int) -> D
     signed = small.join(nodes.select("node", "sign"), "node")
     needed = materialize(_met(signed, "node", "component", "n", "sign").mapInArrow(asked, "key long, node long").distinct(), "needed")
     small = small.join(needed, ["key", "node"], "left_semi")
-    wanted = needed.select("node").distinct().join(nodes.select("node", "doc_id", "print"), "node").withColumn("bits", F.lit(0))
-    full = _sets(docs, materialize(wanted, "wanted")).select("node", "shingles").join(nodes.select("node", "sign"), "node")
+    wanted = needed.select("node").distinct().join(nodes.select("node", "doc_id", "text_hash", "print"), "node").withColumn("bits", F.lit(0))
+    wanted = materialize(wanted, "wanted")
+    sets = _sets(docs, wanted, wanted.count())
+    full = sets.select("node", "shingles").join(nodes.select("node", "sign"), "node")
     with_sets = small.join(full, "node")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,13 +342,44 @@ def _rest(docs: DataFrame, nodes: DataFrame, rows: DataFrame, percent: int) -> D
                     a, c = zip(*links, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], names=["a", "b"])
 
-    return materialize(_met(with_sets, "node", "component", "n", "sign", "shingles").mapInArrow(run, "a long, b long").distinct(), "links")
+    links = materialize(_met(with_sets, "node", "component", "n", "sign", "shingles").mapInArrow(run, "a long, b long").distinct(), "links")
+    discard(needed, wanted, sets)
+    return links
+
+
+def _large(docs: DataFrame, nodes: DataFrame, members: DataFrame, labels: DataFrame, tried: list[DataFrame], percent: int) -> DataFrame:
+    """Components after the links of sets that are too large for a block. Nodes are compared with their best
+    matches in other components first; once these give no link any more, with those of the next ranks, until no
+    node has any left. A link between two components ends all other questions between them."""
+    low, high, own = 0, 2, []
+    while True:
+        rows = _mixed(members, nodes, labels)
+        found = _best(rows, nodes, percent, slice(low, high), (1 << SLICE_BITS) + 1)
+        asked = materialize(found, "large")
+        more = asked.head(1)
+        own.append(asked)
+        pairs = asked
+        for t in tried:
+            pairs = pairs.join(t, ["a", "b"], "left_anti")
+        links = _exact(docs, nodes, pairs, percent) if more else None
+        discard(rows)
+        if not more:
+            discard(*own)
+            return labels
+        tried = [*tried, asked]
+        if links.head(1):
+            labels, low, high = _joined(labels, links), 0, 2
+        else:
+            low, high = high, 3 * high
+        discard(links)
 
 
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Components after more links: each node's link to its component's head stands for the links so far."""
     sweep(labels.sparkSession)
-    return connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links.select("a", "b")))
+    joined = connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links.select("a", "b")))
+    discard(labels)
+    return joined
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -316,50 +388,72 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     A row for each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id (the smallest doc_id that
     can be reached over links, its own included) and kept (doc_id = component_id). Null and blank texts have
     no shingles and link with nothing; repeated rows are copies of each other; rows with one doc_id but
-    different texts are linked by their own texts; a null doc_id only has a component if it is linked with others.
-    Other columns are ignored.
+    different texts are linked by their own texts; a null doc_id only has a component if it is linked with others,
+    and is kept only without one. An empty table gives no rows. Other columns are ignored.
     """
-    return _grouped(docs, percent).drop("text_hash")
+    return _grouped(docs, percent).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def keep_first(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates of rows with a smaller doc_id, with all their columns. Of
-    repeated rows with the same doc_id and text one stays; documents without words are copies of nothing."""
-    rows = _grouped(docs, percent)
-    lost = rows.where("not kept").select(F.col("doc_id").alias("_lost_id"), F.col("text_hash").alias("_lost_hash")).distinct()
-    same = docs["doc_id"].cast("long").eqNullSafe(lost["_lost_id"]) & (F.xxhash64(docs["text"]) == lost["_lost_hash"])
-    left = docs.join(lost, same, "left_anti")
-    repeated = rows.where("n_shingles > 0").groupBy("doc_id", "text_hash").count().where("count > 1")
-    return left.dropDuplicates(["doc_id", "text"]) if repeated.head(1) else left
+    """One row of each group of near-duplicates, with all its columns.
+
+    It is the one with the smallest doc_id; among rows with that doc_id (or only null ones) and different texts,
+    one text stays, and of rows that repeat it one. Documents without words are copies of nothing: their rows all
+    stay, whatever else the table holds. Which rows of a group stay never depends on rows of other groups.
+    """
+    rows = _grouped(docs, percent).where("n_shingles > 0")
+    named = rows.groupBy("doc_id", "text_hash").agg(F.bool_or("first").alias("first"), F.count("*").alias("n")).where("not first or n > 1")
+    named = materialize(named.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash", "first": "_first"}).drop("n"), "named")
+    same = docs["doc_id"].cast("long").eqNullSafe(named["_id"]) & (F.xxhash64(docs["text"]) == named["_hash"])
+    others = docs.join(named, same, "left_anti")
+    repeated = docs.join(named.where("_first"), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return others.unionByName(repeated)
 
 
 def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id, kept, and whether it is the row that stands for its group
+    (``first``; of rows that repeat it, all)."""
     sketch = materialize(_sketch(lean(docs)), "sketch")
-    grouped = sketch.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sign").alias("sign"))
-    nodes = materialize(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    grouped = sketch.where("n > 0").groupBy("print").agg(F.min(_order()).alias("first"), F.first("n").alias("n"), F.first("sign").alias("sign"))
+    nodes = grouped.select("print", "n", "sign", "first.doc_id", "first.text_hash").withColumn("node", F.monotonically_increasing_id())
+    nodes = materialize(nodes, "nodes")
 
-    bands = _bands(nodes)
+    bands = materialize(_bands(nodes), "bands")
     heads = bands.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("node", "key"), "node")).alias("head")).where("size > 1")
-    groups = materialize(bands.join(heads.select("key", F.col("head.node").alias("head")), "key"), "groups")
+    heads = materialize(heads.select("key", F.col("head.node").alias("head")), "heads")
+    groups = materialize(spread_join(bands, heads, "key", heads.count()), "groups")
     shared = groups.where("node <> head").groupBy("node", "head").count()
     first = shared.groupBy("node").agg(F.max(F.struct("count", "head")).alias("best"))
-    first = first.select(F.least("node", "best.head").alias("a"), F.greatest("node", "best.head").alias("b")).distinct()
-    tried = materialize(_compared(first, nodes, percent), "compared")
-    labels = connected_components(_exact(docs, nodes, tried, percent))
+    first = first.select(F.col("best.head").alias("a"), F.col("node").alias("b")).distinct()
+    compared = materialize(_compared(first, nodes, percent), "compared")
+    tried = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = _exact(docs, nodes, compared, percent)
+    labels = connected_components(links)
     members = groups.select("key", "node")
-    pairs = materialize(_best(_mixed(members, nodes, labels), nodes, percent, 2).join(tried, ["a", "b"], "left_anti"), "best")
-    labels = _joined(labels, _exact(docs, nodes, pairs, percent))
-    rows = materialize(_mixed(members, nodes, labels), "mixed")
+    rows = _mixed(members, nodes, labels)
+    pairs = materialize(_best(rows, nodes, percent, slice(0, 2)).join(tried, ["a", "b"], "left_anti"), "best")
+    discard(bands, heads, links, rows)
+    links = _exact(docs, nodes, pairs, percent)
+    labels = _joined(labels, links)
+    discard(links)
+    rows = _mixed(members, nodes, labels)
     more = _rest(docs, nodes, rows, percent)
-    large = materialize(_best(rows, nodes, percent, None, (1 << SLICE_BITS) + 1), "large")
-    if large.head(1):
-        more = more.union(_exact(docs, nodes, large, percent))
     if more.head(1):
         labels = _joined(labels, more)
-
-    component = nodes.select("print", "node", "doc_id").join(labels, "node", "left").select("print", "doc_id", F.coalesce("component", "node").alias("component"))
-    smallest = component.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_print = component.join(smallest, "component").select("print", "component_id")
+    discard(rows, more)
+    if nodes.where(F.col("n") > (1 << SLICE_BITS)).head(1):
+        labels = _large(docs, nodes, members, labels, [tried, pairs], percent)
+
+    component = nodes.join(labels, "node", "left").select("print", "doc_id", "text_hash", F.coalesce("component", "node").alias("component"))
+    component = materialize(component, "members")
+    smallest = materialize(component.groupBy("component").agg(F.min(_order()).alias("least")), "least")
+    n = nodes.count()
+    of_print = materialize(spread_join(component.select("print", "component"), smallest, "component", n).select("print", "least"), "prints")
     rows = sketch.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("print")).alias("print"))
-    found = rows.join(of_print, "print", "left").select("doc_id", "text_hash", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return materialize(found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "groups")
+    found = rows.join(of_print, "print", "left").select(
+        "doc_id", "text_hash", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        (F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))).alias("first"),
+    )
+    result = materialize(found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "groups")
+    discard(sketch, nodes, groups, compared, pairs, labels, component, smallest, of_print)
+    return result

@@ -34,14 +34,15 @@ CLASSES = {
 _MEMBER = np.array([m for m in CLASSES.values()], dtype=float)
 
 
-def statistics(data: bytes) -> np.ndarray:
+def statistics(data: bytes, window: int = 1 << 20) -> np.ndarray:
     """Transformed statistics of one text; of an empty text, zeros and the values that shares of nothing have.
 
-    Words of very long texts are counted a window at a time, with distinct words as hashes.
+    Words of very long texts are counted a window at a time, with distinct words as hashes; the last word and the
+    unfinished line of a window go on in the next, so the size of windows changes nothing.
     """
-    counts, words, distinct, letters, squares, repeats, ending = np.zeros(256), 0, set(), 0, 0, 0, 0
-    lines, distinct_lines = 0, set()
-    for part in windows(data, 1 << 20):
+    counts, words, distinct, letters, squares, repeats = np.zeros(256), 0, set(), 0, 0, 0
+    lines, distinct_lines, line, last = 1, set(), b"", None
+    for part in windows(data, window):
         counts += np.bincount(np.frombuffer(part, dtype=np.uint8), minlength=256)
         w = part.split()
         sizes = np.fromiter(map(len, w), dtype=np.int64, count=len(w))
@@ -49,11 +50,18 @@ def statistics(data: bytes) -> np.ndarray:
         letters += int(sizes.sum())
         squares += int((sizes**2).sum())
         h = np.fromiter(map(hash, w), dtype=np.int64, count=len(w))
-        repeats += int((h[1:] == h[:-1]).sum())
+        repeats += int((h[1:] == h[:-1]).sum()) + (len(h) > 0 and int(h[0]) == last)
+        last = int(h[-1]) if len(h) else last
         distinct.update(h.tolist())
-        ll = part.split(b"\n")
-        lines += len(ll)
-        distinct_lines.update(map(hash, ll))
+        first, *more = part.split(b"\n")
+        lines += len(more)
+        if more:
+            distinct_lines.add(hash(line + first))
+            distinct_lines.update(map(hash, more[:-1]))
+            line = more[-1]
+        else:
+            line += first
+    distinct_lines.add(hash(line))
     n, m = max(1.0, float(counts.sum())), max(1, words)
     share = _MEMBER @ counts / n
     mean = letters / m
@@ -111,7 +119,8 @@ class QuadraticDiscriminant:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QuadraticDiscriminant:
-    """Fit on a bounded sample of labelled rows; the driver gets their statistics, not texts."""
+    """Fit on a bounded sample of labelled documents (``labelled_sample`` says what counts as which label); the
+    driver gets their statistics, not texts. Without documents of both labels every score is the prior."""
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
@@ -151,7 +160,11 @@ def score_quality(docs: DataFrame, model: QuadraticDiscriminant, threshold: floa
 
 def keep_good(docs: DataFrame, model: QuadraticDiscriminant, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose score reaches the threshold, with all their columns; all rows if the model had
-    no labels of both classes to be fitted on."""
+    no labels of both classes to be fitted on.
+
+    Null text counts as empty, rows with a null doc_id are judged like all others, of repeated rows all stay or
+    none, and an empty table stays empty.
+    """
     if not model.classes:
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -36,9 +36,9 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from lamina.llm.chat import format_preferences, sides_by_number
+    from lamina.llm.chat import format_preferences, pairs_by_last_answer
 
-    return format_preferences(sides_by_number(table(spark, sf_dir, "conversations")))
+    return format_preferences(pairs_by_last_answer(table(spark, sf_dir, "conversations")))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,12 +11,8 @@ from __future__ import annotations
 import os
 import re
 
-from lamina.llm.common import kept, release, windows
+from lamina.llm.common import ODD_SPACE, kept, release, windows
 
-#: UTF-8 forms of the white space beyond space and 0x09-0x0D, and the separators 0x1C-0x1F.
-ODD_SPACE = re.compile(
-    rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
-)
 PART = re.compile(rb"\s*\S+|\s+")
 #: Latin letters and then punctuation: the pre-tokenizers always cut between the two.
 CLOSED = re.compile(rb"(.*(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,;:!?]+)", re.DOTALL)

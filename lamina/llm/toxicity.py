@@ -80,48 +80,63 @@ class FactorizationMachine:
             self.words = Words(self.index_of_word)
         return sorted(terms(data, self.words))
 
-    def logit(self, x: np.ndarray) -> np.ndarray:
-        xv = x @ self.v
-        return self.bias + x @ self.w + 0.5 * ((xv**2).sum(1) - (x**2 @ self.v**2).sum(1))
-
-    def dense(self, rows: list[list[int]]) -> np.ndarray:
-        x = np.zeros((len(rows), len(self.keys)))
-        for r, at in zip(x, rows, strict=True):
-            if len(at):
-                r[at] = len(at) ** -0.75
-        return x
-
-    def score(self, rows: list[list[int]]) -> np.ndarray:
+    def logit(self, rows: list) -> np.ndarray:
+        """Of texts given by the terms present in each: sums over these terms, no matrix of all terms."""
+        sizes, at, starts = _laid_out(rows)
+        if not len(at):
+            return np.full(len(rows), self.bias)
+        some, out = sizes > 0, np.full(len(rows), self.bias)
+        x = sizes[some] ** -0.75
+        w, v, squares = (np.add.reduceat(a[at], starts[some]) for a in (self.w, self.v, (self.v**2).sum(1)))
+        out[some] += x * w + 0.5 * x * x * ((v**2).sum(1) - squares)
+        return out
+
+    def score(self, rows: list) -> np.ndarray:
         """Scores of texts given by the terms present in each."""
-        if not len(self.keys):
-            return np.full(len(rows), 1 / (1 + np.exp(-self.bias)))
-        out = [self.logit(self.dense(rows[i : i + 256])) for i in range(0, len(rows), 256)]
-        return 1 / (1 + np.exp(-np.clip(np.concatenate(out), -40, 40))) if out else np.zeros(0)
+        return 1 / (1 + np.exp(-np.clip(self.logit(rows), -40, 40)))
 
-    def fit(self, rows: list[list[int]], y: np.ndarray, epochs: int = 30, batch: int = 512, rate: float = 0.05, decay: float = 1e-5, seed: int = 11) -> None:
+    def fit(self, rows: list, y: np.ndarray, epochs: int = 30, batch: int = 512, rate: float = 0.05, decay: float = 1e-5, seed: int = 11) -> None:
         """Adam on the logistic loss."""
         mean = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.5
         self.bias = float(np.log(mean / (1 - mean)))
         if not len(self.keys):
             return
-        rng, step = np.random.default_rng(seed), 0
-        params = [np.array([self.bias]), self.w, self.v]
+        rng, step, n = np.random.default_rng(seed), 0, len(self.keys)
+        bias = np.array([self.bias])
+        params = [bias, self.w, self.v]
         moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
         for _ in range(epochs):
             order = rng.permutation(len(y))
-            for at in range(0, len(y), batch):
-                pick = order[at : at + batch]
-                x = self.dense([rows[i] for i in pick])
-                xv = x @ self.v
-                z = params[0][0] + x @ self.w + 0.5 * ((xv**2).sum(1) - (x**2 @ self.v**2).sum(1))
+            for first in range(0, len(y), batch):
+                pick = order[first : first + batch]
+                sizes, at, starts = _laid_out([rows[i] for i in pick])
+                some = sizes > 0
+                x = np.zeros(len(pick))
+                x[some] = sizes[some] ** -0.75
+                v, sums = self.v[at], np.zeros((len(pick), self.v.shape[1]))
+                z = np.full(len(pick), bias[0])
+                if len(at):
+                    sums[some] = np.add.reduceat(v, starts[some])
+                    z[some] += x[some] * np.add.reduceat(self.w[at], starts[some])
+                    z[some] += 0.5 * x[some] ** 2 * ((sums[some] ** 2).sum(1) - np.add.reduceat((v**2).sum(1), starts[some]))
                 g = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[pick]) / len(pick)
-                grads = [np.array([g.sum()]), x.T @ g + decay * self.w, x.T @ (g[:, None] * xv) - self.v * (x.T**2 @ g)[:, None] + decay * self.v]
+                owner = np.repeat(np.arange(len(pick)), sizes)
+                own = (g * x * x)[owner][:, None] * (sums[owner] - v)
+                dv = np.stack([np.bincount(at, own[:, f], n) for f in range(own.shape[1])], axis=1)
+                grads = [np.array([g.sum()]), np.bincount(at, (g * x)[owner], n) + decay * self.w, dv + decay * self.v]
                 step += 1
                 for p, d, (m, s) in zip(params, grads, moments, strict=True):
                     m += 0.1 * (d - m)
                     s += 0.001 * (d * d - s)
                     p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)
-        self.bias = float(params[0][0])
+        self.bias = float(bias[0])
+
+
+def _laid_out(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes of rows of terms, all their terms one after the other, and where each row begins."""
+    sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
+    at = np.concatenate([np.asarray(r, dtype=np.int64) for r in rows]) if len(rows) else np.zeros(0, np.int64)
+    return sizes, at, np.concatenate(([0], np.cumsum(sizes)))[:-1].astype(np.int64)
 
 
 def term_scores(sampled: DataFrame, n1: int, n0: int) -> DataFrame:
@@ -147,7 +162,9 @@ def term_scores(sampled: DataFrame, n1: int, n0: int) -> DataFrame:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_terms: int = 4096, least_z: float = 3.0) -> FactorizationMachine:
-    """Fit on a bounded sample of labelled rows; the driver gets the chosen terms that each has."""
+    """Fit on a bounded sample of labelled documents (``labelled_sample`` says what counts as which label); the
+    driver gets the chosen terms that each has. Without documents of both labels there are no terms, and every
+    score is the share of toxic ones in the sample, or a half."""
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(terms_of_word)
@@ -199,7 +216,11 @@ def score_toxicity(docs: DataFrame, model: FactorizationMachine, threshold: floa
 
 def keep_harmless(docs: DataFrame, model: FactorizationMachine, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose score stays below the threshold, with all their columns; all rows if the model
-    found no terms to be fitted on."""
+    found no terms to be fitted on.
+
+    Null and empty texts have the score of no evidence, rows with a null doc_id are judged like all others, of
+    repeated rows all stay or none, and an empty table stays empty.
+    """
     if not len(model.keys):
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)

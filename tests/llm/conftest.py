@@ -9,8 +9,8 @@ def words(seed: int, n: int, size: int = 400) -> str:
     return " ".join(f"w{r.randrange(size)}" for _ in range(n))
 
 
-#: Null and blank texts, a long text, copies, a near copy, repeated rows, repeated ids, a null id.
-LONG = words(1, 60_000)
+#: Null and blank texts, a text of over a megabyte with white space of several kinds, copies, a near copy, repeated rows, repeated ids, a null id.
+LONG = words(1, 260_000).replace(" w7 ", " \u00a0 w7\u2003 ").replace(" w8 ", "\n\u00a0w8\u3000\n ")
 BASE = words(2, 200)
 NEAR = BASE.replace(BASE.split()[100], "changed", 1)
 ROWS = [

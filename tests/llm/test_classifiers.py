@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
+from lamina.llm.labelled import labelled_sample
 from lamina.llm.quality import QuadraticDiscriminant, fit_quality, keep_good, score_quality, statistics
 from lamina.llm.toxicity import FactorizationMachine, fit_toxicity, keep_harmless, score_toxicity
 
@@ -52,9 +53,10 @@ def test_machine_learns_a_pair():
     rows = [np.flatnonzero(p) for p in present]
     model.fit(rows, y, epochs=60)
     assert auc(y, model.score(rows)) > 0.99
-    x = model.dense(rows[:5])
+    rows = [*rows[:5], np.zeros(0, int), rows[6]]
+    x = np.array([np.isin(np.arange(6), r) * max(1, len(r)) ** -0.75 for r in rows])
     pairs = [sum(model.v[i] @ model.v[j] * r[i] * r[j] for i in range(6) for j in range(i)) for r in x]
-    assert model.logit(x) == pytest.approx(model.bias + x @ model.w + pairs)
+    assert model.logit(rows) == pytest.approx(model.bias + x @ model.w + pairs)
 
 
 def test_discriminant_is_the_posterior():
@@ -87,8 +89,20 @@ def test_odd_and_empty(spark, odd, nothing):
 
 
 def test_statistics_of_windows_agree():
-    text = ("Some words, and lines.\n" * 70_000).encode()
+    text = ("Some words, and lines lines.\nwords\n\n" * 300 + "a last line " * 40).encode()
     assert np.isfinite(statistics(text)).all() and np.isfinite(statistics(b"")).all()
+    for window in (7, 100, 1000):
+        assert statistics(text, window) == pytest.approx(statistics(text))
+
+
+def test_sample_has_each_document_once(spark):
+    docs = spark.createDataFrame([(0, f"text {i % 7}") for i in range(3000)] + [(i, f"doc {i}") for i in range(1, 200)] + [(None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 3 if i % 11 else None) for i in range(200)] + [(1, 0), (None, 1)], "doc_id long, toxic int")
+    got = labelled_sample(docs.repartition(5), labels, "toxic", 1000).collect()
+    free = [i for i in range(200) if i % 11 and zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sorted(r.text for r in got) == sorted(f"doc {i}" for i in free)
+    assert {r.text: r.y for r in got} == {f"doc {i}": int(i % 3 > 0) for i in free}
+    assert labelled_sample(docs, spark.createDataFrame([(0, 1)], "doc_id long, toxic int"), "toxic", 5).count() == 1
 
 
 def test_nothing_is_rejected_without_labels(spark, odd):

@@ -2,7 +2,7 @@
 
 import random
 
-from lamina.llm.decontaminate import find_leaks, item_blocks, without_leaks
+from lamina.llm.decontaminate import find_leaks, item_blocks, item_sets, set_blocks, without_leaks
 from tests.llm.conftest import LONG, words
 
 
@@ -51,10 +51,26 @@ def test_against_brute_force(spark):
 
 def test_blocks_of_items(spark, monkeypatch):
     docs, items = material()
-    monkeypatch.setattr("lamina.llm.decontaminate.item_blocks", lambda b: item_blocks(b, 500))
+    monkeypatch.setattr("lamina.llm.decontaminate.item_blocks", lambda s: item_blocks(s, 500))
     frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
-    assert len(list(item_blocks(bench, 500))) > 3
+    _, sets = item_sets(bench)
+    blocks = list(item_blocks(sets, 500))
+    assert len(blocks) > 3 and len({i for b in blocks for i in b.ids}) == sets.count()
     assert sorted(map(tuple, find_leaks(frame, bench).collect())) == brute(docs, items)
+    kept = sorted(r.doc_id for r in without_leaks(frame, bench).collect())
+    assert kept == sorted({d for d, _ in docs} - {x[0] for x in brute(docs, items)})
+
+
+def test_what_the_driver_collects_is_bounded(spark):
+    """Repeated items are one set; blocks hold what was counted, or a single bucket."""
+    rows = [(i, words(1, 20, 1000)) for i in range(3000)] + [(5000 + i, words(10 + i, 40, 1000)) for i in range(50)]
+    _, sets = item_sets(spark.createDataFrame(rows, "item_id long, text string"))
+    assert sets.count() == 51
+    for low, high, n in set_blocks(sets, 200):
+        held = [r.n for r in sets.selectExpr("n", f"pmod(xxhash64(set_id), {n}) b").where(f"b >= {low} and b < {high}").collect()]
+        assert sum(held) <= 200 or high == low + 1
+    found = find_leaks(spark.createDataFrame([(1, words(1, 20, 1000))], "doc_id long, text string"), spark.createDataFrame(rows, "item_id long, text string"))
+    assert found.count() == 3000
 
 
 def test_odd_and_empty(spark, odd, nothing):

@@ -7,7 +7,7 @@ import pytest
 
 from lamina.llm import neardup
 from lamina.llm.components import connected_components
-from tests.llm.conftest import ROWS, words
+from tests.llm.conftest import BASE, NEAR, ROWS, words
 
 
 def shingles(text):
@@ -86,6 +86,34 @@ def test_odd_and_empty(spark, odd, nothing):
     assert neardup.keep_first(nothing).count() == 0
 
 
+def test_kept_rows_never_depend_on_other_groups(spark):
+    rows = [(1, ""), (1, ""), (2, None), (2, None), (3, "a b c d e f"), (None, " "), (None, " ")]
+    kept = lambda r: sorted((x.doc_id or 0, x.text or "") for x in neardup.keep_first(spark.createDataFrame(r, "doc_id long, text string")).collect())
+    assert kept(rows) == kept([*rows, rows[4]]) == kept([*rows, (4, "A b  c d e f")]) == sorted((i or 0, t or "") for i, t in rows)
+
+
+def test_rows_without_id_or_with_one_id(spark):
+    """Near copies are linked whatever their ids are, and one row of them stays."""
+    near = [BASE, NEAR, BASE.replace(BASE.split()[50], "other", 1)]
+    frame = lambda ids: spark.createDataFrame(list(zip(ids, near, strict=True)), "doc_id long, text string").repartition(2)
+    assert [r.doc_id for r in neardup.keep_first(frame([None, 7, None])).collect()] == [7]
+    assert result(frame([None, 7, None]), 80) == [(-1, 196, 7), (-1, 196, 7), (7, 196, 7)]
+    assert neardup.keep_first(frame([None, None, None])).count() == 1
+    assert neardup.keep_first(frame([3, 3, 3])).count() == 1
+    # two near copies without an id that only a third text joins
+    far = " ".join(w if k % 17 else f"x{k}" for k, w in enumerate(BASE.split()))
+    assert neardup.near_duplicates(spark.createDataFrame([(None, BASE), (None, BASE), (9, far)], "doc_id long, text string")).where("component_id is null").count() == 2
+
+
+def test_scratch_is_removed(spark, odd):
+    import pathlib
+
+    base = pathlib.Path(spark.sparkContext.getConf().get("spark.checkpoint.dir").removeprefix("file://")) / "lamina"
+    before = set(base.iterdir()) if base.exists() else set()
+    neardup.near_duplicates(odd).collect()
+    assert [p.name.split("-")[0] for p in set(base.iterdir()) - before] == ["groups"]
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(0)
     for share in (0.5, 0.85, 0.95):

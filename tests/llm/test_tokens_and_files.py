@@ -43,6 +43,19 @@ def test_windows_join_to_the_text():
         data = (t * 5).encode()
         parts = list(windows(data, 7))
         assert b"".join(parts) == data
+        assert not any(p.decode()[-1:].isspace() for p in parts[:-1])
+
+
+def test_windows_change_no_tokens():
+    """White space of all kinds beside the places where texts are cut."""
+    library = load_tokenizer(tokenizer_path(BYTE_BPE))
+    coder, counter = Encoder(tokenizer_path(BYTE_BPE)), Counter(tokenizer_path(BYTE_BPE))
+    r = random.Random(8)
+    for _ in range(1500):
+        t = "".join(r.choice(["a", "bc", "é", " ", "  ", "\n", "\u00a0", "\u2003", "\u3000", "\x85", "\x1d", "\t", "."]) for _ in range(40))
+        expected = library.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(coder.encode_documents([t.encode()], window=8)[0], "<u4").tolist() == expected, repr(t)
+        assert sum(map(counter.count, windows(t.encode(), 8))) == len(expected), repr(t)
 
 
 class Bytes(io.BytesIO):
@@ -57,7 +70,7 @@ class Bytes(io.BytesIO):
 def test_format(most, monkeypatch):
     monkeypatch.setattr("lamina.llm.dac.SEGMENT", 1000)
     rng = np.random.default_rng(1)
-    docs = [(i, rng.integers(0, most, n, dtype=np.uint64).astype("<u4")) for i, n in enumerate([0, 1, 700, 2500, 0, 3, 999])]
+    docs = [(i, rng.integers(0, most, n, dtype=np.uint64).astype("<u4")) for i, n in zip([-5, 0, 7, 7, 9, None, None], [0, 1, 700, 2500, 0, 3, 999], strict=True)]
     out = Bytes()
     writer = DacWriter(out)
     for i, ids in docs:
@@ -67,7 +80,7 @@ def test_format(most, monkeypatch):
     assert [file.get(i) for i in range(0, len(all_ids), 7)] == all_ids[::7].tolist()
     assert np.concatenate([file.decode_segment(k) for k in range(len(file.levels))]).tolist() == all_ids.tolist()
     starts = np.cumsum([0] + [len(ids) for _, ids in docs])
-    assert list(file.digests()) == [(i, int(starts[i]), len(ids), zlib.crc32(ids.tobytes())) for i, ids in docs]
+    assert list(file.digests()) == [(i, int(starts[k]), len(ids), zlib.crc32(ids.tobytes())) for k, (i, ids) in enumerate(docs)]
     with pytest.raises(IndexError):
         file.get(len(all_ids))
 
@@ -79,9 +92,11 @@ def test_empty_file():
 
 
 def test_digest_of_odd_rows(odd):
-    got = sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in token_digest(odd, tokenizer_path(WORD_BPE), 2).collect())
+    rows = [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in token_digest(odd, tokenizer_path(WORD_BPE), 2).collect()]
+    got = sorted(rows, key=lambda r: r[1])
+    assert [r[0] for r in got] == sorted((i for i, _ in ROWS if i is not None)) + [None]  # without an id: last
     library = load_tokenizer(tokenizer_path(WORD_BPE))
-    coded = {i: [library.encode(t or "", add_special_tokens=False).ids + [2] for j, t in ROWS if j == i] for i, _ in ROWS if i is not None}
+    coded = {i: [library.encode(t or "", add_special_tokens=False).ids + [2] for j, t in ROWS if j == i] for i, _ in ROWS}
     assert len(got) == sum(map(len, coded.values()))
     at = 0
     for doc_id, start, n, crc in got:
