@@ -93,21 +93,31 @@ def note_reference(c: Column) -> Column:
     return F.coalesce(F.regexp_extract(c, r"\[Notes? (\(\d+\))", 1), F.lit(""))
 
 
-#: What one value looks like: a number with thousands, a dual unit, a fraction, a range or a coded absence.
-VALUE = r"^(?:[<>]?[-+]?\d[\d,]*(?:\.\d+)?(?:[A-Z])?|\d+/\d+|\d[\d.]*[-–]\d[\d.]*|NP|SPT|\.\.\.)$"
+#: What stays one word although it is printed with spaces (thousands with their unit in brackets, a
+#: number with its unit, a whole number with a fraction, a rule of the form ``8 x C to 1.0``, a spaced ellipsis).
+TOGETHER = (
+    r"\d{1,3}(?:\s\d{3})+(?:\s*\[[^\]]*\])?",
+    r"\d[\d.,]*\s*\[[^\]]*\]",
+    r"\d+\s+\d+\s*[⁄/]\s*\d+",
+    r"(?i:\d+\s*[×x]\s*[A-Z]{1,2}\s+to\s+[\d.]+)",
+    r"\.\s*\.\s*\.",
+)
+#: What one value looks like: a number with thousands, unit and note letters; a range; an ellipsis.
+NUMBER_VALUE = r"[−–—+-]?\d[\d.,\s]*(?:\[[^\]]*\])?[A-Za-z]{0,3}"
+RANGE_VALUE = r"[−–—+-]?\d[\d.,]*\s*[–—-]\s*\d[\d.,]*[A-Za-z]{0,3}"
+ELLIPSIS_VALUE = r"\.\s*\.\s*\."
+VALUE = f"^(?:{NUMBER_VALUE}|{RANGE_VALUE}|{ELLIPSIS_VALUE})$"
+#: A word of a printed row.
+TOKEN = f"(?:{'|'.join(TOGETHER)}|\\S)+"
 
 
 def tokens(c: Column) -> Column:
     """Words of a printed row, where ``48 000 [330]``, ``1 1/2`` and the like stay one word."""
-    guarded = F.regexp_replace(c, r"(?<=\d) (?=\d{3}(?:\D|$))", "\u0001")
-    guarded = F.regexp_replace(guarded, r"(?<=\d) (?=\[\d)", "\u0001")
-    guarded = F.regexp_replace(guarded, r"(?<=\d) (?=\d/\d)", "\u0001")
-    parts = F.split(F.coalesce(squeeze(guarded), F.lit("")), " ")
-    return F.transform(F.filter(parts, lambda x: x != ""), lambda x: F.translate(x, "\u0001", " "))
+    return F.regexp_extract_all(F.coalesce(squeeze(c), F.lit("")), F.lit(TOKEN), F.lit(0))
 
 
 def is_value(token: Column) -> Column:
-    return token.rlike(VALUE)
+    return F.trim(token).rlike(VALUE)
 
 
 def trailing_values(words: Column) -> Column:
@@ -179,12 +189,16 @@ def is_ellipsis(c: Column) -> Column:
     return F.trim(c).rlike(r"^(?:\.{3,}|…|(?:\. ){2,}\.)$")
 
 
+#: A qualifier, with the letters of notes that are printed against it (``maxC``).
+QUALIFIER = r"\b(max|min)(?:imum)?[A-Z]{0,3}\b"
+
+
 def label_and_qualifier(c: Column) -> Column:
-    """A label without brackets and end marks, and whether it says maximum or minimum."""
-    bare = F.regexp_replace(F.regexp_replace(c, r"\[[^\]]*\]|\([^)]*\)", " "), r"[,;:.]+\s*$", "")
-    found = F.lower(F.regexp_extract(bare, r"(?i)\b(max|min)(?:imum)?\b", 1))
-    label = F.regexp_replace(bare, r"(?i),?\s*\b(?:max|min)(?:imum)?\b\.?", " ")
-    return F.struct(squeeze(F.regexp_replace(squeeze(label), r"[,;:]\s*$", "")).alias("label"), F.nullif(found, F.lit("")).alias("qualifier"))
+    """A label without brackets and punctuation, and the first qualifier that it has: max or min."""
+    bare = F.regexp_replace(F.coalesce(c, F.lit("")), r"\[[^\]]*\]|\([^)]*\)", " ")
+    found = F.lower(F.regexp_extract(bare, f"(?i){QUALIFIER}", 1))
+    rest = F.regexp_replace(bare, f"(?is)^(.*?){QUALIFIER}", "$1 ")
+    return F.struct(F.coalesce(squeeze(F.regexp_replace(rest, r"[,:;.]+", " ")), F.lit("")).alias("label"), F.nullif(found, F.lit("")).alias("qualifier"))
 
 
 def note_mark(c: Column) -> Column:
@@ -247,3 +261,114 @@ def unique_names(names: list[str]) -> list[str]:
             k, own = k + 1, f"{base}_{k + 1}"
         out.append(own)
     return out
+
+
+# ---- titles and names of documents ----
+
+
+#: Words after a composition that aren't part of it, and the two spellings of one nickel steel.
+STEEL_WORDS = r"(?i)\s*\bsteels?\b|\s*\balloys?\b"
+
+
+def compositions_of(title: Column) -> Column:
+    """Keys of the compositions that a column's title names (``12Cr, 12Cr-1Al, and 13Cr Steels`` has three), in
+    the order in which they are printed. Numbered groups name none."""
+    bare = F.regexp_replace(F.regexp_replace(title, r"(?i)^coefficients for\s+|\([^)]*\)|\[[^\]]*\]", " "), r"\s+[ABC]\s*$", "")
+    named = F.regexp_replace(bare, r"(\d+)\s*%\s*Nickel", "$1Ni")
+    parts = F.split(F.regexp_replace(named, STEEL_WORDS, " "), r"\s*,\s*(?:and\s+)?|\s+and\s+")
+    keys = F.transform(parts, lambda x: composition_key(x))
+    return F.filter(keys, lambda k: k.rlike(r"^\d+(?:\.\d+)?[A-Z]"))
+
+
+def condition_of(title: Column) -> Column:
+    """What a title says in parentheses about its column, numbered groups aside; null if nothing."""
+    found = F.regexp_extract_all(title, F.lit(r"\(([^)]*)\)"), F.lit(1))
+    said = F.filter(found, lambda x: ~x.rlike(r"(?i)^(?:group \d+|note)") & ~x.rlike(r"^\d+$"))
+    return F.get(said, F.lit(0))
+
+
+def treatment_of(title: Column) -> Column:
+    """The number of the heat treatment that a title names, else null."""
+    return F.nullif(F.regexp_extract(title, r"Condition\s+H?(\d+)", 1), F.lit(""))
+
+
+def series_label(title: Column) -> Column:
+    """Name of the group that a title's B column holds: its numbered group, else its text; null for other columns
+    and for a bare letter."""
+    bare = F.regexp_replace(title, r"\s*\[[^\]]*\]", "")
+    body = F.regexp_extract(bare, r"^(.*\S)\s+B$", 1)
+    group = F.regexp_extract(body, r"\((Group \d+)\)", 1)
+    return F.when(body != "", F.when(group != "", group).otherwise(body))
+
+
+def field_name(title: Column) -> Column:
+    """Snake-case key of a printed header, without its bracketed notes."""
+    return F.trim(F.regexp_replace(F.lower(F.regexp_replace(title, r"\[[^\]]*\]", "")), r"[^a-z0-9]+", "_"), F.lit("_"))
+
+
+def designations(names: list[Column], title: Column) -> Column:
+    """Loose forms under which a document may be named: its names, what its title has before `` - ``, and the parts
+    of these between slashes and commas."""
+    head = F.when(title.contains(" - "), F.split_part(title, F.lit(" - "), F.lit(1)))
+    every = F.filter(F.array(*[F.trim(n) for n in names], F.trim(head)), lambda x: F.coalesce(x, F.lit("")) != "")
+    parts = F.filter(F.flatten(F.transform(every, lambda x: F.split(x, "[/,]"))), lambda x: F.length(F.trim(x)) > 3)
+    return F.array_distinct(F.filter(F.transform(F.concat(every, parts), plain), lambda x: x != ""))
+
+
+def plain(c: Column) -> Column:
+    """Capitals without white space."""
+    return F.upper(unspaced(c))
+
+
+def printed_numbers(page: Column) -> Column:
+    """Numbers of up to four digits in the first two and the last two lines of a page: one of them is its folio."""
+    lines = F.filter(F.transform(F.split(F.coalesce(page, F.lit("")), "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    ends = F.concat(F.slice(lines, 1, 2), F.slice(lines, F.greatest(F.size(lines) - 1, F.lit(1)), F.lit(2)))
+    found = F.flatten(F.transform(ends, lambda x: F.regexp_extract_all(x, F.lit(r"\b(\d{1,4})\b"), F.lit(1))))
+    return F.array_sort(F.array_distinct(F.transform(found, lambda x: x.cast("int"))))
+
+
+def file_prefix(specification: Column, title: Column) -> Column:
+    """How a document's file name begins: its specification, or its title, in small letters and digits."""
+    name = F.coalesce(F.split_part(F.nullif(specification, F.lit("")), F.lit(" - "), F.lit(1)), title, F.lit(""))
+    return F.trim(F.regexp_replace(F.lower(name), "[^a-z0-9]+", "_"), F.lit("_"))
+
+
+# ---- raw rows of recognised pages ----
+
+
+def is_header_row(html: Column) -> Column:
+    """A row of header cells, which every page of a table repeats."""
+    return F.coalesce(html.contains("<th"), F.lit(False))
+
+
+def is_group_row(cells: Column, html: Column) -> Column:
+    """A heading within a table: one spanning cell, or a first cell with nothing beside it."""
+    filled = F.get(cells, F.lit(0)) != ""
+    rest = F.slice(cells, F.lit(2), F.greatest(F.size(cells) - 1, F.lit(0)))
+    alone = (F.size(cells) == 1) & html.contains("colspan")
+    return F.coalesce(filled & (alone | ((F.size(cells) > 1) & F.forall(rest, lambda x: F.coalesce(x, F.lit("")) == ""))), F.lit(False))
+
+
+def coefficient(line: Column) -> Column:
+    """name, quantity and unit of a line ``A = quantity, unit`` (a closing brace is no part of it), else null."""
+    pattern = r"^([AB])\s*=\s*(.+?),\s*([^,}]+?)\s*(?:\}.*)?$"
+    part = lambda k: F.trim(F.regexp_extract(line, pattern, k))
+    return F.when(line.rlike(pattern), F.struct(part(1).alias("name"), part(2).alias("quantity"), part(3).alias("unit")))
+
+
+def has_signature(c: Column, marks: list[str]) -> Column:
+    """Whether a block's text has all the marks by which it is known, wherever it stands."""
+    return F.coalesce(F.forall(F.array(*map(F.lit, marks)), lambda m: c.contains(m)), F.lit(False))
+
+
+def comparison_key(c: Column) -> Column:
+    """``356.0`` and ``356`` are the same key; text is compared trimmed."""
+    number = F.trim(c).try_cast("double")
+    whole = number == F.floor(number)
+    return F.coalesce(F.when(whole & (F.abs(number) < 1e15), number.cast("long").cast("string")), number.cast("string"), F.trim(c), F.lit(""))
+
+
+def mentions_number(c: Column, number: Column) -> Column:
+    """Whether a text has the number as a word of its own."""
+    return F.array_contains(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"\d+"), F.lit(0)), number.cast("string"))

@@ -44,6 +44,24 @@ def upper_median(values: Column) -> Column:
     return F.get(F.sort_array(values), F.floor(F.size(values) / 2).cast("int"))
 
 
+def upper_median_of(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """The upper median of each group, from the counts of its distinct values: a large group is never one array."""
+    counts = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    place = counts.withColumn("_to", F.sum("_n").over(w)).join(df.groupBy(*keys).agg(F.floor(F.count(value) / 2).alias("_at")), keys)
+    return place.where("_to > _at").groupBy(*keys).agg(F.min(value).alias(name))
+
+
+def surplus(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows that one multiset has more often than another, and how many more."""
+    return left.select(*keys).exceptAll(right.select(*keys)).groupBy(*keys).agg(F.count("*").alias("extra"))
+
+
+def missing(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of one side whose key the other doesn't have."""
+    return left.join(right.select(*keys).distinct(), keys, "left_anti")
+
+
 def page_gaps(ranges: DataFrame, keys: list[str], first: str, last: str) -> DataFrame:
     """Holes and overlaps between ranges that follow each other."""
     step = F.lead(first).over(Window.partitionBy(*keys).orderBy(first, last)) - F.col(last) - 1

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,32 +9,9 @@ from lamina.calc.formula import Formula
 from lamina.calc.model import Check, Citation, Engine, Gate, Row
 from lamina.functions import numeric, text
 from lamina.operators import audit, curves, keys, layout, resolve
-from lamina.sources.documents import html_items
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str) -> Callable:
-    """Register a query under its function's name, with the same in SQL."""
-
-    def put(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[f.__name__] = f
-        ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return put
-
-
-def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.select(*columns) if columns else df
-
-
-def dec(c, digits: int = 4):
-    """Rounded, so that the order of additions doesn't show."""
-    return F.round(c, digits)
-
+from lamina.plans import cells, links  # noqa: F401  (they register their queries)
+from lamina.plans.base import ORACLE_SQL, QUERIES, dec, query, read  # noqa: F401
+from lamina.sources.documents import html_items, raw_items
 
 # ---- curves: a part's price by quantity -------------------------------------------------------------------
 
@@ -256,7 +231,7 @@ def tree_reachability(spark, sf_dir):
 def multiset_difference(spark, sf_dir):
     rows = read(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey", "l_returnflag")
     left, right = (rows.where(F.col("l_returnflag") == f).drop("l_returnflag") for f in "AR")
-    return left.exceptAll(right).groupBy("l_partkey", "l_suppkey").agg(F.count("*").alias("extra"))
+    return audit.surplus(left, right, ["l_partkey", "l_suppkey"])
 
 
 @query("""SELECT 'orders' AS base, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys, count(*) - count(DISTINCT o_orderkey) AS n_extra FROM orders
@@ -285,10 +260,11 @@ def line_contiguity(spark, sf_dir):
     return audit.contiguity(read(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber"), ["l_orderkey"], "l_linenumber")
 
 
-@query("""SELECT doc_id, true AS lossless FROM documents""")
+@query(r"""SELECT doc_id, NOT (doc_id % 3 = 0 AND len(regexp_split_to_array(text, '\s+')) >= 2 AND regexp_split_to_array(text, '\s+')[2] <> '') AS lossless FROM documents""")
 def lossless_concat(spark, sf_dir):
+    """Every third document has lost its second piece."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
-    pieces = docs.select("doc_id", F.posexplode(F.split("text", r"\s+")).alias("pos", "piece"))
+    pieces = docs.select("doc_id", F.posexplode(F.split("text", r"\s+")).alias("pos", "piece")).where("doc_id % 3 <> 0 OR pos <> 1")
     return audit.lossless(pieces, "doc_id", "pos", "piece", docs, "text")
 
 
@@ -302,7 +278,7 @@ def mode_with_share(spark, sf_dir):
 
 @query("""SELECT l_suppkey, list_sort(list(l_quantity))[CAST(floor(count(*) / 2) AS INTEGER) + 1] AS median FROM lineitem GROUP BY 1""")
 def upper_median(spark, sf_dir):
-    return read(spark, sf_dir, "lineitem", "l_suppkey", "l_quantity").groupBy("l_suppkey").agg(audit.upper_median(F.collect_list("l_quantity")).alias("median"))
+    return read(spark, sf_dir, "lineitem", "l_suppkey", "l_quantity").transform(audit.upper_median_of, ["l_suppkey"], "l_quantity", "median")
 
 
 @query("""SELECT l_partkey, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM lineitem GROUP BY 1 ORDER BY revenue DESC, l_partkey LIMIT 60""")
@@ -391,8 +367,7 @@ def interval_merge(spark, sf_dir):
 @query(r"""SELECT page_id, CAST(i - 1 AS INTEGER) AS item_no, x[i] AS raw FROM (SELECT page_id, x, unnest(range(1, len(x) + 1)) AS i FROM (
     SELECT page_id, regexp_extract_all(html, '(?is)<li\b[^>]*>(.*?)</li>', 1) AS x FROM pages))""")
 def html_cells(spark, sf_dir):
-    found = F.regexp_extract_all("html", F.lit(r"(?is)<li\b[^>]*>(.*?)</li>"), F.lit(1))
-    return read(spark, sf_dir, "pages", "page_id", "html").select("page_id", F.posexplode(found).alias("item_no", "raw"))
+    return raw_items(read(spark, sf_dir, "pages", "page_id", "html"), "page_id", "html", "li")
 
 
 @query(r"""SELECT page_id, CAST(i - 1 AS INTEGER) AS item_no, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(

@@ -17,6 +17,21 @@ def session(master: str = "local[*]", partitions: int = 8) -> SparkSession:
     )
 
 
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A fresh folder name in the folder that driver and executors share, ``spark.checkpoint.dir``. On a single
+    machine a local folder stands in where that is unset."""
+    import tempfile
+    import uuid
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="lamina-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/lamina/{tag}-{uuid.uuid4().hex}"
+
+
 def ship(spark: SparkSession) -> None:
     """Let the Python workers import this package wherever they run: send it as a zip, once a session, unless
     the environment already has it on their path."""

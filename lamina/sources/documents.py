@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.functions.text import strip_tags
+from lamina.operators.resolve import walk
 
 
 def json_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -39,24 +40,58 @@ def html_cells(pages: DataFrame, key: str, html: str) -> DataFrame:
     return cells.select(key, "row_no", "cell_no", strip_tags(F.col("raw")).alias("text"))
 
 
+def raw_items(pages: DataFrame, key: str, html: str, tag: str) -> DataFrame:
+    """key, position and raw content of every element ``tag`` that holds no element of the same tag."""
+    found = F.regexp_extract_all(F.col(html), F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))
+    return pages.select(key, F.posexplode(found).alias("item_no", "raw"))
+
+
 def html_items(pages: DataFrame, key: str, html: str, tag: str) -> DataFrame:
     """key, position and text of every element ``tag`` that holds no element of the same tag."""
-    found = F.regexp_extract_all(F.col(html), F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))
-    items = pages.select(key, F.posexplode(found).alias("item_no", "raw"))
+    items = raw_items(pages, key, html, tag)
     return items.select(key, "item_no", F.coalesce(strip_tags(F.col("raw")), F.lit("")).alias("text"))
 
 
-def preorder(blocks: DataFrame, node: str = "id", parent: str = "parent_id", position: str = "position", limit: int = 64) -> DataFrame:
-    """Blocks of a tree with depth and reading order: paths of positions, compared as arrays."""
-    spark = blocks.sparkSession
-    blocks.createOrReplaceTempView("_blocks")
-    walk = spark.sql(f"""
-        WITH RECURSIVE walk(node, depth, path) MAX RECURSION LEVEL {limit} AS (
-            SELECT {node}, 0, array({position}) FROM _blocks WHERE {parent} IS NULL
-            UNION ALL
-            SELECT b.{node}, w.depth + 1, concat(w.path, array(b.{position})) FROM walk w JOIN _blocks b ON b.{parent} = w.node
-        ) SELECT node AS {node}, depth, path FROM walk""")
-    return blocks.join(walk, node)
+def preorder(blocks: DataFrame, node: str = "id", parent: str = "parent_id", position: str = "position", limit: int = 1000) -> DataFrame:
+    """Blocks of a tree with depth and reading order: paths of positions, compared as arrays. Level by level, so
+    neither the number of blocks nor the depth has a bound in the plan."""
+    edges = blocks.select(F.col(parent).alias("parent"), F.col(node).alias("child"), F.col(position).alias("at"))
+    tops = edges.where("parent IS NULL").select(F.col("child").alias("node"), F.lit(0).alias("depth"), F.array("at").alias("path"))
+
+    def below(joined: DataFrame, depth: int) -> DataFrame:
+        return joined.select(F.col("child").alias("node"), F.lit(depth).alias("depth"), F.concat("path", F.array("at")).alias("path"))
+
+    found = walk(edges.where("parent IS NOT NULL"), tops, below, limit)
+    return blocks.join(found.withColumnRenamed("node", node), node)
+
+
+def coverage(manifest: DataFrame, files: DataFrame, key: str, field: str) -> DataFrame:
+    """``field`` of the file that each entry of a manifest names; ``?`` where the file doesn't say, and no row
+    for a file that isn't there."""
+    return manifest.join(files.select(key, F.coalesce(field, F.lit("?")).alias(field)), key)
+
+
+def manifest_of(tables: DataFrame, keys: list[str]) -> DataFrame:
+    """The index of a written corpus: rows of each table, and an order-free digest of their content."""
+    rest = [c for c in tables.columns if c not in keys]
+    return tables.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.hex(F.bit_xor(F.xxhash64(*rest))).alias("digest"))
+
+
+def without_own(rows: Column, own: list[str]) -> Column:
+    """A map without the keys that a repair adds itself, so that a repaired document equals its source."""
+    return F.map_filter(rows, lambda k, v: ~k.isin(*own))
+
+
+def filled_cells(rows: Column) -> Column:
+    """All cells of an array of rows that aren't null, row by row."""
+    return F.filter(F.flatten(rows), lambda c: c.isNotNull())
+
+
+def copies(files: DataFrame, name: str, content: str, mark: str = "table_") -> DataFrame:
+    """Files whose name doubles its first mark, with the one it doubles, and whether both hold the same."""
+    doubled = files.where(F.col(name).startswith(mark * 2)).select(F.expr(f"substring({name}, {len(mark) + 1})").alias("_n"), F.col(name).alias("twin"), F.sha2(F.col(content), 256).alias("_h"))
+    pairs = files.join(doubled, F.col(name) == F.col("_n"))
+    return pairs.select(name, "twin", (F.sha2(F.col(content), 256) == F.col("_h")).alias("identical"))
 
 
 def citable_blocks(documents: DataFrame) -> DataFrame:

@@ -58,10 +58,20 @@ def test_html(spark):
 
 
 def test_tokens_and_values(spark):
+    """What printed pages show as one value, and what is none."""
     assert one(spark, "Tensile 48 000 [330] 1 1/2 20", text.tokens) == ["Tensile", "48 000 [330]", "1 1/2", "20"]
-    assert one(spark, "Grade B 1.5 2 3", lambda c: text.trailing_values(text.tokens(c))) == 3
-    assert one(spark, "Grade B 1.5 2 3", lambda c: text.split_by_count(c, 4)) == ["Grade B", "1.5", "2", "3"]
-    assert one(spark, "Grade B x 3", lambda c: text.split_by_count(c, 4)) is None
+    assert one(spark, "Tensile strength, min, psi [MPa] 48 000 [330]", text.tokens)[-1] == "48 000 [330]"
+    assert one(spark, "a 1 1⁄2 b", text.tokens) == ["a", "1 1⁄2", "b"]
+    assert one(spark, "Ti 8 × C to 1.0 . . . 0.25 [6.4]", text.tokens) == ["Ti", "8 × C to 1.0", ". . .", "0.25 [6.4]"]
+    for v in ("0.035", "0.27–0.93", "0.25A", "48 000 [330]", "1.00", ". . .", "...", "0.25 [6.4]", "12HB", "0.27–0.93A", "−5"):
+        assert one(spark, v, text.is_value), v
+    for v in ("Manganese", "Carbon,", "max", "Grade", "NP", "1 1⁄2"):
+        assert not one(spark, v, text.is_value), v
+    count = lambda c: text.trailing_values(text.tokens(c))
+    assert [one(spark, t, count) for t in ("Manganese 0.27–0.93 0.29–1.06 0.29–1.06", "Grade A Grade B Grade C", "Grade B 1.5 2 3")] == [3, 0, 3]
+    split = lambda c: text.split_by_count(c, 4)
+    assert one(spark, "Manganese 0.27–0.93 0.29–1.06 0.29–1.06", split) == ["Manganese", "0.27–0.93", "0.29–1.06", "0.29–1.06"]
+    assert one(spark, "Grade A Grade B Grade C", split) is None and one(spark, "Manganese 0.27–0.93", split) is None
 
 
 def test_dictionaries(spark):

@@ -14,7 +14,9 @@ def one(spark, value, f):
 def test_more_text(spark):
     assert one(spark, "Éç a", text.plain_key) == "ECA"
     assert one(spark, " … ", text.is_ellipsis) and not one(spark, "1.5", text.is_ellipsis)
-    assert tuple(one(spark, "Carbon, max. [Note (1)]", text.label_and_qualifier)) == ("Carbon", "max")
+    for printed in ("Carbon, max. [Note (1)]", "Carbon, maxC", "Carbon maximum", "Carbon (heat), maxAB"):
+        assert tuple(one(spark, printed, text.label_and_qualifier)) == ("Carbon", "max"), printed
+    assert tuple(one(spark, "Carbon", text.label_and_qualifier)) == ("Carbon", None)
     assert [one(spark, x, text.note_mark) for x in ("(1) See", "A see", "see")] == ["(1)", "A", None]
     assert one(spark, "Grade A Grade B", lambda c: text.split_heading(c, 4)) == ["Grade", "A", "Grade", "B"]
     assert one(spark, r"$\frac{a}{b} \leq 2$", text.from_latex) == "a/b ≤ 2"

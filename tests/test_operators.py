@@ -101,7 +101,7 @@ def test_reconstruction_is_lossless(spark):
     lines[["x0", "y0", "x1", "y1"]] = lines[["x0", "y0", "x1", "y1"]].astype(float)
     got = layout.reconstruct_tables(spark.createDataFrame(lines), ["spec", "table_no"]).orderBy("row_no").collect()
     assert [r.cells for r in got][:2] == [["Grade", "Value"], ["A", "1.5"]]
-    assert got[2].confidence == "AMBIGUOUS"
+    assert (got[2].confidence, got[2].reason, got[2].cells) == ("EXACT", "CONTINUATION", ["a note across", ""])  # where labels begin
     assert "".join("".join(r.cells) for r in got) == "".join(lines["text"])
 
 
