@@ -32,7 +32,7 @@ MAGIC = b"LDAC"
 SEGMENT = 1 << 20
 BLOCK = 512
 #: Bytes of text in a file, about, unless there are fewer files then than cores.
-FILE_BYTES = 256 << 20
+FILE_BYTES = 128 << 20
 #: Bits of the chunks, from the lowest level up; together they hold any unsigned 32-bit id.
 WIDTHS = (8, 8, 16)
 
