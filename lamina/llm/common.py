@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lamina.session import scratch  # noqa: F401  (operators take it from here)
+
 #: Bytes that separate words: space and 0x09-0x0D. ``bytes.split()`` cuts at exactly these.
 BLANKS = b" \t\n\x0b\x0c\r"
 #: UTF-8 forms of the white space beyond space and 0x09-0x0D, and the separators 0x1C-0x1F.
@@ -23,21 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, tag: str) -> str:
-    """A fresh folder name under the cluster's shared checkpoint folder.
-
-    Only on a single machine (a local master, as in tests) does a local folder stand in where
-    ``spark.checkpoint.dir`` is unset; a cluster has to name one, as executors share nothing else.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="lamina-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/lamina/{tag}-{uuid.uuid4().hex}"
-
-
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later steps restart from the files, not from
     the lineage, when executors are lost. ``discard`` deletes the files."""
