@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.llm import chat, decontaminate, mtree
+from lamina.llm import chat, decontaminate, mtree, vector_codes
 from lamina.llm.common import table
 
 #: Where the public tokenizers' files are; a parameter, as they are never part of the repository.
@@ -79,6 +79,22 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lamina.llm.runs import find_runs, planted, run_digests
+
+    return run_digests(find_runs(table(spark, sf_dir, "documents"), times=4, shortest=6, change=planted))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_digests(table(spark, sf_dir, "embeddings"))
+
+
+def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lamina.llm.prefix_bpe import coding_digests, encode_and_decode
+
+    return coding_digests(encode_and_decode(table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE)))
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_decontamination": op2_decontamination,
@@ -90,6 +106,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_recurrent_lm": op9_recurrent_lm,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_prefix_bpe": op13_prefix_bpe,
 }
 
 NEAR_DUPLICATES_SQL = r"""
@@ -119,4 +138,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": decontaminate.ORACLE_SQL,
     "op3_exact_topk": mtree.ORACLE_SQL,
     "op5_preference_formatting": chat.ORACLE_SQL,
+    "op12_vector_codes": vector_codes.ORACLE_SQL,
 }
