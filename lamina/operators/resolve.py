@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.session import scratch
-
 
 def resolve(rows: DataFrame, key: str, tiers: list[tuple[str, DataFrame, list[str]]], result: str) -> DataFrame:
     """``result`` from the first tier (name, candidates with the join columns and ``result``, join columns) that
@@ -60,38 +56,6 @@ def literal_patch(rows: DataFrame, patch: DataFrame, on: list[str], column: str)
     return guarded.withColumn(column, new).drop("expected", "replacement")
 
 
-def walk(edges: DataFrame, frontier: DataFrame, step: Callable[[DataFrame, int], DataFrame], limit: int) -> DataFrame:
-    """Rounds from ``frontier`` (node, ...) over ``edges`` (parent, child): ``step`` makes the next rows from the joined
-    ones; nodes that were met before are left out. Every round is written to the shared folder, so a plan never
-    grows with the depth, a node is visited once, and rows are bounded by the nodes."""
-    spark, path, parts = edges.sparkSession, scratch(edges.sparkSession, "walk"), []
-    for depth in range(limit + 1):
-        parts.append(f"{path}/depth-{depth:06d}")
-        frontier.write.parquet(parts[-1])
-        frontier = spark.read.schema(frontier.schema).parquet(parts[-1])
-        met = spark.read.schema(frontier.schema).parquet(*parts)
-        if frontier.isEmpty():
-            return met
-        below = edges.join(frontier, edges["parent"] == frontier["node"])
-        frontier = step(below, depth + 1).join(met.select("node"), "node", "left_anti")
-    raise ValueError(f"deeper than {limit} levels")
-
-
-def reachable(edges: DataFrame, roots: DataFrame, limit: int = 1000) -> DataFrame:
-    """node and depth of everything below ``roots`` (node) over ``edges`` (parent, child), least depth first. Cycles
-    and several ways to a node are harmless: it is visited once."""
-    first = roots.select("node").distinct().withColumn("depth", F.lit(0))
-    return walk(edges.select("parent", "child"), first, lambda below, depth: below.select(F.col("child").alias("node")).distinct().withColumn("depth", F.lit(depth)), limit)
-
-
-def tree_faults(edges: DataFrame, roots: DataFrame) -> DataFrame:
-    """node and fault of nodes that no tree has: several parents, or no way from a root (orphan)."""
-    several = edges.groupBy(F.col("child").alias("node")).agg(F.countDistinct("parent").alias("n")).where("n > 1")
-    nodes = edges.select(F.col("child").alias("node")).union(edges.select("parent")).distinct()
-    orphans = nodes.join(reachable(edges, roots).select("node"), "node", "left_anti")
-    return several.select("node", F.lit("SEVERAL_PARENTS").alias("fault")).union(orphans.select("node", F.lit("ORPHAN")))
-
-
 def first_match(rows: DataFrame, keys: list[str], order: list[str], condition: Column, *columns: str) -> DataFrame:
     """The first row of each group for which a condition holds: what is looked for by its content, not its place.
     Groups without one are left out; ``required`` turns that into an error."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lamina.calc.engines import LEAK_BOX, PNEUMATIC_TEST, SLEEVE, WELDED_PATCH
 from lamina.calc.formula import column_name
 from lamina.calc.model import fill, provenance, severity
-from lamina.operators import audit, curves, keys, layout, match, resolve
+from lamina.operators import audit, curves, keys, layout, match, resolve, trees
 from lamina.plans.base import pick, query, read, shown, sql_pick
 from lamina.sources import documents
 
@@ -293,7 +293,7 @@ def blocks_in_preorder(spark, sf_dir):
     name = lambda n: F.concat_ws("-", F.col("conv_id").cast("string"), n.cast("string"))
     turns = read(spark, sf_dir, "conversations", "conv_id", "turn")
     blocks = turns.select("conv_id", "turn", name(F.col("turn")).alias("id"), F.when(F.col("turn") > 0, name(F.col("turn") - 1)).alias("parent_id"), F.col("turn").cast("long").alias("position"))
-    return documents.preorder(blocks).select("conv_id", "turn", "depth", shown(F.col("path")).alias("path"))
+    return trees.preorder(blocks).select("conv_id", "turn", "depth", shown(F.col("path")).alias("path"))
 
 
 @query("""SELECT 'n' || n_nationkey AS node, 'ORPHAN' AS fault FROM nation WHERE n_regionkey > 2 UNION ALL SELECT 'c' || c_custkey, 'ORPHAN' FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey > 2)
@@ -307,7 +307,7 @@ def faults_of_trees(spark, sf_dir):
     doubled = people.where("c_custkey % 10 = 0 AND c_nationkey <> 0").select(node("n", "c_nationkey").alias("p"), node("c", "c_custkey"))
     edges = edges.union(doubled.withColumn("p", F.concat(F.lit("m"), F.expr("substring(p, 2)"))))
     roots = read(spark, sf_dir, "region").select(node("r", "r_regionkey").alias("node"))
-    found = resolve.tree_faults(edges, roots)
+    found = trees.tree_faults(edges, roots)
     return found.where(~F.col("node").startswith("m"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lamina.calc.formula import Formula
 from lamina.calc.model import Check, Citation, Engine, Gate, Row
 from lamina.functions import numeric, text
-from lamina.operators import audit, curves, keys, layout, resolve
+from lamina.operators import audit, curves, keys, layout, resolve, trees
 from lamina.plans import cells, links  # noqa: F401  (they register their queries)
 from lamina.plans.base import ORACLE_SQL, QUERIES, dec, query, read  # noqa: F401
 from lamina.sources.documents import html_items, raw_items
@@ -220,7 +220,7 @@ def tree_reachability(spark, sf_dir):
     node = lambda mark, c: F.concat(F.lit(mark), F.col(c).cast("string"))
     nations = read(spark, sf_dir, "nation").select(node("r", "n_regionkey").alias("parent"), node("n", "n_nationkey").alias("child"))
     people = read(spark, sf_dir, "customer").select(node("n", "c_nationkey").alias("parent"), node("c", "c_custkey").alias("child"))
-    return resolve.reachable(nations.union(people), read(spark, sf_dir, "region").select(node("r", "r_regionkey").alias("node")))
+    return trees.reachable(nations.union(people), read(spark, sf_dir, "region").select(node("r", "r_regionkey").alias("node")))
 
 
 # ---- audits -----------------------------------------------------------------------------------------------

@@ -23,12 +23,12 @@ def scratch(spark: SparkSession, tag: str) -> str:
     import tempfile
     import uuid
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or getattr(context, "_lamina_scratch", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="lamina-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = context._lamina_scratch = "file://" + tempfile.mkdtemp(prefix="lamina-")
     return f"{base.rstrip('/')}/lamina/{tag}-{uuid.uuid4().hex}"
 
 

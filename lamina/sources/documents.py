@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.functions.text import strip_tags
-from lamina.operators.resolve import walk
 
 
 def json_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -52,19 +51,6 @@ def html_items(pages: DataFrame, key: str, html: str, tag: str) -> DataFrame:
     return items.select(key, "item_no", F.coalesce(strip_tags(F.col("raw")), F.lit("")).alias("text"))
 
 
-def preorder(blocks: DataFrame, node: str = "id", parent: str = "parent_id", position: str = "position", limit: int = 1000) -> DataFrame:
-    """Blocks of a tree with depth and reading order: paths of positions, compared as arrays. Level by level, so
-    neither the number of blocks nor the depth has a bound in the plan."""
-    edges = blocks.select(F.col(parent).alias("parent"), F.col(node).alias("child"), F.col(position).alias("at"))
-    tops = edges.where("parent IS NULL").select(F.col("child").alias("node"), F.lit(0).alias("depth"), F.array("at").alias("path"))
-
-    def below(joined: DataFrame, depth: int) -> DataFrame:
-        return joined.select(F.col("child").alias("node"), F.lit(depth).alias("depth"), F.concat("path", F.array("at")).alias("path"))
-
-    found = walk(edges.where("parent IS NOT NULL"), tops, below, limit)
-    return blocks.join(found.withColumnRenamed("node", node), node)
-
-
 def coverage(manifest: DataFrame, files: DataFrame, key: str, field: str) -> DataFrame:
     """``field`` of the file that each entry of a manifest names; ``?`` where the file doesn't say, and no row
     for a file that isn't there."""

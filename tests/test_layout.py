@@ -4,7 +4,6 @@ import pandas as pd
 import pytest
 
 from lamina.operators import layout, resolve
-from lamina.sources import documents
 
 
 def lines(*rows):
@@ -61,20 +60,6 @@ def test_counts():
     assert layout.reconstruct(lines([(10, 40, "a"), (41, 60, "b")], [(10, 60, "c 1")]))["reason"].tolist() == ["NO_BANDS", ""]
 
 
-def test_walks(spark):
-    """Cycles, several ways and depth beyond any recursion's limit."""
-    chain = spark.range(40).selectExpr("cast(id as string) parent", "cast(id + 1 as string) child")
-    edges = chain.union(spark.createDataFrame([("40", "0"), ("0", "7"), ("x", "y")], "parent string, child string"))
-    roots = spark.createDataFrame([("0",), ("0",)], "node string")
-    got = {r.node: r.depth for r in resolve.reachable(edges, roots).collect()}
-    assert got == {str(k): min(k, k - 6 if k >= 7 else k) for k in range(41)}
-    assert {tuple(r) for r in resolve.tree_faults(edges, roots).collect()} == {("7", "SEVERAL_PARENTS"), ("x", "ORPHAN"), ("y", "ORPHAN")}
-    with pytest.raises(ValueError, match="deeper"):
-        resolve.reachable(edges, roots, limit=5)
-    empty = spark.createDataFrame([], "id string, parent_id string, position long")
-    assert documents.preorder(empty).count() == 0
-
-
 def test_required(spark):
     wanted = spark.createDataFrame([(1,), (2,)], "k int")
     found = spark.createDataFrame([(1, "a")], "k int, v string")

@@ -109,9 +109,3 @@ def test_twins(spark):
     rows = spark.createDataFrame([(1, 0.0, True, 1), (1, 0.1, False, 2), (1, 50.0, True, 3)], "page int, x double, empty boolean, at int")
     rows = rows.withColumn("box", F.struct(F.col("x").alias("x0"), F.lit(0.0).alias("y0"), (F.col("x") + 10.0).alias("x1"), F.lit(10.0).alias("y1")))
     assert sorted(r.at for r in layout.without_twins(rows, ["page"], "box", "empty", "at").collect()) == [2, 3]
-
-
-def test_tree(spark):
-    edges = spark.createDataFrame([("r", "a"), ("a", "b"), ("x", "y")], "parent string, child string")
-    got = {r.node: r.depth for r in resolve.reachable(edges, spark.createDataFrame([("r",)], "node string")).collect()}
-    assert got == {"r": 0, "a": 1, "b": 2}

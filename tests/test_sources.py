@@ -2,6 +2,7 @@
 
 import json
 
+from lamina.operators import trees
 from lamina.sources import documents
 from lamina.streaming import incremental_audit
 
@@ -24,7 +25,7 @@ def test_html_cells(spark):
 
 def test_preorder(spark):
     blocks = spark.createDataFrame([("a", None, 0), ("c", "a", 1), ("b", "a", 0), ("d", "b", 0)], "id string, parent_id string, position int")
-    assert [r.id for r in documents.preorder(blocks).orderBy("path").collect()] == ["a", "b", "d", "c"]
+    assert [r.id for r in trees.preorder(blocks).orderBy("path").collect()] == ["a", "b", "d", "c"]
 
 
 def test_seal(spark, tmp_path):
