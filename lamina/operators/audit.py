@@ -45,11 +45,20 @@ def upper_median(values: Column) -> Column:
 
 
 def upper_median_of(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """The upper median of each group, from the counts of its distinct values: a large group is never one array."""
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    place = counts.withColumn("_to", F.sum("_n").over(w)).join(df.groupBy(*keys).agg(F.floor(F.count(value) / 2).alias("_at")), keys)
-    return place.where("_to > _at").groupBy(*keys).agg(F.min(value).alias(name))
+    """The upper median of each group's values, from the counts of its distinct ones: a large group is never one array.
+    Nulls don't count; a group without values has null."""
+    counts = df.groupBy(*keys, value).agg(F.count(value).alias("_n"))
+    w = Window.partitionBy(*keys)
+    upto = F.sum("_n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    reached = upto > F.floor(F.sum("_n").over(w) / 2)
+    return counts.withColumn("_here", reached).groupBy(*keys).agg(F.min(F.when(F.col("_here"), F.col(value))).alias(name))
+
+
+def content_digest(columns: list[str]) -> Column:
+    """A digest of a table's rows, whatever their order: the sum and the exclusive or of a hash of each row. Equal rows
+    count as often as they stand, and a null counts where it stands."""
+    row = F.xxhash64(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+    return F.concat_ws("-", F.hex(F.bit_xor(row)), F.sum(row.cast("decimal(20,0)")).cast("string"))
 
 
 def surplus(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

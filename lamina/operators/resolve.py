@@ -38,22 +38,30 @@ def nearest_above(rows: DataFrame, keys: list[str], order: list[str], marked: Co
 
 
 def attach_notes(rows: DataFrame, key: str, cited: Column, notes: DataFrame) -> DataFrame:
-    """Texts of the notes that each row cites, joined in the order of their numbers."""
-    long = rows.select(key, F.explode(cited).alias("note")).join(notes, "note")
-    texts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("note", "text"))), lambda x: x["text"]), " · ")
-    return rows.join(long.groupBy(key).agg(texts.alias("note_texts")), key, "left")
+    """``note_texts``: texts of the notes that each row cites, joined in the order of their numbers; ``notes_missing``: the
+    cited notes that have no text."""
+    long = rows.select(key, F.explode(cited).alias("note")).join(notes.select("note", "text"), "note", "left")
+    found = F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("note", "text"))))
+    texts = F.nullif(F.array_join(F.transform(found, lambda x: x["text"]), " · "), F.lit(""))
+    lost = F.array_sort(F.collect_set(F.when(F.col("text").isNull(), F.col("note"))))
+    return rows.join(long.groupBy(key).agg(texts.alias("note_texts"), lost.alias("notes_missing")), key, "left")
 
 
 def literal_patch(rows: DataFrame, patch: DataFrame, on: list[str], column: str) -> DataFrame:
-    """Replace ``column`` where the patch has the row's key and its ``expected`` value is what stands there.
+    """Replace ``column`` by ``replacement`` (null too) where the patch has the row's key.
 
-    A patch row whose expected value doesn't stand there stops the query: a repair never rewrites what it
-    wasn't written for.
+    A repair never rewrites what it wasn't written for, and none goes astray. The query stops if what stands there isn't
+    ``expected``, if the patch has a key twice, and if the table hasn't a key of the patch.
     """
-    guarded = rows.join(patch, on, "left")
-    fits = F.col(column).eqNullSafe(F.col("expected"))
-    new = F.when(F.col("replacement").isNull(), F.col(column)).when(fits, F.col("replacement")).otherwise(F.raise_error(F.concat(F.lit("unexpected value: "), F.col(column).cast("string"))))
-    return guarded.withColumn(column, new).drop("expected", "replacement")
+    once = patch.groupBy(*on).agg(F.count("*").alias("_times"), F.first("expected").alias("expected"), F.first("replacement").alias("replacement"))
+    both = rows.withColumn("_there", F.lit(True)).join(once, on, "full")
+    stop = lambda what, *c: F.raise_error(F.concat_ws(" ", F.lit(what), *[F.coalesce(x.cast("string"), F.lit("null")) for x in c])).cast(dict(rows.dtypes)[column])
+    key = [F.col(c) for c in on]
+    new = (
+        F.when(F.col("_times").isNull(), F.col(column)).when(F.col("_there").isNull(), stop("no row for the patch of", *key)).when(F.col("_times") > 1, stop("patched twice:", *key))
+        .when(~F.col(column).eqNullSafe(F.col("expected")), stop("unexpected value:", F.col(column))).otherwise(F.col("replacement"))
+    )
+    return both.withColumn(column, new).select(*rows.columns)
 
 
 def first_match(rows: DataFrame, keys: list[str], order: list[str], condition: Column, *columns: str) -> DataFrame:
@@ -85,9 +93,13 @@ def unbacked(citations: DataFrame, members: DataFrame, on: list[str]) -> DataFra
     return citations.join(members.select(*on).distinct(), on, "left_anti")
 
 
-def page_halves(left: DataFrame, right: DataFrame, line: str) -> DataFrame:
-    """Rows of a table that is printed over two facing pages, by line; a line without a right half keeps nulls."""
-    return left.join(right, line, "left")
+def page_halves(left: DataFrame, right: DataFrame, line: list[str], order: str) -> DataFrame:
+    """Rows of a table that is printed over two facing pages, by line. Lines with equal labels belong together in their
+    ``order``, first with first (``nth``); a half without its other one keeps nulls, and ``half`` says which one is missing."""
+    nth = lambda df: df.withColumn("nth", F.row_number().over(Window.partitionBy(*line).orderBy(order))).drop(order)
+    both = nth(left).withColumn("_left", F.lit(True)).join(nth(right).withColumn("_right", F.lit(True)), [*line, "nth"], "full")
+    half = F.when(F.col("_right").isNull(), F.lit("RIGHT")).when(F.col("_left").isNull(), F.lit("LEFT"))
+    return both.withColumn("half", half).drop("_left", "_right")
 
 
 def mapping_state(row_state: Column, candidates: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.functions.text import element, is_value, note_mark, property_of, tokens, unspaced
+from lamina.functions.text import element, gauge_base, is_value, label_and_qualifier, note_mark, property_of, tokens, unspaced
 
 
 def is_requirement(cell: Column) -> Column:
@@ -61,9 +61,15 @@ def fully_named(headers: DataFrame, keys: list[str], label: str, resolved: Colum
 
 
 def strength(cells: DataFrame, keys: list[str], grade: str, label: str, value: str, properties: list[str]) -> DataFrame:
-    """Tensile requirements: a column for each property, values as printed."""
-    named = cells.withColumn("_property", property_of(F.col(label))).where("_property is not null")
-    return named.groupBy(*keys, grade).pivot("_property", properties).agg(F.array_join(F.array_sort(F.collect_list(value)), " / "))
+    """Tensile requirements: a column for each of ``properties``, values as printed. A property is one that
+    ``property_of`` knows, or with its qualifier (``tensile_max``; without one it counts as a minimum). ``gauge``: the
+    lengths over which elongations were measured."""
+    kind, of = property_of(F.col(label)), label_and_qualifier(F.col(label))["qualifier"]
+    names = F.array(kind, F.concat_ws("_", kind, F.coalesce(of, F.lit("min"))))
+    named = cells.where(kind.isNotNull()).withColumn("_gauge", F.when(kind == "elongation", gauge_base(F.col(label))))
+    gauges = named.groupBy(*keys, grade).agg(F.nullif(F.array_join(F.array_sort(F.collect_set("_gauge")), " / "), F.lit("")).alias("gauge"))
+    values = named.withColumn("_property", F.explode(names)).groupBy(*keys, grade).pivot("_property", properties).agg(F.array_join(F.array_sort(F.collect_list(value)), " / "))
+    return values.join(gauges, [*keys, grade])
 
 
 def note_regions(lines: DataFrame, keys: list[str], order: list[str], opens: Column, closes: Column, text: str) -> DataFrame:

@@ -28,15 +28,36 @@ def rows_split_by_count(spark, sf_dir):
     return read(spark, sf_dir, "part", "p_partkey", "p_name").select("p_partkey", shown(text.split_by_count(row, 3)).alias("cells"))
 
 
-NAMES, SYMBOLS = ["Carbon", "Manganese", "Chromium", "Cerium"], ["C", "Mn", "Cr", "OTHER"]
+NAMES, SYMBOLS = ["Carbon", "Manganese", "Chromium", "Cerium", "Cr", "Grade", "Carbon equivalent", "Sulphur", "Aluminium"], ["C", "Mn", "Cr", "OTHER", "Cr", None, None, "S", "Al"]
 SUFFIXES, QUALIFIERS = [", max", ", maxC", " minimum [Note (1)]", "", " (heat), min."], ["max", "max", "min", None, "min"]
 
 
-@query(f"""SELECT p_partkey, {sql_pick('p_partkey % 4', NAMES)} AS label, {sql_pick('p_partkey % 5', QUALIFIERS)} AS qualifier, {sql_pick('p_partkey % 4', SYMBOLS)} AS symbol FROM part""")
+@query(f"""SELECT p_partkey, {sql_pick('p_size % 9', NAMES)} AS label, {sql_pick('p_partkey % 5', QUALIFIERS)} AS qualifier, {sql_pick('p_size % 9', SYMBOLS)} AS symbol, {sql_pick('p_size % 9', SYMBOLS)} IS NOT NULL AS known FROM part""")
 def labels_and_qualifiers(spark, sf_dir):
-    printed = F.concat(pick(F.col("p_partkey") % 4, NAMES), pick(F.col("p_partkey") % 5, SUFFIXES))
-    rows = read(spark, sf_dir, "part", "p_partkey").select("p_partkey", text.label_and_qualifier(printed).alias("x"))
-    return rows.select("p_partkey", "x.label", "x.qualifier", text.element(F.col("x.label")).alias("symbol"))
+    printed = F.concat(pick(F.col("p_size") % 9, NAMES), pick(F.col("p_partkey") % 5, SUFFIXES))
+    rows = read(spark, sf_dir, "part", "p_partkey", "p_size").select("p_partkey", text.label_and_qualifier(printed).alias("x"), text.element(printed).alias("symbol"))
+    return rows.select("p_partkey", "x.label", "x.qualifier", "symbol", F.col("symbol").isNotNull().alias("known"))
+
+
+LABELS = ["Ultimate tensile, min, ksi", "Yield point", "Elongation in 2 in. [50 mm], min, %", "Reduction in area", "Brinell, max", "Impact of cold work", "Remarks"]
+KINDS, GAUGES = ["tensile", "yield", "elongation", "reduction_of_area", "hardness", None, None], [None, None, "2 in. [50 mm]", None, None, None, None]
+
+
+@query(f"SELECT p_partkey, {sql_pick('p_size % 7', KINDS)} AS property, {sql_pick('p_size % 7', GAUGES)} AS gauge FROM part")
+def properties_and_gauges(spark, sf_dir):
+    label = pick(F.col("p_size") % 7, LABELS)
+    return read(spark, sf_dir, "part", "p_partkey", "p_size").select("p_partkey", text.property_of(label).alias("property"), text.gauge_base(label).alias("gauge"))
+
+
+TAGLESS = r"trim(regexp_replace({}, '[\s\x{{00A0}}\x{{2007}}\x{{202F}}]+', ' ', 'g'))"
+
+
+@query(f"""WITH t AS (SELECT page_id, html, regexp_replace(html, '<[^>]*>', ' ', 'g') AS t FROM pages)
+    SELECT page_id, {TAGLESS.format('t')} AS plain, {TAGLESS.format("replace(replace(replace(replace(replace(t, '&lt;', '<'), '&quot;', chr(34)), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')")} AS decoded FROM t""")
+def entities_of_pages(spark, sf_dir):
+    """The text of whole pages; and with every ``&`` written once more as a number: read once, entities stand as before."""
+    pages = read(spark, sf_dir, "pages", "page_id", "html")
+    return pages.select("page_id", text.strip_tags(F.replace("html", F.lit("&"), F.lit("&#38;"))).alias("plain"), text.strip_tags(F.col("html")).alias("decoded"))
 
 
 @query("""SELECT p_partkey, upper(p_type || ' ' || p_brand) AS search, upper(replace(p_name, ' ', '')) || '-1/2MO' AS composition, CAST(p_size AS VARCHAR) AS spec, p_type AS once FROM part""")
@@ -162,21 +183,22 @@ def rows_of_recognised_pages(spark, sf_dir):
 # ---- tables ------------------------------------------------------------------------------------------------
 
 
-@query(f"""WITH l AS (SELECT *, p_partkey % 9 AS k, row_number() OVER w AS line_no, last_value(CASE WHEN p_partkey % 9 <> 1 THEN p_partkey % 9 END IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS label
-        FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_partkey)), s AS (SELECT *, k = 1 AND coalesce(label, 0) <> 0 AS tail FROM l)
-    SELECT p_brand, CAST(line_no - 1 AS INTEGER) AS row_no, CAST(line_no AS INTEGER) AS line_no, CASE WHEN tail THEN 'EXACT' WHEN k <= 1 THEN 'AMBIGUOUS' ELSE 'BY_COUNT' END AS confidence,
-        CASE WHEN tail THEN 'CONTINUATION' WHEN k <= 1 THEN 'COUNT_MISFIT' ELSE '' END AS reason, CASE WHEN k = 1 THEN 'header' ELSE 'data' END AS kind,
-        CASE WHEN tail THEN p_name || ' and so on||' WHEN k = 0 THEN p_name || ' 0.30' WHEN k = 1 THEN p_name || ' and so on' ELSE p_name || '|0.30|' || {sql_pick('p_partkey % 6', VALUES[:6])} END AS cells FROM s""")
+@query(f"""WITH l AS (SELECT l_orderkey, l_linenumber, l_comment, l_suppkey % 9 AS k, row_number() OVER w AS line_no FROM (SELECT l_orderkey, l_linenumber, min(l_suppkey) AS l_suppkey, 'line ' || l_linenumber AS l_comment FROM lineitem GROUP BY 1, 2, 4) WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber)),
+    c AS (SELECT *, count(*) FILTER (WHERE k > 1) OVER p AS two, count(*) FILTER (WHERE k = 0) OVER p AS one, min(CASE WHEN k > 1 THEN line_no END) OVER p AS two_at, min(CASE WHEN k = 0 THEN line_no END) OVER p AS one_at FROM l WINDOW p AS (PARTITION BY l_orderkey)),
+    n AS (SELECT *, CASE WHEN two + one = 0 THEN 1 WHEN two > one OR two = one AND two_at < one_at THEN 3 ELSE 2 END AS cols, greatest(two, one) >= 0.7 * (two + one) AS agreed FROM c),
+    d AS (SELECT *, CASE WHEN cols = 1 THEN 'NO_COLUMNS' WHEN k = 1 OR cols = 3 AND k = 0 THEN 'COUNT_MISFIT' ELSE '' END AS why FROM n),
+    t AS (SELECT *, cols > 1 AND k = 1 AND coalesce(last_value(CASE WHEN k <> 1 THEN why = '' END IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS tail FROM d)
+    SELECT l_orderkey, CAST(line_no - 1 AS INTEGER) AS row_no, CAST(l_linenumber AS INTEGER) AS line_no, CASE WHEN tail THEN 'EXACT' WHEN why <> '' THEN 'AMBIGUOUS' ELSE 'BY_COUNT' END AS confidence, CASE WHEN tail THEN 'CONTINUATION' ELSE why END AS reason,
+        CASE WHEN cols = 1 THEN 'NO_COLUMNS' WHEN agreed THEN 'COUNT' ELSE 'COUNT_IN_DOUBT' END AS origin, CASE WHEN k = 1 THEN 'header' WHEN true THEN 'data' END AS kind,
+        CASE WHEN tail THEN 'tail and so on' || repeat('|', cols - 1) WHEN k = 1 THEN 'tail and so on' WHEN why <> '' THEN 'row 0.30' WHEN k = 0 THEN 'row|0.30' WHEN cols = 2 THEN 'row 0.25|' || {sql_pick('k % 6', VALUES[:6])} ELSE 'row|0.25|' || {sql_pick('k % 6', VALUES[:6])} END AS cells FROM t""")
 def tables_without_geometry(spark, sf_dir):
-    from pyspark.sql import Window
-
-    k = F.col("p_partkey") % 9
-    end = F.when(k == 0, "0.30").when(k == 1, "and so on").otherwise(F.concat(F.lit("0.30 "), pick(F.col("p_partkey") % 6, VALUES)))
-    line = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey"))
-    rows = read(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand").withColumn("line_no", line)
-    x0, y0 = F.when(k == 1, 14.0).otherwise(10.0), (F.col("line_no") * 10).cast("double")
-    lines = rows.select("p_brand", F.concat_ws(" ", "p_name", end).alias("text"), x0.alias("x0"), y0.alias("y0"), F.lit(200.0).alias("x1"), (y0 + 6).alias("y1"), F.lit(1).alias("page"), "line_no")
-    return layout.reconstruct_tables(lines, ["p_brand"]).select("p_brand", "row_no", "line_no", "confidence", "reason", "kind", shown(F.col("cells")).alias("cells"))
+    """An order's lines as the rows of a table: some end in two values, some in one, some in none."""
+    k = F.col("l_suppkey") % 9
+    lines = read(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_suppkey").alias("l_suppkey"))
+    text_ = F.when(k == 0, "row 0.30").when(k == 1, "tail and so on").otherwise(F.concat(F.lit("row 0.25 "), pick(k % 6, VALUES)))
+    y0 = (F.col("l_linenumber") * 10).cast("double")
+    lines = lines.select("l_orderkey", text_.alias("text"), F.lit(10.0).alias("x0"), y0.alias("y0"), F.lit(200.0).alias("x1"), (y0 + 6).alias("y1"), F.lit(1).alias("page"), F.col("l_linenumber").cast("int").alias("line_no"))
+    return layout.reconstruct_tables(lines, ["l_orderkey"]).select("l_orderkey", "row_no", "line_no", "confidence", "reason", "origin", "kind", shown(F.col("cells")).alias("cells"))
 
 
 @query("""SELECT o_custkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INTEGER) AS row_no, 'EXACT' AS confidence, 'BANDS' AS origin,
@@ -190,22 +212,22 @@ def tables_with_bands(spark, sf_dir):
     return layout.reconstruct_tables(lines, ["o_custkey"]).select("o_custkey", "row_no", "confidence", "origin", shown(F.col("cells")).alias("cells"))
 
 
-@query("""WITH r AS (SELECT p_brand, p_partkey, max(CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY p_brand ORDER BY p_partkey) = 1 AS is_data, p_name FROM part)
-    SELECT p_brand, count(*) FILTER (WHERE is_data) AS n_data, coalesce(string_agg(p_name, ' ' ORDER BY p_partkey) FILTER (WHERE NOT is_data), '') AS first_column FROM r GROUP BY p_brand""")
+@query("""WITH r AS (SELECT o_custkey, o_orderkey, max(CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1 AS is_data, o_orderstatus FROM orders)
+    SELECT o_custkey, count(*) FILTER (WHERE is_data) AS n_data, coalesce(string_agg(o_orderstatus, ' ' ORDER BY o_orderkey) FILTER (WHERE NOT is_data), '') AS first_column FROM r GROUP BY o_custkey""")
 def headers_of_tables(spark, sf_dir):
-    cell = F.when(F.col("p_partkey") % 5 == 0, F.concat(F.col("p_size").cast("string"), F.lit(" [1]"))).otherwise("requirement")
-    rows = read(spark, sf_dir, "part").select("p_brand", "p_partkey", F.array(F.col("p_name"), cell).alias("cells"))
-    split = tables.split_header(rows, ["p_brand"], "p_partkey", "cells")
-    names = tables.column_names(split.where("not is_data"), ["p_brand"], "p_partkey", "cells").where("column_no = 0")
-    n = split.groupBy("p_brand").agg(F.count(F.when(F.col("is_data"), 1)).alias("n_data"))
-    return n.join(names, "p_brand", "left").select("p_brand", "n_data", F.coalesce("name", F.lit("")).alias("first_column"))
+    cell = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.floor("o_totalprice").cast("string"), F.lit(" [1]"))).otherwise("requirement")
+    rows = read(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.array(F.col("o_orderstatus"), cell).alias("cells"))
+    split = tables.split_header(rows, ["o_custkey"], "o_orderkey", "cells")
+    names = tables.column_names(split.where("not is_data"), ["o_custkey"], "o_orderkey", "cells").where("column_no = 0")
+    n = split.groupBy("o_custkey").agg(F.count(F.when(F.col("is_data"), 1)).alias("n_data"))
+    return n.join(names, "o_custkey", "left").select("o_custkey", "n_data", F.coalesce("name", F.lit("")).alias("first_column"))
 
 
-@query(f"""WITH c AS (SELECT p_type, p_brand, {sql_pick('p_partkey % 4', ['C', 'Mn', 'Cr', None])} AS s, {sql_pick('p_partkey % 4', NAMES)} AS label, CAST(p_size AS VARCHAR) AS v FROM part)
+@query(f"""WITH c AS (SELECT p_type, p_brand, {sql_pick('p_partkey % 9', ['C', 'Mn', 'Cr', None, 'Cr', None, None, None, None])} AS s, {sql_pick('p_partkey % 9', NAMES)} AS label, CAST(p_size AS VARCHAR) AS v FROM part)
     SELECT p_type, p_brand, string_agg(v, ' / ' ORDER BY v) FILTER (WHERE s = 'C') AS C, string_agg(v, ' / ' ORDER BY v) FILTER (WHERE s = 'Mn') AS Mn,
         string_agg(v, ' / ' ORDER BY v) FILTER (WHERE s = 'Cr') AS Cr, string_agg(label || ' ' || v, '; ' ORDER BY label || ' ' || v) FILTER (WHERE s IS NULL) AS others FROM c GROUP BY 1, 2""")
 def composition_tables(spark, sf_dir):
-    cells = read(spark, sf_dir, "part").select("p_type", "p_brand", pick(F.col("p_partkey") % 4, NAMES).alias("label"), F.col("p_size").cast("string").alias("v"))
+    cells = read(spark, sf_dir, "part").select("p_type", "p_brand", pick(F.col("p_partkey") % 9, NAMES).alias("label"), F.col("p_size").cast("string").alias("v"))
     return tables.composition(cells, ["p_type"], "p_brand", "label", "v", ["C", "Mn", "Cr"])
 
 

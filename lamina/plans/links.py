@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lamina.calc.engines import LEAK_BOX, PNEUMATIC_TEST, SLEEVE, WELDED_PATCH
@@ -99,10 +100,10 @@ def texts_on_pages(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", match.words_found(F.lit("alpha betas gamma"), page).alias("state"))
 
 
-@query("""WITH s AS (SELECT p_type, p_brand, list_sort(list_distinct(list(p_size % 5))) AS m FROM part WHERE p_size % 3 = 0 GROUP BY 1, 2)
+@query("""WITH s AS (SELECT p_type, p_brand, list_sort(list_distinct(list(p_size % 5))) AS m FROM part GROUP BY 1, 2)
     SELECT a.p_type, a.p_brand AS small, b.p_brand AS large FROM s a JOIN s b USING (p_type) WHERE list_has_all(b.m, a.m) AND len(b.m) > len(a.m)""")
 def strict_subsets(spark, sf_dir):
-    sets = read(spark, sf_dir, "part").where("p_size % 3 = 0").groupBy("p_type", "p_brand").agg(F.array_sort(F.collect_set(F.col("p_size") % 5)).alias("m"))
+    sets = read(spark, sf_dir, "part").groupBy("p_type", "p_brand").agg(F.array_sort(F.collect_set(F.col("p_size") % 5)).alias("m"))
     return match.subset_pairs(sets, "p_brand", "m", "p_type")
 
 
@@ -116,11 +117,14 @@ def parents_of_sections(spark, sf_dir):
     return match.section_parents(sections).select("number", "parent", F.col("depth").cast("long").alias("depth"))
 
 
-@query("""SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, r.l_extendedprice FROM lineitem l LEFT JOIN lineitem r ON r.l_orderkey = l.l_orderkey AND r.l_linenumber = l.l_linenumber AND r.l_linenumber % 3 <> 0""")
+@query("""WITH l AS (SELECT l_orderkey, l_returnflag AS line, l_quantity, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS n FROM lineitem),
+    r AS (SELECT l_orderkey, l_returnflag AS line, l_extendedprice, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS n FROM lineitem WHERE l_linenumber % 3 <> 0)
+    SELECT l_orderkey, line, n, l_quantity, l_extendedprice, CASE WHEN r.n IS NULL THEN 'RIGHT' END AS half FROM l LEFT JOIN r USING (l_orderkey, line, n)""")
 def facing_pages(spark, sf_dir):
-    rows = read(spark, sf_dir, "lineitem").withColumn("line", F.struct("l_orderkey", "l_linenumber"))
-    halves = resolve.page_halves(rows.select("line", "l_quantity"), rows.where("l_linenumber % 3 <> 0").select("line", "l_extendedprice"), "line")
-    return halves.select("line.*", "l_quantity", "l_extendedprice")
+    """Lines with the same flag have equal labels: first with first. The right page lacks some."""
+    rows = read(spark, sf_dir, "lineitem").withColumns({"line": F.col("l_returnflag"), "at": F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")})
+    halves = resolve.page_halves(rows.select("l_orderkey", "line", "at", "l_quantity"), rows.where("l_linenumber % 3 <> 0").select("l_orderkey", "line", "at", "l_extendedprice"), ["l_orderkey", "line"], "at")
+    return halves.withColumnRenamed("nth", "n").select("l_orderkey", "line", "n", "l_quantity", "l_extendedprice", "half")
 
 
 @query("""SELECT s.p AS prefix, (SELECT min(p_name) FROM part WHERE starts_with(p_name, s.p) AND p_partkey = (SELECT min(p_partkey) FROM part q WHERE starts_with(q.p_name, s.p))) AS p_name FROM (SELECT DISTINCT substr(p_name, 1, 3) AS p FROM part) s""")
@@ -141,10 +145,11 @@ def blocks_by_signature(spark, sf_dir):
     return resolve.first_match(rows, ["l_orderkey"], ["l_linenumber"], (F.col("l_quantity") > 30) & (F.col("l_returnflag") == "N"), "l_linenumber")
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN 'repaired' ELSE o_orderstatus END AS o_orderstatus FROM orders""")
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN 'repaired' WHEN o_orderkey % 50 <> 1 THEN o_orderstatus END AS o_orderstatus FROM orders""")
 def guarded_repairs(spark, sf_dir):
+    """One repair writes a text, another takes one away; both name what they expect."""
     rows = read(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus")
-    patch = rows.where("o_orderkey % 50 = 0").select("o_orderkey", F.col("o_orderstatus").alias("expected"), F.lit("repaired").alias("replacement"))
+    patch = rows.where("o_orderkey % 50 < 2").select("o_orderkey", F.col("o_orderstatus").alias("expected"), F.when(F.col("o_orderkey") % 50 == 0, "repaired").alias("replacement"))
     return resolve.literal_patch(rows, patch, ["o_orderkey"], "o_orderstatus").select("o_orderkey", "o_orderstatus")
 
 
@@ -319,31 +324,37 @@ def cells_of_html_tables(spark, sf_dir):
     return cells.groupBy("page_id", "row_no").agg(F.count("*").alias("cells"))
 
 
-@query("""SELECT 'sa_' || p_size || '.json' AS path, CAST(row_number() OVER (PARTITION BY p_size ORDER BY p_partkey) - 1 AS INTEGER) AS line_no, p_partkey AS key, p_name AS name FROM part WHERE p_size % 10 = 6""")
+@query("""SELECT 'sa_' || o_custkey || '.json' AS path, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INTEGER) AS line_no, o_orderkey AS key, o_orderstatus AS name FROM orders""")
 def rows_of_json_documents(spark, sf_dir):
-    row = F.array_sort(F.collect_list(F.struct(F.col("p_partkey").alias("key"), F.col("p_name").alias("name"))))
-    path = F.concat(F.lit("sa_"), F.col("p_size").cast("string"), F.lit(".json"))
-    texts = read(spark, sf_dir, "part").where("p_size % 10 = 6").groupBy(path.alias("path")).agg(F.to_json(F.struct(row.alias("rows"))).alias("value"))
+    """A customer's orders are one document."""
+    row = F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("name"))))
+    path = F.concat(F.lit("sa_"), F.col("o_custkey").cast("string"), F.lit(".json"))
+    texts = read(spark, sf_dir, "orders").groupBy(path.alias("path")).agg(F.to_json(F.struct(row.alias("rows"))).alias("value"))
     docs = texts.select("path", F.try_parse_json("value").alias("doc"))
     return documents.document_rows(docs, "struct<key: bigint, name: string>").select("path", "line_no", "row.key", "row.name")
 
 
 @query("""SELECT p_partkey, CAST(0 AS INTEGER) AS block, CASE p_partkey % 3 WHEN 0 THEN 'text' WHEN 1 THEN 'paragraph' ELSE 'row' END AS type,
-    CASE p_partkey % 3 WHEN 2 THEN '{"name":"' || p_name || '"}' ELSE p_name END AS text FROM part WHERE p_partkey % 4 <> 0""")
+    CASE p_partkey % 3 WHEN 2 THEN '{"name":"' || p_name || '"}' ELSE p_name END AS text FROM part""")
 def citable_blocks(spark, sf_dir):
     name = F.to_json(F.struct(F.col("p_name").alias("text")))
     body = pick(F.col("p_partkey") % 3, ['{"blocks": [{"type": "text", ', '{"paragraphs": [{', '{"rows": [{'])
     doc = F.concat(body, F.when(F.col("p_partkey") % 3 == 2, F.concat(F.lit('"name":"'), "p_name", F.lit('"'))).otherwise(F.regexp_replace(name, r"^\{|\}$", "")), F.lit("}]}"))
-    docs = read(spark, sf_dir, "part").where("p_partkey % 4 <> 0").select(F.concat(F.lit("sa_"), F.col("p_partkey").cast("string"), F.lit(".json")).alias("path"), F.try_parse_json(doc).alias("doc"))
+    docs = read(spark, sf_dir, "part").select(F.concat(F.lit("sa_"), F.col("p_partkey").cast("string"), F.lit(".json")).alias("path"), F.try_parse_json(doc).alias("doc"))
     blocks = documents.citable_blocks(documents.files_of(docs, "sa_1").unionByName(docs.where("path not like 'sa\\_1.%'")))
     return blocks.select(F.regexp_extract("path", r"(\d+)", 1).cast("long").alias("p_partkey"), "block", "type", "text")
 
 
-@query("""SELECT o_custkey, count(*) AS n_rows FROM orders GROUP BY 1""")
+@query("""SELECT o_custkey, count(*) AS n_rows, bool_and(o_orderkey % 7 <> 0) AS unchanged, true AS dealt_anew FROM orders GROUP BY 1""")
 def manifest_of_tables(spark, sf_dir):
-    got = documents.manifest_of(read(spark, sf_dir, "orders", "o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"])
-    again = documents.manifest_of(read(spark, sf_dir, "orders", "o_custkey", "o_orderkey", "o_orderstatus").repartition(3), ["o_custkey"]).withColumnRenamed("digest", "other")
-    return got.join(again, ["o_custkey", "n_rows"]).where("digest = other").select("o_custkey", "n_rows")
+    """A customer's orders are a table. Its digest tells a copy in which a value moved to the next column, and not one in another order."""
+    rows = read(spark, sf_dir, "orders", "o_custkey", "o_orderkey", F.col("o_orderstatus").alias("a"), F.lit(None).cast("string").alias("b"))
+    moved = F.col("o_orderkey") % 7 == 0
+    changed = rows.select("o_custkey", "o_orderkey", F.when(~moved, F.col("a")).alias("a"), F.when(moved, F.col("a")).alias("b"))
+    own = documents.manifest_of(rows, ["o_custkey"])
+    anew = documents.manifest_of(rows.repartition(3).orderBy(F.desc("o_orderkey")), ["o_custkey"]).select("o_custkey", F.col("digest").alias("again"))
+    other = documents.manifest_of(changed, ["o_custkey"]).select("o_custkey", F.col("digest").alias("other"))
+    return own.join(other, "o_custkey").join(anew, "o_custkey").select("o_custkey", "n_rows", (F.col("digest") == F.col("other")).alias("unchanged"), (F.col("digest") == F.col("again")).alias("dealt_anew"))
 
 
 @query("""SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN n_name ELSE '?' END AS covers FROM nation WHERE n_nationkey % 5 <> 0""")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.functions.text import strip_tags
+from lamina.operators.audit import content_digest
 
 
 def json_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -60,7 +61,7 @@ def coverage(manifest: DataFrame, files: DataFrame, key: str, field: str) -> Dat
 def manifest_of(tables: DataFrame, keys: list[str]) -> DataFrame:
     """The index of a written corpus: rows of each table, and an order-free digest of their content."""
     rest = [c for c in tables.columns if c not in keys]
-    return tables.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.hex(F.bit_xor(F.xxhash64(*rest))).alias("digest"))
+    return tables.groupBy(*keys).agg(F.count("*").alias("n_rows"), content_digest(rest).alias("digest"))
 
 
 def without_own(rows: Column, own: list[str]) -> Column:
@@ -99,5 +100,4 @@ def write_sealed(df: DataFrame, path: str, reason: str) -> DataFrame:
     """Write a table and return its seal: rows, an order-free digest of their content, and why it was written."""
     df.write.mode("overwrite").parquet(path)
     back = df.sparkSession.read.parquet(path)
-    digest = F.hex(F.expr(f"bit_xor(xxhash64({', '.join(f'`{c}`' for c in back.columns)}))"))
-    return back.agg(F.lit(path).alias("path"), F.count("*").alias("n_rows"), digest.alias("digest"), F.lit(reason).alias("reason"))
+    return back.agg(F.lit(path).alias("path"), F.count("*").alias("n_rows"), content_digest(back.columns).alias("digest"), F.lit(reason).alias("reason"))

@@ -74,11 +74,41 @@ def test_tokens_and_values(spark):
     assert one(spark, "Grade A Grade B Grade C", split) is None and one(spark, "Manganese 0.27–0.93", split) is None
 
 
-def test_dictionaries(spark):
-    assert one(spark, "Manganese, max.", text.element) == "Mn"
-    assert one(spark, "Unobtainium", text.element) == "OTHER"
-    assert one(spark, " ", text.element) is None
-    assert one(spark, "Yield strength, min.", text.property_of) == "yield"
+@pytest.mark.parametrize(
+    "given, expected",
+    [
+        ("Manganese, max.", "Mn"), ("Carbon equivalent", None), ("Nickel plus cobalt", None), ("Lead time", None), ("Cr", "Cr"), ("cr", None), ("Grade", None),
+        ("Sulphur, maxC", "S"), ("PHOSPHOROUS", "P"), ("Aluminium [Note (1)]", "Al"), ("Cerium", "OTHER"), ("Rare earth, min", "OTHER"), ("Unobtainium", None), (" ", None), (None, None),
+    ],
+)
+def test_elements(spark, given, expected):
+    assert one(spark, given, text.element) == expected
+
+
+@pytest.mark.parametrize(
+    "given, expected, gauge",
+    [
+        ("Yield strength, min.", "yield", None), ("Ultimate tensile", "tensile", None), ("Impact of cold work", None, None), ("Brinell hardness", "hardness", None), ("Rockwell B, max", "hardness", None),
+        ("Vickers", "hardness", None), ("Elongation in 2 in. [50 mm], min, %", "elongation", "2 in. [50 mm]"), ("Elongation, %", "elongation", None), ("Reduction in area", "reduction_of_area", None), ("Remarks", None, None),
+    ],
+)
+def test_properties(spark, given, expected, gauge):
+    assert (one(spark, given, text.property_of), one(spark, given, text.gauge_base)) == (expected, gauge)
+
+
+@pytest.mark.parametrize(
+    "given, expected",
+    [
+        ("0.27&#8211;0.93", "0.27–0.93"), ("a &mdash; b &alpha;", "a — b α"), ("&amp;lt; &lt;i&gt;", "&lt; <i>"), ("x &#x2265; 1", "x ≥ 1"), ("AT&T &nothing; &", "AT&T &nothing; &"), ("&#128512;&#0;&#xD800;&#150;", "😀\ufffd\ufffd–"),
+        ("10 <sup> 2</sup> m", "102 m"), (None, None), ("plain", "plain"),
+    ],
+)
+def test_entities(spark, given, expected):
+    assert one(spark, given, text.strip_tags) == expected
+
+
+def test_words_of_several_parts(spark):
+    assert one(spark, "Limit 0.25 100 2 000 [14] 12.5 [0.5]A", text.tokens) == ["Limit", "0.25", "100", "2 000 [14]", "12.5 [0.5]A"]
 
 
 @pytest.mark.parametrize(

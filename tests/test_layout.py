@@ -1,63 +1,119 @@
-"""Tables from positioned lines: rows, bands, counts, continuations."""
+"""Tables from positioned lines: rows, bands, counts, continuations; and joins of what overlaps."""
+
+import random
 
-import pandas as pd
 import pytest
+from pyspark.sql import functions as F
+
+from lamina.operators import layout, regions, resolve
 
-from lamina.operators import layout, resolve
+LINES = "t int, text string, x0 double, y0 double, x1 double, y1 double, page int, line_no int"
 
 
-def lines(*rows):
+def lines(spark, *rows, page=lambda k: 1):
     """Each row: lines of (x0, x1, text)."""
-    out = [(text, x0, 10.0 * k, x1, 10.0 * k + 6, 1, 100 * k + i) for k, row in enumerate(rows) for i, (x0, x1, text) in enumerate(row)]
-    return pd.DataFrame(out, columns=["text", "x0", "y0", "x1", "y1", "page", "line_no"])
+    out = [(1, text, float(x0), 10.0 * k, float(x1), 10.0 * k + 6, page(k), 100 * k + i) for k, row in enumerate(rows) for i, (x0, x1, text) in enumerate(row)]
+    return spark.createDataFrame(out, LINES)
+
+
+def rebuilt(spark, *rows, **more):
+    return layout.reconstruct_tables(lines(spark, *rows, **more), ["t"]).orderBy("row_no").collect()
 
 
-def test_rows_by_their_middle():
+def bands(spark, *rows):
+    found = layout.columns_of(layout.printed_rows(lines(spark, *[[(a, b, "x") for a, b in row] for row in rows]), ["t"]), ["t"]).collect()
+    return [tuple(b) for r in found for b in r.bands]
+
+
+def test_rows_by_their_middle(spark):
     """Rows two points apart stay apart, a raised mark stays in its row."""
-    assert layout.cluster_rows([562.3, 571.3], [569.3, 577.5]) == [0, 1]
-    assert layout.cluster_rows([100.0, 99.0], [106.0, 105.5]) == [0, 0]
+    place = lambda *ys: [len(r.runs) for r in layout.printed_rows(spark.createDataFrame([(1, "x", 0.0, float(a), 9.0, float(b), 1, k) for k, (a, b) in enumerate(ys)], LINES), ["t"]).orderBy("row_no").collect()]
+    assert place((562.3, 569.3), (571.3, 577.5)) == [1, 1]
+    assert place((100.0, 106.0), (99.0, 105.5)) == [2]
+    assert place((0, 10), (1, 11), (20, 30), (41, 51)) == [2, 1, 1]
 
 
-def test_bands():
-    wide = [(0, 0, 300), (0, 0, 40), (1, 0, 40), (1, 100, 140), (1, 200, 240)]
-    assert len(layout.column_bands(wide)) >= 3
+def test_bands(spark):
+    assert bands(spark, [(0, 300)], [(0, 40), (100, 140), (200, 240)]) == [(0, 40), (100, 140), (200, 240)]
     # one row crosses the gap that another proves: cut in its middle
-    merged = [(0, 0, 60), (0, 100, 160), (0, 300, 360), (1, 50, 110), (1, 300, 360)]
-    bands = layout.column_bands(merged)
-    assert len(bands) == 3 and bands[0][1] == bands[1][0] == 80.0
+    assert bands(spark, [(0, 60), (100, 160), (300, 360)], [(50, 110), (300, 360)]) == [(0, 80), (80, 160), (300, 360)]
     # pieces of one cell are nearer to each other than columns are
-    assert layout.column_bands([(0, 0, 40), (0, 41, 60), (0, 200, 240)]) == [(0, 60), (200, 240)]
-    # the widest gap is cut, in every band and round
-    many = [(r, 100 * c + (60 if r % 2 else 0), 100 * c + 90 + (60 if r % 2 else 0)) for r in range(2) for c in range(9)]
-    proof = [(9, 100 * c, 100 * c + 20) for c in range(10)]
-    assert len(layout.column_bands(many + proof)) == 10
+    assert bands(spark, [(0, 40), (41, 60), (200, 240)]) == [(0, 60), (200, 240)]
+    # nine lines across ten columns in two rows, and a row that proves all gaps
+    many = [[(100 * c + (60 if r else 0), 100 * c + 90 + (60 if r else 0)) for c in range(9)] for r in range(2)]
+    assert len(bands(spark, *many, [(100 * c, 100 * c + 20) for c in range(10)])) == 10
+    assert bands(spark, [(0, 10)], [(0, 30)]) == []
 
 
-def test_geometry():
-    got = layout.reconstruct(lines(
-        [(10, 40, "Grade"), (60, 80, "A"), (100, 130, "B")], [(10, 40, "Carbon"), (60, 80, "0.25A"), (100, 130, "0.30")],
+def test_geometry(spark):
+    got = rebuilt(
+        spark, [(10, 40, "Grade"), (60, 80, "A"), (100, 130, "B")], [(10, 40, "Carbon"), (60, 80, "0.25A"), (100, 130, "0.30")],
         [(10, 130, "Manganese 0.27–0.93 0.29–1.06")], [(12, 50, "for all sizes")], [(14, 50, "and grades")], [(10, 35, "x"), (20, 41, "y")], [(300, 350, "far 1 2")],
-    ))
-    assert got["cells"].tolist() == [
+    )
+    assert [r.cells for r in got] == [
         ["Grade", "A", "B"], ["Carbon", "0.25A", "0.30"], ["Manganese", "0.27–0.93", "0.29–1.06"], ["for all sizes", "", ""], ["and grades", "", ""], ["x y"], ["far 1 2"],
     ]
-    assert got["confidence"].tolist() == ["EXACT", "EXACT", "BY_COUNT", "EXACT", "EXACT", "AMBIGUOUS", "AMBIGUOUS"]
-    assert got["reason"].tolist() == ["", "", "", "CONTINUATION", "CONTINUATION", "SHARED_BAND", "OUT_OF_REACH"]
-    assert got["kind"].tolist() == ["header", "data", "data", "header", "header", "header", "data"]
-    assert (got["line_no"].tolist(), set(got["origin"])) == ([0, 100, 200, 300, 400, 500, 600], {"BANDS"})
-
-
-def test_counts():
-    single = lambda *texts: lines(*[[(10, 200, t)] for t in texts])
-    got = layout.reconstruct(single("Grade A 0.25 0.30", "Grade B 0.28 0.35", "Grade C . . . 48 000 [330]", "of plates", "odd 1"))
-    assert got["confidence"].tolist() == ["BY_COUNT"] * 3 + ["EXACT", "AMBIGUOUS"] and set(got["origin"]) == {"COUNT"}
-    assert got["cells"].tolist()[2:] == [["Grade C", ". . .", "48 000 [330]"], ["of plates", "", ""], ["odd 1"]]
-    doubt = layout.reconstruct(single("a 1 2", "b 1 2", "c 1", "d 1 2 3"))
-    assert set(doubt["origin"]) == {"COUNT_IN_DOUBT"} and doubt["confidence"].tolist() == ["BY_COUNT", "BY_COUNT", "AMBIGUOUS", "BY_COUNT"]
-    assert layout.reconstruct(single("one", "two words"))["confidence"].tolist() == ["EXACT", "EXACT"]
-    assert layout.reconstruct(single("a row of many words", "another row of words"))["reason"].tolist() == ["NO_COLUMNS"] * 2
+    assert [r.confidence for r in got] == ["EXACT", "EXACT", "BY_COUNT", "EXACT", "EXACT", "AMBIGUOUS", "AMBIGUOUS"]
+    assert [r.reason for r in got] == ["", "", "", "CONTINUATION", "CONTINUATION", "SHARED_BAND", "OUT_OF_REACH"]
+    assert [r.kind for r in got] == ["header", "data", "data", "header", "header", "header", "data"]
+    assert ([r.line_no for r in got], {r.origin for r in got}) == ([0, 100, 200, 300, 400, 500, 600], {"BANDS"})
+
+
+def test_counts(spark):
+    single = lambda *texts: rebuilt(spark, *[[(10, 200, t)] for t in texts])
+    got = single("Grade A 0.25 0.30", "Grade B 0.28 0.35", "Grade C . . . 48 000 [330]", "of plates", "odd 1")
+    assert [r.confidence for r in got] == ["BY_COUNT"] * 3 + ["EXACT", "AMBIGUOUS"] and {r.origin for r in got} == {"COUNT"}
+    assert [r.cells for r in got][2:] == [["Grade C", ". . .", "48 000 [330]"], ["of plates", "", ""], ["odd 1"]]
+    doubt = single("a 1 2", "b 1 2", "c 1", "d 1 2 3")
+    assert {r.origin for r in doubt} == {"COUNT_IN_DOUBT"} and [r.confidence for r in doubt] == ["BY_COUNT", "BY_COUNT", "AMBIGUOUS", "BY_COUNT"]
+    assert [r.confidence for r in single("one", "two words")] == ["EXACT", "EXACT"]
+    assert [r.reason for r in single("a row of many words", "another row of words")] == ["NO_COLUMNS"] * 2
     # one band separates nothing, so rows of several lines stay whole
-    assert layout.reconstruct(lines([(10, 40, "a"), (41, 60, "b")], [(10, 60, "c 1")]))["reason"].tolist() == ["NO_BANDS", ""]
+    assert [r.reason for r in rebuilt(spark, [(10, 40, "a"), (41, 60, "b")], [(10, 60, "c 1")])] == ["NO_BANDS", ""]
+
+
+def test_over_pages_and_lossless(spark):
+    rows = [[(0, 30, f"r{k}"), (50, 80, f"{k}.5")] for k in range(6)] + [[(0, 90, "a note across")]]
+    got = rebuilt(spark, *rows, page=lambda k: k // 3)
+    assert [r.cells for r in got][:6] == [[f"r{k}", f"{k}.5"] for k in range(6)] and [r.page for r in got] == [0, 0, 0, 1, 1, 1, 2]
+    assert "".join("".join(r.cells) for r in got) == "".join(t for row in rows for _, _, t in row)
+    assert layout.reconstruct_tables(spark.createDataFrame([], LINES), ["t"]).count() == 0
+
+
+def test_overlaps_equal_all_pairs(spark):
+    r = random.Random(5)
+    boxes = [(k, r.choice([1, 2]), *(float(r.randint(-200, 400)) for _ in range(2))) for k in range(120)]
+    boxes = [(k, g, x, y, x + r.choice([0, 1, 30, 200]), y + r.choice([0, 5, 90])) for k, g, x, y in boxes]
+    df = spark.createDataFrame(boxes, "k int, g int, x0 double, y0 double, x1 double, y1 double")
+    side = lambda n: df.select("g", F.col("k").alias(n), F.struct("x0", "y0", "x1", "y1").alias(f"{n}_box"), F.col("x0").alias(f"{n}0"), F.col("x1").alias(f"{n}1"))
+    got = regions.touching(side("a"), side("b"), ["g"], "a_box", "b_box").select("a", "b").collect()
+    meet = lambda p, q: p[1] == q[1] and min(p[4], q[4]) >= max(p[2], q[2]) and min(p[5], q[5]) >= max(p[3], q[3])
+    assert sorted(map(tuple, got)) == sorted((p[0], q[0]) for p in boxes for q in boxes if meet(p, q))
+    for least in (0.0, 7.0):
+        lengths = regions.overlapping(side("a"), side("b"), ["g"], ("a0", "a1"), ("b0", "b1"), least).select("a", "b").collect()
+        share = lambda p, q: min(p[4], q[4]) - max(p[2], q[2])
+        assert sorted(map(tuple, lengths)) == sorted((p[0], q[0]) for p in boxes for q in boxes if p[1] == q[1] and (share(p, q) > least if least else share(p, q) >= 0))
+    inside = lambda p, q: p[1] == q[1] and q[2] <= (p[2] + p[4]) / 2 <= q[4] and q[3] <= (p[3] + p[5]) / 2 <= q[5]
+    some = side("b").where("b % 4 = 0")
+    assert sorted(x.a for x in regions.outside(side("a"), some, ["g"], "a_box", "b_box").collect()) == [p[0] for p in boxes if not any(inside(p, q) for q in boxes if q[0] % 4 == 0)]
+
+
+def test_regions_go_on_over_the_page(spark):
+    box = lambda *v: dict(zip(("x0", "y0", "x1", "y1"), map(float, v), strict=True))
+    schema = "d int, page int, region struct<x0: double, y0: double, x1: double, y1: double>, goes_on boolean"
+    found = spark.createDataFrame([(1, 1, box(0, 500, 200, 800), True), (1, 3, box(0, 0, 50, 50), False)], schema)
+    ends = spark.createDataFrame([(1, 2, 120.0), (1, 4, 99.0)], "d int, page int, ends double")
+    got = {(r.page, tuple(r.region)) for r in regions.carried_over(found, ["d"], "page", "region", "goes_on", 40.0, ends).collect()}
+    assert got == {(1, (0, 500, 200, 800)), (3, (0, 0, 50, 50)), (2, (0, 40, 200, 120))}
+
+
+def test_banners_over_columns(spark):
+    """One banner over two columns that wraps, one over all, labels of single columns, a broken number."""
+    columns = spark.createDataFrame([(1, k, 50.0 * k, 50.0 * k + 50) for k in range(4)], "t int, column_no int, b0 double, b1 double")
+    runs = [(0, 5, 195, "Temperature"), (1, 5, 95, "Category D"), (1, 110, 190, "Normal"), (2, 20, 80, "Service"), (3, 5, 45, "1,00-"), (4, 10, 40, "0"), (3, 60, 90, "mm"), (3, 110, 140, "in."), (4, 160, 190, "ft")]
+    df = spark.createDataFrame([(1, n, float(a), float(b), t) for n, a, b, t in runs], "t int, line int, x0 double, x1 double, text string")
+    got = {r.column_no: (r.label, r.banners) for r in regions.header_columns(df, columns, ["t"]).collect()}
+    assert got == {0: ("1,000", ["Temperature", "Category D Service"]), 1: ("mm", ["Temperature", "Category D Service"]), 2: ("in.", ["Temperature", "Normal"]), 3: ("ft", ["Temperature", "Normal"])}
 
 
 def test_required(spark):

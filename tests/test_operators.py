@@ -65,12 +65,35 @@ def test_resolution_never_guesses(spark):
 
 
 def test_patch_refuses_the_unexpected(spark):
-    rows = spark.createDataFrame([(1, "old"), (2, "other")], "id int, v string")
-    good = spark.createDataFrame([(1, "old", "new")], "id int, expected string, replacement string")
-    assert {r.id: r.v for r in resolve.literal_patch(rows, good, ["id"], "v").collect()} == {1: "new", 2: "other"}
-    bad = spark.createDataFrame([(2, "old", "new")], "id int, expected string, replacement string")
-    with pytest.raises(Exception, match="unexpected value"):
-        resolve.literal_patch(rows, bad, ["id"], "v").collect()
+    rows = spark.createDataFrame([(1, "old"), (2, "other"), (3, None)], "id int, v string")
+    patch = lambda *r: spark.createDataFrame(list(r), "id int, expected string, replacement string")
+    fixed = lambda *r: {x.id: x.v for x in resolve.literal_patch(rows, patch(*r), ["id"], "v").collect()}
+    assert fixed((1, "old", "new"), (3, None, "was null")) == {1: "new", 2: "other", 3: "was null"}
+    assert fixed((1, "old", None)) == {1: None, 2: "other", 3: None}
+    assert fixed() == {1: "old", 2: "other", 3: None}
+    for wrong, said in (((2, "old", "new"), "unexpected value"), ((2, "old", None), "unexpected value"), ((9, "old", "new"), "no row"), ((None, "old", "new"), "no row")):
+        with pytest.raises(Exception, match=said):
+            fixed(wrong)
+    with pytest.raises(Exception, match="patched twice"):
+        fixed((1, "old", "new"), (1, "old", "new"))
+
+
+def test_upper_median_and_digests(spark):
+    rows = spark.createDataFrame([(1, None), (1, None), (1, 1), (1, 2), (1, 3), (2, 4), (2, 5), (3, None)], "k int, v int")
+    assert {r.k: r.m for r in audit.upper_median_of(rows, ["k"], "v", "m").collect()} == {1: 2, 2: 5, 3: None}
+    digest = lambda *r: spark.createDataFrame(list(r), "a string, b string").agg(audit.content_digest(["a", "b"]).alias("d")).first().d
+    assert digest(("x", None)) != digest((None, "x")) and digest(("x", "y"), ("z", "y")) == digest(("z", "y"), ("x", "y"))
+    assert len({digest(("x", "y"), ("x", "y")), digest(("z", "y"), ("z", "y")), digest(("x", "y")), digest(("", "y"))}) == 4
+
+
+def test_notes_and_facing_pages(spark):
+    rows = spark.createDataFrame([(1, ["2", "1", "9"]), (2, ["9"]), (3, [])], "k int, cited array<string>")
+    notes = spark.createDataFrame([("1", "one"), ("2", "two")], "note string, text string")
+    assert {r.k: (r.note_texts, r.notes_missing) for r in resolve.attach_notes(rows, "k", F.col("cited"), notes).collect()} == {1: ("one · two", ["9"]), 2: (None, ["9"]), 3: (None, None)}
+    left = spark.createDataFrame([("a", 1, 10), ("a", 2, 20), ("b", 3, 30)], "line string, n int, x int")
+    right = spark.createDataFrame([("a", 1, 11), ("a", 5, 21), ("c", 6, 41)], "line string, n int, y int")
+    got = {(r.line, r.nth, r.x, r.y, r.half) for r in resolve.page_halves(left, right, ["line"], "n").collect()}
+    assert got == {("a", 1, 10, 11, None), ("a", 2, 20, 21, None), ("b", 1, 30, None, "RIGHT"), ("c", 1, None, 41, "LEFT")}
 
 
 def test_audits(spark):
@@ -86,13 +109,6 @@ def test_audits(spark):
     assert {r.name: r.violations for r in audit.checks(named).collect()} == {"gaps": 1, "none": 0}
 
 
-def test_rows_and_bands():
-    assert layout.cluster_rows([0, 1, 20, 41], [10, 11, 30, 51]) == [0, 0, 1, 2]
-    bands = layout.column_bands([(0, 0, 30), (0, 50, 80), (1, 0, 25), (1, 55, 78)])
-    assert bands == [(0, 30), (50, 80)]
-    assert layout.band_of(bands, 52, 60) == 1
-
-
 def test_reconstruction_is_lossless(spark):
     lines = pd.DataFrame(
         [("Grade", 0, 0, 30, 10), ("Value", 50, 0, 80, 10), ("A", 0, 20, 10, 30), ("1.5", 50, 20, 60, 30), ("a note across", 0, 40, 90, 50)],
@@ -106,6 +122,17 @@ def test_reconstruction_is_lossless(spark):
 
 
 def test_twins(spark):
-    rows = spark.createDataFrame([(1, 0.0, True, 1), (1, 0.1, False, 2), (1, 50.0, True, 3)], "page int, x double, empty boolean, at int")
+    rows = spark.createDataFrame([(1, 0.0, True, 1), (1, 0.1, False, 2), (1, 50.0, True, 3), (1, 50.0, True, 4), (1, 50.2, True, 5), (1, 90.0, False, 6), (1, 90.0, False, 7)], "page int, x double, empty boolean, at int")
     rows = rows.withColumn("box", F.struct(F.col("x").alias("x0"), F.lit(0.0).alias("y0"), (F.col("x") + 10.0).alias("x1"), F.lit(10.0).alias("y1")))
-    assert sorted(r.at for r in layout.without_twins(rows, ["page"], "box", "empty", "at").collect()) == [2, 3]
+    assert sorted(r.at for r in layout.without_twins(rows, ["page"], "box", "empty", "at").collect()) == [2, 3, 6, 7]
+
+
+def test_a_hundred_thousand_boxes_of_one_group(spark):
+    """Copies of one box and a field of others: all pairs would be 10 ** 10."""
+    n = F.col("id")
+    x = F.when(n % 3 == 0, F.lit(0.0)).otherwise((n % 1000) * 100.0)
+    y = F.when(n % 3 == 0, F.lit(0.0)).otherwise(F.floor(n / 1000) * 100.0)
+    boxes = spark.range(100_000).select(F.lit(1).alias("page"), n.alias("at"), F.struct(x.alias("x0"), y.alias("y0"), (x + 20).alias("x1"), (y + 20).alias("y1")).alias("box"), (n % 2 == 0).alias("empty"))
+    kept = layout.without_twins(boxes, ["page"], "box", "empty", "at")
+    # copies: the odd ones are full, so no empty one stays; others have a place of their own, but id 0's is taken
+    assert kept.where("at % 3 = 0 AND empty").count() == 0 and kept.count() == boxes.where("NOT (at % 3 = 0 AND empty)").count()
