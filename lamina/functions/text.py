@@ -146,23 +146,28 @@ def is_value(token: Column) -> Column:
     return squeeze(token).rlike(VALUE)
 
 
+def are_values(words: Column) -> Column:
+    """For each of a row's words (as ``tokens`` gives them) whether it is a value."""
+    return F.transform(words, lambda x: x.rlike(VALUE))
+
+
 def trailing_values(words: Column) -> Column:
     """How many words at the end are values, without a gap."""
-    state = F.aggregate(
-        F.reverse(words),
-        F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")),
-        lambda a, x: F.struct((a["n"] + F.when(a["on"] & is_value(x), 1).otherwise(0)).alias("n"), (a["on"] & is_value(x)).alias("on")),
-    )
-    return state["n"]
+    first_other = F.array_position(F.reverse(are_values(words)), False).cast("int")
+    return F.when(first_other > 0, first_other - 1).otherwise(F.size(words))
 
 
-def split_by_count(c: Column, columns: int | Column) -> Column:
+def split_words(words: Column, columns: Column) -> Column:
     """A label and ``columns - 1`` values from the right, or null if the last words aren't all values."""
-    words, columns = tokens(c), F.lit(columns) if isinstance(columns, int) else columns
     n = F.size(words)
     label = F.array_join(F.slice(words, F.lit(1), F.greatest(n - (columns - 1), F.lit(0))), " ")
     values = F.slice(words, F.greatest(n - (columns - 2), F.lit(1)), F.greatest(columns - 1, F.lit(0)))
-    return F.when((columns > 1) & (n >= columns) & F.forall(values, is_value), F.concat(F.array(label), values))
+    return F.when((columns > 1) & (n >= columns) & F.forall(values, lambda x: x.rlike(VALUE)), F.concat(F.array(label), values))
+
+
+def split_by_count(c: Column, columns: int) -> Column:
+    """``split_words`` of a text."""
+    return split_words(tokens(c), F.lit(columns))
 
 
 #: Names of the elements that have a column, and their symbols. Some have two names or spellings.
