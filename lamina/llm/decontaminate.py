@@ -1,14 +1,19 @@
 """Benchmark decontamination: size-partitioned MinHash containment search.
 
-Test items are partitioned by size. For a partition whose items have at most ``2**c`` shingle positions, a
-document is seen as windows of twice that many positions, each overlapping the next by half, so a passage
-that holds an item lies in one window whose size is bounded: containment in a long document becomes a Jaccard
-similarity with a lower bound that doesn't depend on the document's length. Windows and items get one
-MinHash value in each of ``BINS`` bins; agreement in any bin makes the item a candidate (bands of one row,
-which keep recall highest). Sets of at most ``SMALL`` distinct shingles, and sets so small beside the window
-that this would miss more than ``MISS`` of them (short items, and long ones that repeat themselves), are their
-own signature: nothing in common with a document is overlooked. Every candidate is verified by exact
-containment of its shingles in the whole document.
+Test items are partitioned by size, and a document is seen as overlapping windows of the size that a partition needs, so
+a passage that holds an item lies in one window whose size is bounded: containment in a long document becomes a
+Jaccard similarity with a lower bound that doesn't depend on the document's length. An item is a candidate if any value
+of its signature agrees with a window's (bands of one row, which keep recall highest). There are two kinds of signatures:
+
+- of items that fill them, one least value in each of ``BINS`` bins, over windows of twice the partition's size that
+  overlap by half;
+- of smaller items, the least values under ``HASHES`` independent hashes, over tighter windows: partitions are a root of
+  two apart, and windows begin at every quarter of their length.
+
+An item's kind follows from the probability, at most ``MISS``, that its signature overlooks it. Sets of at most ``SMALL``
+distinct shingles, and sets far smaller than the number of their positions (long items that repeat themselves), are their
+own signature: nothing in common with a document is overlooked. Every candidate is verified by exact containment of its
+shingles in the whole document.
 
 Items with the same shingles are one set. The sets' signatures are sent to the executors in blocks whose size is
 counted, one pass for each block, and one block at a time.
@@ -27,7 +32,9 @@ from lamina.llm.common import binary_texts, discard, lean, materialize, scratch
 from lamina.llm.shingles import WordHashes, shingle_hashes, shingle_set, word_hashes
 
 BINS = 64
-SMALL = 16
+SMALL = 8
+#: Independent hashes of a small item's signature, and positions whose hashes are in memory at a time.
+HASHES, SEGMENT = 40, 1 << 13
 #: Probability up to which signatures may miss an item that stands in one window.
 MISS = 1e-6
 #: Shingles of test items that one pass holds in memory, at most (8 bytes each, and their signatures); a single
@@ -48,11 +55,10 @@ class ItemIndex:
         partitions: dict[int, list[int]] = {}
         for at, (s, positions) in enumerate(zip(self.sets, self.positions, strict=True)):
             if len(s):
-                c = (positions - 1).bit_length()
-                partitions.setdefault(0 if len(s) <= SMALL or miss(len(s), 2 << c, percent) > MISS else c, []).append(at)
-        self.partitions = []
+                partitions.setdefault(kind_of(len(s), positions, percent), []).append(at)
+        self.partitions, self.steps = [], sorted(step for kind, step in partitions if kind == "hashes")
         for c, members in sorted(partitions.items()):
-            signs = [self.sets[m] if c == 0 else bin_minima(self.sets[m]) for m in members]
+            signs = [self.sets[m] if c[0] == "all" else bin_minima(self.sets[m]) if c[0] == "bins" else hashed(self.sets[m]).min(1) for m in members]
             keys, owner = np.concatenate(signs), np.repeat(members, [len(s) for s in signs])
             order = np.argsort(keys, kind="stable")
             known = np.zeros(_FILTER, dtype=bool)
@@ -63,8 +69,9 @@ class ItemIndex:
     def candidates(self, h: np.ndarray) -> set[int]:
         """Items with a signature value in common with a window of the positions ``h``."""
         found: set[int] = set()
-        for c, keys, owner, known in self.partitions:
-            values = h if c == 0 else window_minima(h, 1 << c)
+        tight = tight_minima(h, self.steps) if self.steps else {}
+        for (kind, size), keys, owner, known in self.partitions:
+            values = h if kind == "all" else window_minima(h, size) if kind == "bins" else tight[size]
             values = values[known[(values >> np.uint64(40)).astype(np.int64) & (_FILTER - 1)]]
             if len(values):
                 low, high = np.searchsorted(keys, values, "left"), np.searchsorted(keys, values, "right")
@@ -95,6 +102,56 @@ def miss(shingles: int, window: int, percent: int) -> float:
     return max(0.0, 1 - shared / (window + shingles - shared)) ** filled
 
 
+def step_for(positions: int) -> int:
+    """The step, of a ladder of roots of two, of the smallest windows of four steps in one of which so many positions lie,
+    wherever they begin."""
+    k = 0
+    while 3 * round(2 ** (k / 2)) + 1 < positions:
+        k += 1
+    return round(2 ** (k / 2))
+
+
+def kind_of(shingles: int, positions: int, percent: int) -> tuple[str, int]:
+    """How an item is looked for: by all its shingles, by bins over windows (and half their size), or by hashes over
+    tight windows (and their step)."""
+    half, step = 1 << (positions - 1).bit_length(), step_for(positions + positions // 8)  # words may have been put in
+    if shingles <= SMALL:
+        return "all", 0
+    if miss(shingles, 2 * half, percent) <= MISS:
+        return "bins", half
+    shared = shingles * percent / 100
+    similar = shared / (4 * step + shingles - shared)
+    return ("hashes", step) if (1 - similar) ** HASHES <= MISS else ("all", 0)
+
+
+_RANDOM = np.random.default_rng(17).integers(0, 1 << 64, (2, HASHES), dtype=np.uint64)
+
+
+def hashed(h: np.ndarray) -> np.ndarray:
+    """Shingles under each of the independent hashes: (hash, position)."""
+    x = (h[None, :] ^ _RANDOM[0][:, None]) * (_RANDOM[1] | np.uint64(1))[:, None]
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    return x
+
+
+def tight_minima(h: np.ndarray, steps: list[int]) -> dict[int, np.ndarray]:
+    """For each step the least values of the windows of four steps that begin at every step. Segments of a text overlap by
+    the longest window, so memory is bounded whatever the text's length."""
+    found: dict[int, list[np.ndarray]] = {step: [] for step in steps}
+    for at in range(0, max(1, len(h)), SEGMENT):
+        x = hashed(h[at : at + SEGMENT + 4 * steps[-1]])
+        for step in steps:
+            least = np.minimum.reduceat(x, np.arange(0, x.shape[1], step), axis=1)
+            reach = np.full((HASHES, least.shape[1] + 3), np.iinfo(np.uint64).max)
+            reach[:, : least.shape[1]] = least
+            two = np.minimum(reach[:, :-1], reach[:, 1:])
+            found[step].append(np.minimum(two[:, :-2], two[:, 2:]).ravel())
+        if at + SEGMENT + 4 * steps[-1] >= len(h):
+            break
+    return {step: np.concatenate(parts) for step, parts in found.items()}
+
+
 def bin_minima(s: np.ndarray) -> np.ndarray:
     """The least value in each bin that has any."""
     out = np.full(BINS, np.iinfo(np.uint64).max)

@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from lamina.llm.common import discard, lean, materialize
 
 PAGE = 128
-#: Vectors in a tree (in memory of one task) and queries in a block, about; pivots for vectors of one dimension, at most.
-SHARD, BLOCK, PIVOTS = 16_384, 512, 1_024
+#: Vectors in a tree (in memory of one task), about; pivots for vectors of one dimension, at most.
+SHARD, PIVOTS = 16_384, 4_096
+#: Queries of a tree that one task answers, about: a tree that more ask for is sent to several tasks.
+LOAD = 32_768
 
 
 def points_of(ints: np.ndarray, square: float) -> np.ndarray:
@@ -204,6 +206,25 @@ def _cells(vectors: DataFrame) -> tuple[dict[int, Cells], DataFrame]:
 ASKED = "key long, query_id long, dim int, ints binary, least double, pivot int, tree int"
 
 
+#: What names a tree.
+TREE = ["dim", "pivot", "tree"]
+
+
+def search(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Answers of queries that come after the tree that they ask (pages, key, query_id, ints, least, dim): a tree is read
+    once, and its queries pass by a batch at a time."""
+    tree = None
+    for b in batches:
+        rows = []
+        for pages, key, query_id, ints, least, dim in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if pages is not None:
+                tree = pickle.loads(pages)
+            else:
+                rows += [(key, query_id, vec_id, row, score) for score, vec_id, row in tree.search(_ints([ints], dim)[0], k, key, least)]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["key", "query_id", "vec_id", "row", "score"])
+
+
 def top_products(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """query_id, rank, vec_id and score of the ``k`` rows with the highest inner product of floor(256 * x) for
     each row whose vec_id is divisible by ``every``; ties go to smaller vec_ids.
@@ -226,7 +247,6 @@ def top_products(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFram
     built = dealt.groupBy("dim", "pivot", "tree").applyInPandas(build, "dim int, pivot int, tree int, pages binary")
     trees = materialize(built, "trees")
     asked = vectors.where(F.col("vec_id") % every == 0).select("key", F.col("vec_id").alias("query_id"), "dim", "ints")
-    blocks = F.lit(max(1, -(-asked.count() // BLOCK)))
 
     def sent(first: bool):
         """Each query to the tree of its nearest pivot, or to all others that may hold a better score."""
@@ -246,28 +266,20 @@ def top_products(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFram
 
         return run
 
-    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                tree, cell = pickle.loads(b.column(0)[i].as_py()), b.column(1).slice(i, 1).flatten()
-                queries = _ints(cell.field(2).to_pylist(), b.column(2)[i].as_py())
-                rows = [
-                    (key, query_id, vec_id, row, score)
-                    for key, query_id, query, least in zip(cell.field(0).to_pylist(), cell.field(1).to_pylist(), queries, cell.field(3).to_pylist(), strict=True)
-                    for score, vec_id, row in tree.search(query, k, key, least)
-                ]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["key", "query_id", "vec_id", "row", "score"])
-
     def found(queries: DataFrame, first: bool) -> DataFrame:
-        block = F.pmod(F.xxhash64("key"), blocks).alias("block")
-        packed = queries.mapInArrow(sent(first), ASKED).groupBy("dim", "pivot", "tree", block).agg(F.collect_list(F.struct("key", "query_id", "ints", "least")).alias("asked"))  # about BLOCK queries
-        met = trees.join(packed, ["dim", "pivot", "tree"]).select("pages", "asked", "dim")
-        return met.mapInArrow(search, "key long, query_id long, vec_id long, row long, score long")
-
-    near = materialize(found(asked.withColumn("least", F.lit(None).cast("double")), True), "near")
+        asks = materialize(queries.mapInArrow(sent(first), ASKED), "asked")
+        shares = asks.groupBy(*TREE).agg(F.ceil(F.count("*") / LOAD).alias("shares"))
+        own = trees.join(shares, TREE).select(*TREE, F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"), "pages")
+        dealt = asks.join(shares, TREE).withColumn("share", F.pmod(F.xxhash64("key"), "shares")).drop("shares")
+        rows = own.unionByName(dealt, allowMissingColumns=True).repartition(*TREE, "share").sortWithinPartitions(*TREE, "share", F.col("pages").isNull())
+        answers = rows.select("pages", "key", "query_id", "ints", "least", "dim").mapInArrow(lambda batches: search(batches, k), "key long, query_id long, vec_id long, row long, score long")
+        answers = materialize(answers, "answers")
+        discard(asks)
+        return answers
+
+    near = found(asked.withColumn("least", F.lit(None).cast("double")), True)
     bounds = near.groupBy("key").agg(F.when(F.count("*") == k, F.min("score")).cast("double").alias("least"))
-    far = materialize(found(asked.join(bounds, "key", "left"), False), "far")
+    far = found(asked.join(bounds, "key", "left"), False)
     order = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id", "row")
     ranked = near.union(far).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     discard(trees, vectors)

@@ -179,7 +179,7 @@ def _exact(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) ->
     dealt = sized.join(F.broadcast(hubs) if n <= BROADCAST_IDS else hubs, ["a", "bits"]).withColumn("star", F.pmod(F.xxhash64("b"), "stars"))
     sliced = materialize(dealt.withColumn("slice", F.explode(F.expr("sequence(0, shiftleft(1, bits) - 1)"))).select(*own, "b", "nb"), "sliced")
     centers = sliced.select(*own).distinct()
-    small = n <= BROADCAST_IDS // 4
+    small = sliced.count() <= BROADCAST_IDS // 4  # what is broadcast: slices, not pairs
 
     def with_sets(rows: DataFrame, node: str) -> DataFrame:
         keyed = rows.withColumn("node", F.col(node))

@@ -2,7 +2,10 @@
 
 import random
 
-from lamina.llm.decontaminate import find_leaks, item_blocks, item_sets, set_blocks, without_leaks
+import numpy as np
+
+from lamina.llm import decontaminate
+from lamina.llm.decontaminate import ItemIndex, find_leaks, item_blocks, item_sets, kind_of, set_blocks, step_for, without_leaks
 from tests.llm.conftest import LONG, words
 
 
@@ -94,3 +97,35 @@ def test_items_that_repeat_themselves(spark):
     assert len(expected) >= len(items)
     frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     assert sorted(map(tuple, find_leaks(frame, bench).collect())) == expected
+
+
+def test_most_items_go_through_signatures(spark):
+    """Of the benchmark's sets with more than ``SMALL`` shingles nearly all, and nine of ten of all."""
+    _, sets = item_sets(spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet"))
+    kinds = [(r.n, kind_of(r.n, r.positions, 80)[0]) for r in sets.collect()]
+    assert sum(k != "all" for _, k in kinds) > 0.9 * len(kinds)
+    assert all(k != "all" for n, k in kinds if n > decontaminate.SMALL + 1)
+
+
+def test_windows_hold_what_they_should():
+    """Wherever a passage begins, one window of four steps has all of it."""
+    for positions in range(1, 200):
+        step = step_for(positions)
+        assert all(any(w <= at and at + positions <= w + 4 * step for w in range(0, at + 1, step)) for at in range(4 * step))
+
+
+def test_signatures_overlook_nothing():
+    """Thousands of short items with a fifth of their shingles lost, at the worst places of long texts that cross segments."""
+    rng = np.random.default_rng(1)
+    for n in (17, 20, 31, 46, 55, 80, 300):
+        sets = [rng.integers(0, 1 << 63, n, dtype=np.uint64) for _ in range(300)]
+        index = ItemIndex([(k, np.unique(s), n) for k, s in enumerate(sets)])
+        assert {kind for (kind, _), *_ in index.partitions} <= {"hashes", "bins"}
+        text = rng.integers(0, 1 << 63, 40_000, dtype=np.uint64)
+        places = rng.choice(len(text) // 400 - 1, 60, replace=False) * 400 + rng.integers(0, 90, 60)
+        places[:2] = decontaminate.SEGMENT - n // 2, len(text) - n
+        chosen = rng.choice(300, 60, replace=False)
+        for k, at in zip(chosen, places, strict=True):
+            keep = rng.permutation(n) < -(-n * 8 // 10)
+            text[at : at + n] = np.where(keep, sets[k], text[at : at + n])
+        assert set(chosen.tolist()) <= index.candidates(text)

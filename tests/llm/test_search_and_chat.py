@@ -130,3 +130,29 @@ def test_pairs_by_last_answer(spark):
     real = format_preferences(pairs_by_last_answer(spark.read.parquet("/root/testdata/sf0.01/conversations.parquet"))).toPandas()
     assert (real["prompt_turns"] > 0).mean() > 0.9
     assert pairs_by_last_answer(turns.where("false")).count() == 0
+
+
+def test_a_tree_is_read_once_by_a_task(spark, monkeypatch):
+    """Many batches of queries after a tree: one load; and a tree that many ask for goes to several tasks."""
+    import pickle
+
+    import numpy as np
+    import pyarrow as pa
+
+    loads, real = [], pickle.loads
+    monkeypatch.setattr(mtree.pickle, "loads", lambda x: (loads.append(1), real(x))[1])
+    rng = np.random.default_rng(0)
+    ints = rng.integers(-50, 50, (90, 4))
+    square = float((ints**2).sum(1).max())
+    tree = MTree(np.arange(90), np.arange(90), ints, square)
+    names = ["pages", "key", "query_id", "ints", "least", "dim"]
+    kinds = (pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.float64(), pa.int32())
+    batch = lambda *rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+    asks = [(None, i, i, ints[i].astype("<i8").tobytes(), -np.inf, 4) for i in range(0, 90, 3)]
+    got = list(mtree.search(iter([batch((pickle.dumps(tree), None, None, None, None, 4), *asks[:9]), batch(*asks[9:20]), batch(*asks[20:])]), 5))
+    assert len(loads) == 1 and sum(b.num_rows for b in got) == 30 * 5
+    rows = spark.createDataFrame([(int(i), [float(x) / 256 for x in v]) for i, v in enumerate(ints)], "vec_id long, embedding array<double>")
+    whole = sorted(map(tuple, top_products(rows, every=2).collect()))
+    monkeypatch.setattr(mtree, "LOAD", 4)
+    monkeypatch.setattr(mtree, "SHARD", 40)
+    assert sorted(map(tuple, top_products(rows, every=2).collect())) == whole
