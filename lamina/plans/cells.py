@@ -305,13 +305,6 @@ def bands_by_gap(spark, sf_dir):
     return tables.bands_by_gap(read(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity").distinct(), ["l_orderkey"], "l_quantity", 10.0)
 
 
-@query("""SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'material' ELSE 'mate-rials' END AS joined FROM part""")
-def broken_words(spark, sf_dir):
-    words = read(spark, sf_dir, "part").select("p_partkey", "p_brand", pick(F.col("p_partkey") % 2, ["mate-rial", "mate-rials"]).alias("w"))
-    vocabulary = spark.createDataFrame([("Material",), ("rials",)], "word string")
-    return tables.dehyphenated(words, vocabulary, "p_partkey", "w").select("p_partkey", "joined")
-
-
 @query("""SELECT p_partkey, p_partkey % 2 = 0 AS fits, CASE WHEN p_partkey % 2 = 0 THEN 'Beta gamma' END AS second FROM part""")
 def headings_in_parts(spark, sf_dir):
     parts = text.split_heading(pick(F.col("p_partkey") % 2, ["Alpha Beta gamma", "Alpha Beta Gamma"]), 2)

@@ -9,7 +9,7 @@ from lamina.calc.formula import Formula
 from lamina.calc.model import Check, Citation, Engine, Gate, Row
 from lamina.functions import numeric, text
 from lamina.operators import audit, curves, keys, layout, resolve, trees
-from lamina.plans import cells, geometry, links  # noqa: F401  (they register their queries)
+from lamina.plans import cells, geometry, links, printed  # noqa: F401  (they register their queries)
 from lamina.plans.base import ORACLE_SQL, QUERIES, dec, query, read  # noqa: F401
 from lamina.sources.documents import html_items, raw_items
 
