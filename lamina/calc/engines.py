@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lamina.calc.model import Check, Citation, Engine, Gate, Row
 
+# The formulas, limits and clauses of the code's articles, as it prints them.
 _A = lambda block, clause: Citation("repair-article", block, clause)
 
 #: Full-encirclement and patch repair by a fillet-welded plate: forces, weld size and strain of the plate.
@@ -34,7 +35,8 @@ PNEUMATIC_TEST = Engine(
     rows=(
         Row("V", unit="m3"), Row("Pat", unit="MPa"), Row("Pa", unit="MPa"), Row("k"), Row("R_scaled"),
         Row("E", "1/({k}-1)*{Pat}*1000000*{V}*(1-({Pa}/{Pat})^(({k}-1)/{k}))", "J", _A(20, "stored energy")),
-        Row("TNT", "{E}/4266920", "kg", _A(21, "equivalent")),
+        Row("E_TNT", "4266920", "J/kg", _A(21, "energy of explosive")),
+        Row("TNT", "{E}/{E_TNT}", "kg", _A(21, "equivalent")),
         Row("R", "{R_scaled}*(2*{TNT})^(1/3)", "m", _A(22, "distance")),
     ),
 )
@@ -71,11 +73,14 @@ SLEEVE = Engine(
     "sleeve",
     rows=(
         Row("Ts", unit="mm"), Row("Tp", unit="mm"), Row("G", unit="mm"), Row("Ls", unit="mm"), Row("defect", unit="mm"),
+        Row("P_op", unit="MPa"), Row("P_inst", unit="MPa"),
         Row("Ts_min", "2/3*{Tp}", "mm", _A(50, "thickness of a sleeve that holds no pressure")),
         Row("Ls_min", "MAX(100,{defect}+2*50)", "mm", _A(51, "length of a sleeve")),
         Row("leg", "IF({Ts}<=1.4*{Tp},{Ts}+{G},1.4*{Tp}+{G})", "mm", _A(52, "fillet weld")),
         Row("thickness_ok", "{Ts}>={Ts_min}", "", _A(50, "thickness")),
         Row("length_ok", "{Ls}>={Ls_min}", "", _A(51, "length")),
+        Row("gap_ok", "{G}<=2.5", "", _A(53, "radial gap at fit-up")),
+        Row("band_ok", "AND({P_inst}>=0.5*{P_op},{P_inst}<=0.8*{P_op})", "", _A(54, "pressure while welding")),
     ),
-    checks=(Check("thickness_ok"), Check("length_ok")),
+    checks=(Check("thickness_ok"), Check("length_ok"), Check("gap_ok"), Check("band_ok")),
 )

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lamina.calc.units import check_units
 from lamina.calc.formula import Formula, column_name
 
 
@@ -64,8 +66,8 @@ class Engine:
         return out
 
     def validate(self) -> list[Row]:
-        """Computed rows in an order in which each comes after what it reads. Anything undeclared, circular,
-        uncited or outside its closed options stops it."""
+        """Computed rows in an order in which each comes after what it reads. Anything undeclared, circular, uncited,
+        outside its closed options or of mixed dimensions stops it."""
         rows = self.declared()
         for r in self.rows:
             if r.formula is not None and r.citation is None:
@@ -99,6 +101,7 @@ class Engine:
 
         for r in self.rows:
             visit(r.name)
+        check_units(self)
         return order
 
     def evaluate(self, inputs: DataFrame) -> DataFrame:
@@ -148,9 +151,22 @@ def provenance(engine: Engine, blocks: DataFrame) -> DataFrame:
 
 
 def inconsistent_verdicts(engine: Engine, evaluated: DataFrame) -> DataFrame:
-    """Rows whose stored verdict isn't what their gates, materials and checks give when composed anew."""
-    bound = {r.name: F.col(column_name(r.name)) for r in engine.rows}
-    return evaluated.where(~F.col("verdict").eqNullSafe(engine.verdict(bound)))
+    """Rows whose stored verdict contradicts what stands beside it. Each verdict is held against what it claims: PASS that
+    nothing speaks against, REVIEW that a check fails, MISSING that this value isn't there, BLOCKED that a gate says so; and
+    a verdict never passes over what comes before it. Nothing is composed anew."""
+    at = lambda name: F.col(column_name(name))
+    none = F.lit(False)
+    shut = [~(F.coalesce(at(g.name), F.lit("")).isin(*g.favourable) | (F.coalesce(at(g.name), F.lit("")).startswith(g.warning) if g.warning else none)) for g in engine.gates]
+    blocked, lost = (reduce(lambda a, b: a | b, x, none) for x in (shut, [at(m).isNull() for m in engine.materials]))
+    failed = reduce(lambda a, b: a | b, [~F.coalesce(at(c.name), none) for c in engine.checks], none)
+    verdict = F.coalesce("verdict", F.lit(""))
+    names_gate = reduce(lambda a, b: a | b, [s & (verdict == F.concat(F.lit("BLOCKED: "), F.coalesce(at(g.name), F.lit("")))) for g, s in zip(engine.gates, shut, strict=True)], none)
+    names_value = reduce(lambda a, b: a | b, [at(m).isNull() & (verdict == f"MISSING {m}") for m in engine.materials], none)
+    sound = (
+        F.when(verdict.startswith("BLOCKED"), names_gate).when(verdict.startswith("MISSING"), names_value & ~blocked)
+        .when(verdict == "REVIEW", failed & ~blocked & ~lost).when(verdict == "PASS", ~failed & ~blocked & ~lost).otherwise(none)
+    )
+    return evaluated.where(~sound)
 
 
 def fill(template: str, engine: Engine) -> Column:

@@ -3,6 +3,8 @@ none compares all rows with all."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,13 +71,13 @@ def words_found(wanted: Column, page_text: Column, least: int = 5) -> Column:
     return F.when(F.contains(page_text, wanted), "FOUND").when(share >= 0.95, "REFORMATTED").when(share >= 0.6, "PARTIAL").otherwise("MISSING")
 
 
-def dimension_lookup(asked: DataFrame, bases: dict[str, DataFrame]) -> DataFrame:
-    """Dimensions by standard, size and schedule from the union of the bases, in the unit that is asked for."""
-    union = None
-    for standard, base in bases.items():
-        part = base.withColumn("standard", F.lit(standard))
-        union = part if union is None else union.unionByName(part)
-    found = asked.join(union, ["standard", "nps", "schedule"], "left")
+def dimension_lookup(asked: DataFrame, bases: DataFrame | dict[str, DataFrame]) -> DataFrame:
+    """Dimensions by standard, size and schedule, in the unit that is asked for. ``bases``: one table with a ``standard``,
+    or a table for each of a few standards."""
+    if isinstance(bases, dict):
+        parts = [base.withColumn("standard", F.lit(standard)) for standard, base in bases.items()]
+        bases = reduce(DataFrame.unionByName, parts)
+    found = asked.join(bases, ["standard", "nps", "schedule"], "left")
     pick = lambda x: F.when(F.col("units") == "SI", F.col(f"{x}_mm")).otherwise(F.col(f"{x}_in"))
     return found.select(*asked.columns, pick("od").alias("od"), pick("t").alias("t"))
 

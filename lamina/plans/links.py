@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lamina.calc.engines import LEAK_BOX, PNEUMATIC_TEST, SLEEVE, WELDED_PATCH
 from lamina.calc.formula import column_name
 from lamina.calc.model import fill, provenance, severity
+from lamina.calc.units import convert
 from lamina.operators import audit, curves, keys, layout, match, resolve, trees
 from lamina.plans.base import pick, query, read, shown, sql_pick
 from lamina.sources import documents
@@ -76,9 +77,10 @@ def rows_zipped_by_position(spark, sf_dir):
     SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN t * 25.4 ELSE t END AS t FROM part LEFT JOIN b ON standard = p_type AND nps = CAST(p_size AS VARCHAR) AND schedule = p_brand AND p_type <> (SELECT max(p_type) FROM part)""")
 def dimensions_by_standard(spark, sf_dir):
     parts = read(spark, sf_dir, "part")
-    names = sorted(r[0] for r in parts.select("p_type").distinct().collect())[:-1]  # standards, a handful
     t = F.max("p_retailprice").cast("double")
-    bases = {m: parts.where(F.col("p_type") == m).groupBy(F.col("p_size").cast("string").alias("nps"), F.col("p_brand").alias("schedule")).agg(t.alias("t_in"), (t * 25.4).alias("t_mm"), t.alias("od_in"), t.alias("od_mm")) for m in names}
+    key = [F.col("p_type").alias("standard"), F.col("p_size").cast("string").alias("nps"), F.col("p_brand").alias("schedule")]
+    last = parts.agg(F.max("p_type")).scalar()
+    bases = parts.where(F.col("p_type") != last).groupBy(*key).agg(t.alias("t_in"), (t * 25.4).alias("t_mm"), t.alias("od_in"), t.alias("od_mm"))
     asked = parts.select("p_partkey", F.col("p_type").alias("standard"), F.col("p_size").cast("string").alias("nps"), F.col("p_brand").alias("schedule"), pick(F.col("p_partkey") % 2, ["SI", "US"]).alias("units"))
     return match.dimension_lookup(asked, bases).select("p_partkey", "t")
 
@@ -260,14 +262,23 @@ def leak_box(spark, sf_dir):
     return got.select("p_partkey", area("A1").alias("needed"), area("A2", "A3").alias("present"), "verdict", severity(F.col("verdict")).alias("light"))
 
 
-@query("""WITH i AS (SELECT p_partkey, 2.0 + p_size / 5.0 AS Ts, 8.0 AS Tp, 1.5 AS G, 80.0 + p_size * 3 AS Ls, p_size * 1.0 AS d FROM part)
-    SELECT p_partkey, round(CASE WHEN Ts <= 1.4 * Tp THEN Ts + G ELSE 1.4 * Tp + G END, 6) AS leg, greatest(100, d + 100) AS length, CASE WHEN Ts >= 2 / 3.0 * Tp AND Ls >= greatest(100, d + 100) THEN 'PASS' ELSE 'REVIEW' END AS verdict FROM i""")
+@query("""WITH i AS (SELECT p_partkey, 2.0 + p_size / 5.0 AS Ts, 8.0 AS Tp, 1.5 + p_partkey % 5 * 0.3 AS G, 80.0 + p_size * 3 AS Ls, p_size * 1.0 AS d, 10.0 AS P_op, 4.0 + p_partkey % 6 AS P_inst FROM part)
+    SELECT p_partkey, round(CASE WHEN Ts <= 1.4 * Tp THEN Ts + G ELSE 1.4 * Tp + G END, 6) AS leg, greatest(100, d + 100) AS length,
+        CASE WHEN Ts >= 2 / 3.0 * Tp AND Ls >= greatest(100, d + 100) AND p_partkey % 5 < 4 AND P_inst BETWEEN 5 AND 8 THEN 'PASS' ELSE 'REVIEW' END AS verdict FROM i""")
 def sleeve(spark, sf_dir):
-    size, lit = F.col("p_size").cast("double"), F.lit
-    got = SLEEVE.evaluate(_inputs(read(spark, sf_dir, "part", "p_partkey", "p_size"), {"Ts": size / 5 + 2.0, "Tp": lit(8.0), "G": lit(1.5), "Ls": size * 3 + 80.0, "defect": size}))
+    size, key, lit = F.col("p_size").cast("double"), F.col("p_partkey"), F.lit
+    values = {"Ts": size / 5 + 2.0, "Tp": lit(8.0), "G": F.round((key % 5) * 0.3 + 1.5, 1), "Ls": size * 3 + 80.0, "defect": size, "P_op": lit(10.0), "P_inst": (key % 6 + 4).cast("double")}
+    got = SLEEVE.evaluate(_inputs(read(spark, sf_dir, "part", "p_partkey", "p_size"), values))
     return got.select("p_partkey", F.round(F.col(column_name("leg")), 6).alias("leg"), F.col(column_name("Ls_min")).alias("length"), "verdict")
 
 
+@query("""SELECT p_partkey, round(p_size * 25.4, 6) AS mm, round(p_size * 6.894757293168, 6) AS mpa, round((p_size - 32) * 5 / 9.0, 6) AS celsius, round(p_size * 0.0980665 / 0.006894757293168, 6) AS psi, round(p_size * 25.4 / 304.8, 6) AS feet FROM part""")
+def converted_units(spark, sf_dir):
+    size = F.col("p_size").cast("double")
+    to = lambda of, unit, name: F.round(convert(size, of, unit), 6).alias(name)
+    return read(spark, sf_dir, "part", "p_partkey", "p_size").select("p_partkey", to("in", "mm", "mm"), to("ksi", "MPa", "mpa"), to("F", "C", "celsius"), to("kg/cm2", "psi", "psi"), to("in", "ft", "feet"))
+
+
 @query("""WITH e AS (SELECT p_partkey, 1 / 0.4 * (1.0 + p_size / 10.0) * 1000000 * (p_size * 0.5) * (1 - pow(0.101 / (1.0 + p_size / 10.0), 0.4 / 1.4)) AS E FROM part)
     SELECT p_partkey, round(E / 1e6, 6) AS energy, round(E / 4266920, 6) AS tnt, round(20 * pow(2 * E / 4266920, 1 / 3.0), 6) AS distance, 'PASS' AS verdict FROM e""")
 def pneumatic_test(spark, sf_dir):

@@ -130,8 +130,8 @@ def bilingual_ordinal_link(spark, sf_dir):
     WHERE r_name = (SELECT min(r_name) FROM region) AND n_name = (SELECT min(n_name) FROM nation JOIN region ON r_regionkey = n_regionkey WHERE r_name = (SELECT min(r_name) FROM region))""")
 def cascade_distinct(spark, sf_dir):
     nations = read(spark, sf_dir, "nation").join(read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    region = nations.agg(F.min("r_name")).first()[0]
-    nation = nations.where(F.col("r_name") == region).agg(F.min("n_name")).first()[0]
+    region = nations.agg(F.min("r_name")).scalar()
+    nation = nations.where(F.col("r_name") == region).agg(F.min("n_name")).scalar()
     rows = read(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     return keys.cascade(rows, ["r_name", "n_name", "c_mktsegment"], [region, nation])
 
@@ -198,7 +198,7 @@ def family_classifier(spark, sf_dir):
     OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS above FROM events""")
 def nearest_above(spark, sf_dir):
     events = read(spark, sf_dir, "events", "event_id", "user_id", "ts", "event_type")
-    kind = events.agg(F.min("event_type")).first()[0]
+    kind = events.agg(F.min("event_type")).scalar()
     got = resolve.nearest_above(events, ["user_id"], ["ts", "event_id"], F.col("event_type") == kind, "event_id")
     return got.select("event_id", "above")
 

@@ -110,5 +110,47 @@ def test_leak_box(spark):
 def test_sleeve(spark, ts, leg, verdict):
     from lamina.calc.engines import SLEEVE
 
-    got = evaluate(spark, SLEEVE, Ts=ts, Tp=8.0, G=1.0, Ls=160.0, defect=40.0).first().asDict()
+    sleeve = lambda **changed: evaluate(spark, SLEEVE, **({"Ts": ts, "Tp": 8.0, "G": 1.0, "Ls": 160.0, "defect": 40.0, "P_op": 10.0, "P_inst": 6.0} | changed)).first().asDict()
+    got = sleeve()
     assert got[column_name("leg")] == pytest.approx(leg) and got[column_name("Ls_min")] == 140.0 and got["verdict"] == verdict
+    # fixed values: the pressure while welding lies between 0.5 and 0.8 of that in operation, the gap is 2.5 mm at most
+    assert [sleeve(P_inst=p)["verdict"] for p in (4.9, 5.0, 8.0, 8.1)] == ["REVIEW", verdict, verdict, "REVIEW"] and sleeve(G=2.6)["verdict"] == "REVIEW"
+
+
+def test_units(spark):
+    """Conversions; and dimensions that don't fit stop an engine before it is compiled."""
+    from lamina.calc.formula import Formula
+    from lamina.calc.model import Citation, Engine, Row
+    from lamina.calc.units import UNITS, convert, dimension
+
+    row = spark.createDataFrame([(212.0,)], "x double").select(convert(F.col("x"), "F", "C").alias("c"), convert(F.col("x"), "in", "mm").alias("mm"), convert(F.col("x"), "kip/in", "N/mm").alias("f")).first()
+    assert (round(row.c, 9), round(row.mm, 9), round(row.f, 3)) == (100.0, 5384.8, 37126.889)
+    for of, to in (("mm", "MPa"), ("mm", "cubit")):
+        with pytest.raises(ValueError):
+            convert(F.col("x"), of, to)
+    units = {n: UNITS[u][2] for n, u in {"P": "MPa", "D": "mm", "t": "in", "W": "N/mm", "E": "J", "m": "kg"}.items()}
+    of = lambda f: dimension(Formula(f).tree, units, f)
+    assert of("{P}*{D}/2+{W}") == {"F": 1, "L": -1} and of("({D}*{t})^0.5+3") == {"L": 1} and of("SQRT({D}*{t})") == {"L": 1} and of("MAX(100,{D}+2*50)") == {"L": 1}
+    assert of("{E}/{m}") == {"F": 1, "L": 1, "M": -1} and of("1/{D}") == {"L": -1} and of("{D}/{t}") == {} and of("IF({D}>{t},{P},2)") == {"F": 1, "L": -2} and of("{any}*{D}") is None
+    for wrong in ("{P}+{D}", "MIN({D},{P})", "{W}>={P}", "IF({D}>1,{D},{P})"):
+        with pytest.raises(ValueError, match="different dimensions"):
+            of(wrong)
+    cite = Citation("repair-article", 1, "clause")
+    Engine("good", rows=(Row("a", unit="mm"), Row("b", "{a}*{a}", "mm2", cite))).validate()
+    with pytest.raises(ValueError, match="different dimensions"):
+        Engine("bad", rows=(Row("a", unit="mm"), Row("b", "{a}*{a}", "mm", cite))).validate()
+
+
+def test_verdicts_against_what_stands_beside_them(spark):
+    from lamina.calc.engines import WELDED_PATCH
+    from lamina.calc.formula import column_name
+    from lamina.calc.model import inconsistent_verdicts
+
+    of = {r.name: column_name(r.name) for r in WELDED_PATCH.rows}
+    cases = [
+        ("PASS", "allowed", 1.0, True, True, True), ("PASS", "allowed", 1.0, True, False, False), ("REVIEW", "allowed", 1.0, False, True, True), ("REVIEW", "allowed", 1.0, True, True, False),
+        ("REVIEW", "allowed", None, False, True, False), ("MISSING Sa", "allowed", None, None, True, True), ("MISSING Sa", "allowed", 1.0, True, True, False), ("BLOCKED: excluded", "excluded", None, None, None, True),
+        ("BLOCKED: other", "excluded", 1.0, True, True, False), ("PASS", "excluded", 1.0, True, True, False), ("MISSING Sa", "excluded", None, True, True, False), (None, "allowed", 1.0, True, True, False),
+    ]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], f"i int, verdict string, {of['service']} string, {of['Sa']} double, {of['weld_ok']} boolean, {of['strain_ok']} boolean, good boolean")
+    assert sorted(r.i for r in inconsistent_verdicts(WELDED_PATCH, df).collect()) == [i for i, c in enumerate(cases) if not c[-1]]
