@@ -158,12 +158,12 @@ def column_titles(spark, sf_dir):
 
 
 @query("""SELECT p_partkey, 'SA-' || p_partkey || '/SA-' || p_partkey || 'M|' || upper(replace(p_name, ' ', '')) || '|SA-' || p_partkey || '|SA-' || p_partkey || 'M' AS names,
-    array_to_string(list_sort(list_distinct([p_partkey % 1000, p_size])), '|') AS numbers, 'sa_' || p_partkey || '_sa_' || p_partkey || 'm' AS prefix FROM part WHERE p_partkey > 9""")
+    array_to_string(list_sort(list_distinct([p_partkey % 1000, p_size])), '|') AS numbers, 'sa_' || p_partkey || '_sa_' || p_partkey || 'm' AS prefix FROM part""")
 def document_names(spark, sf_dir):
     k = F.col("p_partkey").cast("string")
     spec, title = F.concat(F.lit("SA-"), k, F.lit("/SA-"), k, F.lit("M")), F.concat("p_name", F.lit(" - a title"))
     page = F.concat((F.col("p_partkey") % 1000).cast("string"), F.lit("\n\nA heading\nline 77 of text\nmore\n"), F.col("p_size").cast("string"), F.lit("\n"))
-    rows = read(spark, sf_dir, "part").where("p_partkey > 9")  # shorter parts of a name don't count
+    rows = read(spark, sf_dir, "part")
     return rows.select("p_partkey", shown(text.designations([spec], title)).alias("names"), shown(text.printed_numbers(page)).alias("numbers"), text.file_prefix(spec, title).alias("prefix"))
 
 
@@ -305,7 +305,17 @@ def bands_by_gap(spark, sf_dir):
     return tables.bands_by_gap(read(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity").distinct(), ["l_orderkey"], "l_quantity", 10.0)
 
 
-@query("""SELECT p_partkey, p_partkey % 2 = 0 AS fits, CASE WHEN p_partkey % 2 = 0 THEN 'Beta gamma' END AS second FROM part""")
+@query("""WITH w AS (SELECT p_partkey, list_transform(string_split(p_name || CASE WHEN p_size % 2 = 0 THEN '' ELSE ' ' || p_type END, ' '), lambda x: upper(x[1]) || lower(x[2:])) AS w FROM part)
+    SELECT p_partkey, len(w) = 2 AS fits, CASE WHEN len(w) = 2 THEN w[2] END AS second FROM w""")
 def headings_in_parts(spark, sf_dir):
-    parts = text.split_heading(pick(F.col("p_partkey") % 2, ["Alpha Beta gamma", "Alpha Beta Gamma"]), 2)
+    """Headings of two names that run on, and of three."""
+    name = F.concat("p_name", F.when(F.col("p_size") % 2 == 0, "").otherwise(F.concat(F.lit(" "), "p_type")))
+    parts = text.split_heading(F.initcap(name), 2)
     return read(spark, sf_dir, "part").select("p_partkey", parts.isNotNull().alias("fits"), F.get(parts, F.lit(1)).alias("second"))
+
+
+@query(r"""SELECT doc_id, list_contains(regexp_extract_all(text, '\d+'), CAST(doc_id % 10 AS VARCHAR)) AS numbered, contains(text, 'the') AND contains(text, ',') AS signed FROM documents""")
+def signatures_of_documents(spark, sf_dir):
+    """Documents that have a number as a word of its own, and those with all the marks of a block."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return docs.select("doc_id", text.mentions_number(F.col("text"), F.col("doc_id") % 10).alias("numbered"), text.has_signature(F.col("text"), ["the", ","]).alias("signed"))

@@ -11,7 +11,7 @@ from lamina.calc.model import fill, provenance, severity
 from lamina.calc.units import convert
 from lamina.operators import audit, curves, keys, layout, match, resolve, trees
 from lamina.plans.base import pick, query, read, shown, sql_pick
-from lamina.sources import documents
+from lamina.sources import documents, grids
 
 # ---- joins -------------------------------------------------------------------------------------------------
 
@@ -57,11 +57,15 @@ def single_candidates(spark, sf_dir):
     return match.only_candidate(read(spark, sf_dir, "nation", "n_nationkey"), suppliers, ["n_nationkey"], "s_name").select("n_nationkey", "s_name")
 
 
-@query("""SELECT o_orderkey, o_orderstatus, o_totalprice > 100000 AS large FROM orders""")
+@query("""SELECT c_custkey, CAST(n AS INTEGER) AS position, o_orderkey, c_name FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders) JOIN customer ON c_custkey = o_custkey""")
 def positions_as_contract(spark, sf_dir):
-    left = read(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus")
-    right = read(spark, sf_dir, "orders", "o_orderkey", F.col("o_orderstatus").alias("s"), (F.col("o_totalprice") > 100000).alias("large"))
-    return match.checked_positions(left, right, ["o_orderkey"], F.col("o_orderstatus"), F.col("s")).select("o_orderkey", "o_orderstatus", "large")
+    """A customer's orders by their place, against the same places counted from the customers' side: names have to agree."""
+    nth = F.row_number().over(Window.partitionBy("c_custkey").orderBy("o_orderkey")).alias("position")
+    left = read(spark, sf_dir, "orders", F.col("o_custkey").alias("c_custkey"), "o_orderkey").select("c_custkey", nth, "o_orderkey", F.concat(F.lit("Customer#"), F.col("c_custkey").cast("string")).alias("name"))
+    counts = read(spark, sf_dir, "orders", F.col("o_custkey").alias("c_custkey")).groupBy("c_custkey").agg(F.count("*").cast("int").alias("most"))
+    right = read(spark, sf_dir, "customer", "c_custkey", "c_name").join(counts, "c_custkey").select("c_custkey", F.explode(F.sequence(F.lit(1), "most")).alias("position"), "c_name")
+    number = lambda c: F.regexp_extract(c, r"(\d+)$", 1).cast("long")
+    return match.checked_positions(left, right, ["c_custkey", "position"], number(F.col("name")), number(F.col("c_name"))).select("c_custkey", "position", "o_orderkey", "c_name")
 
 
 @query("""WITH a AS (SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_returnflag <> 'R'), b AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN 1 ELSE l_quantity END AS q FROM lineitem WHERE l_returnflag <> 'N')
@@ -85,21 +89,30 @@ def dimensions_by_standard(spark, sf_dir):
     return match.dimension_lookup(asked, bases).select("p_partkey", "t")
 
 
-@query("""WITH w AS (SELECT p_partkey, p_partkey % 50 AS page FROM part), c AS (SELECT p_partkey, page, p.pg FROM w JOIN (SELECT unnest(range(0, 80)) AS pg) p ON p.pg BETWEEN page - 2 AND page + 12 AND p.pg % 10 = p_partkey % 10)
-    SELECT p_partkey, CAST(first(pg ORDER BY abs(pg - page), pg) AS INTEGER) AS found_page FROM c GROUP BY 1""")
+@query(r"""WITH t AS (SELECT page_id, html, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title FROM pages), w AS (SELECT page_id, CASE page_id % 3 WHEN 0 THEN page_id - 4 WHEN 1 THEN page_id + 1 ELSE page_id - 20 END AS page, title FROM t WHERE title <> ''),
+    c AS (SELECT w.page_id, w.page, t.page_id AS pg FROM w JOIN t ON t.page_id BETWEEN w.page - 2 AND w.page + 12 AND contains(t.html, w.title))
+    SELECT w.page_id, arg_min(pg, abs(pg - c.page) * 100000000 + pg) AS found_page FROM w LEFT JOIN c USING (page_id) GROUP BY 1""")
 def pages_near_the_expected(spark, sf_dir):
-    wanted = read(spark, sf_dir, "part").select("p_partkey", (F.col("p_partkey") % 50).cast("int").alias("page"), F.concat(F.lit("mark"), (F.col("p_partkey") % 10).cast("string"), F.lit(";")).alias("text"))
-    pages = spark.range(80).select(F.col("id").cast("int").alias("page"), F.concat(F.lit("some mark"), (F.col("id") % 10).cast("string"), F.lit("; text")).alias("page_text"))
-    return match.near_page(wanted, pages, "p_partkey").select("p_partkey", "found_page")
+    """A page's title is looked for near a page that is off by four, one or twenty."""
+    pages = read(spark, sf_dir, "pages", "page_id", "html")
+    titled = pages.select("page_id", F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1).alias("text")).where("text <> ''")
+    off = F.when(F.col("page_id") % 3 == 0, -4).when(F.col("page_id") % 3 == 1, 1).otherwise(-20)
+    wanted = titled.select("page_id", (F.col("page_id") + off).alias("page"), "text")
+    return match.near_page(wanted, pages.select(F.col("page_id").alias("page"), F.col("html").alias("page_text")), "page_id").select("page_id", "found_page")
 
 
-FOUND = ["FOUND", "REFORMATTED", "MISSING"]
-
-
-@query(f"SELECT p_partkey, {sql_pick('p_partkey % 3', FOUND)} AS state FROM part")
+@query(r"""WITH d AS (SELECT doc_id, text, coalesce(substr(lead(text) OVER (ORDER BY doc_id), 1, 200), '') AS wanted, substr(text, 11, 60) AS own FROM documents),
+    w AS (SELECT *, list_filter(regexp_split_to_array(lower(wanted), '\W+'), lambda x: length(x) >= 5) AS long FROM d), s AS (SELECT *, len(list_filter(long, lambda x: contains(lower(text), x))) / nullif(len(long), 0) AS share FROM w)
+    SELECT doc_id, CASE WHEN contains(text, wanted) THEN 'FOUND' WHEN share >= 0.95 THEN 'REFORMATTED' WHEN share >= 0.6 THEN 'PARTIAL' ELSE 'MISSING' END AS next, CASE WHEN contains(text, own) THEN 'FOUND' END AS own FROM s""")
 def texts_on_pages(spark, sf_dir):
-    page = pick(F.col("p_partkey") % 3, ["alpha betas gamma delta", "gamma betas, alpha", "nothing of that"])
-    return read(spark, sf_dir, "part").select("p_partkey", match.words_found(F.lit("alpha betas gamma"), page).alias("state"))
+    """Whether a document has the beginning of the next one, as it stands or by its long words; and a part of its own."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    after = docs.select("doc_id", F.substring("text", 1, 200).alias("wanted"))
+    numbered = docs.select("doc_id").repartitionByRange("doc_id").select("doc_id")
+    following = numbered.join(numbered.select((F.col("doc_id") - 1).alias("doc_id"), F.col("doc_id").alias("next_id")), "doc_id", "left")
+    both = docs.join(following, "doc_id").join(after.withColumnRenamed("doc_id", "next_id"), "next_id", "left")
+    wanted = F.coalesce("wanted", F.lit(""))
+    return both.select("doc_id", match.words_found(wanted, F.col("text")).alias("next"), match.words_found(F.substring("text", 11, 60), F.col("text")).alias("own"))
 
 
 @query("""WITH s AS (SELECT p_type, p_brand, list_sort(list_distinct(list(p_size % 5))) AS m FROM part GROUP BY 1, 2)
@@ -216,13 +229,23 @@ def stress_range_and_increase(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", curves.stress_status(F.col("p_size") + F.lit(100.0), F.lit(125.0)).alias("status"), curves.admits_increase(notes).alias("admits"))
 
 
-@query("""SELECT c_custkey, c_nationkey AS n, 'TOP' AS level FROM customer WHERE c_custkey % 3 = 0""")
+@query("""SELECT c_custkey, c_nationkey AS n, n_name FROM customer JOIN nation ON n_nationkey = c_nationkey""")
 def required_lookups(spark, sf_dir):
-    wanted = read(spark, sf_dir, "customer", "c_custkey").where("c_custkey % 3 = 0")
-    found = resolve.required(wanted, read(spark, sf_dir, "customer", "c_custkey", F.col("c_nationkey").alias("n")), ["c_custkey"], "n", "nation")
-    state = keys.select_level({"a": "x", "b": "y", "c": "z"}, ["a", "b", "c"], "b", "w")
-    level = "TOP" if state == {"a": "x", "b": "w", "c": None} else "WRONG"
-    return found.select("c_custkey", "n", F.lit(level).alias("level"))
+    """Every customer has a nation, or the query stops."""
+    wanted = read(spark, sf_dir, "customer", "c_custkey", F.col("c_nationkey").alias("n"))
+    return resolve.required(wanted, read(spark, sf_dir, "nation", F.col("n_nationkey").alias("n"), "n_name"), ["n"], "n_name", "nation").select("c_custkey", "n", "n_name")
+
+
+@query("""WITH l AS (SELECT event_id, user_id, event_id % 3 AS lv, event_type AS v, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+    m AS (SELECT *, max(CASE WHEN lv = 0 THEN n END) OVER w AS n0, max(CASE WHEN lv = 1 THEN n END) OVER w AS n1 FROM l WINDOW w AS (PARTITION BY user_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    SELECT m.event_id, concat_ws('|', CASE WHEN m.lv > 0 THEN a.v END, CASE WHEN m.lv > 1 AND m.n1 > coalesce(m.n0, 0) THEN b.v END, m.v) AS chosen,
+        coalesce(m.lv = 0 OR m.lv = 1 AND m.n0 IS NOT NULL OR m.lv = 2 AND m.n0 IS NOT NULL AND m.n1 > m.n0, false) AS complete
+    FROM m LEFT JOIN l a ON a.user_id = m.user_id AND a.n = m.n0 LEFT JOIN l b ON b.user_id = m.user_id AND b.n = m.n1""")
+def selections_of_users(spark, sf_dir):
+    """A user's events choose on three levels: a choice clears the deeper ones, and is complete if all above it are made."""
+    events = read(spark, sf_dir, "events", "event_id", "user_id", "ts", "event_type").withColumn("level", (F.col("event_id") % 3).cast("int"))
+    chosen = grids.heading_paths(events, ["user_id"], ["ts", "event_id"], "level", "event_type")
+    return chosen.select("event_id", F.array_join(F.concat("path", F.array("event_type")), "|").alias("chosen"), (F.size("path") == F.col("level")).alias("complete"))
 
 
 # ---- engines -----------------------------------------------------------------------------------------------
