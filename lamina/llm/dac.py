@@ -246,7 +246,12 @@ def read_digests(spark, folder: str, manifest: list[dict]) -> DataFrame:
 
 
 def token_digest(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """Write all documents to files and report each from the files read back."""
+    """Write all documents to files and report each (doc_id, start, n_tokens, ids_crc32) from the files read back.
+
+    Null and empty texts are the end's id alone; repeated rows and rows with one doc_id are documents of their own, in the
+    table's order; those with a null doc_id come last and keep it. Texts are encoded whole, a megabyte at a time. Other
+    columns are ignored, whatever their names; an empty table gives no rows.
+    """
     spark = docs.sparkSession
     folder = scratch(spark, "dac")
     return read_digests(spark, folder, write_dac(docs, folder, tokenizer, end_id, words=True))
