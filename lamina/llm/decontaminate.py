@@ -58,7 +58,7 @@ class ItemIndex:
                 partitions.setdefault(kind_of(len(s), positions, percent), []).append(at)
         self.partitions, self.steps = [], sorted(step for kind, step in partitions if kind == "hashes")
         for c, members in sorted(partitions.items()):
-            signs = [self.sets[m] if c[0] == "all" else bin_minima(self.sets[m]) if c[0] == "bins" else hashed(self.sets[m]).min(1) for m in members]
+            signs = [self.sets[m] if c[0] == "all" else bin_minima(self.sets[m]) if c[0] == "bins" else _wide(hashed(self.sets[m]).min(axis=0)) for m in members]
             keys, owner = np.concatenate(signs), np.repeat(members, [len(s) for s in signs])
             order = np.argsort(keys, kind="stable")
             known = np.zeros(_FILTER, dtype=bool)
@@ -124,30 +124,43 @@ def kind_of(shingles: int, positions: int, percent: int) -> tuple[str, int]:
     return ("hashes", step) if (1 - similar) ** HASHES <= MISS else ("all", 0)
 
 
-_RANDOM = np.random.default_rng(17).integers(0, 1 << 64, (2, HASHES), dtype=np.uint64)
+_RANDOM = np.random.default_rng(17).integers(0, 1 << 32, (2, HASHES), dtype=np.uint32)
 
 
 def hashed(h: np.ndarray) -> np.ndarray:
-    """Shingles under each of the independent hashes: (hash, position)."""
-    x = (h[None, :] ^ _RANDOM[0][:, None]) * (_RANDOM[1] | np.uint64(1))[:, None]
-    x ^= x >> np.uint64(32)
-    x *= np.uint64(0x9E3779B97F4A7C15)
+    """Shingles under each of the independent hashes: (position, hash), 32 bits each."""
+    x = (h >> np.uint64(32)).astype(np.uint32)[:, None] ^ _RANDOM[0]
+    x *= _RANDOM[1] | np.uint32(1)
     return x
 
 
+def _wide(x: np.ndarray) -> np.ndarray:
+    """Hashes in the upper half of 64 bits, as signatures of all kinds are looked up alike."""
+    return x.ravel().astype(np.uint64) << np.uint64(32)
+
+
+def _least(x: np.ndarray, step: int) -> np.ndarray:
+    """The least of each ``step`` rows, those of the last ones that are left over too."""
+    whole = len(x) // step
+    parts = [x[: whole * step].reshape(whole, step, x.shape[1]).min(axis=1)] if whole else []
+    return np.concatenate([*parts, x[whole * step :].min(axis=0, keepdims=True)]) if len(x) > whole * step else parts[0]
+
+
 def tight_minima(h: np.ndarray, steps: list[int]) -> dict[int, np.ndarray]:
     """For each step the least values of the windows of four steps that begin at every step. Segments of a text overlap by
     the longest window, so memory is bounded whatever the text's length."""
     found: dict[int, list[np.ndarray]] = {step: [] for step in steps}
+    longest = 4 * steps[-1]
     for at in range(0, max(1, len(h)), SEGMENT):
-        x = hashed(h[at : at + SEGMENT + 4 * steps[-1]])
+        x = hashed(h[at : at + SEGMENT + longest])
+        least: dict[int, np.ndarray] = {}
         for step in steps:
-            least = np.minimum.reduceat(x, np.arange(0, x.shape[1], step), axis=1)
-            reach = np.full((HASHES, least.shape[1] + 3), np.iinfo(np.uint64).max)
-            reach[:, : least.shape[1]] = least
-            two = np.minimum(reach[:, :-1], reach[:, 1:])
-            found[step].append(np.minimum(two[:, :-2], two[:, 2:]).ravel())
-        if at + SEGMENT + 4 * steps[-1] >= len(h):
+            least[step] = own = _least(least[step // 2], 2) if step % 2 == 0 and step // 2 in least else _least(x, step)
+            reach = np.full((len(own) + 3, HASHES), np.iinfo(np.uint32).max)
+            reach[: len(own)] = own
+            two = np.minimum(reach[:-1], reach[1:])
+            found[step].append(_wide(np.minimum(two[:-2], two[2:])))
+        if at + SEGMENT + longest >= len(h):
             break
     return {step: np.concatenate(parts) for step, parts in found.items()}
 

@@ -28,8 +28,9 @@ from lamina.llm.common import discard, lean, materialize
 PAGE = 128
 #: Vectors in a tree (in memory of one task), about; pivots for vectors of one dimension, at most.
 SHARD, PIVOTS = 16_384, 4_096
-#: Queries of a tree that one task answers, about: a tree that more ask for is sent to several tasks.
-LOAD = 32_768
+#: Queries of a tree that one task answers, about: a tree that more ask for is sent to several tasks. Where there are fewer
+#: trees than cores, tasks have fewer queries, but so many at least.
+LOAD, LIGHT = 32_768, 64
 
 
 def points_of(ints: np.ndarray, square: float) -> np.ndarray:
@@ -268,10 +269,13 @@ def top_products(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFram
 
     def found(queries: DataFrame, first: bool) -> DataFrame:
         asks = materialize(queries.mapInArrow(sent(first), ASKED), "asked")
-        shares = asks.groupBy(*TREE).agg(F.ceil(F.count("*") / LOAD).alias("shares"))
+        counts = asks.groupBy(*TREE).agg(F.count("*").alias("n"))
+        places = counts.agg(F.sum(F.ceil(F.col("n") / LOAD))).first()[0] or 1
+        spread = -(-spark.sparkContext.defaultParallelism // places)
+        shares = counts.select(*TREE, F.greatest(F.ceil(F.col("n") / LOAD), F.least(F.ceil(F.col("n") / LIGHT), F.ceil(F.col("n") / LOAD) * spread)).cast("long").alias("shares"))
         own = trees.join(shares, TREE).select(*TREE, F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"), "pages")
         dealt = asks.join(shares, TREE).withColumn("share", F.pmod(F.xxhash64("key"), "shares")).drop("shares")
-        rows = own.unionByName(dealt, allowMissingColumns=True).repartition(*TREE, "share").sortWithinPartitions(*TREE, "share", F.col("pages").isNull())
+        rows = own.unionByName(dealt, allowMissingColumns=True).repartition(min(2 * spread * places, 100_000), *TREE, "share").sortWithinPartitions(*TREE, "share", F.col("pages").isNull())
         answers = rows.select("pages", "key", "query_id", "ints", "least", "dim").mapInArrow(lambda batches: search(batches, k), "key long, query_id long, vec_id long, row long, score long")
         answers = materialize(answers, "answers")
         discard(asks)
