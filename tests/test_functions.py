@@ -1,4 +1,4 @@
-"""Scalar functions against literal vectors."""
+"""Scalar functions against literal vectors (fixed values: what the printed pages have)."""
 
 import pytest
 from pyspark.sql import functions as F
