@@ -19,7 +19,9 @@ def packed_bands(points: DataFrame, key: str, t: str, v: str) -> DataFrame:
 def bracket(band: Column, at: Column) -> Column:
     """Struct of the last point at or below ``at`` (the first point, below all) and the next one."""
     low = F.coalesce(F.try_element_at(F.filter(band, lambda p: p["t"] <= at), F.lit(-1)), F.get(band, F.lit(0)))
-    return F.struct(low.alias("lo"), F.get(F.filter(band, lambda p: p["t"] > low["t"]), F.lit(0)).alias("hi"))
+    # bound in a list of one, as the lower point would be sought again for every point that the upper one is sought among
+    both = F.transform(F.array(low), lambda lo: F.struct(lo.alias("lo"), F.get(F.filter(band, lambda p: p["t"] > lo["t"]), F.lit(0)).alias("hi")))
+    return F.get(both, F.lit(0))
 
 
 def interpolate(b: Column, at: Column, conservative: Column) -> Column:
@@ -34,9 +36,12 @@ def interpolate(b: Column, at: Column, conservative: Column) -> Column:
 
 
 def lookup(probes: DataFrame, bands: DataFrame, key: str, at: str = "t_probe", conservative: Column | bool = False) -> DataFrame:
-    """Join probes to their curve and read it; bands stay one row a curve, so nothing is exploded."""
+    """Join probes to their curve and read it; bands stay one row a curve, so nothing is exploded.
+
+    Both sides are exchanged: probes are often exploded from a few rows, and estimates of their size don't see that, so
+    they would be broadcast from the driver however many they are."""
     mode = F.lit(conservative) if isinstance(conservative, bool) else conservative
-    read = probes.join(bands, key).withColumn("bracket", bracket(F.col("band"), F.col(at)))
+    read = probes.hint("merge").join(bands, key).withColumn("bracket", bracket(F.col("band"), F.col(at)))
     return read.select(
         *probes.columns, "n_pts", "t_first", "t_last",
         F.col("bracket.lo.t").alias("t1"), F.col("bracket.hi.t").alias("t2"),

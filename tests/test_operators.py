@@ -25,6 +25,13 @@ def test_curve_without_points(spark):
     assert got.n_pts == 0 and got.value is None
 
 
+def test_exploded_probes_are_not_broadcast(spark):
+    points = spark.range(100).select("id", F.lit(1.0).alias("t"), F.lit(2.0).alias("v"))
+    probes = spark.range(100).withColumn("t_probe", F.explode(F.sequence(F.lit(1), F.lit(8)))).withColumn("t_probe", F.col("t_probe").cast("double"))
+    plan = curves.lookup(probes, curves.packed_bands(points, "id", "t", "v"), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_status_precedence(spark):
     df = spark.createDataFrame([(60.0,), (90.0,), (95.0,), (5.0,), (30.0,)], "t double")
     got = [r.s for r in df.select(curves.limit_status(F.col("t"), F.lit(2), F.lit(38.0), F.lit(82.0), F.lit(10.0), F.lit(93.3)).alias("s")).collect()]
