@@ -18,11 +18,9 @@ import numpy as np
 HIDDEN = 16
 #: States that are kept at a time, about, and sequences side by side, at most.
 STATES, LANES = 1 << 14, 256
-#: Words of classes are learned in one window of so many.
-EVERY = 4
 #: Rows that move alone do so by this much more: no momentum carries them on through windows in which they don't occur.
 ALONE = 3
-#: Words' vectors are learned less often and from nothing, and move so much faster.
+#: Words' vectors are learned from nothing, and move so much faster.
 VECTORS = 8
 #: Logits within these bounds have safe exponents in 32 bits.
 SAFE = 60.0
@@ -144,17 +142,17 @@ class Network:
 
     def learn(self, reads: np.ndarray, classes: np.ndarray, places: np.ndarray, starts: np.ndarray, moments: dict, rate: float, streams: int = 64, steps: int = 16) -> None:
         """Truncated backpropagation, once through the words: ``streams`` parts of them side by side, ``steps`` at a
-        time; each window starts from the state that the one before it left. ``moments`` are those of the steps before."""
+        time; each window starts from the state that the one before it left, and learns classes and the words in them. ``moments`` are those of the steps before."""
         streams = max(1, min(streams, len(reads)))
         length = -(-len(reads) // streams)
         # the last stream ends with the last word, so that none is left out
         cells = np.arange(length)[:, None] + np.arange(streams) * (len(reads) - length) // max(1, streams - 1)
         state = np.zeros((streams, HIDDEN), np.float32)
-        for k, at in enumerate(range(0, length, steps)):
+        for at in range(0, length, steps):
             now = cells[at : at + steps]
-            state = self._window(reads[now], classes[now].ravel(), places[now].ravel(), 1 - starts[now].astype(np.float32)[:, :, None], state, moments, rate, k % EVERY == 0)
+            state = self._window(reads[now], classes[now].ravel(), places[now].ravel(), 1 - starts[now].astype(np.float32)[:, :, None], state, moments, rate)
 
-    def _window(self, s: np.ndarray, classes: np.ndarray, places: np.ndarray, goes: np.ndarray, state: np.ndarray, moments: dict, rate: float, words: bool) -> np.ndarray:
+    def _window(self, s: np.ndarray, classes: np.ndarray, places: np.ndarray, goes: np.ndarray, state: np.ndarray, moments: dict, rate: float, words: bool = True) -> np.ndarray:
         n, streams = s.shape
         x, u, ug = self.p["p"][s], self.p["u"], self.p["g"]
         before, h, z, g = (np.empty((n, streams, HIDDEN), np.float32) for _ in range(4))

@@ -252,3 +252,13 @@ def test_every_word_is_learned():
     before = net.p["p"].copy()
     net.learn(np.arange(11), np.arange(11) % 4, np.full(11, -1), np.zeros(11), net.moments(), 0.01, streams=4, steps=32)
     assert (net.p["p"] != before).any(1)[:11].all()
+
+
+def test_words_of_classes_are_learned_in_every_window():
+    """What only one window has, whichever it is, moves its words' vectors."""
+    reads, classes, places = sequence(32, 12, 3)
+    for window in range(8):
+        net = small_network()
+        before, own = net.p["e"].copy(), np.where(np.arange(32) // 4 == window, places, -1)
+        net.learn(reads, classes, own, np.zeros(32), net.moments(), 0.01, streams=1, steps=4)
+        assert (net.p["e"] != before).any()
