@@ -2,23 +2,77 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def words_of_chars(chars: DataFrame, keys: list[str], gap: float = 0.25) -> DataFrame:
-    """keys (down to the printed line), word_no, text, x0 and x1 of the words that characters (x0, x1, size, char) make.
+CHARS = "array<struct<x0: double, x1: double, char: string, size: double>>"
+
+
+def in_fixed_pitch(line: Column, pitch: float, size: float) -> Column:
+    """The characters of a line (``CHARS``, from the left) as a printer of one pitch places them; blanks take their place too."""
+    return F.arrow_udf(lambda lines: _pitched(lines, pitch, size), CHARS)(line)
+
+
+def _pitched(lines: pa.Array, pitch: float, size: float) -> pa.Array:
+    lines = pc.fill_null(lines.cast(pa.string()), "")
+    ends = np.frombuffer(lines.buffers()[1] or bytes(4), np.int32)[lines.offset : lines.offset + len(lines) + 1]
+    data = np.frombuffer(lines.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    begins = np.flatnonzero((data & 0xC0) != 0x80)
+    char = pa.StringArray.from_buffers(len(begins), pa.py_buffer(np.append(begins, len(data)).astype(np.int32)), pa.py_buffer(data.tobytes()))
+    of_line = np.searchsorted(begins, ends - ends[0])
+    x0 = (np.arange(len(begins)) - np.repeat(of_line[:-1], np.diff(of_line))) * pitch
+    chars = pa.StructArray.from_arrays([pa.array(x0, pa.float64()), pa.array(x0 + pitch, pa.float64()), char, pa.array(np.full(len(x0), size))], ["x0", "x1", "char", "size"])
+    return pa.ListArray.from_arrays(of_line.astype(np.int32), chars)
+
+
+def words_of_line(chars: Column, gap: float = 0.25) -> Column:
+    """The words (text, x0, x1; from left to right) that the characters of one printed line make (``CHARS``, in any order).
 
     Characters follow from left to right; a gap wider than ``gap`` times the larger of the two sizes beside it begins a
     word, as blanks aren't printed. Blank and null characters only separate.
     """
-    w = Window.partitionBy(*keys).orderBy("x0", "x1", "char")
+    return F.arrow_udf(lambda lines: _words(lines, gap), "array<struct<text: string, x0: double, x1: double>>")(chars)
+
+
+def _words(lines: pa.Array, gap: float) -> pa.Array:
+    """All lines of a batch side by side, character by character in their order."""
+    flat, n = lines.flatten(), pc.fill_null(pc.list_value_length(lines), 0).to_numpy(zero_copy_only=False)
+    line, char = np.repeat(np.arange(len(lines)), n), flat.field("char").cast(pa.string())
+    kept = np.flatnonzero(pc.fill_null(pc.not_equal(pc.ascii_trim(char, " "), ""), False).to_numpy(zero_copy_only=False))
+    line = line[kept]
+    values = lambda name: flat.field(name).cast(pa.float64()).take(pa.array(kept)).to_numpy(zero_copy_only=False)
+    nulls = lambda name: flat.field(name).is_null().to_numpy(zero_copy_only=False)[kept]
+    x0, x1, size, no_x0, no_x1 = values("x0"), values("x1"), np.where(nulls("size"), -np.inf, values("size")), nulls("x0"), nulls("x1")
+    if not ((np.diff(line) > 0) | (np.diff(x0) > 0)).all():  # else they stand in their order
+        names, code = np.unique(np.array([c.encode() for c in char.take(pa.array(kept)).to_pylist()], object), return_inverse=True)
+        rank = lambda x, none: (np.where(np.isnan(x), 0, x), np.where(none, 0, np.where(np.isnan(x), 2, 1)))
+        order = np.lexsort((size, code, *rank(x1, no_x1), *rank(x0, no_x0), line))
+        kept, line, x0, x1, size, no_x0, no_x1 = (a[order] for a in (kept, line, x0, x1, size, no_x0, no_x1))
+    first = np.diff(line, prepend=-1) > 0
+    found, at = np.unique(np.where(no_x1, -np.inf, x1), return_inverse=True)
+    reach = found[np.maximum.accumulate(at + line * len(found)) - line * len(found)] if len(found) else x1
+    goes_on = np.zeros(len(line), bool)
+    goes_on[1:] = x0[1:] - reach[:-1] <= gap * np.maximum(size[1:], size[:-1])
+    begins = np.flatnonzero(first | ~goes_on)
+    char = char.take(pa.array(kept))
+    ends = np.append(np.frombuffer(char.buffers()[1], np.int32)[: len(kept)][begins], np.frombuffer(char.buffers()[1], np.int32)[len(kept)]) if len(kept) else np.zeros(1, np.int32)
+    text = pa.StringArray.from_buffers(len(begins), pa.py_buffer(ends.astype(np.int32)), char.buffers()[2] or pa.py_buffer(b""))
+    each = lambda f, x, none: pa.array(f.reduceat(x, begins), mask=np.logical_and.reduceat(none, begins)) if len(begins) else pa.array([], pa.float64())
+    words = pa.StructArray.from_arrays([text, each(np.fmin, x0, no_x0), each(np.maximum, np.where(no_x1, -np.inf, x1), no_x1)], ["text", "x0", "x1"])
+    return pa.ListArray.from_arrays(np.append(0, np.cumsum(np.bincount(line[begins], minlength=len(lines)))).astype(np.int32), words)
+
+
+def words_of_chars(chars: DataFrame, keys: list[str], gap: float = 0.25) -> DataFrame:
+    """keys (down to the printed line), word_no, text, x0 and x1 of the words that characters (x0, x1, size, char) make,
+    by ``words_of_line``: the characters of a line are gathered in one exchange."""
     printed = chars.where(F.trim("char") != "")
-    step = F.col("x0") - F.max("x1").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.coalesce(step > gap * F.greatest("size", F.lag("size").over(w)), F.lit(True))
-    numbered = printed.withColumn("_new", new.cast("int")).withColumn("word_no", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "x1", "char"))), lambda c: c["char"]), "")
-    return numbered.groupBy(*keys, "word_no").agg(text.alias("text"), F.min("x0").alias("x0"), F.max("x1").alias("x1"))
+    lines = printed.groupBy(*keys).agg(F.collect_list(F.struct("x0", "x1", "char", "size")).alias("_chars"))
+    words = lines.select(*keys, F.posexplode(words_of_line(F.col("_chars"), gap)).alias("_no", "_word"))
+    return words.select(*keys, F.col("_no").cast("long").alias("word_no"), "_word.text", "_word.x0", "_word.x1")
 
 
 def cut_at_columns(words: DataFrame, columns: DataFrame, keys: list[str]) -> DataFrame:

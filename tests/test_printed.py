@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from lamina.operators import contents, glyphs, hyphens
 
@@ -78,3 +79,12 @@ def test_contents(spark):
         assert (n("SAME"), n("SAME") + n("MOVED"), n("MISSING"), n("EXTRA")) == (same, common, missing, extra)
         kept = sorted((x.declared_at, x.found_at) for x in states.get(d, []) if x.state == "SAME")
         assert all(a[1] < b[1] for a, b in zip(kept, kept[1:], strict=False))
+
+
+def test_words_of_lines_take_no_exchange(spark):
+    """Characters that stand in their line's array stay there; places in any order, nulls and signs of several bytes."""
+    lines = spark.createDataFrame([(0, "ab  é漢 c"), (1, None), (2, ""), (3, "   ")], "line int, t string")
+    got = lines.select("line", glyphs.words_of_line(F.shuffle(glyphs.in_fixed_pitch(F.col("t"), 5.0, 10.0))).alias("w"))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    found = {r.line: [tuple(w) for w in r.w] for r in got.collect()}
+    assert found == {0: [("ab", 0.0, 10.0), ("é漢", 20.0, 30.0), ("c", 35.0, 40.0)], 1: [], 2: [], 3: []}
