@@ -80,6 +80,20 @@ def test_over_pages_and_lossless(spark):
     assert layout.reconstruct_tables(spark.createDataFrame([], LINES), ["t"]).count() == 0
 
 
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_lines_are_placed_once(spark):
+    """Bands, counts and rows read the same printed rows, and what belongs to a table comes by one exchange, not by joins."""
+    got = layout.reconstruct_tables(lines(spark, [(0, 30, "a"), (50, 80, "1")], [(0, 30, "b 2")]), ["t"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "Join" not in plan and exchanges(got) <= 8
+    # a table without a key is a table too
+    nameless = layout.reconstruct_tables(lines(spark, [(10, 200, "a 1 2")], [(10, 200, "b 3 4")]).withColumn("t", F.lit(None).cast("int")), ["t"]).collect()
+    assert sorted(r.cells for r in nameless) == [["a", "1", "2"], ["b", "3", "4"]] and {r.origin for r in nameless} == {"COUNT"}
+
+
 def test_overlaps_equal_all_pairs(spark):
     r = random.Random(5)
     boxes = [(k, r.choice([1, 2]), *(float(r.randint(-200, 400)) for _ in range(2))) for k in range(120)]
