@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lamina.session import kept
+
 #: Points, about the size of a printed cell: larger cells compare more, smaller ones repeat wide boxes more often.
 CELL = 64.0
 
@@ -73,24 +75,30 @@ def header_columns(runs: DataFrame, columns: DataFrame, keys: list[str], cell: f
     """
     meet = overlapping(runs.select(*keys, "line", "x0", "x1", "text"), columns.select(*keys, "column_no", "b0", "b1"), keys, ("x0", "x1"), ("b0", "b1"), 1.0, cell)
     run = [*keys, "line", "x0", "x1", "text"]
-    wide = meet.groupBy(*run).agg(F.array_sort(F.collect_set("column_no")).alias("over"))
-    below = wide.where(F.size("over") > 1).withColumn("_center", (F.col("x0") + F.col("x1")) / 2)
-    # banners that continue each other: neighbours by centre in lines that follow, as islands of a chain
-    upper = below.select(*keys, (F.col("line") + 1).alias("line"), F.col("_center").alias("_up"), F.col("x0").alias("_up_x0"))
-    near = below.join(upper, [*keys, "line"], "left").where(F.col("_up").isNull() | (F.abs(F.col("_up") - F.col("_center")) <= same_center))
-    linked = near.groupBy(*run, "_center", "over").agg(F.min_by("_up_x0", F.struct(F.abs(F.col("_up") - F.col("_center")), F.col("_up_x0"))).alias("_up_x0"))
-    lone = below.join(linked.select(*run), run, "left_anti").withColumn("_up_x0", F.lit(None).cast("double"))
-    every = linked.unionByName(lone.select(linked.columns))
-    named = every.withColumn("_name", F.struct("line", "x0")).withColumn("_above", F.when(F.col("_up_x0").isNotNull(), F.struct((F.col("line") - 1).alias("line"), F.col("_up_x0").alias("x0"))))
-    pieces = F.array_sort(F.collect_list(F.struct("_name", F.col("_above"), "text", "over")))
-    folded = named.groupBy(*keys).agg(_chains(pieces).alias("chains")).select(*keys, F.explode("chains").alias("c"))
-    banners = folded.select(*keys, F.col("c.order").alias("_order"), F.col("c.text").alias("text"), F.explode(F.array_distinct("c.over")).alias("column_no"))
-    over = banners.groupBy(*keys, "column_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("_order", "text"))), lambda x: x["text"]).alias("banners"))
-    single = wide.where(F.size("over") == 1).select(*keys, F.get("over", F.lit(0)).alias("column_no"), "line", "x0", "text")
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("line", "x0", "text"))), lambda x: x["text"])
-    label = F.aggregate(parts, F.lit(""), lambda a, t: F.when(a == "", t).when(a.endswith("-"), F.concat(F.rtrim(a, F.lit("-")), t)).otherwise(F.concat_ws(" ", a, t)))
-    labels = single.groupBy(*keys, "column_no").agg(label.alias("label"))
-    return columns.select(*keys, "column_no").join(labels, [*keys, "column_no"], "left").join(over, [*keys, "column_no"], "left")
+    # three steps read where runs stand: it is written to the shared folder once
+    wide = kept(meet.groupBy(*run).agg(F.array_sort(F.collect_set("column_no")).alias("over")), "heads")
+    piece = F.struct(F.struct("line", "x0").alias("_name"), ((F.col("x0") + F.col("x1")) / 2).alias("_center"), "text", "over")
+    heads = wide.where(F.size("over") > 1).groupBy(*keys).agg(F.collect_list(piece).alias("_all"))
+    folded = heads.select(*keys, F.explode(_chains(_with_upper(F.col("_all"), same_center))).alias("c"))
+    banners = folded.select(*keys, F.explode(F.array_distinct("c.over")).alias("column_no"), F.struct(F.col("c.order").alias("_order"), F.col("c.text").alias("text")).alias("_over"))
+    single = wide.where(F.size("over") == 1).select(*keys, F.get("over", F.lit(0)).alias("column_no"), F.struct("line", "x0", "text").alias("_part"))
+    texts = lambda c: F.transform(F.array_sort(F.collect_list(c)), lambda x: x["text"])
+    said = single.unionByName(banners, allowMissingColumns=True).groupBy(*keys, "column_no").agg(texts("_part").alias("_parts"), texts("_over").alias("_banners"))
+    label = F.aggregate("_parts", F.lit(""), lambda a, t: F.when(a == "", t).when(a.endswith("-"), F.concat(F.rtrim(a, F.lit("-")), t)).otherwise(F.concat_ws(" ", a, t)))
+    some = lambda c, x: F.when(F.size(c) > 0, x)
+    named = said.select(*keys, "column_no", some("_parts", label).alias("label"), some("_banners", F.col("_banners")).alias("banners"))
+    return columns.select(*keys, "column_no").join(named, [*keys, "column_no"], "left")
+
+
+def _with_upper(pieces: Column, same_center: float) -> Column:
+    """Banners of one table's head in order, each with the nearest by centre of the line above it, if one is near."""
+
+    def above(p: Column) -> Column:
+        far = lambda u: F.abs(u["_center"] - p["_center"])
+        near = F.filter(pieces, lambda u: (u["_name"]["line"] == p["_name"]["line"] - 1) & (far(u) <= same_center))
+        return F.array_min(F.transform(near, lambda u: F.struct(far(u).alias("far"), u["_name"].alias("name"))))["name"]
+
+    return F.array_sort(F.transform(pieces, lambda p: F.struct(p["_name"].alias("_name"), above(p).alias("_above"), p["text"].alias("text"), p["over"].alias("over"))))
 
 
 def _chains(pieces: Column) -> Column:

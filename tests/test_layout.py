@@ -130,6 +130,17 @@ def test_banners_over_columns(spark):
     assert got == {0: ("1,000", ["Temperature", "Category D Service"]), 1: ("mm", ["Temperature", "Category D Service"]), 2: ("in.", ["Temperature", "Normal"]), 3: ("ft", ["Temperature", "Normal"])}
 
 
+def test_places_of_a_head_are_found_once(spark):
+    """Two banners below one: the nearer by centre continues it, the other is its own; runs meet columns once, not once a step."""
+    columns = spark.createDataFrame([(1, k, 50.0 * k, 50.0 * k + 50) for k in range(4)], "t int, column_no int, b0 double, b1 double")
+    runs = [(0, 5, 95, "Upper"), (0, 110, 190, "Other"), (1, 15, 95, "near"), (1, 40, 120, "far"), (2, 40, 120, "goes on")]
+    got = regions.header_columns(spark.createDataFrame([(1, n, float(a), float(b), t) for n, a, b, t in runs], "t int, line int, x0 double, x1 double, text string"), columns, ["t"])
+    assert {r.column_no: (r.label, r.banners) for r in got.collect()} == {
+        0: (None, ["Upper near", "far goes on"]), 1: (None, ["Upper near", "far goes on"]), 2: (None, ["Other", "far goes on"]), 3: (None, ["Other"]),
+    }
+    assert exchanges(got) <= 8
+
+
 def test_required(spark):
     wanted = spark.createDataFrame([(1,), (2,)], "k int")
     found = spark.createDataFrame([(1, "a")], "k int, v string")
