@@ -1,13 +1,14 @@
 """Trees as tables of nodes and parents. Every node points to its parent; a round replaces each pointer by the pointer
 of the node that it points to and adds up what lies between, so a tree of depth d takes log2(d) rounds, each one
-exchange of the nodes that haven't arrived. Rounds are written to the shared folder, the one before is deleted."""
+exchange of the nodes that haven't arrived. Only nodes that are pointed to take part, mostly few; leaves hang on them
+afterwards, by one exchange. Rounds are written to the shared folder, the one before is deleted."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.session import scratch
+from lamina.session import kept, scratch
 
 
 class _Rounds:
@@ -38,10 +39,38 @@ def climb(pointers: DataFrame, add: dict[str, str] | None = None) -> DataFrame:
     ends the way too. ``up`` is the last node of the way, itself for a node that has no pointer. A way that runs
     into a circle has no end: its nodes are left out.
     """
-    spark, add = pointers.sparkSession, add or {}
-    rounds, more = _Rounds(spark, "climb"), list(add)
+    base = _split(pointers.select("node", "up", *(add or {})), "node", "up")
+    inner, leaves = base.where("_inner").drop("_inner"), base.where("NOT _inner")
+    found, lost = _climb(inner, add or {})
+    return found.unionByName(_hung(leaves, "node", "up", found, lost, add or {}).select(found.columns))
+
+
+def _split(nodes: DataFrame, node: str, parent: str) -> DataFrame:
+    """``nodes`` and ``_inner``, whether any node points to them."""
+    pointed = nodes.where(F.col(parent).isNotNull()).select(F.col(parent).alias(node)).distinct().withColumn("_inner", F.lit(True))
+    return kept(nodes.join(pointed, node, "left").withColumn("_inner", F.coalesce("_inner", F.lit(False))), "nodes")
+
+
+def _hung(leaves: DataFrame, node: str, parent: str, found: DataFrame, lost: DataFrame | None, add: dict[str, str]) -> DataFrame:
+    """``leaves`` with up, hops and the columns of ``add``, from what was found for the nodes that they hang on."""
+    above = found.select(F.col("node").alias("_node"), F.col("up").alias("_up"), F.col("hops").alias("_hops"), *[F.col(c).alias(f"_{c}") for c in add])
+    if lost is not None:
+        leaves = leaves.join(lost.select(F.col("node").alias(parent)), parent, "left_anti")
+    hung = leaves.join(above, F.col(parent) == F.col("_node"), "left")
+    joined = {c: _joined(c, how, dict(leaves.dtypes)[c]) for c, how in add.items()}
+    hops = F.when(F.col(parent).isNull(), F.lit(0)).otherwise(F.coalesce("_hops", F.lit(0)) + 1).cast("long")
+    return hung.select(*[c for c in leaves.columns if c not in (*add, "up")], F.coalesce("_up", parent, node).alias("up"), hops.alias("hops"), *[x.alias(c) for c, x in joined.items()])
+
+
+def _joined(c: str, how: str, kind: str) -> Column:
+    return F.col(c) + F.coalesce(f"_{c}", F.lit(0)) if how == "sum" else F.concat(F.coalesce(f"_{c}", F.array().cast(kind)), F.col(c))
+
+
+def _climb(pointers: DataFrame, add: dict[str, str]) -> tuple[DataFrame, DataFrame | None]:
+    """``climb`` in rounds of all nodes, and the nodes without an end, if there are any."""
+    rounds, more = _Rounds(pointers.sparkSession, "climb"), list(add)
     now = pointers.select("node", F.coalesce("up", "node").alias("up"), F.col("up").isNull().alias("ended"), F.col("up").isNotNull().cast("long").alias("hops"), *more)
-    now = rounds.put(now)
+    now, lost = rounds.put(now), None
     left, limit = None, 2
     while True:
         n = now.where("NOT ended").count()
@@ -49,18 +78,17 @@ def climb(pointers: DataFrame, add: dict[str, str] | None = None) -> DataFrame:
             break
         left = left or now.count()
         if 1 << (limit - 2) > 2 * left:  # longer than any way without a circle
-            now = now.where("ended")
+            now, lost = now.where("ended"), now.where("NOT ended").select("node")
             break
         then = now.select(F.col("node").alias("up"), F.col("up").alias("_up"), F.col("ended").alias("_ended"), F.col("hops").alias("_hops"), *[F.col(c).alias(f"_{c}") for c in more])
         going = now.where("NOT ended").join(then, "up", "left")
-        joined = {"sum": lambda c: F.col(c) + F.coalesce(f"_{c}", F.lit(0)), "concat": lambda c: F.concat(F.coalesce(f"_{c}", F.array().cast(dict(now.dtypes)[c])), F.col(c))}
         stepped = going.select(
             "node", F.coalesce("_up", "up").alias("up"), F.coalesce("_ended", F.lit(True)).alias("ended"), (F.col("hops") + F.coalesce("_hops", F.lit(0))).alias("hops"),
-            *[joined[how](c).alias(c) for c, how in add.items()],
+            *[_joined(c, how, dict(now.dtypes)[c]).alias(c) for c, how in add.items()],
         )
         now = rounds.put(now.where("ended").unionByName(stepped))
         limit += 1
-    return now.drop("ended")
+    return now.drop("ended"), lost
 
 
 def reachable(edges: DataFrame, roots: DataFrame) -> DataFrame:
@@ -106,32 +134,48 @@ def subtree_totals(nodes: DataFrame, values: list[str], node: str = "id", parent
     Round k hands what a node has gathered to the node 2**k above it, so a chain of 100,000 takes 17 rounds. Nulls count
     as nothing; a parent that isn't there has no total; nodes in a circle or below one have no totals (null).
     """
-    up, names = F.col(parent), [f"total_{c}" for c in values]
-    pointers = nodes.select(F.col(node).alias("node"), up.alias("up"))
-    sound = climb(pointers).select("node")
-    zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in values}
-    start = nodes.select(F.col(node).alias("node"), up.alias("up"), *[zero[c].alias(n) for c, n in zip(values, names, strict=True)]).join(sound, "node", "left_semi")
-    rounds = _Rounds(nodes.sparkSession, "totals")
-    now = rounds.put(start)
+    return _totals(_split(nodes, node, parent), values, node, parent).drop("_inner")
+
+
+def _totals(base: DataFrame, values: list[str], node: str, parent: str) -> DataFrame:
+    """``subtree_totals`` of what ``_split`` gives. A leaf's total is its own value; rounds have only what stands above leaves."""
+    names = [f"total_{c}" for c in values]
+    inner, leaves = base.where("_inner"), base.where("NOT _inner")
+    own = [F.coalesce(F.col(c), F.lit(0)) for c in values]
+    sound, lost = _climb(inner.select(F.col(node).alias("node"), F.col(parent).alias("up")), {})
+    known = F.col(node).isNotNull()
+    start = inner.select(F.col(node).alias("node"), F.col(parent).alias("up"), *[x.alias(n) for x, n in zip(own, names, strict=True)])
+    if lost is not None:
+        start = start.join(sound.select("node"), "node", "left_semi")
+        leaves = leaves.join(lost.select(F.col("node").alias(parent), F.lit(True).alias("_lost")), parent, "left")
+        known = known & F.col("_lost").isNull()
+    ended = leaves.select(*base.columns, *[F.when(known, x).alias(n) for x, n in zip(own, names, strict=True)])
+    hung = ended.where(F.col(node).isNotNull() & F.col(parent).isNotNull()).groupBy(F.col(parent).alias("node")).agg(*[F.sum(n).alias(f"_{n}") for n in names])
+    rounds = _Rounds(base.sparkSession, "totals")
+    now = rounds.put(start.join(hung, "node", "left").select("node", "up", *[(F.col(n) + F.coalesce(f"_{n}", F.lit(0))).alias(n) for n in names]))
     while not now.where("up IS NOT NULL").isEmpty():
         given = now.where("up IS NOT NULL").groupBy(F.col("up").alias("node")).agg(*[F.sum(n).alias(f"_{n}") for n in names])
         next_up = now.select(F.col("node").alias("up"), F.col("up").alias("_up"))
         grown = now.join(given, "node", "left").select("node", "up", *[(F.col(n) + F.coalesce(f"_{n}", F.lit(0))).alias(n) for n in names])
         moved = grown.where("up IS NOT NULL").join(next_up, "up", "left").select("node", F.col("_up").alias("up"), *names)
         now = rounds.put(moved.unionByName(grown.where("up IS NULL")))
-    return nodes.join(now.drop("up").withColumnRenamed("node", node), node, "left")
+    return ended.unionByName(inner.join(now.drop("up").withColumnRenamed("node", node), node, "left"))
 
 
 def reading_order(nodes: DataFrame, node: str = "id", parent: str = "parent_id", position: str = "position") -> DataFrame:
     """``nodes`` with ``top`` (the root of their tree), ``depth`` and ``place``: from 0 in each tree, a node before its
     children and these by ``position``. A place is the sum, over the way to the root, of one for the node and the sizes of
     the siblings before it, so no paths are built and a tree may be of any depth."""
-    sized = subtree_totals(nodes.withColumn("_one", F.lit(1).cast("long")), ["_one"], node, parent)
+    sized = _totals(_split(nodes.withColumn("_one", F.lit(1).cast("long")), node, parent), ["_one"], node, parent).where(F.col(node).isNotNull())
     before = F.sum("total__one").over(Window.partitionBy(parent).orderBy(position, node).rowsBetween(Window.unboundedPreceding, -1))
-    step = sized.where(F.col(parent).isNotNull()).select(F.col(node).alias("node"), F.col(parent).alias("up"), (F.coalesce(before, F.lit(0)) + 1).alias("place"))
-    tops = sized.where(F.col(parent).isNull()).select(F.col(node).alias("node"), F.lit(None).cast(dict(nodes.dtypes)[parent]).alias("up"), F.lit(0).cast("long").alias("place"))
-    found = climb(step.unionByName(tops), {"place": "sum"})
-    return nodes.join(found.select(F.col("node").alias(node), F.col("up").alias("top"), F.col("hops").cast("int").alias("depth"), "place"), node)
+    below = sized.where(F.col(parent).isNotNull()).withColumn("place", F.coalesce(before, F.lit(0)) + 1)
+    placed = below.unionByName(sized.where(F.col(parent).isNull()).withColumn("place", F.lit(0).cast("long")))
+    inner = placed.where("_inner")
+    found, lost = _climb(inner.select(F.col(node).alias("node"), F.col(parent).alias("up"), "place"), {"place": "sum"})
+    kept_ = [node, *[c for c in nodes.columns if c != node]]
+    out = [*kept_, F.col("up").alias("top"), F.col("hops").cast("int").alias("depth"), "place"]
+    leaves = _hung(placed.where("NOT _inner"), node, parent, found, lost, {"place": "sum"}).select(out)
+    return leaves.unionByName(sized.where("_inner").select(kept_).join(found.withColumnRenamed("node", node), node).select(out))
 
 
 def preorder(nodes: DataFrame, node: str = "id", parent: str = "parent_id", position: str = "position") -> DataFrame:

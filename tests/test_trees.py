@@ -64,6 +64,20 @@ def test_scratch_is_removed(spark, tmp_path, monkeypatch):
     assert len(list(tmp_path.iterdir())) == 2 < next(names)
 
 
+def test_leaves_take_no_part_in_rounds(spark, monkeypatch):
+    """Rounds have only nodes that others hang on; leaves below a circle or below nothing are what they were."""
+    written = []
+    put = trees._Rounds.put
+    monkeypatch.setattr(trees._Rounds, "put", lambda self, df: (written.append((out := put(self, df)).count()), out)[1])
+    rows = [(0, None)] + [(k, 0) for k in range(1, 4)] + [(k, k % 3 + 1) for k in range(4, 400)] + [(500, 501), (501, 500), (502, 501), (503, 999)]
+    nodes = spark.createDataFrame([(*r, r[0]) for r in rows], "id int, parent_id int, position int")
+    got = {r.id: (r.top, r.depth, r.place) for r in trees.reading_order(nodes).collect()}
+    assert len(got) == 401 and got[503] == (999, 1, 1) and got[1] == (0, 1, 1) and got[399] == (0, 2, 1 + 132) and not {500, 501, 502} & set(got)
+    totals = {r.id: r.total_position for r in trees.subtree_totals(nodes, ["position"]).collect()}
+    assert totals[0] == sum(range(400)) and totals[503] == 503 and [totals[k] for k in (500, 501, 502)] == [None] * 3
+    assert max(written) <= 6
+
+
 def test_totals_order_and_search(spark):
     rows = [("a", None, 0, 1, "x"), ("b", "a", 1, 2, "see 3"), ("c", "a", 0, 4, "x"), ("d", "c", 1, None, "see 7"), ("e", "c", 0, 16, "x"), ("f", None, 0, 32, "x"), ("p", "q", 0, 1, "see 1"), ("q", "p", 0, 1, "x"), ("z", "gone", 0, 8, "see 9")]
     nodes = spark.createDataFrame(rows, "id string, parent_id string, position int, n int, text string")
