@@ -41,17 +41,22 @@ def touching(left: DataFrame, right: DataFrame, keys: list[str], of: str, with_:
 
 
 def outside(boxes: DataFrame, regions: DataFrame, keys: list[str], box: str, region: str, cell: float = CELL) -> DataFrame:
-    """Boxes whose middle lies in no region of the same ``keys``. A middle stands in one cell, so only regions are repeated."""
-    x, y = (F.col(box)["x0"] + F.col(box)["x1"]) / 2, (F.col(box)["y0"] + F.col(box)["y1"]) / 2
-    r = F.col("_region")
-    cut = regions.select(*keys, F.col(region).alias("_region")).distinct().withColumn("_x", F.explode(_cells(r["x0"], r["x1"], cell))).withColumn("_y", F.explode(_cells(r["y0"], r["y1"], cell)))
-    placed = boxes.withColumns({"_x": F.floor(x / cell), "_y": F.floor(y / cell)})
-    inside = x.between(r["x0"], r["x1"]) & y.between(r["y0"], r["y1"])
-    on = [F.col(f"b.{k}") == F.col(f"r.{k}") for k in [*keys, "_x", "_y"]]
-    condition = on[0]
-    for c in [*on[1:], inside]:
-        condition = condition & c
-    return placed.alias("b").join(cut.alias("r"), condition, "left_anti").drop("_x", "_y")
+    """Boxes whose middle lies in no region of the same ``keys``. A middle stands in one cell, so only regions are repeated: each
+    in the grid whose cells are at least as wide and high as it is (``cell``, or four times that of the grid before), so it has
+    four cells at most. Boxes pass the grids that have any region one after the other."""
+    r, b = F.col("_region"), F.col(box)
+    side = F.greatest(r["x1"] - r["x0"], r["y1"] - r["y0"], F.lit(cell))
+    sized = regions.select(*keys, F.col(region).alias("_region")).withColumn("_grid", F.ceil(F.log(4.0, side / cell) - 1e-9))
+    left = boxes.withColumns({"_mx": (b["x0"] + b["x1"]) / 2, "_my": (b["y0"] + b["y1"]) / 2})
+    for grid in sorted(x[0] for x in sized.select("_grid").distinct().collect() if x[0] is not None):
+        size = cell * 4.0**grid
+        cut = sized.where(F.col("_grid") == grid).select(*keys, "_region").distinct().withColumn("_x", F.explode(_cells(r["x0"], r["x1"], size))).withColumn("_y", F.explode(_cells(r["y0"], r["y1"], size)))
+        placed = left.withColumns({"_x": F.floor(F.col("_mx") / size), "_y": F.floor(F.col("_my") / size)})
+        condition = F.col("_mx").between(r["x0"], r["x1"]) & F.col("_my").between(r["y0"], r["y1"])
+        for k in [*keys, "_x", "_y"]:
+            condition = (F.col(f"b.{k}") == F.col(f"r.{k}")) & condition
+        left = placed.alias("b").join(cut.alias("r"), condition, "left_anti").drop("_x", "_y")
+    return left.drop("_mx", "_my")
 
 
 def carried_over(regions: DataFrame, keys: list[str], page: str, region: str, continues: str, top: float, last: DataFrame) -> DataFrame:

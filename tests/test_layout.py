@@ -112,6 +112,20 @@ def test_overlaps_equal_all_pairs(spark):
     assert sorted(x.a for x in regions.outside(side("a"), some, ["g"], "a_box", "b_box").collect()) == [p[0] for p in boxes if not any(inside(p, q) for q in boxes if q[0] % 4 == 0)]
 
 
+def test_regions_of_any_size_have_few_cells(spark, monkeypatch):
+    """Regions from a point to a thousand pages wide against a plain loop; the widest are cut in cells as wide as they are."""
+    sizes, cells = [], regions._cells
+    monkeypatch.setattr(regions, "_cells", lambda a, b, cell: (sizes.append(cell), cells(a, b, cell))[1])
+    r = random.Random(7)
+    box = lambda k, sides: (k, *(p := [float(r.randint(-300, 900)) for _ in range(2)]), *(v + r.choice(sides) for v in p))
+    boxes, some = [box(k, [0.0, 12.0]) for k in range(300)], [box(k, [0.0, 64.0, 65.0, 130.0]) for k in range(40)] + [(99, 880.0, -1e6, 1e6, 1e6)]
+    df = lambda rows: spark.createDataFrame(rows, "k int, x0 double, y0 double, x1 double, y1 double").select(F.lit(1).alias("g"), "k", F.struct("x0", "y0", "x1", "y1").alias("box"))
+    got = regions.outside(df(boxes), df(some), ["g"], "box", "box")
+    inside = lambda p, q: q[1] <= (p[1] + p[3]) / 2 <= q[3] and q[2] <= (p[2] + p[4]) / 2 <= q[4]
+    assert min(sizes) == 64 and max(sizes) >= 1e6
+    assert sorted(x.k for x in got.collect()) == [p[0] for p in boxes if not any(inside(p, q) for q in some)]
+
+
 def test_regions_go_on_over_the_page(spark):
     box = lambda *v: dict(zip(("x0", "y0", "x1", "y1"), map(float, v), strict=True))
     schema = "d int, page int, region struct<x0: double, y0: double, x1: double, y1: double>, goes_on boolean"
