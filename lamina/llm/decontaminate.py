@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import binary_texts, discard, lean, materialize, scratch
-from lamina.llm.shingles import WordHashes, shingle_hashes, shingle_set, word_hashes
+from lamina.llm.common import binary_texts, discard, lean, materialize, release, scratch
+from lamina.llm.shingles import shingle_hashes, shingle_set, word_hashes
 
 BINS = 64
 SMALL = 8
@@ -40,7 +40,8 @@ MISS = 1e-6
 #: Shingles of test items that one pass holds in memory, at most (8 bytes each, and their signatures); a single
 #: item that is larger has a pass of its own.
 BLOCK_SHINGLES = 2_000_000
-_FILTER = 1 << 20
+#: Entries of the filters that values of signatures pass: a small one first, that stays in a core's cache.
+_FIRST, _FILTER = 1 << 16, 1 << 20
 
 
 class ItemIndex:
@@ -63,15 +64,20 @@ class ItemIndex:
             order = np.argsort(keys, kind="stable")
             known = np.zeros(_FILTER, dtype=bool)
             known[(keys >> np.uint64(40)).astype(np.int64) & (_FILTER - 1)] = True
-            self.partitions.append((c, keys[order], owner[order], known))
+            first = np.zeros(_FIRST, dtype=bool)
+            first[(keys >> np.uint64(32)).astype(np.uint16)] = True
+            self.partitions.append((c, keys[order], owner[order], first, known))
         return self
 
     def candidates(self, h: np.ndarray) -> set[int]:
         """Items with a signature value in common with a window of the positions ``h``."""
         found: set[int] = set()
         tight = tight_minima(h, self.steps) if self.steps else {}
-        for (kind, size), keys, owner, known in self.partitions:
-            values = h if kind == "all" else window_minima(h, size) if kind == "bins" else tight[size]
+        for (kind, size), keys, owner, first, known in self.partitions:
+            if kind == "hashes":  # few of very many are known, and only these get 64 bits
+                values = _wide(np.concatenate([x[first.take(x.astype(np.uint16))] for x in tight[size]]))
+            else:
+                values = h if kind == "all" else window_minima(h, size)
             values = values[known[(values >> np.uint64(40)).astype(np.int64) & (_FILTER - 1)]]
             if len(values):
                 low, high = np.searchsorted(keys, values, "left"), np.searchsorted(keys, values, "right")
@@ -146,9 +152,9 @@ def _least(x: np.ndarray, step: int) -> np.ndarray:
     return np.concatenate([*parts, x[whole * step :].min(axis=0, keepdims=True)]) if len(x) > whole * step else parts[0]
 
 
-def tight_minima(h: np.ndarray, steps: list[int]) -> dict[int, np.ndarray]:
-    """For each step the least values of the windows of four steps that begin at every step. Segments of a text overlap by
-    the longest window, so memory is bounded whatever the text's length."""
+def tight_minima(h: np.ndarray, steps: list[int]) -> dict[int, list[np.ndarray]]:
+    """For each step the least values, 32 bits each, of the windows of four steps that begin at every step, segment by
+    segment. Segments of a text overlap by the longest window, so memory is bounded whatever the text's length."""
     found: dict[int, list[np.ndarray]] = {step: [] for step in steps}
     longest = 4 * steps[-1]
     for at in range(0, max(1, len(h)), SEGMENT):
@@ -156,13 +162,14 @@ def tight_minima(h: np.ndarray, steps: list[int]) -> dict[int, np.ndarray]:
         least: dict[int, np.ndarray] = {}
         for step in steps:
             least[step] = own = _least(least[step // 2], 2) if step % 2 == 0 and step // 2 in least else _least(x, step)
-            reach = np.full((len(own) + 3, HASHES), np.iinfo(np.uint32).max)
-            reach[: len(own)] = own
-            two = np.minimum(reach[:-1], reach[1:])
-            found[step].append(_wide(np.minimum(two[:-2], two[2:])))
+            two = own.copy()
+            np.minimum(two[:-1], own[1:], out=two[:-1])
+            four = two.copy()
+            np.minimum(four[:-2], two[2:], out=four[:-2])
+            found[step].append(four)
         if at + SEGMENT + longest >= len(h):
             break
-    return {step: np.concatenate(parts) for step, parts in found.items()}
+    return found
 
 
 def bin_minima(s: np.ndarray) -> np.ndarray:
@@ -189,9 +196,9 @@ def item_sets(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     id or words take no part."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        release()
         for b in batches:
-            hashed = [shingle_hashes(word_hashes(t, known)) for t in binary_texts(b.column(1))]
+            hashed = [shingle_hashes(word_hashes(t)) for t in binary_texts(b.column(1))]
             own = [np.unique(h) for h in hashed]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).cast(pa.int64()), pa.array([s.tobytes() for s in own], pa.binary()), pa.array([len(s) for s in own], pa.int64()), pa.array([len(h) for h in hashed], pa.int64())],
@@ -237,8 +244,8 @@ def item_blocks(sets: DataFrame, block: int = BLOCK_SHINGLES) -> Iterator[ItemIn
         yield ItemIndex([(i, np.frombuffer(s, dtype=np.uint64), p) for i, s, p in got])
 
 
-def _texts_leaks(index: ItemIndex, percent: int) -> Callable[[bytes, WordHashes], list[tuple[int, int, int]]]:
-    return lambda data, known: index.leaks(shingle_hashes(word_hashes(data, known)), percent)
+def _texts_leaks(index: ItemIndex, percent: int) -> Callable[[bytes], list[tuple[int, int, int]]]:
+    return lambda data: index.leaks(shingle_hashes(word_hashes(data)), percent)
 
 
 LEAK = "doc_id long, set_id long, n_item long, n_shared long"
@@ -259,11 +266,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> Data
         shared = spark.sparkContext.broadcast(index.partition(percent))
 
         def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known, leaks = WordHashes(), _texts_leaks(shared.value, percent)
+            release()
+            leaks = _texts_leaks(shared.value, percent)
             for b in batches:
                 keys = b.column(0).to_pylist()
                 for at in range(0, len(keys), 512):
-                    found = [(k, *x) for k, t in zip(keys[at : at + 512], binary_texts(b.column(1).slice(at, 512)), strict=True) for x in leaks(t, known)]
+                    found = [(k, *x) for k, t in zip(keys[at : at + 512], binary_texts(b.column(1).slice(at, 512)), strict=True) for x in leaks(t)]
                     if found:
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["doc_id", "set_id", "n_item", "n_shared"])
 
@@ -294,10 +302,11 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = 80) -> D
         before = shared = spark.sparkContext.broadcast(index.partition(percent))  # the last one is read later
 
         def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known, leaks = WordHashes(), _texts_leaks(shared.value, percent)
+            release()
+            leaks = _texts_leaks(shared.value, percent)
             for b in batches:
                 texts = b.column(b.schema.get_field_index("text"))
-                yield b.filter(pa.array([not leaks(t, known) for at in range(0, b.num_rows, 512) for t in binary_texts(texts.slice(at, 512))], pa.bool_()))
+                yield b.filter(pa.array([not leaks(t) for at in range(0, b.num_rows, 512) for t in binary_texts(texts.slice(at, 512))], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

@@ -23,9 +23,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import binary_texts, discard, lean, materialize, sweep
+from lamina.llm.common import binary_texts, discard, lean, materialize, release, sweep
 from lamina.llm.components import connected_components, spread_join
-from lamina.llm.shingles import WordHashes, shingle_set
+from lamina.llm.shingles import shingle_set
 
 BANDS, ROWS = 24, 5
 HASHES = 128
@@ -91,12 +91,12 @@ def survivors(left: np.ndarray, right: np.ndarray, bounds: list[tuple[int, int]]
 
 def _sketch(docs: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        release()
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 sizes, prints, signs = [], [], []
                 for data in binary_texts(b.column(1).slice(at, 512)):
-                    s = shingle_set(data, known)
+                    s = shingle_set(data)
                     sizes.append(len(s))
                     prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     signs.append(signature(s).tobytes() if len(s) else None)
@@ -138,7 +138,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     texts = texts.join(F.broadcast(asked) if n <= BROADCAST_IDS else asked, same).select("node", "bits", "print", "text")
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, done = WordHashes(), set()
+        release()
+        done: set[tuple[int, int]] = set()
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
@@ -147,7 +148,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                     if (node, bits) in done:
                         continue
                     done = done if len(done) < 1_000_000 else set()
-                    s = shingle_set(data, known)
+                    s = shingle_set(data)
                     if hashlib.blake2b(s.tobytes(), digest_size=16).digest() != print_:
                         continue  # another text with the same hash
                     done.add((node, bits))

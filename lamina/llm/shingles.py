@@ -5,26 +5,12 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-from lamina.llm.common import release, windows
+from lamina.llm.common import windows
 
 WORDS = 5
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash, kept for at most ``limit`` words."""
-
-    def __init__(self, limit: int = 300_000):
-        release()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > self.limit:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit values, one to one."""
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -32,11 +18,12 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def word_hashes(data: bytes, known: WordHashes) -> np.ndarray:
+def word_hashes(data: bytes) -> np.ndarray:
+    """A 64-bit hash of each word. To hash a word takes less than to look its hash up."""
     parts = []
     for part in windows(data, 1 << 20):
         words = part.lower().split()
-        parts.append(np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words)))
+        parts.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words)))
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
@@ -53,6 +40,6 @@ def shingle_hashes(words: np.ndarray, k: int = WORDS) -> np.ndarray:
     return mix(h + np.uint64(width))
 
 
-def shingle_set(data: bytes, known: WordHashes, k: int = WORDS) -> np.ndarray:
+def shingle_set(data: bytes, k: int = WORDS) -> np.ndarray:
     """The distinct shingles of a text, sorted."""
-    return np.unique(shingle_hashes(word_hashes(data, known), k))
+    return np.unique(shingle_hashes(word_hashes(data), k))

@@ -129,3 +129,14 @@ def test_signatures_overlook_nothing():
             keep = rng.permutation(n) < -(-n * 8 // 10)
             text[at : at + n] = np.where(keep, sets[k], text[at : at + n])
         assert set(chosen.tolist()) <= index.candidates(text)
+
+
+def test_few_values_are_widened(monkeypatch):
+    """Values of windows that no item has stay at 32 bits, but for a few that share a place in the small filter."""
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 1 << 63, 20, dtype=np.uint64)) for _ in range(60)]
+    index, text, seen, wide = ItemIndex([(k, s, 20) for k, s in enumerate(sets)]), rng.integers(0, 1 << 63, 20_000, dtype=np.uint64), [], decontaminate._wide
+    text[777:797] = sets[5]
+    monkeypatch.setattr(decontaminate, "_wide", lambda x: (seen.append(x.size), wide(x))[1])
+    assert 5 in index.candidates(text)
+    assert 0 < sum(seen) < sum(np.size(x) for parts in decontaminate.tight_minima(text, index.steps).values() for x in parts) / 5
