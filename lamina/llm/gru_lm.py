@@ -43,13 +43,16 @@ FEW, LETTERS = 512, 100_000
 #: words that a task trains on or tallies at a time.
 ROUNDS, SLOWER, CHUNK = 3, 0.5, 1 << 21
 #: Words of a shard, about. A shard trains alone between two averages, so it has to be large enough to learn from.
-SHARD = 2_000_000
-#: Parts of a shard that are learned side by side, at most: more cost less, fewer take more steps.
-STREAMS = 128
+SHARD = 8_000_000
+#: Parts of a shard that are learned side by side, at most. More cost less; a shard has to grow with them, so that it takes
+#: as many steps.
+STREAMS = 512
 #: A word's vector counts as if so many tokens had said that it has none: what few tokens say is mostly chance.
 PRIOR = 50
 #: Words of documents that are scored side by side, about: many, so that long documents have company.
 BUFFER = 1 << 21
+#: Words of texts that are held as such at a time, about.
+AT_ONCE = 500_000
 #: Marks of words without an own symbol whose counts all executors hold, and of all other words.
 _SHARED, _RARE = 1 << 48, 1 << 49
 _END = 0xFFFF
@@ -95,6 +98,13 @@ class Numbers(dict):
         self.new.append(word)
         return value
 
+    def of_all(self, words: list[bytes]) -> np.ndarray:
+        """The numbers of many words: each different one is looked up once."""
+        codes = pa.array(words, pa.binary()).dictionary_encode().indices.to_numpy()
+        where = np.zeros(codes.max(initial=-1) + 1, dtype=np.int64)
+        where[codes] = np.arange(len(words))
+        return np.fromiter(map(self.__getitem__, [words[i] for i in where.tolist()]), dtype=np.int64, count=len(where))[codes]
+
     def settle(self, numbers: np.ndarray) -> np.ndarray:
         if self.new:
             self.values, self.new = np.concatenate([self.values, self.of(self.new)]), []
@@ -282,19 +292,19 @@ class Vocabulary:
 def _count_words(docs: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-            counts.clear()
-            return out
+            counts = pa.array(words, pa.binary()).value_counts()
+            words.clear()
+            return pa.RecordBatch.from_arrays(counts.flatten(), names=["word", "n"])
 
-        counts: Counter = Counter()
+        words: list[bytes] = []
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 for data in binary_texts(b.column(0).slice(at, 256)):
                     for part in windows(data, 1 << 20):
-                        counts.update(_words(part))
-                if len(counts) > 400_000:
-                    yield flush()
-        if counts:
+                        words += _words(part)
+                        if len(words) > 2 * AT_ONCE:
+                            yield flush()
+        if words:
             yield flush()
 
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -310,14 +320,16 @@ def _coded(docs: DataFrame, shared: list[tuple[bytes, int]], words: int) -> Data
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = word_numbers(known.value)
-        held: list[tuple[list[int], int, np.ndarray]] = []  # row and mix, place of the part, and numbers of a megabyte of text at most
+        held: list[tuple[list[int], int, int]] = []  # row and mix, place of the part, and words of a megabyte of text at most
+        words: list[bytes] = []
 
         def flush() -> pa.RecordBatch:
-            numbers = codes.settle(np.concatenate([x for _, _, x in held]))
+            numbers = codes.settle(codes.of_all(words))
             codes.trim()
+            words.clear()
             rows, end = [], 0
-            for row, part, own in held:
-                own, end = numbers[end : end + len(own)], end + len(own)
+            for row, part, size in held:
+                own, end = numbers[end : end + size], end + size
                 for k in range(0, max(1, len(own)), PIECE):
                     symbols, edges = _split(own[k : k + PIECE])
                     rows.append((*row, part << 32 | k, symbols.tobytes(), edges.tobytes()))
@@ -326,18 +338,16 @@ def _coded(docs: DataFrame, shared: list[tuple[bytes, int]], words: int) -> Data
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
         for b in batches:
-            size = 0
             for at in range(0, b.num_rows, 256):
                 for *row, data in zip(*(b.column(i).slice(at, 256).to_pylist() for i in (0, 1)), binary_texts(b.column(2).slice(at, 256)), strict=True):
                     for k, part in enumerate(windows(data, 1 << 20)):
                         found = _words(part)
-                        held.append((row, k, np.fromiter(map(codes.__getitem__, found), dtype=np.int64, count=len(found))))
-                        size += len(found)
-                        if size > 250_000:
+                        held.append((row, k, len(found)))
+                        words.extend(found)
+                        if len(words) > AT_ONCE or len(held) > AT_ONCE // 10:
                             yield flush()
-                            size = 0
-            if held:
-                yield flush()
+        if held:
+            yield flush()
 
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.xxhash64("doc_id", "text").alias("mix"), "text")
     pieces = numbered.mapInArrow(run, "row long, mix long, piece long, symbols binary, edges binary").repartition(shards, F.xxhash64("row")).sortWithinPartitions("mix", "row", "piece")
@@ -614,6 +624,7 @@ class _Document:
 
     def __init__(self, key: tuple, end: int):
         self.key, self.ids, self.n, self.known, self.base, self.score, self.rare = key, [np.array([end], np.int32)], 0, 0, 0.0, 0.0, Counter()
+        self.finished = False
 
 
 class Scorer:
@@ -622,30 +633,48 @@ class Scorer:
     def __init__(self, v: Vocabulary, net: Network, logs: np.ndarray, fixed: np.ndarray):
         self.v, self.net, self.logs, self.fixed, self.ids = v, net, logs, fixed, v.word_ids()
         self.held: list[_Document] = []
+        self.words: list[bytes] = []
+        self.parts: list[tuple[_Document, int]] = []  # whose words these are
         self.size, self.carried = 0, None
 
     def add(self, key: tuple, data: bytes) -> Iterator[pa.RecordBatch]:
         self.held.append(_Document(key, self.v.end))
         for part in windows(data, 1 << 20):
-            words = _words(part)
-            own = np.fromiter(map(self.ids.__getitem__, words), dtype=np.int32, count=len(words))
-            if len(own):
-                self.held[-1].rare.update([words[i] for i in np.flatnonzero(own >= self.v.rare).tolist()])
-                self.held[-1].ids.append(own)
-                self.size += len(own)
+            if words := _words(part):
+                self.words += words
+                self.parts.append((self.held[-1], len(words)))
+                self.size += len(words)
+                if len(self.words) > AT_ONCE:
+                    self._number()
                 if self.size > 2 * BUFFER:  # a very long text: what it has so far
                     yield from self._score(unfinished=True)
-        self.held[-1].ids.append(np.array([self.v.end], np.int32))
+        self.held[-1].finished = True
         self.size += 1
         if self.size > BUFFER:
             yield from self.flush()
 
+    def _number(self) -> None:
+        """Give the words that are held to their documents, as numbers."""
+        numbers, end = self.ids.of_all(self.words).astype(np.int32), 0
+        for document, n in self.parts:
+            own = numbers[end : end + n]
+            document.rare.update([self.words[end + i] for i in np.flatnonzero(own >= self.v.rare).tolist()])
+            document.ids.append(own)
+            end += n
+        self.words.clear()
+        self.parts.clear()
+
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.held:
             yield from self._score(unfinished=False)
 
     def _score(self, unfinished: bool) -> Iterator[pa.RecordBatch]:
         v, held = self.v, self.held
+        self._number()
+        end = np.array([v.end], np.int32)
+        for d in held:
+            if d.finished:
+                d.ids.append(end)
         ids = [np.concatenate(d.ids) for d in held]
         cuts = np.cumsum([len(x) for x in ids])
         ids = np.split(self.ids.settle(np.concatenate(ids)), cuts[:-1])

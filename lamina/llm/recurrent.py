@@ -12,6 +12,7 @@ Many sequences are computed side by side, as a step of one alone is a few small
 from __future__ import annotations
 
 import heapq
+from collections.abc import Callable
 
 import numpy as np
 
@@ -28,7 +29,14 @@ SAFE = 60.0
 
 def _reach(weights: np.ndarray, more: np.ndarray) -> bool:
     """Whether no state gives a logit beyond ``SAFE``: all numbers of a state lie between -1 and 1."""
-    return not len(more) or float((np.abs(weights).sum(0) + np.abs(more)).max()) < SAFE
+    return float((np.abs(weights).sum(0) + np.abs(more)).max()) < SAFE
+
+
+def _powers(logits: np.ndarray, safe: bool) -> None:
+    """The exponents in place of the logits, which are moved by the row's greatest one unless they are known to be ``safe``."""
+    if not safe:
+        logits -= logits.max(1, keepdims=True)
+    np.exp(logits, out=logits)
 
 
 def _chosen(logits: np.ndarray, at: np.ndarray, safe: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -37,7 +45,7 @@ def _chosen(logits: np.ndarray, at: np.ndarray, safe: bool) -> tuple[np.ndarray,
     if not safe:
         logits -= logits.max(1, keepdims=True)
     own = logits[np.arange(len(at)), at]
-    np.exp(logits, out=logits)
+    _powers(logits, True)
     return own, logits, logits @ np.ones(logits.shape[1], logits.dtype)
 
 
@@ -53,7 +61,36 @@ def _sums(rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(at.astype(np.uint16) if at.max(initial=0) < 1 << 16 else at, kind="stable")
     sorted_at = at[order]
     begins = np.flatnonzero(np.diff(sorted_at, prepend=-1))
-    return sorted_at[begins], np.add.reduceat(rows[order], begins, axis=0)
+    return sorted_at[begins], np.add.reduceat(rows.take(order, axis=0), begins, axis=0)
+
+
+class Cell:
+    """The unit over many sequences, a step after the other, with the weights as they are when it is made: halves of
+    ``p`` and of the sums of the gate, whose logistic function is a tanh of half of them, stand by themselves."""
+
+    def __init__(self, p: dict, wide: int):
+        self.gate, self.candidate = p["p"][:, :HIDDEN] * np.float32(0.5), np.ascontiguousarray(p["p"][:, HIDDEN:])
+        self.u, self.g, self.seen = p["u"] * np.float32(0.5), p["g"], np.empty((wide, HIDDEN), np.float32)
+
+    def inputs(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What words add to the gate and the candidate."""
+        return self.gate.take(words, axis=0), self.candidate.take(words, axis=0)
+
+    def step(self, to_gate: np.ndarray, to_candidate: np.ndarray, h: np.ndarray, z: np.ndarray, g: np.ndarray, new: np.ndarray) -> None:
+        """The gate, the candidate and the new state, written to ``z``, ``g`` and ``new``, from ``inputs`` and the states."""
+        seen = self.seen[: len(h)]
+        np.matmul(h, self.u, out=z)
+        z += to_gate
+        np.tanh(z, out=z)
+        z += 1
+        z *= 0.5
+        np.multiply(z, h, out=seen)
+        np.matmul(seen, self.g, out=g)
+        g += to_candidate
+        np.tanh(g, out=g)
+        np.subtract(g, h, out=seen)
+        seen *= z
+        np.add(h, seen, out=new)
 
 
 class Network:
@@ -76,53 +113,64 @@ class Network:
     def _update(self, moments: dict, grads: dict, rate: float) -> None:
         """Adam. A gradient is an array, or rows and their gradients: then only these rows move."""
         for k, grad in grads.items():
-            rows, grad, pace = (*grad, rate * ALONE) if isinstance(grad, tuple) else (slice(None), grad, rate * VECTORS if k == "e" else rate)
+            rows, grad, pace = (*grad, rate * ALONE) if isinstance(grad, tuple) else (None, grad, rate * VECTORS if k == "e" else rate)
             m, v, step = moments[k]
             moments[k][2] = step = step + 1
-            m[rows] = first = m[rows] + np.float32(0.1) * (grad - m[rows])
-            v[rows] = second = v[rows] + np.float32(0.01) * (grad * grad - v[rows])
-            second = np.sqrt(second * np.float32(1 / (1 - 0.99**step)))
-            second += np.float32(1e-8)
-            first = first / second
-            first *= np.float32(pace / (1 - 0.9**step))
-            self.p[k][rows] -= first
-
-    def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The gate, the candidate and the new state, from the words' rows of ``p`` and the states."""
-        z = h @ self.p["u"]
-        z += x[:, :HIDDEN]
-        z *= 0.5
-        np.tanh(z, out=z)
-        z += 1
-        z *= 0.5
-        g = (z * h) @ self.p["g"]
-        g += x[:, HIDDEN:]
-        np.tanh(g, out=g)
-        new = g - h
-        new *= z
-        new += h
-        return z, g, new
+            first, second = (m, v) if rows is None else (m.take(rows, axis=0), v.take(rows, axis=0))
+            change = grad * np.float32(0.1)
+            first *= np.float32(0.9)
+            first += change
+            np.multiply(grad, grad, out=change)
+            change *= np.float32(0.01)
+            second *= np.float32(0.99)
+            second += change
+            np.multiply(second, np.float32(1 / (1 - 0.99**step)), out=change)
+            np.sqrt(change, out=change)
+            change += np.float32(1e-8)
+            np.divide(first, change, out=change)
+            change *= np.float32(pace / (1 - 0.9**step))
+            if rows is None:
+                self.p[k] -= change
+            else:
+                m[rows], v[rows] = first, second
+                self.p[k][rows] -= change
 
     def _classes(self, h: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``_chosen`` of the classes."""
         return _chosen(_with_one(h) @ np.vstack([self.p["w"], self.p["b"]]), classes, _reach(self.p["w"], self.p["b"]))
 
-    def _words(self, h: np.ndarray, classes: np.ndarray, places: np.ndarray):
-        """For each class with several own words: its number, positions in ``places``, their states, and ``_chosen`` of
-        its words."""
+    def _by_class(self, classes: np.ndarray, places: np.ndarray, cells: int) -> tuple[np.ndarray, list[tuple[int, int, slice]]]:
+        """Positions in ``places`` of words in classes with several own words, class by class, and for each part of at most
+        some ``cells`` logits where its class begins and ends and where in these positions it stands."""
         own = np.flatnonzero((places >= 0) & (self.high[classes] - self.low[classes] > 1))
         own = own[np.argsort(classes[own].astype(np.uint16), kind="stable")]
-        if not len(own):
-            return
-        kinds, begins = np.unique(classes[own], return_index=True)
-        states, targets = _with_one(h[own]), places[own]
-        vectors, safe = np.hstack([self.p["e"], self.share[:, None]]), _reach(self.p["e"].T, self.share)
-        for c, begin, end in zip(kinds, begins, [*begins[1:], len(own)], strict=True):
-            low, high = self.low[c], self.high[c]
-            rows = max(1, (1 << 18) // int(high - low))
-            for k in range(begin, end, rows):
-                part = slice(k, min(end, k + rows))
-                yield c, own[part], states[part, :HIDDEN], *_chosen(states[part] @ vectors[low:high].T, targets[part] - low, safe)
+        parts: list[tuple[int, int, slice]] = []
+        begin = 0
+        for c, n in enumerate(np.bincount(classes[own]).tolist()):
+            low, high = int(self.low[c]), int(self.high[c])
+            rows = max(1, cells // max(1, high - low))
+            parts += [(low, high, slice(k, min(begin + n, k + rows))) for k in range(begin, begin + n, rows)]
+            begin += n
+        return own, parts
+
+    def _vectors(self, last: np.ndarray | float) -> np.ndarray:
+        """Words' vectors with a last column."""
+        out = np.empty((len(self.share), HIDDEN + 1), np.float32)
+        out[:, :HIDDEN], out[:, HIDDEN] = self.p["e"], last
+        return out
+
+    def _safe_words(self) -> Callable[[int, int], bool]:
+        """``_reach`` of the words from one place to another."""
+        most = np.abs(self.p["e"]) @ np.ones(HIDDEN, np.float32) + np.abs(self.share)
+        return lambda low, high: bool(most[low:high].max() < SAFE)
+
+    def _words(self, h: np.ndarray, classes: np.ndarray, places: np.ndarray):
+        """For parts of classes with several own words: positions in ``places``, and ``_chosen`` of their words."""
+        own, parts = self._by_class(classes, places, 1 << 17)
+        states, targets = _with_one(h.take(own, axis=0)), places[own]
+        vectors, safe = self._vectors(self.share), self._safe_words()
+        for low, high, part in parts:
+            yield own[part], *_chosen(states[part] @ vectors[low:high].T, targets[part] - low, safe(low, high))
 
     def log_probs(self, h: np.ndarray, classes: np.ndarray, places: np.ndarray) -> np.ndarray:
         """log P(class) and, where a place is given (not -1), + log P(its word in the class) in each state."""
@@ -131,7 +179,7 @@ class Network:
             part = slice(k, k + STATES // 4)
             own, _, total = self._classes(h[part], classes[part])
             out[part] = own - np.log(total)
-        for _, at, _, own, _, total in self._words(h, classes, places):
+        for at, own, _, total in self._words(h, classes, places):
             out[at] += own - np.log(total)
         return out
 
@@ -154,53 +202,80 @@ class Network:
 
     def _window(self, s: np.ndarray, classes: np.ndarray, places: np.ndarray, goes: np.ndarray, state: np.ndarray, moments: dict, rate: float, words: bool = True) -> np.ndarray:
         n, streams = s.shape
-        x, u, ug = self.p["p"][s], self.p["u"], self.p["g"]
+        cell, u, ug = Cell(self.p, streams), self.p["u"], self.p["g"]
         before, h, z, g = (np.empty((n, streams, HIDDEN), np.float32) for _ in range(4))
+        to_gate, to_candidate = cell.inputs(s)
         fresh = (goes != 1).any(axis=(1, 2))
         for t in range(n):
-            before[t] = state * goes[t] if fresh[t] else state
-            z[t], g[t], state = self.step(x[t], before[t])
-            h[t] = state
+            if fresh[t]:
+                np.multiply(state, goes[t], out=before[t])
+            else:
+                before[t] = state
+            cell.step(to_gate[t], to_candidate[t], before[t], z[t], g[t], h[t])
+            state = h[t]
         flat = h.reshape(-1, HIDDEN)
         size = len(flat)
-        _, d, total = self._classes(flat, classes)
-        d *= (1 / total)[:, None]
-        d[np.arange(size), classes] -= 1
-        d /= size
-        grads = {"w": flat.T @ d, "b": d.sum(0)}
-        dh = d @ self.p["w"].T
+        # a softmax's gradient is its powers over their sum, less one at the word that followed: the powers stay as they are,
+        # the states are divided instead
+        states, part = _with_one(flat), np.float32(1 / size)
+        d = states @ np.vstack([self.p["w"], self.p["b"]])
+        _powers(d, _reach(self.p["w"], self.p["b"]))
+        columns = np.vstack([self.p["w"], np.ones(d.shape[1], np.float32)]).T
+        dh = d @ columns
+        divided = part / dh[:, HIDDEN:]
+        dh = dh[:, :HIDDEN] * divided
+        dh -= (columns[:, :HIDDEN] * part).take(classes, axis=0)
+        by_state = (states * divided).T @ d
+        at, sums = _sums(states, classes)
+        by_state[:, at] -= sums.T * part
+        grads = {"w": by_state[:-1], "b": by_state[-1]}
         if words:
             grads["e"] = np.zeros_like(self.p["e"])
-            for c, own, states, _, dw, total in self._words(flat, classes, places):
-                low, high = self.low[c], self.high[c]
-                dw *= (1 / (size * total))[:, None]
-                dw[np.arange(len(own)), places[own] - low] -= np.float32(1 / size)
-                grads["e"][low:high] += dw.T @ states
-                dh[own] += dw @ self.p["e"][low:high]
+            own, parts = self._by_class(classes, places, 1 << 18)
+            if len(own):
+                vectors, columns, safe = self._vectors(self.share), self._vectors(1), self._safe_words()
+                states, targets, found = states.take(own, axis=0), places[own], np.empty((len(own), HIDDEN + 1), np.float32)
+                for low, high, rows in parts:
+                    d = states[rows] @ vectors[low:high].T
+                    _powers(d, safe(low, high))
+                    np.matmul(d, columns[low:high], out=found[rows])
+                    grads["e"][low:high] += d.T @ (states[rows, :HIDDEN] * (part / found[rows, HIDDEN:]))
+                found[:, :HIDDEN] *= part / found[:, HIDDEN:]
+                found[:, :HIDDEN] -= self.p["e"].take(targets, axis=0) * part
+                dh[own] += found[:, :HIDDEN]
+                at, sums = _sums(states[:, :HIDDEN], targets)
+                grads["e"][at] -= sums * part
         dh = dh.reshape(n, streams, HIDDEN)
         stays = 1 - z
-        seen, slope_g, slope_z = z * before, z * (1 - g * g), z * stays
-        gate_by_state, gate_by_seen = (g - before) * slope_z, before * slope_z
-        # rows of ``p``: what reaches the gate and the candidate
-        back, ut, gt = np.empty((n, streams, 2 * HIDDEN), np.float32), u.T.copy(), ug.T.copy()
-        carry = np.zeros((streams, HIDDEN), np.float32)
+        seen, slope_z = z * before, z * stays
+        # how the gate's sum moves with the state and with what the candidate sees, and the candidate's with the state
+        gate_by_seen = before * slope_z
+        gate_by_state = g - before
+        gate_by_state *= slope_z
+        slope_g = np.multiply(g, g, out=slope_z)
+        np.subtract(1, slope_g, out=slope_g)
+        slope_g *= z
+        # what reaches the gate and the candidate
+        dz, dg, ut, gt = np.empty_like(z), np.empty_like(z), u.T.copy(), ug.T.copy()
+        carry, dseen, more = (np.zeros((streams, HIDDEN), np.float32) for _ in range(3))
         for t in range(n - 1, -1, -1):
             carry += dh[t]
-            dg = carry * slope_g[t]
-            dseen = dg @ gt
-            dz = carry * gate_by_state[t]
-            dz += dseen * gate_by_seen[t]
+            np.multiply(carry, slope_g[t], out=dg[t])
+            np.matmul(dg[t], gt, out=dseen)
+            np.multiply(carry, gate_by_state[t], out=dz[t])
+            np.multiply(dseen, gate_by_seen[t], out=more)
+            dz[t] += more
             carry *= stays[t]
             dseen *= z[t]
             carry += dseen
-            carry += dz @ ut
+            np.matmul(dz[t], ut, out=more)
+            carry += more
             if fresh[t]:
                 carry *= goes[t]
-            back[t, :, :HIDDEN], back[t, :, HIDDEN:] = dz, dg
-        rows = back.reshape(size, -1)
-        grads["u"] = before.reshape(-1, HIDDEN).T @ rows[:, :HIDDEN]
-        grads["g"] = seen.reshape(-1, HIDDEN).T @ rows[:, HIDDEN:]
-        grads["p"] = _sums(rows, s.ravel())
+        dz, dg = dz.reshape(size, HIDDEN), dg.reshape(size, HIDDEN)
+        grads["u"] = before.reshape(-1, HIDDEN).T @ dz
+        grads["g"] = seen.reshape(-1, HIDDEN).T @ dg
+        grads["p"] = _sums(np.hstack([dz, dg]), s.ravel())
         self._update(moments, grads, rate)
         return state
 
@@ -225,21 +300,23 @@ class Network:
             lane = next(k for k, own in enumerate(lanes) if own[0] == 0)
             h[lane], first[offsets[lane]] = carried, False
         out = np.zeros(len(reads))
+        cell = Cell(self.p, len(lanes))
+        z, g = np.empty((2, len(lanes), HIDDEN), np.float32)
         at = n = 0
         while (at := at + n) < lengths[0]:
             wide = int((lengths > at).sum())
             n = min(-(-STATES // wide), int(lengths[0]) - at)
             valid = at + np.arange(n)[:, None] < lengths[:wide]
-            cell = np.where(valid, offsets[:wide] + at + np.arange(n)[:, None], offsets[:wide])
-            x, starts, states = self.p["p"][reads[cell]], first[cell] & valid, np.empty((n, wide, HIDDEN), np.float32)
+            spots = np.where(valid, offsets[:wide] + at + np.arange(n)[:, None], offsets[:wide])
+            (to_gate, to_candidate), starts, states = cell.inputs(reads[spots]), first[spots] & valid, np.empty((n, wide, HIDDEN), np.float32)
             any_start, active = starts.any(1), valid.sum(1)
             for t in range(n):
                 k = int(active[t])  # lanes stand by length, so those that go on are the first
                 if any_start[t]:
                     h[:wide][starts[t]] = 0
-                h[:k] = self.step(x[t, :k], h[:k])[2]
-                states[t, :k] = h[:k]
-            own = cell[valid]
+                cell.step(to_gate[t, :k], to_candidate[t, :k], h[:k], z[:k], g[:k], states[t, :k])
+                h[:k] = states[t, :k]
+            own = spots[valid]
             out[own] = self.log_probs(states[valid], classes[own], places[own])
         sums = np.empty(len(docs))
         sums[order] = np.add.reduceat(out, begins)

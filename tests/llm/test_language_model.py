@@ -262,3 +262,30 @@ def test_words_of_classes_are_learned_in_every_window():
         before, own = net.p["e"].copy(), np.where(np.arange(32) // 4 == window, places, -1)
         net.learn(reads, classes, own, np.zeros(32), net.moments(), 0.01, streams=1, steps=4)
         assert (net.p["e"] != before).any()
+
+
+def test_words_are_looked_up_once():
+    """Numbers of many words are those of each, and only different ones are asked for."""
+
+    class Asked(gru_lm.Numbers):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    asked, words = [], [f"w{(i * i) % 37}".encode() for i in range(2000)]
+    numbers = Asked({b"w0": 7, b"w1": 8}, 100, lambda new: np.array([int(w[1:]) for w in new]))
+    assert numbers.settle(numbers.of_all(words)).tolist() == [{b"w0": 7, b"w1": 8}.get(w, int(w[1:])) for w in words]
+    assert len(asked) == len(set(words))
+    assert len(numbers.of_all([])) == 0
+
+
+def test_only_classes_that_need_it_are_moved(monkeypatch):
+    """Logits beyond what 32 bits hold, in one class: right scores, and other classes aren't moved by their greatest logit."""
+    net, moved, powers = small_network(), [], recurrent._powers
+    net.p["e"][:3] = 0
+    net.p["e"][:3, 0] = 400, -300, 200
+    doc = sequence(300, 12, 5)
+    assert net.score([doc])[0][0] == pytest.approx(loop(net, *doc, np.zeros(HIDDEN))[0], rel=1e-3)
+    monkeypatch.setattr(recurrent, "_powers", lambda logits, safe: (moved.append((logits.shape[1], safe)), powers(logits, safe))[1])
+    net.learn(*doc, np.zeros(300), net.moments(), 0.01, streams=4, steps=75)
+    assert (3, False) in moved and (2, True) in moved and all(np.isfinite(x).all() for x in net.p.values())
