@@ -24,6 +24,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,8 +52,8 @@ STREAMS = 512
 PRIOR = 50
 #: Words of documents that are scored side by side, about: many, so that long documents have company.
 BUFFER = 1 << 21
-#: Words of texts that are held as such at a time, about.
-AT_ONCE = 500_000
+#: Bytes of texts that are cut into words at a time, about, texts at most, and rows of counts that a task adds up.
+AT_ONCE, TEXTS, COUNTS = 8 << 20, 50_000, 1 << 20
 #: Marks of words without an own symbol whose counts all executors hold, and of all other words.
 _SHARED, _RARE = 1 << 48, 1 << 49
 _END = 0xFFFF
@@ -62,6 +63,18 @@ def _words(data: bytes) -> list[bytes]:
     return data.lower().split()
 
 
+def split_words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """``_words`` of many texts, one after the other, and how many each has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.binary()).view(pa.string())))
+    words, offsets = lists.values, lists.offsets.to_numpy()
+    full = pc.binary_length(words).to_numpy() > 0  # white space at the ends of a text leaves empty ones
+    return words.filter(pa.array(full)).view(pa.binary()), np.diff(np.concatenate([[0], np.cumsum(full)])[offsets])
+
+
+def _listed(words: pa.Array) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
 def _edges(word: bytes) -> int:
     """The first three and the last three bytes."""
     return int.from_bytes(word[:3].ljust(3, b"\0"), "big") << 24 | int.from_bytes(word[-3:].ljust(3, b"\0"), "big")
@@ -69,8 +82,14 @@ def _edges(word: bytes) -> int:
 
 def edges_of(words: list[bytes]) -> np.ndarray:
     """``_edges`` of many words at once."""
-    raw = b"".join([w[:3].ljust(3, b"\0") + w[-3:].ljust(3, b"\0") for w in words])
-    return np.frombuffer(raw, np.uint8).reshape(-1, 6).astype(np.int64) @ (1 << np.arange(40, -1, -8, dtype=np.int64))
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    data, first = np.frombuffer(b"".join(words) + b"\0\0", np.uint8), np.cumsum(sizes) - sizes
+    out, last = np.zeros(len(words), dtype=np.int64), first + np.maximum(0, sizes - 3)
+    for begins in (first, last):
+        for k in range(3):
+            out <<= 8
+            out |= np.where(sizes > k, data[begins + k], 0)
+    return out
 
 
 def _ranked(shared: list[tuple[bytes, int]]) -> list[tuple[bytes, int]]:
@@ -98,12 +117,15 @@ class Numbers(dict):
         self.new.append(word)
         return value
 
-    def of_all(self, words: list[bytes]) -> np.ndarray:
+    def of_all(self, words: pa.Array | list[bytes]) -> np.ndarray:
         """The numbers of many words: each different one is looked up once."""
-        codes = pa.array(words, pa.binary()).dictionary_encode().indices.to_numpy()
-        where = np.zeros(codes.max(initial=-1) + 1, dtype=np.int64)
-        where[codes] = np.arange(len(words))
-        return np.fromiter(map(self.__getitem__, [words[i] for i in where.tolist()]), dtype=np.int64, count=len(where))[codes]
+        coded = (words if isinstance(words, pa.Array) else pa.array(words, pa.binary())).dictionary_encode()
+        different = _listed(coded.dictionary)
+        new = [w for w in different if w not in self]
+        first = self.first + len(self.values) + len(self.new)
+        self.update(zip(new, range(first, first + len(new)), strict=True))
+        self.new += new
+        return np.fromiter(map(self.__getitem__, different), dtype=np.int64, count=len(different))[coded.indices.to_numpy()]
 
     def settle(self, numbers: np.ndarray) -> np.ndarray:
         if self.new:
@@ -206,10 +228,11 @@ class Clusters:
         def places(k: np.ndarray) -> np.ndarray:
             if not len(self.keys):
                 return np.zeros(len(k), dtype=int)
-            i = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
-            return np.where(self.keys[i] == k, i, len(self.keys))
+            i = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
+            return np.where(keys[i] == k, i, len(keys))
 
-        a, b = places(edges >> 24), places(1 << 24 | edges & 0xFFFFFF)
+        keys = self.keys.astype(np.int32)  # half as wide, so that they stay in a core's cache
+        a, b = places((edges >> 24).astype(np.int32)), places((1 << 24 | edges & 0xFFFFFF).astype(np.int32))
         best, out = np.full(len(edges), -np.inf), np.zeros(len(edges), dtype=np.int64)
         for g in range(CLUSTERS):
             column = np.ascontiguousarray(self.logs[:, g])
@@ -279,33 +302,47 @@ class Vocabulary:
 
     def reads(self, symbols: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """What the network reads, the classes and the places of coded words, ``_END`` among them."""
-        end, other = symbols == _END, (symbols >= SYMBOLS) & (symbols != _END)
-        read, gives = symbols.astype(np.int64), np.full(len(symbols), self.classes - 1)
-        gives[other] = self.clusters.of(edges) * (BANDS + 2) + BANDS + (symbols[other] == SYMBOLS + 1)
-        gives[symbols < SYMBOLS] = self.class_of[read[symbols < SYMBOLS]]
-        place = np.full(len(symbols), -1)
-        place[symbols < SYMBOLS] = self.place[read[symbols < SYMBOLS]]
-        read[other | end] = self.top + gives[other | end]
+        # every mark below SYMBOLS has its word's class and place, all others the end's until theirs are known
+        mark = np.minimum(symbols, np.uint16(SYMBOLS))
+        gives, place = np.full(SYMBOLS + 1, self.classes - 1), np.full(SYMBOLS + 1, -1)
+        gives[: self.top], place[: self.top] = self.class_of[: self.top], self.place[: self.top]
+        read, gives, place = np.append(np.arange(SYMBOLS), self.top + self.classes - 1).take(mark), gives.take(mark), place.take(mark)
+        other = np.flatnonzero((symbols >= SYMBOLS) & (symbols != _END))
+        own = self.clusters.of(edges) * (BANDS + 2) + BANDS + (symbols[other] == SYMBOLS + 1)
+        gives[other], read[other] = own, self.top + own
         return read, gives, place
 
 
 def _count_words(docs: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush() -> pa.RecordBatch:
-            counts = pa.array(words, pa.binary()).value_counts()
-            words.clear()
-            return pa.RecordBatch.from_arrays(counts.flatten(), names=["word", "n"])
-
-        words: list[bytes] = []
+        def flush() -> Iterator[pa.RecordBatch]:
+            """Counts of the texts that are held, added to those before, which go out once they are many."""
+            counts.append(pa.Table.from_arrays(split_words(texts)[0].value_counts().flatten(), names=["word", "n"]))
+            texts.clear()
+            if sum(map(len, counts)) > COUNTS:
+                counts[:] = [added()]
+                if len(counts[0]) > COUNTS // 2:
+                    yield from counts.pop().to_batches()
+
+        def added() -> pa.Table:
+            return pa.concat_tables(counts).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+        texts: list[bytes] = []
+        counts: list[pa.Table] = []
+        size = 0
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 for data in binary_texts(b.column(0).slice(at, 256)):
                     for part in windows(data, 1 << 20):
-                        words += _words(part)
-                        if len(words) > 2 * AT_ONCE:
-                            yield flush()
-        if words:
-            yield flush()
+                        texts.append(part)
+                        size += len(part)
+                        if size > AT_ONCE or len(texts) > TEXTS:
+                            yield from flush()
+                            size = 0
+        if texts:
+            yield from flush()
+        if counts:
+            yield from added().to_batches()
 
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -320,32 +357,35 @@ def _coded(docs: DataFrame, shared: list[tuple[bytes, int]], words: int) -> Data
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = word_numbers(known.value)
-        held: list[tuple[list[int], int, int]] = []  # row and mix, place of the part, and words of a megabyte of text at most
-        words: list[bytes] = []
+        held: list[tuple[int, int, int]] = []  # row, mix and place of a megabyte of text at most
+        texts: list[bytes] = []
 
         def flush() -> pa.RecordBatch:
-            numbers = codes.settle(codes.of_all(words))
+            words, sizes = split_words(texts)
+            symbols, edges = _split(codes.settle(codes.of_all(words)))
             codes.trim()
-            words.clear()
-            rows, end = [], 0
-            for row, part, size in held:
-                own, end = numbers[end : end + size], end + size
-                for k in range(0, max(1, len(own)), PIECE):
-                    symbols, edges = _split(own[k : k + PIECE])
-                    rows.append((*row, part << 32 | k, symbols.tobytes(), edges.tobytes()))
+            row, mix, part = np.array(held, dtype=np.int64).T
             held.clear()
-            kinds, names = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()), ["row", "mix", "piece", "symbols", "edges"]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-
+            texts.clear()
+            pieces = np.maximum(1, -(-sizes // PIECE))
+            of = np.repeat(np.arange(len(sizes)), pieces)
+            within = (np.arange(len(of)) - (np.cumsum(pieces) - pieces)[of]) * PIECE
+            cuts = np.append((np.cumsum(sizes) - sizes)[of] + within, len(symbols))
+            other = np.concatenate([[0], np.cumsum(symbols >= SYMBOLS)])
+            columns = [*map(pa.array, (row[of], mix[of], part[of] << 32 | within)), _cut(symbols, cuts), _cut(edges, other[cuts])]
+            return pa.RecordBatch.from_arrays(columns, names=["row", "mix", "piece", "symbols", "edges"])
+
+        size = 0
         for b in batches:
             for at in range(0, b.num_rows, 256):
-                for *row, data in zip(*(b.column(i).slice(at, 256).to_pylist() for i in (0, 1)), binary_texts(b.column(2).slice(at, 256)), strict=True):
+                for row, mix, data in zip(*(b.column(i).slice(at, 256).to_pylist() for i in (0, 1)), binary_texts(b.column(2).slice(at, 256)), strict=True):
                     for k, part in enumerate(windows(data, 1 << 20)):
-                        found = _words(part)
-                        held.append((row, k, len(found)))
-                        words.extend(found)
-                        if len(words) > AT_ONCE or len(held) > AT_ONCE // 10:
+                        held.append((row, mix, k))
+                        texts.append(part)
+                        size += len(part)
+                        if size > AT_ONCE or len(texts) > TEXTS:
                             yield flush()
+                            size = 0
         if held:
             yield flush()
 
@@ -356,6 +396,12 @@ def _coded(docs: DataFrame, shared: list[tuple[bytes, int]], words: int) -> Data
     return coded
 
 
+def _cut(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` from each of ``cuts`` to the next."""
+    offsets = (cuts * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
 def _arrays(column: pa.Array, kind: type) -> list[np.ndarray]:
     return [np.frombuffer(x, kind) for x in column.to_pylist()]
 
@@ -633,18 +679,18 @@ class Scorer:
     def __init__(self, v: Vocabulary, net: Network, logs: np.ndarray, fixed: np.ndarray):
         self.v, self.net, self.logs, self.fixed, self.ids = v, net, logs, fixed, v.word_ids()
         self.held: list[_Document] = []
-        self.words: list[bytes] = []
-        self.parts: list[tuple[_Document, int]] = []  # whose words these are
-        self.size, self.carried = 0, None
+        self.texts: list[bytes] = []
+        self.owners: list[_Document] = []  # whose texts these are
+        self.size, self.bytes, self.carried = 0, 0, None
 
     def add(self, key: tuple, data: bytes) -> Iterator[pa.RecordBatch]:
         self.held.append(_Document(key, self.v.end))
         for part in windows(data, 1 << 20):
-            if words := _words(part):
-                self.words += words
-                self.parts.append((self.held[-1], len(words)))
-                self.size += len(words)
-                if len(self.words) > AT_ONCE:
+            if part:
+                self.texts.append(part)
+                self.owners.append(self.held[-1])
+                self.bytes += len(part)
+                if self.bytes > 4 * BUFFER:
                     self._number()
                 if self.size > 2 * BUFFER:  # a very long text: what it has so far
                     yield from self._score(unfinished=True)
@@ -654,15 +700,20 @@ class Scorer:
             yield from self.flush()
 
     def _number(self) -> None:
-        """Give the words that are held to their documents, as numbers."""
-        numbers, end = self.ids.of_all(self.words).astype(np.int32), 0
-        for document, n in self.parts:
-            own = numbers[end : end + n]
-            document.rare.update([self.words[end + i] for i in np.flatnonzero(own >= self.v.rare).tolist()])
-            document.ids.append(own)
-            end += n
-        self.words.clear()
-        self.parts.clear()
+        """Give the words of the texts that are held to their documents, as numbers."""
+        words, sizes = split_words(self.texts)
+        numbers = self.ids.of_all(words).astype(np.int32)
+        at, ends = np.flatnonzero(numbers >= self.v.rare), np.cumsum(sizes)
+        rare, cuts, begin, cut = _listed(words.take(pa.array(at))), np.searchsorted(at, ends).tolist(), 0, 0
+        for document, end, next_cut in zip(self.owners, ends.tolist(), cuts, strict=True):
+            document.ids.append(numbers[begin:end])
+            if cut < next_cut:
+                document.rare.update(rare[cut:next_cut])
+            begin, cut = end, next_cut
+        self.size += begin
+        self.bytes = 0
+        self.texts.clear()
+        self.owners.clear()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.held:
@@ -675,18 +726,19 @@ class Scorer:
         for d in held:
             if d.finished:
                 d.ids.append(end)
-        ids = [np.concatenate(d.ids) for d in held]
-        cuts = np.cumsum([len(x) for x in ids])
-        ids = np.split(self.ids.settle(np.concatenate(ids)), cuts[:-1])
+        sizes = np.array([sum(map(len, d.ids)) for d in held])
+        ids = self.ids.settle(np.concatenate([x for d in held for x in d.ids]))
         self.ids.trim()
-        sequences = [(v.symbol[own[:-1]], v.class_of[own[1:]], v.place[own[1:]]) for own in ids]
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        reads, classes, places = v.symbol.take(ids), v.class_of.take(ids), v.place.take(ids)
+        sequences = [(reads[a : b - 1], classes[a + 1 : b], places[a + 1 : b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
         sums, state = self.net.score(sequences, self.carried)
-        gives = np.concatenate([own[1:] for own in ids])
-        begins = np.cumsum([0, *(len(own) - 1 for own in ids[:-1])])
+        gives, begins, last = np.delete(ids, starts), starts - np.arange(len(held)), ids[ends - 1].astype(np.int32)
         known = (gives < v.rare) | ((gives == v.end) & (v.ends > 0))
         per_document = [np.add.reduceat(x, begins).tolist() for x in (np.ones(len(gives), np.int64), known.astype(np.int64), self.logs[gives], self.fixed[gives])]
-        for d, own, s, n, k, base, fixed in zip(held, ids, (sums / np.log(10)).tolist(), *per_document, strict=True):
-            d.n, d.known, d.base, d.score, d.ids = d.n + n, d.known + k, d.base + base, d.score + s + fixed, [own[-1:].astype(np.int32)]
+        for i, (d, s, n, k, base, fixed) in enumerate(zip(held, (sums / np.log(10)).tolist(), *per_document, strict=True)):
+            d.n, d.known, d.base, d.score, d.ids = d.n + n, d.known + k, d.base + base, d.score + s + fixed, [last[i : i + 1]]
         self.held, self.size, self.carried = (held[-1:], 0, state) if unfinished else ([], 0, None)
         done = held[:-1] if unfinished else held
         for at in range(0, len(done), 256):
