@@ -156,9 +156,10 @@ def _split(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _vectors(symbols: list[np.ndarray]) -> np.ndarray:
     """Pieces as unit vectors of the roots of their frequent words' counts."""
-    own = np.concatenate(symbols).astype(np.int64) if symbols else np.zeros(0, np.int64)
-    piece = np.repeat(np.arange(len(symbols)), [len(x) for x in symbols])
-    x = np.sqrt(np.bincount((piece * FEW + own)[own < FEW], minlength=len(symbols) * FEW).reshape(-1, FEW).astype(np.float32))
+    own = np.concatenate(symbols) if symbols else np.zeros(0, np.uint16)
+    few = np.flatnonzero(own < FEW)
+    begins = np.repeat(np.arange(0, len(symbols) * FEW, FEW), [len(x) for x in symbols])
+    x = np.sqrt(np.bincount(begins.take(few) + own.take(few), minlength=len(symbols) * FEW).reshape(-1, FEW).astype(np.float32))
     return x / np.maximum(1e-9, np.linalg.norm(x, axis=1))[:, None]
 
 
@@ -197,9 +198,10 @@ def _tally(symbols: list[np.ndarray], edges: list[np.ndarray], centers: np.ndarr
     label = np.repeat(_nearest(_vectors(symbols), centers), [len(x) for x in symbols])
     own, ends = np.concatenate(symbols).astype(np.int64), np.concatenate(edges)
     other = own >= SYMBOLS
-    keys = np.concatenate([ends >> 24, 1 << 24 | ends & 0xFFFFFF, 2 << 24 | own[~other]])
-    found, n = np.unique(keys * 8 + np.concatenate([label[other], label[other], label[~other]]), return_counts=True)
-    return found >> 3, found & 7, n
+    found, n = np.unique(np.concatenate([ends >> 24, 1 << 24 | ends & 0xFFFFFF]) * 8 + np.tile(label[other], 2), return_counts=True)
+    words = np.bincount(own[~other] * 8 + label[~other])
+    there = np.flatnonzero(words)
+    return np.concatenate([found >> 3, 2 << 24 | there >> 3]), np.concatenate([found & 7, there & 7]), np.concatenate([n, words[there]])
 
 
 class Clusters:
@@ -403,7 +405,7 @@ def _cut(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
 
 
 def _arrays(column: pa.Array, kind: type) -> list[np.ndarray]:
-    return [np.frombuffer(x, kind) for x in column.to_pylist()]
+    return [np.frombuffer(x, kind) for x in _listed(column)]
 
 
 def _total(parts: DataFrame, n: int) -> np.ndarray | None:
@@ -618,7 +620,7 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2) -> Da
     def classed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = classes.value
         for b in batches:
-            edges = edges_of(b.column(0).to_pylist())
+            edges = edges_of(_listed(b.column(0)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(v.clusters.of(edges), pa.int32())], names=["word", "n", "cluster"])
 
     unshared = materialize(unshared.mapInArrow(classed, "word binary, n long, cluster int"), "rare")

@@ -289,3 +289,38 @@ def test_only_classes_that_need_it_are_moved(monkeypatch):
     monkeypatch.setattr(recurrent, "_powers", lambda logits, safe: (moved.append((logits.shape[1], safe)), powers(logits, safe))[1])
     net.learn(*doc, np.zeros(300), net.moments(), 0.01, streams=4, steps=75)
     assert (3, False) in moved and (2, True) in moved and all(np.isfinite(x).all() for x in net.p.values())
+
+
+def test_a_window_groups_only_what_was_read(monkeypatch):
+    """Errors are taken off where a word followed, so classes and words that followed aren't grouped."""
+    net, grouped, sums = small_network(), [], recurrent._sums
+    monkeypatch.setattr(recurrent, "_sums", lambda rows, at: (grouped.append(len(at)), sums(rows, at))[1])
+    net.learn(*sequence(300, 12, 5), np.zeros(300), net.moments(), 0.01, streams=4, steps=75)
+    assert grouped == [300]
+
+
+def test_many_texts_are_cut_at_once():
+    """As text by text: white space of every kind, bytes that aren't UTF-8, nothing at all."""
+    rng = np.random.default_rng(2)
+    few = np.array([9, 10, 11, 12, 13, 28, 31, 32, 32, 0, 14, 65, 90, 91, 97, 127, 133, 160, 194, 255], np.uint8)
+    texts = [b"", b" ", b"\tA b\n", *(few[rng.integers(0, len(few), n)].tobytes() for n in range(200))]
+    words, sizes = gru_lm.split_words(texts)
+    assert words.to_pylist() == [w for t in texts for w in gru_lm._words(t)] and sizes.tolist() == [len(gru_lm._words(t)) for t in texts]
+    assert [len(x) for x in gru_lm.split_words([])] == [0, 0]
+    found = [b"", b"a", b"ab", b"abc", b"abcd", b"z" * 70, *words.to_pylist()]
+    assert gru_lm.edges_of(found).tolist() == [gru_lm._edges(w) for w in found]
+
+
+@pytest.mark.parametrize("most", [1 << 20, 20])
+def test_a_task_adds_up_its_counts(spark, monkeypatch, most):
+    """Texts in many parts: counts are right, also where they go out before the end, and else a word goes out once."""
+    monkeypatch.setattr(gru_lm, "AT_ONCE", 200)
+    monkeypatch.setattr(gru_lm, "COUNTS", most)
+    rows = [(" ".join(f"w{(i * j) % 41}" for j in range(30)),) for i in range(60)] + [(None,), ("",)]
+    docs = spark.createDataFrame(rows, "text string").coalesce(1)
+    sent, frame = [], type(docs)
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, run, schema, plain=frame.mapInArrow: (sent.append(plain(self, run, schema)), sent[-1])[1])
+    got = {bytes(r.word): r.n for r in gru_lm._count_words(docs).collect()}
+    assert got == Counter(w for (t,) in rows for w in tokens(t) if w)
+    if most > 1000:
+        assert sent[0].count() == len(got)
